@@ -19,8 +19,6 @@ columns with a result's name are replaced.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +26,15 @@ from pyspark.sql import functions as F
 from textloom.llm.common import lowest, with_columns, written
 
 NAMES = (
-    "chars words word_mean word_sd long_words short_words upper digits blank ascii_punct comma stop bang bar symbols other_high letters "
-    "lines line_mean line_repeat short_lines types top_word top_pair pair_repeat marked_words shouted_words plain_words entropy tokens_no_letter"
+    "bytes words word_mean word_sd long_words short_words upper digits blank punctuation comma stop bang bar symbols high letters "
+    "lines line_mean line_repeat short_lines types top_word pair_repeat marked_words shouted_words plain_words entropy tokens_no_letter"
 ).split()
-_SYMBOLS = b"#$%&*@^~<>=+\\_{}[]"
-_EDGE = ".,;:!?\"'()"
+_BYTE = np.arange(256)
+_SPACE = (_BYTE == 32) | ((_BYTE >= 9) & (_BYTE <= 13))
+_UPPER, _LOWER = (_BYTE >= 65) & (_BYTE <= 90), ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 128)
+_SYMBOL = np.isin(_BYTE, list(b"#$%&*@^~<>=+\\_{}[]"))
+#: Of a byte: 1 upper case, 2 lower case or not ASCII, 4 digit.
+_KIND = (_UPPER + 2 * _LOWER + 4 * ((_BYTE >= 48) & (_BYTE <= 57))).astype(np.int64)
 
 
 def statistics(text: str | None) -> list[float]:
@@ -41,29 +43,34 @@ def statistics(text: str | None) -> list[float]:
     n = len(raw)
     if not n:
         return [0.0] * len(NAMES)
-    b = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    words = text.split()
-    k = max(1, len(words))
-    size = np.fromiter(map(len, words), np.float64, len(words)) if words else np.zeros(1)
-    lines = [x for x in text.split("\n") if x.strip()]
-    m = max(1, len(lines))
-    count = Counter(words)
-    pairs = Counter(zip(words, words[1:])) if len(words) > 1 else Counter()
-    stripped = [w.strip(_EDGE) for w in count]
-    weight = np.fromiter(count.values(), np.float64, len(count)) if count else np.zeros(1)
-    plain = sum(c for w, c in zip(stripped, count.values()) if w.isalpha())
-    shouted = sum(c for w, c in zip(stripped, count.values()) if len(w) > 1 and w.isupper())
-    marked = sum(c for w, c in count.items() if not w[-1].isalnum())
-    empty = sum(c for w, c in zip(stripped, count.values()) if not w)
-    upper, lower = b[65:91].sum(), b[97:123].sum()
+    data = np.frombuffer(raw, np.uint8)
+    b = np.bincount(data, minlength=256)
+    edge = np.diff(np.concatenate([[False], ~_SPACE[data], [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    k = len(start)
+    upper, lower = b[_UPPER].sum(), b[_LOWER].sum()
     p = b[b > 0] / n
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    m = max(1, len(lines))
+    if k:
+        size = end - start
+        kinds = [np.concatenate([[0], np.cumsum(_KIND[data] == x)]) for x in (1, 2, 4)]
+        ups, lows, nums = (c[end] - c[start] for c in kinds)
+        closed = _KIND[data[end - 1]] == 0
+        hashes = np.fromiter(map(hash, raw.split()), np.int64, k)  # only equality counts
+        _, times = np.unique(hashes, return_counts=True)
+        pairs = len(np.unique(hashes[:-1] * 1000003 + hashes[1:])) if k > 1 else 0
+        by_word = [min(size.mean(), 30), min(size.std(), 30), (size > 12).mean(), (size < 3).mean()]
+        by_type = [len(times) / k, times.max() / k, 1 - pairs / (k - 1) if k > 1 else 0.0]
+        by_kind = [closed.mean(), ((lows == 0) & (ups > 1)).mean(), (ups + lows == size - closed).mean()]
+        no_letter = (ups + lows == 0).mean()
+    else:
+        by_word, by_type, by_kind, no_letter = [0.0] * 4, [0.0] * 3, [0.0] * 3, 0.0
     return [float(x) for x in (
-        np.log1p(n), np.log1p(len(words)), min(size.mean(), 30), min(size.std(), 30), (size > 12).mean(), (size < 3).mean(),
-        upper / n, b[48:58].sum() / n, (b[32] + b[9] + b[10] + b[13]) / n, (b[33:48].sum() + b[58:65].sum() + b[91:97].sum() + b[123:127].sum()) / n,
-        b[44] / n, (b[46] + b[63]) / n, b[33] / n, b[124] / n, sum(b[c] for c in _SYMBOLS) / n, b[128:].sum() / n, (upper + lower) / n,
+        np.log1p(n), np.log1p(k), *by_word, upper / n, b[48:58].sum() / n, b[_SPACE].sum() / n, (b[33:48].sum() + b[58:65].sum() + b[91:97].sum() + b[123:127].sum()) / n,
+        b[44] / n, (b[46] + b[63]) / n, b[33] / n, b[124] / n, b[_SYMBOL].sum() / n, b[128:].sum() / n, (upper + lower) / n,
         np.log1p(len(lines)), np.log1p(n / m), 1 - len(set(lines)) / m, sum(len(x) < 20 for x in lines) / m,
-        len(count) / k, weight.max() / k, max(pairs.values(), default=0) / k, 1 - len(pairs) / max(1, len(words) - 1) if pairs else 0.0, marked / k, shouted / k, plain / k,
-        -(p * np.log2(p)).sum(), empty / k,
+        *by_type, *by_kind, -(p * np.log2(p)).sum(), no_letter,
     )]
 
 

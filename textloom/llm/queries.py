@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontaminate, language, mix, quality, toxicity, units
+from textloom.llm import decontaminate, language, mix, quality, topk, toxicity, units, urls
 from textloom.llm.common import fold, table
 
 
@@ -15,11 +15,22 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("block"))
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return units.dedup_units(docs).select("doc_id", "n_units", "n_removed", "removed_chars", "text")
@@ -45,5 +56,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op4_mix, op7_units, op8_language, op9_quality, op10_decontaminate)}
-ORACLE_SQL = {"op4_mix": mix.SQL, "op7_units": units.SQL}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_urls, op4_mix, op5_topk, op7_units, op8_language, op9_quality, op10_decontaminate)}
+ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op7_units": units.SQL}

@@ -6,12 +6,13 @@ positives in it: p * R_pos(toxic) + max(0, R_unl(clean) - p * R_pos(clean)); whe
 corrected part falls below zero the step goes against it instead, which keeps a flexible model
 from fitting a negative risk. Sigmoid loss, Adam, numpy.
 
-Features: words and their first 4, 5 and 6 letters, hashed to 20 bits; the `features` ones with the
-largest lift between the two samples are used, each present or absent. So most words of a text
-cost one dictionary lookup.
+Features: words and their first 4 and 6 bytes, hashed to 20 bits; the `features` ones with the
+largest lift between the two samples are used, each present or absent. Prefixes catch inflected and
+compound forms.
 
 Only the training sample is bounded (`max_positive`, `max_unlabelled` rows, lowest hashes of the
 id); every whole text is scored. The prior is the toxic share of the labelled rows unless given.
+Scoring knows the chosen features as the sample writes them, so it takes set intersections only.
 
 Defined cases: null and empty texts score as texts without a feature; without any positive row
 every score is 0; without unlabelled rows the prior; repeated rows score alike; columns with a
@@ -20,7 +21,6 @@ result's name are replaced.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -29,23 +29,33 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import lowest, with_columns, written
 
-_WORD = re.compile(r"\w+")
+#: Lower-cased text is cut at ASCII bytes that are neither letters nor digits.
+_CUT = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+HEADS = (4, 6)
 _BITS = (1 << 20) - 1
 
 
-def _ids(word: str) -> tuple[int, ...]:
-    forms = [f"w{word}"] + [f"{k}{word[:k]}" for k in (4, 5, 6) if len(word) >= k]
-    return tuple(zlib.crc32(f.encode()) & _BITS for f in forms)
+def _words(text: str | None) -> set[bytes]:
+    return set(text.lower().encode().translate(_CUT).split()) if text else set()
 
 
-def feature_ids(text: str | None) -> np.ndarray:
+def _forms(text: str | None) -> list[bytes]:
+    """The distinct features of a whole text: its words and their heads, each marked by its kind."""
+    words = _words(text)
+    out = [b"w" + w for w in words]
+    for k in HEADS:
+        mark = b"%d" % k
+        out += [mark + h for h in {w[:k] for w in words if len(w) >= k}]
+    return out
+
+
+def _number(form: bytes) -> int:
+    return zlib.crc32(form) & _BITS
+
+
+def feature_ids(text: str | None) -> list[int]:
     """Distinct feature numbers of a whole text."""
-    if not text:
-        return np.zeros(0, np.int32)
-    out: set[int] = set()
-    for w in set(_WORD.findall(text.lower())):
-        out.update(_ids(w))
-    return np.array(sorted(out), dtype=np.int32)
+    return list(set(map(_number, _forms(text))))
 
 
 def _chosen(groups: list[list[np.ndarray]], features: int, least: int = 3) -> np.ndarray:
@@ -100,30 +110,25 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 class Scorer:
-    def __init__(self, chosen: np.ndarray, weights: np.ndarray, bias: float):
-        self.slot = {int(f): k for k, f in enumerate(chosen)}
-        self.weights, self.bias, self.known = weights, bias, {}
+    """Sums the weights of the features that a text has. names: the chosen features' forms as the sample has them."""
 
-    def slots(self, word: str) -> tuple[int, ...]:
-        found = tuple(self.slot[i] for i in _ids(word) if i in self.slot)
-        if len(self.known) > 400_000:
-            self.known.clear()
-        self.known[word] = found
-        return found
+    def __init__(self, names: list[bytes], chosen: np.ndarray, weights: np.ndarray, bias: float):
+        weight = dict(zip(chosen.tolist(), weights.tolist()))
+        self.bias = bias
+        self.words = {n[1:]: weight[_number(n)] for n in names if n[:1] == b"w"}
+        self.heads = {k: {n[1:]: weight[_number(n)] for n in names if n[:1] == b"%d" % k} for k in HEADS}
 
     def score(self, text: str | None) -> float:
-        get, have = self.known.get, set()
-        for w in set(_WORD.findall(text.lower())) if text else ():
-            found = get(w)
-            if found is None:
-                found = self.slots(w)
-            if found:
-                have.update(found)
-        z = self.bias + float(self.weights[list(have)].sum()) if have else self.bias
+        words, z = _words(text), self.bias
+        for w in words & self.words.keys():
+            z += self.words[w]
+        for k, known in self.heads.items():
+            for h in known.keys() & {w[:k] for w in words if len(w) >= k}:
+                z += known[h]
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn=None, prior: float | None = None, max_positive: int = 3000, max_unlabelled: int = 9000, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", **options) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn=None, prior: float | None = None, max_positive: int = 2000, max_unlabelled: int = 5000, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", **options) -> DataFrame:
     """docs with score (0 to 1) and predicted (score >= 0.5). learn: from an id's column to a condition for rows to learn from."""
     y = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
     y = y.where(learn(F.col("_id"))) if learn is not None else y
@@ -137,21 +142,28 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn=None, prior: flo
     sample = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(picked), "_id")  # at most max_positive + max_unlabelled rows
 
     def read(batch):
-        return {"_f": [feature_ids(t).tolist() for t in batch.column("_t").to_pylist()]}
+        return {"_f": [feature_ids(t) for t in batch.column("_t").to_pylist()]}
 
     groups: list[list[np.ndarray]] = [[], []]
-    rows = written(with_columns(sample, read, "_f array<int>", drop=("_t",)), "toxicity-features")
-    for r in sorted(rows.toLocalIterator(), key=lambda r: r._id):
-        groups[r._y != 1].append(np.array(r._f, dtype=np.int32))
+    rows = written(with_columns(sample, read, "_f array<int>"), "toxicity-features")
+    for r in sorted(rows.select("_id", "_y", "_f").toLocalIterator(), key=lambda r: r._id):
+        groups[r._y != 1].append(np.sort(np.array(r._f, dtype=np.int32)))
     prior = share if prior is None else prior
     if not groups[0] or not groups[1]:
         constant = prior if groups[0] else 0.0
         return docs.drop("score", "predicted").withColumns({"score": F.lit(float(constant)), "predicted": F.lit(int(constant >= 0.5))})
     model = train(*groups, prior, **options)
+    chosen = set(model[0].tolist())
+
+    def name(batch):
+        return {"_n": [[f for f in _forms(t) if _number(f) in chosen] for t in batch.column("_t").to_pylist()]}
+
+    named = with_columns(rows.select("_t"), name, "_n array<binary>", drop=("_t",)).select(F.explode("_n").alias("n")).distinct()
+    names = sorted(bytes(r.n) for r in named.toLocalIterator())  # a few for each chosen feature
 
-    def run(batch, state={}):  # noqa: B006  one word cache a worker
+    def run(batch, state={}):  # noqa: B006  built once a worker
         if "s" not in state:
-            state["s"] = Scorer(*model)
+            state["s"] = Scorer(names, *model)
         s = np.array([state["s"].score(t) for t in batch.column(text).to_pylist()], dtype=np.float64)
         return {"score": s, "predicted": (s >= 0.5).astype(np.int32)}
 
