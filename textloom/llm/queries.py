@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontaminate, language, mix, quality, topk, toxicity, units, urls
+from textloom.llm import decontaminate, language, mix, nearest, quality, repeats, topk, toxicity, units, urls
 from textloom.llm.common import fold, table
 
 
@@ -15,6 +15,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("block"))
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels)
@@ -31,6 +35,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), width=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return units.dedup_units(docs).select("doc_id", "n_units", "n_removed", "removed_chars", "text")
@@ -56,5 +65,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_urls, op4_mix, op5_topk, op7_units, op8_language, op9_quality, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near, op3_urls, op4_mix, op5_topk, op6_repeats, op7_units, op8_language, op9_quality, op10_decontaminate)}
 ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op7_units": units.SQL}
