@@ -6,8 +6,8 @@ positives in it: p * R_pos(toxic) + max(0, R_unl(clean) - p * R_pos(clean)); whe
 corrected part falls below zero the step goes against it instead, which keeps a flexible model
 from fitting a negative risk. Sigmoid loss, Adam, numpy.
 
-Features: words and their first 4 and 6 bytes, hashed to 20 bits; the `features` ones with the
-largest lift between the two samples are used, each present or absent. Prefixes catch inflected and
+Features: words and their first 4 and 6 bytes, hashed to 20 bits; of those that positives
+have significantly more often than the unlabelled the `features` strongest are used, each present or absent. Prefixes catch inflected and
 compound forms.
 
 Only the training sample is bounded (`max_positive`, `max_unlabelled` rows, lowest hashes of the
@@ -58,16 +58,16 @@ def feature_ids(text: str | None) -> list[int]:
     return list(set(map(_number, _forms(text))))
 
 
-def _chosen(groups: list[list[np.ndarray]], features: int, least: int = 3) -> np.ndarray:
-    """Features whose share differs most between positives and unlabelled."""
-    p, u = (np.bincount(np.concatenate(g), minlength=_BITS + 1) if g else np.zeros(_BITS + 1) for g in groups)
-    a, b = (p + 0.5) / (len(groups[0]) + 1), (u + 0.5) / (len(groups[1]) + 1)
-    weight = np.where(p + u >= least, np.abs(np.log(a / b)) * np.sqrt(np.maximum(a, b)), 0)
-    top = np.argsort(-weight, kind="stable")[:features]
-    return np.sort(top[weight[top] > 0])
+def _chosen(groups: list[list[np.ndarray]], features: int, evidence: float = 8.0) -> np.ndarray:
+    """The features that positives have beyond their share in the unlabelled, by log-likelihood; those below `evidence` could be chance."""
+    k, u = (np.bincount(np.concatenate(g), minlength=_BITS + 1) if g else np.zeros(_BITS + 1) for g in groups)
+    expected = (u + 1) / (len(groups[1]) + 2) * len(groups[0])
+    gain = np.where(k > expected, k * np.log(np.maximum(k, 1) / expected) - (k - expected), 0)
+    top = np.argsort(-gain, kind="stable")[:features]
+    return np.sort(top[gain[top] >= evidence])
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, features: int = 3000, epochs: int = 40, batch: int = 512, rate: float = 0.05, decay: float = 1e-4, seed: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, features: int = 3000, epochs: int = 40, batch: int = 512, rate: float = 0.05, decay: float = 1e-5, seed: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature numbers, their weights, and the bias."""
     chosen = _chosen([positive, unlabelled], features)
     slot = np.full(_BITS + 1, -1, dtype=np.int32)
@@ -88,7 +88,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         return np.append(np.bincount(flat, weights=d[owner], minlength=len(chosen)), d.sum())
 
     n_batches = max(1, len(unlabelled) // batch)
-    for _ in range(epochs):
+    for _ in range(max(epochs, 400 // n_batches)):  # small samples need as many steps
         order = [rng.permutation(len(g)) for g in rows]
         for k in range(n_batches):
             p = [rows[0][i] for i in order[0][k::n_batches]] or [rows[0][i] for i in order[0][:1]]
