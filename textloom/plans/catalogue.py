@@ -1,6 +1,412 @@
-"""Registry of queries by name, each with the SQL that DuckDB runs for it."""
+"""Every query by name over the driver's tables, each with the SQL that DuckDB runs for it."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from textloom.functions import text as T
+from textloom.operators import agents, chat, curate, generate, grammar, rank, seeds
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+WS = T.WS
+PROMPT = "Answer truthfully."
+
+
+def _query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql.replace("$WS", WS)
+        return f
+
+    return register
+
+
+def _t(spark, d, name):
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# merge -------------------------------------------------------------------------------------------
+_KEY = r"md5(regexp_replace(lower(text), '[^\p{L}\p{N}_]+', '', 'g'))"
+_MERGE = f"""WITH d AS (SELECT doc_id, {_KEY} AS dedupe_key, CAST(length(text) // 3 AS INTEGER) AS approx_tokens, length(text) >= 200 AS ok FROM documents),
+f AS (SELECT *, CASE WHEN NOT ok THEN 'bad' WHEN coalesce(max(CAST(ok AND approx_tokens <= 2048 AS INTEGER)) OVER (PARTITION BY dedupe_key, ok ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 THEN 'dup'
+  WHEN approx_tokens > 2048 THEN 'long' ELSE 'kept' END AS outcome FROM d) """
+
+
+def _flags(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return curate.merge_flags(docs, valid=F.length("text") >= 200, key=T.dedupe_key(F.col("text")), tokens=T.approx_tokens(F.col("text")), order="doc_id").drop("text")
+
+
+@_query(_MERGE + "SELECT doc_id, dedupe_key, approx_tokens FROM f WHERE outcome = 'kept'")
+def merge_documents(spark, d):
+    return _flags(spark, d).where("outcome = 'kept'").select("doc_id", "dedupe_key", "approx_tokens")
+
+
+@_query(_MERGE + "SELECT count(*) FILTER (outcome <> 'bad') AS n_valid, count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome = 'long') AS too_long, count(*) FILTER (outcome = 'dup') AS dup FROM f")
+def merge_counters(spark, d):
+    n = lambda c: F.count_if(c)
+    o = F.col("outcome")
+    return _flags(spark, d).agg(n(o != "bad").alias("n_valid"), n(o == "kept").alias("kept"), n(o == "long").alias("too_long"), n(o == "dup").alias("dup"))
+
+
+@_query("""WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR))) AS rn, count(*) OVER () AS n FROM documents)
+SELECT doc_id, CASE WHEN n > 50 AND rn <= greatest(1, CAST(floor(n * 0.02) AS BIGINT)) THEN 'val' ELSE 'train' END AS split FROM r""")
+def merge_split(spark, d):
+    return curate.split_ranked(_t(spark, d, "documents").select("doc_id"), F.col("doc_id"))
+
+
+@_query("SELECT lang, count(*) AS n, count(*) FILTER (quality = 1) AS n_quality FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang")
+def category_summary(spark, d):
+    return _t(spark, d, "documents").select("doc_id", "lang").join(_t(spark, d, "labels"), "doc_id", "left").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("n_quality"))
+
+
+# keys and order ----------------------------------------------------------------------------------
+@_query(f"SELECT doc_id, {_KEY} AS k FROM documents")
+def dedupe_key(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.dedupe_key(F.col("text")).alias("k"))
+
+
+@_query("SELECT doc_id, substr(md5(text), 1, 12) AS id12 FROM documents")
+def short_id(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.short_id(F.col("text")).alias("id12"))
+
+
+@_query(f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_KEY}")
+def first_occurrence(spark, d):
+    return curate.first_occurrence(_t(spark, d, "documents").select("doc_id", T.dedupe_key(F.col("text")).alias("k")), "k", "doc_id").select("doc_id")
+
+
+@_query("SELECT substr(md5(text), 1, 12) AS id, regexp_replace(text, '^$WS+|$WS+$', '', 'g') AS question, left(text, 4000) AS hint FROM benchmark WHERE length(text) BETWEEN 15 AND 1500")
+def seed_length_filter(spark, d):
+    found = seeds.seeds(_t(spark, d, "benchmark"), F.col("text"), F.lit(""), F.col("text"), source="benchmark", category="genel")
+    return found.select("id", "question", F.col("reasoning_hint").alias("hint"))
+
+
+@_query("""WITH u AS (SELECT 'documents' AS source, doc_id AS i, text FROM documents UNION ALL SELECT 'benchmark', item_id, text FROM benchmark),
+r AS (SELECT source, substr(md5(text), 1, 12) AS id, row_number() OVER (PARTITION BY source ORDER BY i) AS rn FROM u WHERE length(text) BETWEEN 15 AND 1500) SELECT source, id, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 25""")
+def seed_union_limit(spark, d):
+    docs = _t(spark, d, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("i"), "text")
+    items = _t(spark, d, "benchmark").select(F.lit("benchmark").alias("source"), F.col("item_id").alias("i"), "text")
+    both = docs.union(items).where(F.length("text").between(15, 1500)).select("source", "i", T.short_id(F.col("text")).alias("id"))
+    return curate.first_n(both, "source", 25, "i").select("source", "id", "rn")
+
+
+@_query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels UNION SELECT item_id FROM benchmark)")
+def resume_anti_join(spark, d):
+    done = _t(spark, d, "labels").select("doc_id").union(_t(spark, d, "benchmark").select(F.col("item_id").alias("doc_id")))
+    return curate.resume(_t(spark, d, "documents").select("doc_id"), done, "doc_id")
+
+
+# conversations -----------------------------------------------------------------------------------
+_PAIRS = """p AS (SELECT conv_id, turn, role, text AS question, lead(role) OVER w AS next, lead(text) OVER w AS answer FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+pairs AS (SELECT conv_id, arg_min(question, turn) AS question, arg_min(answer, turn) AS answer FROM p WHERE role = 'user' AND next = 'assistant' GROUP BY conv_id)"""
+
+
+@_query(f"WITH {_PAIRS} SELECT * FROM pairs")
+def pair_extract(spark, d):
+    return chat.first_pairs(_t(spark, d, "conversations"))
+
+
+@_query("SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS rendered FROM conversations GROUP BY conv_id")
+def render_chat(spark, d):
+    return chat.render_rows(_t(spark, d, "conversations"))
+
+
+@_query(f"""WITH f AS (SELECT conv_id, min(turn) AS t FROM conversations GROUP BY conv_id)
+SELECT conv_id, turn, role, text FROM conversations c JOIN f USING (conv_id) WHERE NOT (role = 'system' AND turn = t)
+UNION ALL SELECT conv_id, t - 1, 'system', '{PROMPT}' FROM f""")
+def system_prompt_unify(spark, d):
+    return chat.unify_system_rows(_t(spark, d, "conversations"), PROMPT)
+
+
+@_query("""WITH u AS (SELECT conv_id, max(turn) FILTER (role = 'user') AS u, arg_max(role, turn) AS final FROM conversations GROUP BY conv_id)
+SELECT conv_id, any_value(u) IS NOT NULL AND any_value(final) = 'assistant' AS ok, CAST(coalesce(sum(length(text)) FILTER (turn > u), 0) AS BIGINT) AS suffix_len FROM conversations JOIN u USING (conv_id) GROUP BY conv_id""")
+def last_user_suffix(spark, d):
+    return chat.last_user_suffix(_t(spark, d, "conversations"))
+
+
+@_query(f"WITH u AS (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'user' GROUP BY conv_id) SELECT conv_id, {_KEY} AS k FROM u")
+def first_user_key(spark, d):
+    return chat.first_user(_t(spark, d, "conversations")).select("conv_id", T.dedupe_key(F.col("text")).alias("k"))
+
+
+@_query("SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 8")
+def history_tail(spark, d):
+    return chat.history_tail(_t(spark, d, "conversations")).select("conv_id", "turn", "role")
+
+
+# pages and clean text ----------------------------------------------------------------------------
+_STRIP = "regexp_replace(regexp_replace({0}, '$WS+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def _clean(c: str, n: int) -> str:
+    s = _STRIP.format(f"regexp_replace(translate(regexp_replace({c}, '<[^>]+>', ' ', 'g'), '<>', '‹›'), '(?i)(ignore (all )?previous instructions|önceki talimatları yok say)', '[filtrelendi]', 'g')")
+    cut = f"left(s, {n})"
+    return f"(SELECT CASE WHEN length(s) <= {n} THEN s WHEN contains(substr({cut}, {n // 2 + 1}), '. ') THEN left({cut}, length({cut}) - instr(reverse({cut}), ' .')) ELSE {cut} || '…' END FROM (SELECT {s} AS s))"
+
+
+@_query("SELECT page_id, " + _STRIP.format("regexp_replace(html, '<[^>]+>', ' ', 'g')") + " AS body FROM pages")
+def strip_tags(spark, d):
+    return _t(spark, d, "pages").select("page_id", T.strip(T.collapse(T.strip_tags(F.col("html")))).alias("body"))
+
+
+@_query("""SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS title FROM pages""")
+def entity_decode(spark, d):
+    return _t(spark, d, "pages").select("page_id", T.entities(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)).alias("title"))
+
+
+@_query(f"SELECT page_id AS id, {_clean('html', 120)} AS cleaned FROM pages")
+def clean_text_120(spark, d):
+    return _t(spark, d, "pages").select(F.col("page_id").alias("id"), T.clean_text(F.col("html"), 120).alias("cleaned"))
+
+
+@_query(f"SELECT doc_id AS id, {_clean('text', 500)} AS cleaned FROM documents")
+def clean_text_500(spark, d):
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"), T.clean_text(F.col("text"), 500).alias("cleaned"))
+
+
+def _snip(c: str) -> str:
+    s = _STRIP.format(f"translate({c}, '<>', '‹›')")
+    return f"(SELECT CASE WHEN length(s) > 400 THEN left(s, 400) || '…' ELSE s END FROM (SELECT {s} AS s))"
+
+
+@_query(f"""WITH h AS (SELECT page_id % 50 AS g, row_number() OVER (PARTITION BY page_id % 50 ORDER BY page_id) AS n, url, html, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages)
+SELECT g AS "group", '<search_results>' || chr(10) || string_agg('[' || n || '] ' || {_snip('title')} || chr(10) || 'URL: ' || {_snip('url')} || chr(10) || {_snip('html')}, chr(10) || chr(10) ORDER BY n) || chr(10) || '</search_results>' AS block FROM h WHERE n <= 3 GROUP BY g""")
+def snippet_block(spark, d):
+    hits = _t(spark, d, "pages").select((F.col("page_id") % 50).alias("group"), "page_id", "url", F.col("html").alias("content"), F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1).alias("title"))
+    return rank.blocks(hits, group="group", order="page_id")
+
+
+_ANCHOR = "(?is)<a [^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+
+
+@_query(f"""WITH a AS (SELECT page_id, regexp_extract_all(html, '{_ANCHOR}', 1) AS hs, regexp_extract_all(html, '{_ANCHOR}', 2) AS ts FROM pages),
+u AS (SELECT page_id, generate_subscripts(hs, 1) - 1 AS pos, unnest(hs) AS href, unnest(ts) AS t FROM a)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href, regexp_replace(t, '<[^>]+>', '', 'g') AS anchor_text FROM u""")
+def link_extract(spark, d):
+    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(2)).alias("t"))
+    return _t(spark, d, "pages").select("page_id", F.posexplode(both).alias("pos", "x")).select("page_id", "pos", F.col("x.h").alias("href"), T.strip_tags(F.col("x.t"), "").alias("anchor_text"))
+
+
+_DOMAIN = "regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\\.', '')"
+
+
+@_query(f"SELECT page_id, {_DOMAIN} AS host FROM pages")
+def url_host(spark, d):
+    return _t(spark, d, "pages").select("page_id", T.domain(F.col("url")).alias("host"))
+
+
+@_query(f"SELECT min(page_id) AS page_id, {_DOMAIN} AS host FROM pages GROUP BY 2")
+def first_page_of_host(spark, d):
+    return curate.first_occurrence(_t(spark, d, "pages").select("page_id", T.domain(F.col("url")).alias("host")), "host", "page_id")
+
+
+_BOOST = f"CAST((page_id * 37) % 100 AS DOUBLE) / 100 + CASE WHEN regexp_matches(url, '{T.TRUSTED_HOSTS}') THEN 0.15::DOUBLE ELSE 0 END"
+_USABLE = f"url <> '' AND length(regexp_replace(html, '^$WS+|$WS+$', '', 'g')) >= 40 AND NOT regexp_matches(url, '{T.POOR_HOSTS}')"
+
+
+def _hits(spark, d):
+    return _t(spark, d, "pages").select((F.col("page_id") % 10).alias("q"), "page_id", "url", F.col("html").alias("content"), (((F.col("page_id") * 37) % 100).cast("double") / 100).alias("score"))
+
+
+@_query(f"SELECT page_id, round({_BOOST}, 6) AS score FROM pages WHERE {_USABLE} AND {_BOOST} >= 0.25")
+def hit_filter_boost(spark, d):
+    hits = _hits(spark, d).where(rank.usable(F.col("url"), F.col("content"))).withColumn("score", rank.boosted(F.col("score"), F.col("url")))
+    return hits.where("score >= 0.25").select("page_id", F.round("score", 6).alias("score"))
+
+
+_RANK = f"""h AS (SELECT page_id % 10 AS q, page_id, url, {_BOOST} AS score, {_DOMAIN} AS dom FROM pages WHERE {_USABLE} AND {_BOOST} >= 0.25),
+o AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY q, dom ORDER BY page_id) = 1),
+ranked AS (SELECT q, row_number() OVER (PARTITION BY q ORDER BY score DESC, page_id) AS id, page_id, url, round(score, 6) AS score FROM o QUALIFY id <= 3)"""
+
+
+@_query(f"WITH {_RANK} SELECT q, CAST(id AS INTEGER) AS id, page_id, url, score FROM ranked")
+def rank_hits(spark, d):
+    return rank.best_hits(_hits(spark, d), query="q", order="page_id").select("q", "id", "page_id", "url", F.round("score", 6).alias("score"))
+
+
+@_query(f"""WITH {_RANK}, c AS (SELECT q // 5 AS conv, q AS call_no, count(*) AS n FROM ranked GROUP BY q)
+SELECT conv, call_no, CAST(coalesce(sum(n) OVER (PARTITION BY conv ORDER BY call_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM c""")
+def running_id_offset(spark, d):
+    calls = rank.best_hits(_hits(spark, d), query="q", order="page_id").groupBy("q").count().select(F.floor(F.col("q") / 5).alias("conv"), F.col("q").alias("call_no"), "count")
+    return rank.running_offset(calls, query="conv", order="call_no", n="count").drop("count")
+
+
+# numbers -----------------------------------------------------------------------------------------
+_NUMS = "regexp_extract_all(replace({0}, chr(8239), ''), '" + T.NUMBER + "')"
+_NORM = """(SELECT CASE WHEN v IS NULL THEN dotted WHEN v = floor(v) AND abs(v) < 1e15 THEN CAST(CAST(v AS BIGINT) AS VARCHAR) ELSE regexp_replace(regexp_replace(printf('%.4f', v), '0+$', ''), '\\.$', '') END
+FROM (SELECT dotted, CASE WHEN b = 0 THEN NULL ELSE a / b END AS v FROM (SELECT dotted, try_cast(string_split(dotted, '/')[1] AS DOUBLE) AS a, coalesce(try_cast(string_split(dotted, '/')[2] AS DOUBLE), 1) AS b FROM (SELECT replace({0}, ',', '.') AS dotted))))"""
+
+
+@_query(f"WITH a AS (SELECT doc_id, {_NUMS.format('text')} AS ns FROM documents) SELECT doc_id, CAST(generate_subscripts(ns, 1) - 1 AS INTEGER) AS pos, unnest(ns) AS num FROM a")
+def number_extract(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.posexplode(T.numbers(F.col("text"))).alias("pos", "num"))
+
+
+@_query(f"WITH a AS (SELECT doc_id, unnest({_NUMS.format('text')}) AS num FROM documents) SELECT doc_id, num, {_NORM.format('num')} AS norm FROM a")
+def number_normalise(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.explode(T.numbers(F.col("text"))).alias("num")).withColumn("norm", T.normalise_number(F.col("num")))
+
+
+@_query(f"""WITH {_PAIRS}, n AS (SELECT conv_id, 'q' AS side, unnest({_NUMS.format('question')}) AS num FROM pairs UNION ALL SELECT conv_id, 'a', unnest({_NUMS.format('answer')}) FROM pairs),
+m AS (SELECT DISTINCT conv_id, side, {_NORM.format('num')} AS num FROM n),
+lost AS (SELECT conv_id, num FROM m WHERE side = 'q' EXCEPT SELECT conv_id, num FROM m WHERE side = 'a')
+SELECT conv_id, count(num) = 0 AS ok, CAST(count(num) AS INTEGER) AS n_missing FROM pairs LEFT JOIN lost USING (conv_id) GROUP BY conv_id""")
+def answer_consistency(spark, d):
+    n = grammar.missing_numbers(F.col("question"), F.col("answer"))
+    return chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", (n == 0).alias("ok"), n.alias("n_missing"))
+
+
+@_query(f"""WITH {_PAIRS} SELECT conv_id, contains(replace(answer, ' ', ''), replace(left(question, 12), ' ', '')) AS ok FROM pairs""")
+def answer_match(spark, d):
+    return chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", T.answer_matches(F.col("answer"), F.left("question", F.lit(12))).alias("ok"))
+
+
+@_query("""WITH p AS (SELECT doc_id, regexp_replace(regexp_replace(text, '[*`#]', '', 'g'), '^$WS+|$WS+$', '', 'g') AS p FROM documents)
+SELECT doc_id AS id, left(CASE WHEN regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) = '' THEN p ELSE regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) END, 200) AS line FROM p""")
+def first_sentence(spark, d):
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"), T.first_sentence(F.col("text")).alias("line"))
+
+
+@_query("""SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) || '; b' ELSE left(CASE WHEN regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) = '' THEN p ELSE regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) END, 200) END AS line
+FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[*`#]', '', 'g'), '^$WS+|$WS+$', '', 'g') AS p FROM documents)""")
+def bold_spans(spark, d):
+    plain = F.translate("text", "*", "")
+    marked = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("**Title:** ```**no**``` ** "), F.col("doc_id").cast("string"), F.lit(" ** and **b** "), plain)).otherwise(plain)
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"), T.bold_line(marked).alias("line"))
+
+
+# reasoning text ----------------------------------------------------------------------------------
+@_query("""SELECT doc_id, doc_id % 8 NOT IN (1, 2, 3, 4) AND t <> '' AS ok, CASE WHEN doc_id % 8 NOT IN (1, 2, 3, 4) AND t <> '' THEN doc_id % 8 <> 5 END AS needs_search
+FROM (SELECT doc_id, regexp_replace(left(translate(text, '<>', ''), 300), '^$WS+|$WS+$', '', 'g') AS t FROM documents)""")
+def tag_grammar(spark, d):
+    body, k = F.left(F.translate("text", "<>", ""), F.lit(300)), F.col("doc_id") % 8
+    query = F.when(k == 5, " yok ").otherwise("find it")
+    whole = grammar.five_tag_text(body, F.lit("1. plan"), query, F.lit("checked"), F.when(k == 1, F.lit(" ")).otherwise(body))
+    whole = F.when(k == 2, F.replace(whole, F.lit("<verify>"), F.lit("<check>"))).when(k == 3, F.concat(F.lit("x"), whole)).when(k == 4, F.replace(whole, F.lit("</think>"), F.lit(""))).when(k == 6, F.replace(whole, F.lit("</search_query>"), F.lit("</search_query>\n<search_results>r</search_results>"))).otherwise(whole)
+    parsed = _t(spark, d, "documents").select("doc_id", grammar.five_tags(whole).alias("p"))
+    return parsed.select("doc_id", F.col("p").isNotNull().alias("ok"), T.is_yes_search(F.col("p.search_query")).alias("needs_search"))
+
+
+def _thoughts(spark, d):
+    """Documents in the six-step form, with one defect by doc_id % 11."""
+    k, good = F.col("doc_id") % 11, F.concat(F.lit("a step about "), F.left(F.translate("text", "<>[]0123456789", ""), F.lit(100)))
+    call = F.concat(F.lit('\n<tool_call>\n{"name": "s", "arguments": {"query": "'), F.col("doc_id").cast("string"), F.lit('"}}\n</tool_call>'))
+    last = F.when(k == 6, good).otherwise(F.concat(good, F.lit(f"\n{grammar.VERIFIED} x = 42")))
+    texts = [good, F.when(k == 4, "a").otherwise(good), F.when(k == 7, F.concat(good, call)).when(k == 8, F.concat(good, F.replace(call, F.lit("}}"), F.lit("}")))).otherwise(good), F.when(k == 9, F.concat(good, call)).otherwise(good), good, last]
+    answer = F.when(k == 2, F.lit(" ")).when(k == 5, F.concat(F.lit("42"), call)).when(k == 10, F.lit("It is 41.")).otherwise(F.lit("It is **42**."))
+    whole = grammar.six_steps(texts, answer)
+    whole = F.when(k == 1, F.replace(whole, F.lit("<thought>"), F.lit(""))).when(k == 3, F.replace(whole, F.lit("[STEP 5"), F.lit("[STEP 7"))).otherwise(whole)
+    return _t(spark, d, "documents").select("doc_id", whole.alias("t"))
+
+
+_REASON = "['ok','bad_thought_tags','empty_answer','bad_step_order','empty_step','call_in_answer','no_verified_line','ok','call_bad_json','call_misplaced','inconsistent'][1 + doc_id % 11]"
+
+
+@_query(f"SELECT doc_id, {_REASON} AS reason FROM documents")
+def thought_validate(spark, d):
+    return _thoughts(spark, d).select("doc_id", grammar.reason(F.col("t")).alias("reason"))
+
+
+@_query(f"SELECT {_REASON} AS reason, count(*) AS n FROM documents GROUP BY 1")
+def reason_histogram(spark, d):
+    return thought_validate(spark, d).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@_query("""SELECT event_id, CASE event_id % 4 WHEN 3 THEN NULL WHEN 1 THEN 'n' || json_extract_string(props, '$.k') ELSE json_extract_string(props, '$.k') END AS k FROM events""")
+def tool_call_parse(spark, d):
+    props, k = F.get_json_object("props", "$.k"), F.col("event_id") % 4
+    arguments = F.when(k == 1, F.concat(F.lit('"n'), props, F.lit('"'))).when(k == 2, F.concat(F.lit('"{\\"query\\": \\"'), props, F.lit('\\"}"'))).otherwise(F.concat(F.lit('{"query": "'), props, F.lit('"}')))
+    whole = F.concat(F.lit('<tool_call>{"name": "old"}</tool_call> then <tool_call>\n{"name": "s", "arguments": '), arguments, F.when(k == 3, "}}").otherwise("}"), F.lit("\n</tool_call>"))
+    return _t(spark, d, "events").select("event_id", grammar.tool_call(whole)["query"].alias("k"))
+
+
+@_query("""SELECT page_id, length(url) > 0 AS has_url, page_id % 2 = 1 AS has_content FROM pages""")
+def json_prune_encode(spark, d):
+    payload = rank.tool_response(F.lit("q"), F.lit(""), F.col("url"), F.when(F.col("page_id") % 2 == 1, F.left("html", F.lit(80))).otherwise(""))
+    return _t(spark, d, "pages").select("page_id", payload.alias("p")).select("page_id", F.contains("p", F.lit('"url":')).alias("has_url"), F.contains("p", F.lit('"content":')).alias("has_content"))
+
+
+@_query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'a{b}' || CAST(doc_id AS VARCHAR) WHEN 1 THEN '2' ELSE '' END AS ref FROM documents""")
+def boxed_extract(spark, d):
+    k, i = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    tail = F.when(k == 0, F.concat(F.lit(" \\boxed{ a{b}"), i, F.lit("} end"))).when(k == 1, F.lit(" \\boxed{1} \\boxed{2}")).when(k == 2, F.lit(" \\boxed{open {x}")).otherwise("")
+    return _t(spark, d, "documents").select("doc_id", T.boxed(F.concat(F.left(F.replace("text", F.lit("\\"), F.lit("")), F.lit(50)), tail)).alias("ref"))
+
+
+@_query("SELECT doc_id, CAST(doc_id * 1000 AS VARCHAR) AS ref FROM documents")
+def split_last_ref(spark, d):
+    return _t(spark, d, "documents").select("doc_id", T.after_last(F.concat(F.translate("text", "#", ""), F.lit("#### 7 #### "), F.format_number(F.col("doc_id") * 1000, 0), F.lit("\n"))).alias("ref"))
+
+
+# joins, sets, samples ----------------------------------------------------------------------------
+@_query("""SELECT p_partkey, ctx, p_size * 1000000 + 2 * 36 * 2 * 128 * 2 * ctx + 250000000 AS total, p_size * 1000000 + 2 * 36 * 2 * 128 * 2 * ctx + 250000000 <= 320000000 AS fits
+FROM part, (VALUES (2048), (4096), (8192)) AS c(ctx)""")
+def ram_cross_join(spark, d):
+    ctx = F.explode(F.array(*[F.lit(x).cast("int") for x in (2048, 4096, 8192)]))
+    total = F.col("p_size") * 1_000_000 + 2 * 36 * 2 * 128 * 2 * F.col("ctx") + 250_000_000
+    return _t(spark, d, "part").select("p_partkey", "p_size", ctx.alias("ctx")).select("p_partkey", "ctx", total.alias("total"), (total <= 320_000_000).alias("fits"))
+
+
+@_query("SELECT doc_id, n_chars IS DISTINCT FROM length(text) AS mismatch FROM documents")
+def size_reconcile(spark, d):
+    docs = _t(spark, d, "documents")
+    local, remote = docs.select("doc_id", "n_chars"), docs.select("doc_id", F.length("text").cast("long").alias("size"))
+    return local.join(remote, "doc_id", "left").select("doc_id", (~F.col("n_chars").eqNullSafe(F.col("size"))).alias("mismatch"))
+
+
+@_query("SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'labels' ELSE 'documents' END AS chosen FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id")
+def source_priority(spark, d):
+    first = _t(spark, d, "labels").select("doc_id", F.lit("labels").alias("chosen")).distinct()
+    return curate.by_priority([first, _t(spark, d, "documents").select("doc_id", F.lit("documents").alias("chosen"))], "doc_id")
+
+
+@_query("SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS INTEGER) AS rn FROM documents QUALIFY rn <= 40")
+def balanced_sample(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "lang", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    return generate.balanced(docs, "lang", "h", "doc_id", cap=40).select("doc_id", "lang", "rn")
+
+
+# generators --------------------------------------------------------------------------------------
+@_query("SELECT i AS id, 2 + i % 11 AS a, -50 + (i // 561) % 101 AS b, (2 + i % 11) * (-20 + (i // 11) % 51) + (-50 + (i // 561) % 101) AS c, -20 + (i // 11) % 51 AS answer FROM range(3000) t(i)")
+def gen_linear(spark, d):
+    return generate.linear(spark, 3000)
+
+
+@_query("""WITH p AS (SELECT i AS id, 100 + 50 * (i % 99) AS price, 10 + 5 * ((i // 99) % 5) AS up, 5 * CAST(pow(2, (i // 495) % 3) AS BIGINT) AS down FROM range(3000) t(i))
+SELECT id, price, up, down, CAST(price * (100 + up) * (100 - down) AS DOUBLE) / 10000 AS answer, CAST((100 + up) * (100 - down) - 10000 AS DOUBLE) / 100 AS net FROM p""")
+def gen_percent(spark, d):
+    return generate.percent(spark, 3000)
+
+
+@_query("""WITH p AS (SELECT i AS id, CAST(5 + i % 8 AS INTEGER) AS n, CAST(2 + (i // 8) % 3 AS INTEGER) AS k FROM range(3000) t(i))
+SELECT id, n, k, CAST(factorial(n) // (factorial(k) * factorial(n - k)) AS BIGINT) AS combinations, CAST(factorial(n) // factorial(n - k) AS BIGINT) AS permutations FROM p""")
+def gen_combinatorics(spark, d):
+    return generate.combinatorics(spark, 3000)
+
+
+@_query("""WITH p AS (SELECT i AS id, 40 + 10 * (i % 7) AS v1, 50 + 10 * ((i // 7) % 8) AS v2, [2, 3, 4, 5, 6, 8][1 + (i // 56) % 6] AS h FROM range(3000) t(i))
+SELECT id, v1, v2, (v1 + v2) * h // 2 AS distance, CAST(h AS DOUBLE) / 2 AS answer FROM p""")
+def gen_motion(spark, d):
+    return generate.motion(spark, 3000)
+
+
+@_query("""WITH p AS (SELECT i AS id, i % 3 AS kind, 1 + (i // 3) % 20 AS start, 2 + (i // 60) % 8 AS step FROM range(3000) t(i))
+SELECT id, kind, start, step, CASE kind WHEN 0 THEN start + 5 * step WHEN 1 THEN start * CAST(pow(step, 5) AS BIGINT) ELSE (start + 5) * (start + 5) END AS answer FROM p""")
+def gen_sequence(spark, d):
+    return generate.sequence(spark, 3000)
+
+
+# loops with pluggable providers ------------------------------------------------------------------
+@_query()
+def agent_fake(spark, d):
+    pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question")
+    return agents.run_agent(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "consistent", "repaired", "n_calls")
+
+
+@_query()
+def distill_fake(spark, d):
+    pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question", F.lit("").alias("reference"))
+    return agents.distill(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "ok", "n_calls")
