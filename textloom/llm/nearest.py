@@ -10,10 +10,10 @@
    pairs. Only classes go on.
 3. In every band's bucket each class is paired with the bucket's smallest (a star), and the distinct
    pairs are confirmed on the full sets. Connected components of the confirmed pairs follow.
-4. What a star can miss are links between two components that meet in a bucket. Each such pair of
-   components is compared once, all members against all, by an inverted index over chunks of
-   bounded size; one confirmed link joins them. Buckets with more than `wide` components are cut
-   into blocks which are compared block by block. So no pair of texts that share a bucket
+4. What a star can miss are links between two components that meet in a bucket. The larger of them
+   is the hub: its members, and those of all smaller components that meet it, are compared once by
+   an inverted index, in chunks of bounded size; a confirmed link joins two components. Buckets with
+   more than `wide` components are cut into blocks which are compared block by block. So no pair of texts that share a bucket
    stays untested, but pairs within a group are never written out.
 
 Set elements are compared as 64-bit hashes; a false agreement within a pair of a million shingles
@@ -154,7 +154,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _linked(percent: int):
-    """For a group of rows (side, rep, label, own): links between L and R, or within L if there is no R; for each R and label of L one at most."""
+    """For a group of rows (side, rep, label, own): links between L and R, or among S, as many as join components."""
 
     def run(key, rows):
         import pyarrow as pa
@@ -163,10 +163,7 @@ def _linked(percent: int):
         rep, label = rows.column("rep").to_numpy(), rows.column("label").to_numpy()
         own = [np.array(x.as_py(), dtype=np.int64).view(np.uint64) for x in rows.column("own")]
         size = np.array([len(x) for x in own])
-        left = np.flatnonzero(side == "L")
-        right = np.flatnonzero(side == "R")
-        within = not len(right)
-        right = left if within else right
+        left, right = np.flatnonzero(side != "R"), np.flatnonzero(side != "L")  # S stands on both sides
         out: list[tuple[int, int]] = []
         if len(left) and len(right):
             value = np.concatenate([own[k] for k in left])
@@ -210,23 +207,30 @@ def _between(members: DataFrame, stars: DataFrame, known: DataFrame, sets: DataF
     tested = pairs.where("tested").join(stars, (F.col("p") == F.col("a")) & (F.col("q") == F.col("b")), "left_anti")
     pairs = written(pairs.where("not tested").union(tested).select("p", "q"), "near-pairs")
     within = open_.select("rep", "label").distinct()  # members that share a bucket with another component
-    size = within.join(sets, "rep").groupBy("label").agg((F.floor(F.sum(F.aggregate("sets", F.lit(0).cast("long"), lambda s, x: s + F.size(x))) / chunk) + 1).cast("int").alias("chunks"))
-    member = within.join(size, "label").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    count = size.select(F.col("label").alias("other"), F.col("chunks").alias("others"))
-    spread = lambda mine, other: pairs.join(member, pairs[mine] == member["label"]).join(count, F.col(other) == F.col("other")).withColumn("away", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    each = F.aggregate("sets", F.lit(0).cast("long"), lambda n, x: n + F.size(x))
+    member = written(within.join(sets.select("rep", each.alias("n")), "rep"), "near-open-members")
+    size = member.groupBy("label").agg(F.sum("n").alias("n"))
+    # the larger of two components is the hub: its members go once to a task, with those of all smaller ones that meet it
+    both = pairs.join(size.select(F.col("label").alias("p"), F.col("n").alias("np")), "p").join(size.select(F.col("label").alias("q"), F.col("n").alias("nq")), "q")
+    larger = F.col("np") >= F.col("nq")
+    spokes = written(both.select(F.when(larger, F.col("p")).otherwise(F.col("q")).alias("hub"), F.when(larger, F.col("q")).otherwise(F.col("p")).alias("spoke"), F.greatest("np", "nq").alias("n"), F.least("np", "nq").alias("m")), "near-spokes")
+    parts_of = lambda n: (F.floor(n / chunk) + 1).cast("int")
+    hubs = spokes.groupBy("hub").agg(parts_of(F.max("n")).alias("lefts"), parts_of(F.sum("m")).alias("rights"))
     key = lambda *c: F.array(*[x.cast("long") if not isinstance(x, str) else F.col(x).cast("long") for x in c])
-    tasks = spread("p", "q").select(key("p", "q", "chunk", "away").alias("task"), F.lit("L").alias("side"), "rep", "label")
-    tasks = tasks.union(spread("q", "p").select(key("p", "q", "away", "chunk").alias("task"), F.lit("R").alias("side"), "rep", "label"))
+    of_hub = member.join(hubs, member["label"] == hubs["hub"]).withColumn("l", F.pmod(F.xxhash64("rep"), F.col("lefts"))).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    tasks = of_hub.select(key("hub", F.lit(-2), "l", "r").alias("task"), F.lit("L").alias("side"), "rep", "label")
+    of_spoke = spokes.select("hub", "spoke").join(hubs, "hub").join(member, F.col("spoke") == member["label"]).withColumn("r", F.pmod(F.xxhash64("rep"), F.col("rights"))).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    tasks = tasks.union(of_spoke.select(key("hub", F.lit(-2), "l", "r").alias("task"), F.lit("R").alias("side"), "rep", "label"))
     # wide buckets: blocks i <= j of the bucket's classes
-    broad = open_.where("is_wide")
-    blocks = broad.groupBy("band").agg((F.floor(F.count("*") / 400) + 1).cast("int").alias("blocks"))
+    broad = open_.where("is_wide").join(member.select("rep", "n"), "rep")
+    blocks = broad.groupBy("band").agg(parts_of(F.sum("n")).alias("blocks"))
     cut = broad.join(blocks, "band").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = tasks.union(cut.select(key("band", F.lit(-1), F.least("i", "j"), F.greatest("i", "j")).alias("task"), F.when(F.col("i") <= F.col("j"), "L").otherwise("R").alias("side"), "rep", "label"))
+    tasks = tasks.union(cut.select(key("band", F.lit(-1), F.least("i", "j"), F.greatest("i", "j")).alias("task"), F.when(F.col("i") == F.col("j"), "S").when(F.col("i") < F.col("j"), "L").otherwise("R").alias("side"), "rep", "label"))
     loaded = tasks.join(sets, "rep").select("task", "side", "rep", "label", F.explode("sets").alias("own"))
     return loaded.groupBy("task").applyInArrow(_linked(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, bands: int = 26, rows: int = 4, wide: int = 50, chunk: int = 300_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, bands: int = 26, rows: int = 4, wide: int = 50, chunk: int = 1_000_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     perms = bands * rows // 2
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t"))
