@@ -1,6 +1,7 @@
 """Each operator against plain Python, and the defined odd cases."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -322,6 +323,61 @@ def test_units_odd_cases(spark):
     assert dict(rows_of(units.dedup_units(paragraphs, unit="paragraph"), "doc_id", "text"))[2] == "x"
 
 
+def plain_sentences(rows, least=5):
+    """Line by line and sentence by sentence, smallest id first, with a set of all units seen."""
+    cut = lambda x: re.findall(r".*?[.!?](?=\s)\s+|.+\Z|\Z", x, re.S) or [""]
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines, gone = (t.split("\n") if t else []), []
+        for line in lines:
+            own = cut(line)
+            own = own[:-1] if len(own) > 1 and own[-1] == "" and not own[-2][-1:].isspace() else own
+            names = [" ".join(x.lower().split()) for x in own]
+            whole, full = " ".join(x for x in names if x), [x for x in names if x]
+            drop = len(full) > 1 and len(whole.split()) >= least and whole in seen
+            seen |= {whole} if len(full) > 1 else set()
+            lost = []
+            for x in names:
+                lost.append(bool(x) and (drop or (len(x.split()) >= least and x in seen)))
+                seen.add(x)
+            gone.append((own, names, lost))
+        kept = []
+        for own, names, lost in gone:
+            stay = [k for k, x in enumerate(lost) if not x]
+            if any(lost) and not any(names[k] for k in stay):
+                continue
+            kept.append("".join(own[k] for k in stay) if stay[-1] == len(own) - 1 else "".join(own[k] for k in stay).rstrip(" \t"))
+        out[i] = None if t is None else "\n".join(kept)
+    return out
+
+
+def test_sentences_inside_lines(spark):
+    r = random.Random(17)
+    pool = [x.rstrip(".") + r.choice(".!?") for x in sentences(17, 25)] + ["Short one.", "No. Way.", "x"]
+    rows = [(i, "\n".join(r.choice(["", " ", "  "]).join(["", *(r.choice(pool) + r.choice([" ", "\t ", "  "]) for _ in range(r.randint(0, 5)))]).lstrip() for _ in range(r.randint(1, 5)))) for i in range(120)]
+    rows += [(130, None), (131, "")]
+    got = units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), sentences=True).collect()
+    assert {x.doc_id: x.text for x in got} == plain_sentences(rows)
+    text = dict(rows)
+    for x in got:
+        assert x.removed_chars == sum(s.end - s.start for s in x.spans) and x.n_removed == len(x.spans) <= x.n_units
+        assert all(text[x.doc_id][s.start : s.end].strip() for s in x.spans)
+
+
+def test_passage_inside_other_lines_goes(spark):
+    passage = " ".join(f"The {w} passage has its own words here." for w in ("first", "second", "third", "fourth", "fifth", "sixth", "seventh"))
+    rows = [(1, f"Alpha begins this line {passage} and ends it there."), (2, f"Beta has another start, {passage} with another end.\nA clean line of its own."), (3, "A text that shares nothing with the others at all.")]
+    got = dict(rows_of(units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), sentences=True), "doc_id", "text"))
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert "third passage" not in got[2] and got[2].startswith("Beta has") and got[2].endswith("with another end.\nA clean line of its own.")
+
+
+def test_one_id_with_two_texts_keeps_other_lines(spark):
+    rows = [(1, "this line stands in two documents"), (5, "this line stands in two documents\nb"), (5, "another first line of this id\nc")]
+    got = units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(x.text for x in got) == ["another first line of this id\nc", "b", "this line stands in two documents"]
+
+
 # language ---------------------------------------------------------------------------------------
 
 

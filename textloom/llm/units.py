@@ -1,12 +1,16 @@
-"""Substring deduplication by hashing lines (or paragraphs).
+"""Substring deduplication by hashing lines (or paragraphs), and on request the sentences in them.
 
-Each unit of a text is normalised (lower case, runs of whitespace as one blank, ends trimmed) and
-digested to 128 bits. Digests are grouped over all documents by their smallest document id, which
-is a partial aggregate of two numbers, so a line that stands in a third of the documents is one
+Each unit of a text is normalised (lower case, runs of ASCII whitespace as one blank, ends trimmed)
+and digested to 128 bits. Digests are grouped over all documents by their smallest document id, which
+is a partial aggregate of three numbers, so a line that stands in a third of the documents is one
 row a task. A unit stays if its document is the smallest that has it and it is the first in that
 document; every other occurrence goes, and its place in the original text is kept as a span.
 
-Units of fewer than `min_words` words are never removed: short lines recur in clean text.
+With sentences=True a line's sentences are units too, so that a passage inside lines that differ
+is found; a sentence ends in `.`, `!` or `?` before whitespace. Whatever is removed still stands in a
+smaller document or earlier in the same one. A line that loses all its sentences goes whole.
+
+Units of fewer than `min_words` words are never removed by themselves: short lines recur in clean text.
 
 Defined cases: null text stays null with no units; empty text has no units that count; rows that
 share an id rank alike and are treated as one document, so both keep what that id keeps; a null id
@@ -24,91 +28,127 @@ from pyspark.sql import functions as F
 from textloom.llm.common import with_columns
 
 _PARTS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+_SENTENCE = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
 _LAST = (1 << 63) - 1
 
 
-def units(text: str, unit: str = "line") -> list[tuple[int, int]]:
-    """(start, end) of each unit, without the separators."""
-    out, at = [], 0
-    for m in _PARTS[unit].finditer(text):
+def _cut(text: str, separator: re.Pattern, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of what lies between the separators."""
+    out, at = [], start
+    for m in separator.finditer(text, start, end):
         out.append((at, m.start()))
         at = m.end()
-    out.append((at, len(text)))
+    out.append((at, end))
     return out
 
 
-def normalised(part: str) -> str:
-    return re.sub(r"[\x20\x09-\x0D]+", " ", part.lower()).strip(" ")
+def pieces(text: str | None, unit: str = "line", sentences: bool = False) -> list[list[tuple[int, int]]]:
+    """For each line or paragraph the (start, end) of its sentences, or of itself."""
+    parts = _cut(text, _PARTS[unit], 0, len(text)) if text else []
+    return [_cut(text, _SENTENCE, s, e) if sentences else [(s, e)] for s, e in parts]
 
 
-def _digests(text: str | None, unit: str, min_words: int):
-    """(ordinal, digest, repeats an earlier unit) of the units that count."""
-    import xxhash
+def _words(part: str) -> list[bytes]:
+    return part.lower().encode().split()
 
-    seen: set[bytes] = set()
-    for k, (s, e) in enumerate(units(text, unit)) if text else ():
-        part = normalised(text[s:e])
-        if part.count(" ") + 1 >= min_words and part:
-            d = xxhash.xxh3_128_digest(part.encode())
-            yield k, d, d in seen
-            seen.add(d)
 
+def _digests(text: str | None, unit: str, sentences: bool, min_words: int):
+    """(number, digest, repeats an earlier unit) of the units that count. Pieces are numbered from 0, parts of several pieces from -1 downwards."""
+    import xxhash
 
-def dedup_units(docs: DataFrame, *, unit: str = "line", min_words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with text reduced to what stays, n_units, n_removed, removed_chars and spans (start and end, in characters of the original text, of each removed unit)."""
+    seen: set[bytes] = set()
+    n = 0
+    for k, part in enumerate(pieces(text, unit, sentences)):
+        words = [_words(text[s:e]) for s, e in part]
+        found = [(n + j, w) for j, w in enumerate(words)]
+        if sum(map(bool, words)) > 1:
+            found.insert(0, (-1 - k, [x for w in words for x in w]))
+        n += len(part)
+        for number, w in found:
+            if w and len(w) >= min_words:
+                d = xxhash.xxh3_128_digest(b" ".join(w))
+                yield number, d, d in seen
+                seen.add(d)
+
+
+def _left(text: str, parts: list[list[tuple[int, int]]], gone: set[int]) -> tuple[str, list[tuple[int, int]]]:
+    """What stays of text, and the spans of the pieces that go. A kept piece brings the separator after it if another of its part follows, a kept part likewise."""
+    out: list[str] = []
+    spans: list[tuple[int, int]] = []
+    n, pending = 0, ""
+    for k, part in enumerate(parts):
+        whole = -1 - k in gone
+        lost = [whole and bool(_words(text[s:e])) or n + j in gone for j, (s, e) in enumerate(part)]
+        n += len(part)
+        stay = [j for j, x in enumerate(lost) if not x]
+        spans += [p for p, x in zip(part, lost) if x]
+        if any(lost) and not any(_words(text[part[j][0] : part[j][1]]) for j in stay):
+            continue
+        out.append(pending)
+        out += [text[part[j][0] : part[j + 1][0] if j != stay[-1] else part[j][1]] for j in stay]
+        pending = text[part[-1][1] : parts[k + 1][0][0]] if k + 1 < len(parts) else ""
+    return "".join(out), spans
+
+
+def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False, min_words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with text reduced to what stays, n_units (sentences where these count, else lines), n_removed, removed_chars and spans (start and end, in characters of the original text, of each removed one)."""
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
+    which = F.xxhash64(F.col(text))  # rows that share an id may differ in their texts
 
     def digest(batches):
         import pyarrow as pa
 
         for batch in batches:
-            ids, ordinals, high, low = [], [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for k, d, again in _digests(t, unit, min_words):
-                    if not again:
-                        ids.append(i)
-                        ordinals.append(k)
-                        high.append(d[:8])
-                        low.append(d[8:])
+            ids, which, number, high, low, again = [], [], [], [], [], []
+            for i, w, t in zip(*(c.to_pylist() for c in batch.columns)):
+                for k, d, repeats in _digests(t, unit, sentences, min_words):
+                    ids.append(i)
+                    which.append(w)
+                    number.append(k)
+                    high.append(d[:8])
+                    low.append(d[8:])
+                    again.append(repeats)
             at = lambda x: pa.array(np.frombuffer(b"".join(x), "<i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ordinals, pa.int32()), at(high), at(low)], names=["rank", "unit", "high", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(which, pa.int64()), pa.array(number, pa.int32()), at(high), at(low), pa.array(again, pa.bool_())], names=["rank", "which", "unit", "high", "low", "again"])
 
-    found = docs.select(rank.alias("rank"), F.col(text).alias("t")).mapInArrow(digest, "rank long, unit int, high long, low long")
-    shared = found.groupBy("high", "low").agg(F.min("rank").alias("owner"), F.max("rank").alias("last")).where("owner < last").drop("last")
-    gone = found.join(shared, ["high", "low"]).where("rank <> owner").groupBy(F.col("rank").alias("_rank")).agg(F.sort_array(F.collect_set("unit")).alias("_gone"))
+    found = docs.select(rank.alias("rank"), which.alias("which"), F.col(text).alias("t")).mapInArrow(digest, "rank long, which long, unit int, high long, low long, again boolean")
+    shared = found.groupBy("high", "low").agg(F.min("rank").alias("owner"), F.max("rank").alias("last"), F.bool_or("again").alias("repeats")).where("owner < last or repeats").select("high", "low", "owner")
+    gone = found.join(shared, ["high", "low"]).where("rank <> owner or again").groupBy(F.col("rank").alias("_rank"), F.col("which").alias("_which")).agg(F.collect_set("unit").alias("_gone"))
 
     def rewrite(batch):
         out = {x: [] for x in ("text", "n_units", "n_removed", "removed_chars", "spans")}
         for t, gone in zip(batch.column(text).to_pylist(), batch.column("_gone").to_pylist()):
-            parts = units(t, unit) if t else []
-            drop = set(gone or ()) | {k for k, _, again in _digests(t, unit, min_words) if again}
-            spans = [parts[k] for k in sorted(drop)]
-            out["text"].append(_without(t, parts, drop) if drop else t)
-            out["n_units"].append(len(parts))
-            out["n_removed"].append(len(drop))
+            parts = pieces(t, unit, sentences)
+            left, spans = _left(t, parts, set(gone)) if gone else (t, [])
+            out["text"].append(left)
+            out["n_units"].append(sum(map(len, parts)))
+            out["n_removed"].append(len(spans))
             out["removed_chars"].append(sum(e - s for s, e in spans))
             out["spans"].append([{"start": s, "end": e} for s, e in spans])
         return {text: out.pop("text")} | out
 
-    joined = docs.withColumn("_rank", rank).join(gone, "_rank", "left")
-    return with_columns(joined, rewrite, f"`{text}` string, n_units long, n_removed long, removed_chars long, spans array<struct<start: long, end: long>>", drop=("_rank", "_gone"))
-
-
-def _without(t: str, parts: list[tuple[int, int]], drop: set[int]) -> str:
-    """The kept units, each with the separator that followed it in the original, the last without."""
-    keep = [k for k in range(len(parts)) if k not in drop]
-    return "".join(t[parts[k][0] : parts[k + 1][0] if k + 1 < len(parts) else parts[k][1]] if k != keep[-1] else t[parts[k][0] : parts[k][1]] for k in keep)
+    joined = docs.withColumns({"_rank": rank, "_which": which}).join(gone, ["_rank", "_which"], "left")
+    return with_columns(joined, rewrite, f"`{text}` string, n_units long, n_removed long, removed_chars long, spans array<struct<start: long, end: long>>", drop=("_rank", "_which", "_gone"))
 
 
+#: Lines and sentences as units. U+E000 marks where a sentence's separator ends.
 SQL = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM d),
-n AS (SELECT doc_id, k, part, trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM u),
-r AS (SELECT *, norm <> '' AND length(norm) - length(replace(norm, ' ', '')) + 1 >= 5 AS counts FROM n),
-o AS (SELECT *, counts AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, k) > 1 AS gone FROM r),
-a AS (SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, CAST(coalesce(sum(length(part)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
-             string_agg(part, chr(10) ORDER BY k) FILTER (NOT gone) AS kept FROM o GROUP BY doc_id)
+c AS (SELECT doc_id, k, string_split(regexp_replace(part, '([.!?][\x20\x09-\x0D]+)', '\1' || chr(57344), 'g'), chr(57344)) AS cut FROM u),
+p AS (SELECT doc_id, k, len(cut) AS n, unnest(cut) AS own, generate_subscripts(cut, 1) AS j FROM c),
+n AS (SELECT *, CASE WHEN j < n THEN regexp_replace(own, '[\x20\x09-\x0D]+$', '') ELSE own END AS piece,
+             trim(regexp_replace(lower(own), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM p),
+l AS (SELECT doc_id, k, string_agg(norm, ' ' ORDER BY j) FILTER (norm <> '') AS norm, count(*) FILTER (norm <> '') AS worded FROM n GROUP BY doc_id, k),
+lines AS (SELECT doc_id, k, norm, row_number() OVER (PARTITION BY norm ORDER BY doc_id, k) > 1 AND length(norm) - length(replace(norm, ' ', '')) + 1 >= 5 AS gone FROM l WHERE worded > 1),
+r AS (SELECT *, norm <> '' AND length(norm) - length(replace(norm, ' ', '')) + 1 >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, k, j) > 1 AS own_gone FROM n),
+o AS (SELECT r.*, own_gone OR (r.norm <> '' AND coalesce(lines.gone, false)) AS gone FROM r LEFT JOIN lines ON r.doc_id = lines.doc_id AND r.k = lines.k),
+a AS (SELECT doc_id, k, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(sum(length(piece)) FILTER (gone), 0) AS removed_chars,
+             string_agg(own, '' ORDER BY j) FILTER (NOT gone) AS kept, max(j) FILTER (NOT gone) AS last, max(n) AS n,
+             count(*) FILTER (gone) > 0 AND count(*) FILTER (NOT gone AND norm <> '') = 0 AS lost FROM o GROUP BY doc_id, k),
+b AS (SELECT doc_id, CAST(sum(n_units) AS BIGINT) AS n_units, CAST(sum(n_removed) AS BIGINT) AS n_removed, CAST(sum(removed_chars) AS BIGINT) AS removed_chars,
+             string_agg(CASE WHEN last < n THEN regexp_replace(kept, '[\x20\x09-\x0D]+$', '') ELSE kept END, chr(10) ORDER BY k) FILTER (NOT lost) AS kept FROM a GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN text IS NULL OR text = '' THEN 0 ELSE n_units END AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars,
        CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text
-FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+FROM d LEFT JOIN b ON d.doc_id = b.doc_id
 """
