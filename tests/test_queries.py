@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom import schema
 from textloom.functions import text as T
-from textloom.operators import agents, chat, grammar, rank, seeds
+from textloom.operators import agents, chat, generate, grammar, rank, seeds
 from textloom.plans import catalogue
 from textloom.sources import jsonl
 from textloom.streaming import incremental
@@ -85,7 +85,27 @@ def test_agent_repairs_a_contradiction():
     assert agents.answer_one("abcd", model, search, {})["repaired"]
 
 
+def test_tagged_loop_stops():
+    class Down:
+        def search(self, query):
+            raise OSError("down")
+
+    got = agents.answer_tagged("abcd", agents.FakeTagModel(), agents.Fallback(Down(), agents.FakeSearch()), {})
+    assert got["answer"] == "4" and got["n_calls"] == 1
+    assert agents.answer_tagged("abcd", agents.FakeTagModel(), Down(), {})["answer"] == "4"
+    assert agents.answer_tagged("abcd", agents.FakeTagModel(), agents.FakeSearch(), {}, max_tokens=1)["tokens_left"] < 0
+    assert agents.Fallback(Down()).search("x") == []
+
+
+def test_puzzles(spark):
+    orders = [r.answer.split(" > ") for r in generate.ordering(spark, 5040).collect()]
+    assert len({tuple(x) for x in orders}) == 5040 and all(len(set(x)) == 4 for x in orders)
+    assert {(r.a_true, r.b_true, r.n_solutions, r.a == r.b) for r in generate.knights(spark, 90).collect()} == {(True, False, 1, False)}
+    assert generate.cycled(spark.createDataFrame([], "k long"), 5, "k").count() == 0
+
+
 def test_loops_run(spark, sf_small):
+    assert catalogue.executor_fake(spark, sf_small).where("n_calls = 1 and length(answer) < 6").count() > 10
     assert catalogue.distill_fake(spark, sf_small).where("ok and n_calls = 1").count() > 10
     assert catalogue.agent_fake(spark, sf_small).where("consistent").count() > 10
 

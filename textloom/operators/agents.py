@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 _CALL = re.compile(r"<tool_call>\s*(\{.*?\})\s*</tool_call>", re.S)
 _NUMBER = re.compile(r"-?\d+(?:[.,]\d+)?")
 MARK = "Doğrulanan sonuç:"
+NOTHING = "YOK"
+_OUTPUT = re.compile(r"<output>(.*?)</output>", re.S)
 
 
 class Model(Protocol):
@@ -39,6 +41,31 @@ class FakeSearch:
         return [{"title": query, "url": f"https://example.org/{query}", "content": f"about {query}"}]
 
 
+class Fallback:
+    """The first provider that finds something; one that fails counts as finding nothing."""
+
+    def __init__(self, *providers: Search):
+        self.providers = providers
+
+    def search(self, query: str) -> list[dict]:
+        for p in self.providers:
+            try:
+                if found := p.search(query):
+                    return found
+            except Exception:
+                continue
+        return []
+
+
+class FakeTagModel:
+    """Scripted: asks twice by an open search tag, the second time for nothing, then answers with the question's length."""
+
+    def complete(self, prompt: str, temperature: float = 0.7) -> str:
+        asked = prompt.count("</search_query>")
+        n = len(prompt.split("\n", 1)[0])
+        return f"<think>t</think>\n<search_query>{n}" if asked == 0 else f"<search_query>{NOTHING}" if asked == 1 else f"<output>{n}</output>"
+
+
 def retried(call: Callable, times: int = 3, wait: float = 0.0, final: tuple = (ValueError,)):
     """call(), again after growing waits; errors in `final` are not worth another try."""
     for k in range(times):
@@ -86,6 +113,46 @@ def answer_one(question: str, model: Model, search: Search, memo: dict, max_call
     return {"answer": answer.strip(), "consistent": ok, "repaired": repaired, "n_calls": calls}
 
 
+def answer_tagged(question: str, model: Model, search: Search, memo: dict, max_calls: int = 2, max_tokens: int = 2048, k: int = 3) -> dict:
+    """The model speaks until it leaves no search tag open, at most max_calls are searched, or its budget (a token for three characters) is spent; a search that fails finds nothing."""
+    said, left, calls = "", max_tokens, 0
+    while left > 0:
+        chunk = retried(lambda p=f"{question}\n{said}": model.complete(p))
+        left -= max(1, len(chunk) // 3)
+        said += chunk
+        before, opened, query = said.rpartition("<search_query>")
+        query = query.strip()
+        if calls >= max_calls or not opened or "</search_query>" in query:
+            break
+        said += "</search_query>\n"
+        if query and query.upper() != NOTHING:
+            if query not in memo:
+                try:
+                    memo[query] = search.search(query)
+                except Exception:
+                    memo[query] = []
+            said += "\n".join(f"[{i}] {h['title']}\nURL: {h['url']}\n{h['content']}" for i, h in enumerate(memo[query][:k], 1)) + "\n"
+            calls += 1
+    found = _OUTPUT.search(said)
+    return {"answer": found[1].strip() if found else said.strip(), "n_calls": calls, "tokens_left": left}
+
+
+def run_tagged(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
+    """(conv_id, question) with answer, n_calls, tokens_left."""
+
+    def run(batches: Iterator):
+        import pandas as pd
+
+        m, s, memo = model(), search(), {}
+        for b in batches:
+            out = pd.DataFrame([answer_tagged(q, m, s, memo) for q in b["question"]], columns=["answer", "n_calls", "tokens_left"])
+            yield pd.concat([b[["conv_id", "question"]].reset_index(drop=True), out], axis=1)
+            if len(memo) > 128:
+                memo.clear()
+
+    return questions.select("conv_id", "question").mapInPandas(run, "conv_id long, question string, answer string, n_calls long, tokens_left long")
+
+
 def run_agent(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
     """(conv_id, question) with answer, consistent, repaired, n_calls."""
 

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The people of the puzzles, and products with the search that asks for their news.
+PEOPLE = ("Ayşe", "Mehmet", "Zeynep", "Can", "Elif", "Burak", "Deniz", "Kaan", "Selin", "Emre")
+SEARCHES = (
+    ("{p} kritik CVE {year} güvenlik güncellemesi", ("OpenSSH", "Apache HTTP Server", "nginx", "OpenSSL", "Linux çekirdeği", "Microsoft Exchange")),
+    ("{p} latest stable release", ("Python", "Node.js", "PostgreSQL", "Kubernetes", "Rust", "Django")),
+)
+
 
 def linear(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).selectExpr("id", "2 + id % 11 AS a", "-20 + (id div 11) % 51 AS x", "-50 + (id div 561) % 101 AS b").selectExpr("id", "a", "b", "a * x + b AS c", "x AS answer")
@@ -30,6 +37,44 @@ def sequence(spark: SparkSession, n: int) -> DataFrame:
     )
 
 
+def _names(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def ordering(spark: SparkSession, n: int) -> DataFrame:
+    """Four different people from oldest to youngest, with three clues that fix the order; the clues rotate."""
+    picks = spark.range(n).selectExpr("id", "sequence(0L, 9L) AS pool").selectExpr("*", "pool[CAST(id % 10 AS INT)] AS a")
+    for name, before, radix, size in (("b", "a", 10, 9), ("c", "b", 90, 8), ("d", "c", 720, 7)):
+        picks = picks.withColumn("pool", F.array_remove("pool", F.col(before))).withColumn(name, F.expr(f"pool[CAST((id div {radix}) % {size} AS INT)]"))
+    named = picks.selectExpr("id", *(f"element_at({_names(PEOPLE)}, CAST({x} + 1 AS INT)) AS {x}" for x in "abcd"))
+    clues = "array(concat(a, ' > ', b), concat(c, ' < ', b), concat(d, ' = min'))"
+    turned = f"transform(sequence(0, 2), k -> {clues}[CAST((k + id) % 3 AS INT)])"
+    return named.selectExpr("id", f"array_join({turned}, '; ') AS clues", "concat_ws(' > ', a, b, c, d) AS answer")
+
+
+def knights(spark: SparkSession, n: int) -> DataFrame:
+    """a says: b and I differ; b says: a lies. Of the four cases those stay in which each speaks as they are."""
+    pair = spark.range(n).selectExpr("id", "CAST(id % 10 AS INT) AS i", "CAST((id % 10 + 1 + (id div 10) % 9) % 10 AS INT) AS j").selectExpr("id", f"element_at({_names(PEOPLE)}, i + 1) AS a", f"element_at({_names(PEOPLE)}, j + 1) AS b")
+    cases = pair.selectExpr("*", "filter(transform(sequence(0, 3), k -> struct(k < 2 AS a_true, k % 2 = 0 AS b_true)), x -> x.a_true = (x.a_true <> x.b_true) AND x.b_true = (NOT x.a_true)) AS fits")
+    return cases.selectExpr("id", "a", "b", "fits[0].a_true AS a_true", "fits[0].b_true AS b_true", "CAST(size(fits) AS INT) AS n_solutions")
+
+
+def searches(spark: SparkSession, n: int) -> DataFrame:
+    """Questions that need a search: product, year and the search query."""
+    rows = spark.range(n).selectExpr("id", "id % 2 AS kind", "CAST((id div 2) % 6 + 1 AS INT) AS at", "2025 + (id div 12) % 2 AS year")
+    product = f"CASE kind WHEN 0 THEN element_at({_names(SEARCHES[0][1])}, at) ELSE element_at({_names(SEARCHES[1][1])}, at) END"
+    query = f"replace(replace(CASE kind WHEN 0 THEN '{SEARCHES[0][0]}' ELSE '{SEARCHES[1][0]}' END, '{{p}}', product), '{{year}}', CAST(year AS STRING))"
+    return rows.selectExpr("*", f"{product} AS product").selectExpr("id", "product", "year", f"{query} AS query")
+
+
+def cycled(items: DataFrame, n: int, order: str) -> DataFrame:
+    """n rows (id) that go through the items, a stated table of fixed tasks, round by round in their order."""
+    at = items.withColumn("_at", F.row_number().over(Window.orderBy(order)) - 1)
+    size = items.count()
+    rows = items.sparkSession.range(n if size else 0).withColumn("_at", (F.col("id") % max(1, size)).cast("int"))
+    return rows.join(at, "_at").drop("_at")
+
+
 def balanced(df: DataFrame, category: str, *order: str, cap: int, limit: int | None = None) -> DataFrame:
     """Up to cap rows of each category, filled round by round."""
     rows = df.withColumn("rn", F.row_number().over(Window.partitionBy(category).orderBy(*order))).where(F.col("rn") <= cap)

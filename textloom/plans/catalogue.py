@@ -399,6 +399,38 @@ def gen_sequence(spark, d):
     return generate.sequence(spark, 3000)
 
 
+_PEOPLE = "[" + ", ".join(f"'{x}'" for x in generate.PEOPLE) + "]"
+_ITEMS = ["[" + ", ".join(f"'{x}'" for x in items) + "]" for _, items in generate.SEARCHES]
+
+
+@_query(f"""WITH a AS (SELECT i AS id, i % 10 AS a FROM range(6000) t(i)),
+b AS (SELECT *, list_filter(range(10), lambda x: x <> a)[1 + (id // 10) % 9] AS b FROM a),
+c AS (SELECT *, list_filter(range(10), lambda x: x <> a AND x <> b)[1 + (id // 90) % 8] AS c FROM b),
+e AS (SELECT *, list_filter(range(10), lambda x: x <> a AND x <> b AND x <> c)[1 + (id // 720) % 7] AS d FROM c),
+n AS (SELECT id, {_PEOPLE}[1 + a] AS a, {_PEOPLE}[1 + b] AS b, {_PEOPLE}[1 + c] AS c, {_PEOPLE}[1 + d] AS d FROM e),
+q AS (SELECT *, a || ' > ' || b AS x, c || ' < ' || b AS y, d || ' = min' AS z FROM n)
+SELECT id, CASE id % 3 WHEN 0 THEN x || '; ' || y || '; ' || z WHEN 1 THEN y || '; ' || z || '; ' || x ELSE z || '; ' || x || '; ' || y END AS clues, a || ' > ' || b || ' > ' || c || ' > ' || d AS answer FROM q""")
+def gen_ordering(spark, d):
+    return generate.ordering(spark, 6000)
+
+
+@_query(f"""SELECT i AS id, {_PEOPLE}[1 + i % 10] AS a, {_PEOPLE}[1 + (i % 10 + 1 + (i // 10) % 9) % 10] AS b, true AS a_true, false AS b_true, 1 AS n_solutions FROM range(3000) t(i)""")
+def gen_knights(spark, d):
+    return generate.knights(spark, 3000)
+
+
+@_query(f"""WITH p AS (SELECT i AS id, i % 2 AS kind, 2025 + (i // 12) % 2 AS year, CASE i % 2 WHEN 0 THEN {_ITEMS[0]}[1 + (i // 2) % 6] ELSE {_ITEMS[1]}[1 + (i // 2) % 6] END AS product FROM range(3000) t(i))
+SELECT id, product, year, CASE kind WHEN 0 THEN product || ' kritik CVE ' || CAST(year AS VARCHAR) || ' güvenlik güncellemesi' ELSE product || ' latest stable release' END AS query FROM p""")
+def gen_search(spark, d):
+    return generate.searches(spark, 3000)
+
+
+@_query("""WITH b AS (SELECT item_id, text, row_number() OVER (ORDER BY item_id) - 1 AS at FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark)
+SELECT t.i AS id, b.item_id, b.text FROM range(3000) t(i) CROSS JOIN n JOIN b ON t.i % n.n = b.at""")
+def gen_static(spark, d):
+    return generate.cycled(_t(spark, d, "benchmark").select("item_id", "text"), 3000, "item_id")
+
+
 # loops with pluggable providers ------------------------------------------------------------------
 @_query()
 def agent_fake(spark, d):
@@ -410,3 +442,9 @@ def agent_fake(spark, d):
 def distill_fake(spark, d):
     pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question", F.lit("").alias("reference"))
     return agents.distill(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "ok", "n_calls")
+
+
+@_query()
+def executor_fake(spark, d):
+    pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question")
+    return agents.run_tagged(pairs, agents.FakeTagModel, agents.FakeSearch).select("conv_id", "answer", "n_calls", "tokens_left")
