@@ -36,9 +36,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines and sentences that an earlier one has."""
+    """Documents without the lines, sentences and runs of short ones that an earlier one has."""
     clash = {c: f"_own_{c}" for c in docs.columns if c in ("n_units", "n_removed", "removed_chars", "spans")}
-    left = units.dedup_units(docs.withColumnsRenamed(clash), sentences=True)
+    left = units.dedup_units(docs.withColumnsRenamed(clash), sentences=True, runs=True)
     left = left.where("n_removed = 0 or length(trim(text)) > 0")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

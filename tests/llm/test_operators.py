@@ -378,6 +378,42 @@ def test_one_id_with_two_texts_keeps_other_lines(spark):
     assert sorted(x.text for x in got) == ["another first line of this id\nc", "b", "this line stands in two documents"]
 
 
+def plain_runs(rows, least=5):
+    """Which lines of each text go: every stretch of lines is tried as a run."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        lines = [" ".join(x.lower().split()) for x in t.split("\n")]
+        at = [k for k, x in enumerate(lines) if x]
+        size = [max(1, len(x)) if x and x[0] > "\u3000" else len(x.split()) for x in (lines[k] for k in at)]
+        gone = set()
+        for a in range(len(at)):
+            for b in range(a + 1, len(at) + 1):
+                short = sum(size[a : b - 1]) < least and size[a] < least or sum(size[a + 1 : b]) < least and size[b - 1] < least
+                if sum(size[a:b]) >= least and (b - a == 1 or short):
+                    doc, end = first.setdefault(tuple(lines[k] for k in at[a:b]), (i, b))
+                    gone |= set(at[a:b]) if doc != i or a >= end else set()
+        out[i] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
+    return out
+
+
+def test_runs_of_short_lines_equal_plain_python(spark):
+    r = random.Random(27)
+    pool = ["x", "a b", "Home", "three short words", "four words of it", "\u6f22\u5b57", "\u6f22\u5b57\u6587\u5b57\u5217\u8a9e", "", " ", *sentences(27, 4)]
+    rows = [(i, "\n".join(r.choice(pool[: r.choice((3, 9, 13))]) for _ in range(r.randint(0, 14)))) for i in range(150)]
+    got = units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), runs=True).collect()
+    assert {x.doc_id: x.text for x in got} == plain_runs(rows)
+    for x in got:
+        assert x.removed_chars == sum(s.end - s.start for s in x.spans) and x.n_removed == len(x.spans) <= x.n_units
+
+
+def test_menu_inside_other_short_lines_goes(spark):
+    menu = "\n".join(["Home", "About us", "", "Our shop", "Sign in", "Help"])
+    rows = [(1, f"One\n{menu}\nEnd one"), (2, f"A start\nof two\n{menu}\nEnd two"), (3, "Home\nagain"), (4, "x\n" * 9 + "x"), (5, "\u6f22\u5b57\u6587\u5b57\u5217"), (6, "\u6f22\u5b57\u6587\u5b57\u5217\nb")]
+    for sentences_ in (False, True):
+        got = dict(rows_of(units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), sentences=sentences_, runs=True), "doc_id", "text"))
+        assert got == dict(rows) | {2: "A start\nof two\n\nEnd two", 4: "x\nx\nx\nx\nx", 6: "b"}
+
+
 # language ---------------------------------------------------------------------------------------
 
 

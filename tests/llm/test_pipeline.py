@@ -39,3 +39,11 @@ def test_empty_and_odd_documents(spark, sf_small):
     for frame in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, sf_small).count() <= 5
+
+
+def test_a_repeated_menu_goes(spark, sf_small):
+    menu = "Home\nAbout us\nOur shop\nSign in\nHelp"
+    rows = [(1, f"First page\n{menu}", "en", "a", 50), (2, f"Second page\n{menu}\nMore", "en", "a", 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.without_repeated_lines(spark, docs, sf_small)
+    assert {r.doc_id: (r.text, r.n_chars) for r in left.collect()} == {1: (rows[0][1], 50), 2: ("Second page\nMore", 16)}

@@ -11,6 +11,10 @@ is found; a sentence ends in `.`, `!` or `?` before whitespace. Whatever is remo
 smaller document or earlier in the same one. A line that loses all its sentences goes whole.
 
 Units of fewer than `min_words` words are never removed by themselves: short lines recur in clean text.
+With runs=True neighbours of a short unit are joined, on either side, until they hold `min_words` words,
+and such a run is a unit too: a menu, list or verse that repeats goes, whatever stands around it, and only
+repeated passages of fewer words stay. Of runs that overlap their first occurrence in a document none goes.
+In scripts without blanks each character then counts as a word.
 
 Defined cases: null text stays null with no units; empty text has no units that count; rows that
 share an id rank alike and are treated as one document, so both keep what that id keeps; a null id
@@ -20,6 +24,9 @@ ranks last; very long texts are handled row by row; columns with a result's name
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,7 +36,10 @@ from textloom.llm.common import with_columns
 
 _PARTS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
 _SENTENCE = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
+#: Thai to Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _LAST = (1 << 63) - 1
+_MORE = 1 << 32
 
 
 def _cut(text: str, separator: re.Pattern, start: int, end: int) -> list[tuple[int, int]]:
@@ -52,11 +62,17 @@ def _words(part: str) -> list[bytes]:
     return part.lower().encode().split()
 
 
-def _digests(text: str | None, unit: str, sentences: bool, min_words: int):
-    """(number, digest, repeats an earlier unit) of the units that count. Pieces are numbered from 0, parts of several pieces from -1 downwards."""
+def _weight(words: list[bytes]) -> int:
+    """How many words, if each character of a script without blanks is one."""
+    return sum(1 if w.isascii() else max(1, len(_UNSPACED.findall(w.decode()))) for w in words)
+
+
+def _digests(text: str | None, unit: str, sentences: bool, min_words: int, runs: bool):
+    """(number, digest, repeats an earlier unit) of the units that count. Pieces are numbered from 0, parts of several pieces from -1 downwards; a run has its first piece's number and _MORE for each further one."""
     import xxhash
 
     seen: set[bytes] = set()
+    units: list[tuple[int, int, bytes]] = []
     n = 0
     for k, part in enumerate(pieces(text, unit, sentences)):
         words = [_words(text[s:e]) for s, e in part]
@@ -65,10 +81,40 @@ def _digests(text: str | None, unit: str, sentences: bool, min_words: int):
             found.insert(0, (-1 - k, [x for w in words for x in w]))
         n += len(part)
         for number, w in found:
-            if w and len(w) >= min_words:
+            size = _weight(w) if runs and len(w) < min_words else len(w)
+            if w and (runs or size >= min_words):
                 d = xxhash.xxh3_128_digest(b" ".join(w))
-                yield number, d, d in seen
-                seen.add(d)
+                if number >= 0:
+                    units.append((number, size, d))
+                if size >= min_words:
+                    yield number, d, d in seen
+                    seen.add(d)
+    if runs:
+        yield from _runs(units, min_words)
+
+
+def _runs(units: list[tuple[int, int, bytes]], least: int):
+    """The same for the shortest runs of `least` words or more that begin or end with a short unit: these cover every passage of so many words."""
+    import xxhash
+
+    total = list(accumulate((size for _, size, _ in units), initial=0))
+    found = set()
+    for k, (_, size, _) in enumerate(units):
+        if size < least:
+            if total[-1] - total[k] >= least:
+                found.add((k, bisect_left(total, total[k] + least)))
+            if total[k + 1] >= least:
+                found.add((bisect_right(total, total[k + 1] - least) - 1, k + 1))
+    first: dict[bytes, int] = {}
+    for start, end in sorted(found):
+        d = xxhash.xxh3_128_digest(b"".join(d for _, _, d in units[start:end]))
+        number = units[start][0]
+        yield number + (units[end - 1][0] - number) * _MORE, d, start >= first.setdefault(d, end)
+
+
+def _numbers(gone: list[int]) -> set[int]:
+    """Numbers of pieces and parts, those of runs one by one."""
+    return {m for x in gone for m in (range(x % _MORE, x % _MORE + x // _MORE + 1) if x >= _MORE else (x,))}
 
 
 def _left(text: str, parts: list[list[tuple[int, int]]], gone: set[int]) -> tuple[str, list[tuple[int, int]]]:
@@ -78,7 +124,7 @@ def _left(text: str, parts: list[list[tuple[int, int]]], gone: set[int]) -> tupl
     n, pending = 0, ""
     for k, part in enumerate(parts):
         whole = -1 - k in gone
-        lost = [whole and bool(_words(text[s:e])) or n + j in gone for j, (s, e) in enumerate(part)]
+        lost = [(whole or n + j in gone) and bool(_words(text[s:e])) for j, (s, e) in enumerate(part)]
         n += len(part)
         stay = [j for j, x in enumerate(lost) if not x]
         spans += [p for p, x in zip(part, lost) if x]
@@ -90,7 +136,7 @@ def _left(text: str, parts: list[list[tuple[int, int]]], gone: set[int]) -> tupl
     return "".join(out), spans
 
 
-def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False, min_words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False, min_words: int = 5, runs: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text reduced to what stays, n_units (sentences where these count, else lines), n_removed, removed_chars and spans (start and end, in characters of the original text, of each removed one)."""
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     which = F.xxhash64(F.col(text))  # rows that share an id may differ in their texts
@@ -99,19 +145,19 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False,
         import pyarrow as pa
 
         for batch in batches:
-            ids, which, number, high, low, again = [], [], [], [], [], []
+            ids, which, number, digests, again = array("q"), array("q"), array("q"), bytearray(), bytearray()
             for i, w, t in zip(*(c.to_pylist() for c in batch.columns)):
-                for k, d, repeats in _digests(t, unit, sentences, min_words):
+                for k, d, repeats in _digests(t, unit, sentences, min_words, runs):
                     ids.append(i)
                     which.append(w)
                     number.append(k)
-                    high.append(d[:8])
-                    low.append(d[8:])
+                    digests += d
                     again.append(repeats)
-            at = lambda x: pa.array(np.frombuffer(b"".join(x), "<i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(which, pa.int64()), pa.array(number, pa.int32()), at(high), at(low), pa.array(again, pa.bool_())], names=["rank", "which", "unit", "high", "low", "again"])
+            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+            columns = [np.frombuffer(x, "q") for x in (ids, which, number)] + [np.ascontiguousarray(halves[:, k]) for k in (0, 1)] + [np.frombuffer(again, "?")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["rank", "which", "unit", "high", "low", "again"])
 
-    found = docs.select(rank.alias("rank"), which.alias("which"), F.col(text).alias("t")).mapInArrow(digest, "rank long, which long, unit int, high long, low long, again boolean")
+    found = docs.select(rank.alias("rank"), which.alias("which"), F.col(text).alias("t")).mapInArrow(digest, "rank long, which long, unit long, high long, low long, again boolean")
     shared = found.groupBy("high", "low").agg(F.min("rank").alias("owner"), F.max("rank").alias("last"), F.bool_or("again").alias("repeats")).where("owner < last or repeats").select("high", "low", "owner")
     gone = found.join(shared, ["high", "low"]).where("rank <> owner or again").groupBy(F.col("rank").alias("_rank"), F.col("which").alias("_which")).agg(F.collect_set("unit").alias("_gone"))
 
@@ -119,7 +165,7 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False,
         out = {x: [] for x in ("text", "n_units", "n_removed", "removed_chars", "spans")}
         for t, gone in zip(batch.column(text).to_pylist(), batch.column("_gone").to_pylist()):
             parts = pieces(t, unit, sentences)
-            left, spans = _left(t, parts, set(gone)) if gone else (t, [])
+            left, spans = _left(t, parts, _numbers(gone)) if gone else (t, [])
             out["text"].append(left)
             out["n_units"].append(sum(map(len, parts)))
             out["n_removed"].append(len(spans))
