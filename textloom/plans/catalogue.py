@@ -282,7 +282,7 @@ def bold_spans(spark, d):
 @_query("""SELECT doc_id, doc_id % 8 NOT IN (1, 2, 3, 4) AND t <> '' AS ok, CASE WHEN doc_id % 8 NOT IN (1, 2, 3, 4) AND t <> '' THEN doc_id % 8 <> 5 END AS needs_search
 FROM (SELECT doc_id, regexp_replace(left(translate(text, '<>', ''), 300), '^$WS+|$WS+$', '', 'g') AS t FROM documents)""")
 def tag_grammar(spark, d):
-    body, k = F.left(F.translate("text", "<>", ""), F.lit(300)), F.col("doc_id") % 8
+    body, k = F.translate("text", "<>", ""), F.col("doc_id") % 8
     query = F.when(k == 5, " yok ").otherwise("find it")
     whole = grammar.five_tag_text(body, F.lit("1. plan"), query, F.lit("checked"), F.when(k == 1, F.lit(" ")).otherwise(body))
     whole = F.when(k == 2, F.replace(whole, F.lit("<verify>"), F.lit("<check>"))).when(k == 3, F.concat(F.lit("x"), whole)).when(k == 4, F.replace(whole, F.lit("</think>"), F.lit(""))).when(k == 6, F.replace(whole, F.lit("</search_query>"), F.lit("</search_query>\n<search_results>r</search_results>"))).otherwise(whole)
@@ -292,7 +292,7 @@ def tag_grammar(spark, d):
 
 def _thoughts(spark, d):
     """Documents in the six-step form, with one defect by doc_id % 11."""
-    k, good = F.col("doc_id") % 11, F.concat(F.lit("a step about "), F.left(F.translate("text", "<>[]0123456789", ""), F.lit(100)))
+    k, good = F.col("doc_id") % 11, F.concat(F.lit("a step about "), F.translate("text", "<>[]0123456789", ""))
     call = F.concat(F.lit('\n<tool_call>\n{"name": "s", "arguments": {"query": "'), F.col("doc_id").cast("string"), F.lit('"}}\n</tool_call>'))
     last = F.when(k == 6, good).otherwise(F.concat(good, F.lit(f"\n{grammar.VERIFIED} x = 42")))
     texts = [good, F.when(k == 4, "a").otherwise(good), F.when(k == 7, F.concat(good, call)).when(k == 8, F.concat(good, F.replace(call, F.lit("}}"), F.lit("}")))).otherwise(good), F.when(k == 9, F.concat(good, call)).otherwise(good), good, last]
@@ -325,15 +325,16 @@ def tool_call_parse(spark, d):
 
 @_query("""SELECT page_id, length(url) > 0 AS has_url, page_id % 2 = 1 AS has_content FROM pages""")
 def json_prune_encode(spark, d):
-    payload = rank.tool_response(F.lit("q"), F.lit(""), F.col("url"), F.when(F.col("page_id") % 2 == 1, F.left("html", F.lit(80))).otherwise(""))
+    payload = rank.tool_response(F.lit("q"), F.lit(""), F.col("url"), F.when(F.col("page_id") % 2 == 1, F.col("html")).otherwise(""))
     return _t(spark, d, "pages").select("page_id", payload.alias("p")).select("page_id", F.contains("p", F.lit('"url":')).alias("has_url"), F.contains("p", F.lit('"content":')).alias("has_content"))
 
 
 @_query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'a{b}' || CAST(doc_id AS VARCHAR) WHEN 1 THEN '2' ELSE '' END AS ref FROM documents""")
 def boxed_extract(spark, d):
     k, i = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    body = F.replace("text", F.lit("\\"), F.lit(""))
     tail = F.when(k == 0, F.concat(F.lit(" \\boxed{ a{b}"), i, F.lit("} end"))).when(k == 1, F.lit(" \\boxed{1} \\boxed{2}")).when(k == 2, F.lit(" \\boxed{open {x}")).otherwise("")
-    return _t(spark, d, "documents").select("doc_id", T.boxed(F.concat(F.left(F.replace("text", F.lit("\\"), F.lit("")), F.lit(50)), tail)).alias("ref"))
+    return _t(spark, d, "documents").select("doc_id", T.boxed(F.concat(body, tail, F.when(k < 2, body).otherwise(""))).alias("ref"))
 
 
 @_query("SELECT doc_id, CAST(doc_id * 1000 AS VARCHAR) AS ref FROM documents")
