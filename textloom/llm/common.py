@@ -56,6 +56,13 @@ def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.withColumn("_h", F.xxhash64(key)).orderBy("_h", key).limit(n).drop("_h")
 
 
+def join_hot(big: DataFrame, small: DataFrame, on: list[str], total: int, n: str = "n", parts: int = 200) -> DataFrame:
+    """big joined with small, which has one row a key and in n how many of big's `total` rows have it. The keys of more than total / parts rows, fewer than `parts` of them, are broadcast, so that a hot key's rows stay where they are; the others are shuffled without these."""
+    limit = total / parts
+    hot, rest = F.broadcast(small.where(F.col(n) > limit)), small.where(F.col(n) <= limit)
+    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(rest, on))
+
+
 def with_columns(df: DataFrame, function, ddl: str, *, drop: tuple[str, ...] = ()) -> DataFrame:
     """df with the columns that function(record batch) -> {name: Arrow array} makes. A column of df that has a new one's name gives way to it; columns in drop go."""
     from pyspark.sql.types import StructType

@@ -37,7 +37,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), width=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_repeated", "kept_sha256")
 
 
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +66,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near, op3_urls, op4_mix, op5_topk, op6_repeats, op7_units, op8_language, op9_quality, op10_decontaminate)}
-ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op7_units": units.SQL}
+ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op6_repeats": repeats.SQL, "op7_units": units.SQL}

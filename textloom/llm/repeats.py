@@ -1,26 +1,32 @@
 """Removal of byte strings that occur more than once, exact to the byte.
 
-A byte goes if it lies in a window of `width` bytes that also starts elsewhere.
+A byte goes if it lies in a window of `width` bytes that also starts elsewhere. Bytes in windows of
+`short` bytes that also start elsewhere are counted besides and stay.
 
-1. Of the `gram`-byte strings in a window the one with the smallest hash is the window's anchor.
-   Equal windows have equal anchors, and the windows of one anchor are consecutive, so each
-   document gives about 2 / (width - gram) anchors a byte; only their hashes are shuffled. Anchors
+1. A window's anchor is that `gram`-byte string in its first `short` bytes whose hash is smallest.
+   Equal windows have equal anchors, and the windows of one anchor start one after another, so each
+   document gives about 2 / (short - gram) anchors a byte; only hashes are shuffled. Anchors
    whose string occurs once are dropped.
 2. Anchors with the same string and the same surroundings (all the bytes of all their windows) are
-   one class: if it has two members, all their windows are repeated. So exact copies, and the inside
-   of long repeats, never meet in pairs.
-3. What is left are anchors at the edges of repeats, whose surroundings differ. Their classes meet
-   by anchor string. The text right of the anchors, and the reversed text left of them, are
-   suffixes of one sequence of blocks; it is suffix-sorted by grouping (textloom.llm.suffixes).
-   The common prefixes of neighbours in that order give, for every depth, classes of equal left and
-   of equal right parts; a window at offset o is repeated if another class shares its left
-   part of o bytes and its right part of width - o bytes. All comparisons are of bytes.
-4. An anchor string with more than `most` classes is too much for one task. Their windows are
-   counted by a 128-bit digest instead, as rows, which any number of tasks share.
-
-Defined cases: null text has no bytes; texts below `width` bytes lose none; rows that are the same
-in id and text are documents of their own, so they lose what they share; overlapping and adjacent
-windows make one run; columns with a result's name are replaced.
+   copies and are sorted once, as two equal texts: digests of 64 bits for the string and 64 for the
+   surroundings name them. So a text that stands in a third of the documents is one row.
+3. One of each kind of surroundings goes, with those of the same anchor string, to one task. The text
+   right of the anchors, and the reversed text left of them, are suffixes of one sequence of blocks;
+   it is suffix-sorted by grouping (textloom.llm.suffixes). The common prefixes of neighbours in that
+   order, in bytes, give for every depth classes of equal left and of equal right parts; a window at
+   offset o is repeated if another text shares its left part of o bytes and its right part of the
+   rest. Only that order decides what goes; the runs then return to every copy.
+4. An anchor string with more than `most` different surroundings is too much for one task. Their
+   windows are counted by a 128-bit digest instead, as rows, which any number of tasks share.
+
+An anchor string or copy that holds more than 1/200 of all anchors is one of fewer than 200, which
+are broadcast, so the rows of a hot one stay where they are.
+
+Defined cases: null text has no bytes; texts below `short` bytes lose none; texts of any size are
+cut for hashing into overlapping parts of 2**28 bytes; rows that are the same in id and text are
+documents of their own, so they lose what they share; of equally small hashes the first in the window
+is its anchor; overlapping and adjacent windows make one run; an empty table gives an empty result.
+Only the id and the text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -31,12 +37,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import drop_written, with_columns, written
+from textloom.llm.common import drop_written, join_hot, with_columns, written
 from textloom.llm.suffixes import suffix_array
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POS = 28  # bits of a position in a text; longer texts are beyond an Arrow cell's practical size
+_POS = 28  # bits of a position in a text that is hashed at once
 BLOCK = 50
 
 
@@ -67,13 +73,18 @@ def grams(data: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def anchors(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, short: int, gram: int) -> tuple[np.ndarray, ...]:
     """(hash, position, first window, last window) of each anchor."""
-    if len(data) < width:
+    n = len(data)
+    if n < short:
         return (np.zeros(0, np.int64),) * 4
+    if n > 1 << _POS:  # in parts that share no window; an anchor of two parts has a row for either's windows
+        step = (1 << _POS) - short
+        parts = [(s, anchors(data[s : s + step + short - 1], short, gram)) for s in range(0, n - short + 1, step)]
+        return tuple(np.concatenate([x[k] + (s if k else 0) for s, x in parts]) for k in range(4))
     h = grams(data, gram)
     low = ((h >> np.uint64(_POS)) << np.uint64(_POS)) | np.arange(len(h), dtype=np.uint64)
-    span, have = width - gram + 1, 1
+    span, have = short - gram + 1, 1
     while 2 * have <= span:
         low = np.minimum(low[:-have], low[have:])
         have *= 2
@@ -85,38 +96,41 @@ def anchors(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
     return h[at[edge]].view(np.int64), at[edge], edge, last
 
 
-def _found(width: int, gram: int):
+def _found(width: int, short: int, gram: int):
     def run(batches):
         import pyarrow as pa
         import xxhash
 
         for batch in batches:
-            columns: list[list] = [[] for _ in range(7)]
+            columns: list[list] = [[] for _ in range(8)]
             for i, th, t in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (t or "").encode()
-                h, at, first, last = anchors(np.frombuffer(raw, np.uint8), width, gram)
+                h, at, first, last = anchors(np.frombuffer(raw, np.uint8), short, gram)
                 if len(h):
-                    w = np.array([xxhash.xxh3_64_intdigest(raw[s : e + width], int(a - s)) for a, s, e in zip(at, first, last)], dtype=np.uint64).view(np.int64)
-                    for c, x in zip(columns, (np.full(len(h), th), h, w, at, at - first, last - first)):
+                    end = np.minimum(last + width, len(raw))
+                    w = np.array([xxhash.xxh3_64_intdigest(raw[s:e], int(a - s) + (int(m) << 32)) for a, s, e, m in zip(at, first, end, last - first)], dtype=np.uint64).view(np.int64)
+                    for c, x in zip(columns, (np.full(len(h), th), h, w, first, at - first, last - first, end - first)):
                         c.append(x)
-                    columns[6] += [i] * len(h)
-            made = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns[:6]]
-            kinds = [pa.int64()] * 3 + [pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[6], pa.int64())] + [pa.array(x).cast(k) for x, k in zip(made, kinds)], names=["id", "th", "h", "w", "at", "back", "more"])
+                    columns[7] += [i] * len(h)
+            made = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns[:7]]
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[7], pa.int64())] + [pa.array(x).cast(k) for x, k in zip(made, kinds)], names=["id", "th", "h", "w", "first", "back", "more", "size"])
 
     return run
 
 
-def repeated_windows(rows: list[tuple[bytes, int, int, bool]], width: int) -> list[np.ndarray]:
-    """rows: (bytes of all windows, anchor's offset in them, windows - 1, known to repeat). For each row the starts, in those bytes, of windows that another row has too."""
+def repeated_windows(rows: list[tuple[bytes, int, int]], widths: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """rows: (bytes of all windows, anchor's offset in them, start of the last window in them). For each width and row the starts of windows that another row has too."""
     n = len(rows)
-    back = np.array([b for _, b, _, _ in rows])
-    more = np.array([m for _, _, m, _ in rows])
-    right_size, left_size = -(-width // BLOCK) * BLOCK, max(BLOCK, -(-int(back.max(initial=0)) // BLOCK) * BLOCK)
+    back, last = np.array([b for _, b, _ in rows]), np.array([m for _, _, m in rows])
+    size = np.array([len(raw) for raw, _, _ in rows])
+    most = max(widths)
+    right_size, left_size = -(-most // BLOCK) * BLOCK, max(BLOCK, -(-int(back.max(initial=0)) // BLOCK) * BLOCK)
     right, left = np.zeros((n, right_size), np.uint8), np.zeros((n, left_size), np.uint8)
-    for k, (raw, b, _, _) in enumerate(rows):
+    for k, (raw, b, _) in enumerate(rows):
         x = np.frombuffer(raw, np.uint8)
-        right[k, : len(x) - b] = x[b:][:right_size]
+        part = x[b:][:right_size]
+        right[k, : len(part)] = part
         left[k, :b] = x[:b][::-1]
     blocks = [x.reshape(n, -1, BLOCK) for x in (right, left)]
     flat = np.concatenate([x.reshape(-1, BLOCK) for x in blocks])
@@ -135,20 +149,22 @@ def repeated_windows(rows: list[tuple[bytes, int, int, bool]], width: int) -> li
         return own, np.where(other.any(axis=1), other.argmax(axis=1), matrix.shape[1])
 
     (by_right, right_common), (by_left, left_common) = sorted_by(0, right), sorted_by(r + 1, left)
-    out = [[] for _ in rows]
+    out: list[list[list]] = [[[] for _ in rows] for _ in widths]
     right_class, left_class = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for o in range(int(back.max(initial=0)) + 1):
-        valid = np.flatnonzero((back >= o) & (back - more <= o))
-        if len(valid) < 2:
-            continue
-        right_class[by_right[1:]] = np.cumsum(right_common < width - o)
         left_class[by_left[1:]] = np.cumsum(left_common < o)
-        right_class[by_right[0]] = left_class[by_left[0]] = 0
-        key = right_class[valid] * n + left_class[valid]
-        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-        for k in valid[count[inverse] > 1]:
-            out[k].append(back[k] - o)
-    return [np.sort(np.array(x, dtype=np.int64)) for x in out]
+        left_class[by_left[0]] = 0
+        for found, width in zip(out, widths):
+            # the window starts at back - o and must be one of the anchor's and end within the bytes
+            valid = np.flatnonzero((back >= o) & (back - o <= last) & (back - o + width <= size))
+            if len(valid) < 2:
+                continue
+            right_class[by_right[1:]] = np.cumsum(right_common < width - o)
+            right_class[by_right[0]] = 0
+            _, inverse, count = np.unique(right_class[valid] * n + left_class[valid], return_inverse=True, return_counts=True)
+            for k in valid[count[inverse] > 1]:
+                found[k].append(back[k] - o)
+    return [[np.sort(np.array(x, dtype=np.int64)) for x in found] for found in out]
 
 
 def _runs(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -157,40 +173,47 @@ def _runs(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.concatenate([[0], cut + 1])].tolist(), (starts[np.concatenate([cut, [len(starts) - 1]])] + width).tolist())) if len(starts) else []
 
 
-SPAN = "id long, th long, start long, end long"
+RUN = "h long, w long, wide boolean, start int, end int"
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list):
+    import pyarrow as pa
 
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-def _edges(width: int, rows_at_once: int = 6000):
-    """Over rows (h, id, th, first, back, more, many, raw) sorted by h: spans of the windows that other rows of the same h repeat."""
+
+def _sorted_runs(width: int, short: int, rows_at_once: int = 6000):
+    """Over rows (h, w, back, more, many, raw) sorted by h: the runs, in raw, of windows that other rows of the same h repeat."""
 
     def solve(held: list[tuple]) -> list[tuple]:
-        spans = []
-        for x, starts in zip(held, repeated_windows([(r[7], r[4], r[5], r[6]) for r in held], width)):
-            if not x[6]:
-                spans += [(x[1], x[2], x[3] + s, x[3] + e) for s, e in _runs(starts, width)]
-        return spans
+        held = list({x[:2]: x for x in held}.values())
+        entered = [x for x in held for _ in range(2 if x[4] else 1)]  # a text with copies stands there twice
+        found = repeated_windows([(x[5], x[2], x[3]) for x in entered], (width, short))
+        out, before = [], None
+        for k, x in enumerate(entered):
+            if x is not before:
+                out += [(x[0], x[1], wide, s, e) for wide, size, starts in ((True, width, found[0][k]), (False, short, found[1][k])) for s, e in _runs(starts, size)]
+            before = x
+        return out
 
     def run(batches):
         import pyarrow as pa
 
-        held, names = [], ["h", "id", "th", "first", "back", "more", "many", "raw"]
-
-        def table(spans):
-            return pa.RecordBatch.from_arrays([pa.array([s[k] for s in spans], pa.int64()) for k in range(4)], names=["id", "th", "start", "end"])
-
+        names, kinds = ["h", "w", "wide", "start", "end"], [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
+        held: list[tuple] = []
         for batch in batches:
-            for x in zip(*(batch.column(c).to_pylist() for c in names)):
+            for x in zip(*(batch.column(c).to_pylist() for c in ("h", "w", "back", "more", "many", "raw"))):
                 if len(held) >= rows_at_once and x[0] != held[-1][0]:
-                    yield table(solve(held))
+                    yield _batch(solve(held), names, kinds)
                     held = []
                 held.append(x)
         if held:
-            yield table(solve(held))
+            yield _batch(solve(held), names, kinds)
 
     return run
 
 
-def _digests(width: int):
+def _digests(width: int, short: int):
     """Over the same rows: each window by its digest."""
 
     def run(batches):
@@ -198,17 +221,20 @@ def _digests(width: int):
         import xxhash
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                x = {c: batch.column(c)[k].as_py() for c in ("id", "th", "first", "more", "many", "raw")}
-                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x["raw"][s : s + width]) for s in range(x["more"] + 1)), np.int64).reshape(-1, 2)
-                m = len(d)
-                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array([x["id"]] * m, pa.int64()), pa.array([x["th"]] * m, pa.int64()), pa.array(np.arange(m) + x["first"]), pa.array([x["many"]] * m)], names=["d1", "d2", "id", "th", "start", "many"])
+            for h, w, more, many, raw in zip(*(batch.column(c).to_pylist() for c in ("h", "w", "more", "many", "raw"))):
+                for wide, size in ((True, width), (False, short)):
+                    m = min(more, len(raw) - size) + 1
+                    if m > 0:
+                        d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[s : s + size]) for s in range(m)), np.int64).reshape(-1, 2)
+                        made = [d[:, 0], d[:, 1], np.full(m, h), np.full(m, w), np.full(m, wide), np.arange(m, dtype=np.int32), np.full(m, many)]
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["d1", "d2", "h", "w", "wide", "start", "many"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, *, width: int = 400, gram: int = 100, most: int = 20_000, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents as id, th, z: the compressed bytes; spans as id, th, start, end, which may overlap)."""
+def repeated_spans(docs: DataFrame, *, width: int = 400, short: int | None = None, gram: int = 60, most: int = 20_000, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(documents as id, th, z: the compressed bytes; runs as id, th, wide, start, end, which may overlap: of windows of `width` bytes, and where wide is false of `short` bytes, five eighths of width if not given)."""
+    short = short or width * 5 // 8
     read = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
 
     def packed(batch):
@@ -218,76 +244,77 @@ def repeated_spans(docs: DataFrame, *, width: int = 400, gram: int = 100, most:
         return {"z": [squeeze((t or "").encode()) for t in batch.column("t").to_pylist()]}
 
     stored = with_columns(read, packed, "z binary", drop=("t",))
-    found = written(read.mapInArrow(_found(width, gram), "id long, th long, h long, w long, at long, back int, more int"), "repeat-anchors")
-    shared = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = written(found.join(shared, "h"), "repeat-shared")
-    drop_written(found)
-    classes = written(again.groupBy("h", "w").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("id", "th", "at", "back", "more"))), "repeat-classes")
-    full = again.join(classes.where("n > 1").select("h", "w"), ["h", "w"]).select("id", "th", (F.col("at") - F.col("back")).alias("start"), (F.col("at") - F.col("back") + F.col("more") + width).alias("end"))
-
-    # strings with some class of one member: there other classes may repeat a part of its windows
-    open_ = classes.groupBy("h").agg(F.min("n").alias("least"), F.count("*").alias("classes")).where("least = 1 and classes > 1").select("h", (F.col("classes") > most).alias("hot"))
-    need = classes.join(open_, "h").select("id", "th", F.struct("h", "at", "back", "more", (F.col("n") > 1).alias("many"), "hot").alias("x")).groupBy("id", "th").agg(F.collect_list("x").alias("need"))
+    found = written(read.mapInArrow(_found(width, short, gram), "id long, th long, h long, w long, first long, back int, more int, size int"), "repeat-anchors")
+    shared = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeat-strings")
+    again = written(join_hot(found, shared, ["h"], found.count()).drop("n"), "repeat-shared")
+    drop_written(found, shared)
+    classes = written(again.groupBy("h", "w").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("id", "th", "first", "back", "more", "size"))), "repeat-classes")
+    hot = classes.groupBy("h").count().where(F.col("count") > most).select("h", F.lit(True).alias("hot"))  # each stands for `most` rows
+    need = classes.join(hot, "h", "left").select("id", "th", F.struct("h", "w", "first", "back", "more", "size", (F.col("n") > 1).alias("many"), F.coalesce("hot", F.lit(False)).alias("hot")).alias("x")).groupBy("id", "th").agg(F.collect_list("x").alias("need"))
 
     def cut(batches):
         import pyarrow as pa
         import zstandard
 
-        names = ["h", "id", "th", "first", "back", "more", "many", "hot", "raw"]
-        kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+        names = ["h", "w", "back", "more", "many", "hot", "raw"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
         open_z = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows = []
-            for i, th, z, need_ in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "z", "need"))):
+            for z, need_ in zip(batch.column("z").to_pylist(), batch.column("need").to_pylist()):
                 raw = open_z(z)
-                for x in need_:
-                    s = x["at"] - x["back"]
-                    rows.append((x["h"], i, th, s, x["back"], x["more"], x["many"], x["hot"], raw[s : s + x["more"] + width]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+                yield _batch([(x["h"], x["w"], x["back"], x["more"], x["many"], x["hot"], raw[x["first"] : x["first"] + x["size"]]) for x in need_], names, kinds)
 
     joined = stored.join(need, stored["id"].eqNullSafe(need["id"]) & (stored["th"] == need["th"])).select(stored["id"], stored["th"], "z", "need")
-    # rows alike in id and text are one here: their anchors are in classes of two and more
-    pieces = joined.mapInArrow(cut, "h long, id long, th long, first long, back int, more int, many boolean, hot boolean, raw binary")
-    pieces = written(pieces, "repeat-edges")
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = pieces.where("not hot").repartition(tasks, "h").sortWithinPartitions("h").select("h", "id", "th", "first", "back", "more", "many", "raw").mapInArrow(_edges(width), SPAN)
-    rows = pieces.where("hot").mapInArrow(_digests(width), "d1 long, d2 long, id long, th long, start long, many boolean")
-    rows = written(rows, "repeat-windows")
-    twice = rows.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    hot = rows.where("not many").join(twice, ["d1", "d2"]).select("id", "th", "start", (F.col("start") + width).alias("end"))
-    return stored, written(full.union(edges).union(hot), "repeat-spans")
+    # rows alike in id and text give the same pieces again, which the next step drops
+    pieces = joined.mapInArrow(cut, "h long, w long, back int, more int, many boolean, hot boolean, raw binary")
+    pieces = written(pieces, "repeat-pieces")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = pieces.where("not hot").repartition(tasks, "h").sortWithinPartitions("h").mapInArrow(_sorted_runs(width, short), RUN)
+    rows = written(pieces.where("hot").dropDuplicates(["h", "w"]).mapInArrow(_digests(width, short), "d1 long, d2 long, h long, w long, wide boolean, start int, many boolean"), "repeat-windows")
+    twice = rows.groupBy("d1", "d2", "wide").agg(F.count("*").alias("n"), F.bool_or("many").alias("any")).where("n > 1 or any").drop("n", "any")
+    counted = rows.join(twice, ["d1", "d2", "wide"]).select("h", "w", "wide", "start", (F.col("start") + F.when(F.col("wide"), width).otherwise(short)).alias("end"))
+    of_class = written(runs.union(counted), "repeat-runs").groupBy("h", "w").agg(F.collect_list(F.struct("wide", "start", "end")).alias("runs"))
+    decided = written(of_class.join(classes.select("h", "w", "n"), ["h", "w"]), "repeat-decided")
+    members = join_hot(again, decided, ["h", "w"], again.count()).select("id", "th", "first", F.explode("runs").alias("x"))
+    return stored, written(members.select("id", "th", "x.wide", (F.col("first") + F.col("x.start")).alias("start"), (F.col("first") + F.col("x.end")).alias("end")), "repeat-spans")
+
+
+def _merged(spans: list[dict]) -> list[dict]:
+    runs: list[dict] = []
+    for x in sorted(spans, key=lambda x: x["start"]):
+        if runs and x["start"] <= runs[-1]["end"]:
+            runs[-1]["end"] = max(runs[-1]["end"], x["end"])
+        else:
+            runs.append({"start": x["start"], "end": x["end"]})
+    return runs
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep_bytes: bool = False, **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, spans (removed runs of bytes) and kept_sha256 for each row of docs; with keep_bytes also kept, the bytes that stay."""
+    """doc_id, n_bytes, n_removed, n_spans, spans (removed runs of bytes), n_repeated (bytes in repeated windows of `short` bytes) and kept_sha256 for each row of docs; with keep_bytes also kept, the bytes that stay."""
     stored, spans = repeated_spans(docs, doc_id=doc_id, text=text, **options)
-    gathered = spans.groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("found")).withColumnsRenamed({"id": "_id", "th": "_th"})
+    gathered = spans.groupBy("id", "th").agg(F.collect_list(F.struct("wide", "start", "end")).alias("found")).withColumnsRenamed({"id": "_id", "th": "_th"})
     joined = stored.join(gathered, stored["id"].eqNullSafe(F.col("_id")) & (stored["th"] == F.col("_th")), "left").select("id", "z", "found")
 
     def finish(batch):
         import zstandard
 
         open_z = zstandard.ZstdDecompressor().decompress
-        out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "spans", "kept_sha256") + ("kept",) * keep_bytes}
+        out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "spans", "n_repeated", "kept_sha256") + ("kept",) * keep_bytes}
         for z, found in zip(batch.column("z").to_pylist(), batch.column("found").to_pylist()):
-            raw, runs = open_z(z), []
-            for x in sorted(found or (), key=lambda x: x["start"]):
-                if runs and x["start"] <= runs[-1]["end"]:
-                    runs[-1]["end"] = max(runs[-1]["end"], x["end"])
-                else:
-                    runs.append(dict(x))
+            raw = open_z(z)
+            runs = _merged([x for x in found or () if x["wide"]])
             at, kept = 0, []
             for x in runs:
                 kept.append(raw[at : x["start"]])
                 at = x["end"]
             rest = b"".join([*kept, raw[at:]])
-            made = (len(raw), len(raw) - len(rest), len(runs), runs, hashlib.sha256(rest).hexdigest(), rest)
+            repeated = sum(x["end"] - x["start"] for x in _merged(found or []))
+            made = (len(raw), len(raw) - len(rest), len(runs), runs, repeated, hashlib.sha256(rest).hexdigest(), rest)
             for c, v in zip(out, made):
                 out[c].append(v)
         return out
 
-    ddl = "n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept_sha256 string" + ", kept binary" * keep_bytes
+    ddl = "n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, n_repeated long, kept_sha256 string" + ", kept binary" * keep_bytes
     return with_columns(joined, finish, ddl, drop=("z", "found")).withColumnRenamed("id", "doc_id")
 
 
@@ -306,3 +333,20 @@ def brute_force(texts: list[str | None], width: int) -> list[tuple[int, int, int
         kept = bytes(b for b, g in zip(r, gone) if not g)
         out.append((len(r), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+#: Every window by its digest; hexadecimal digits stand for the bytes, and texts are cut into parts of 1,000 bytes and the longest window, as substrings of long ones are slow.
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+c AS (SELECT r, u.a, substr(x, 2 * u.a + 1, 2 * (1000 + 400)) AS part FROM d, unnest(range(0, length(x) // 2, 1000)) AS u(a)),
+w AS (SELECT r, a + p AS p, z, md5(substr(part, 2 * p + 1, 2 * z)) AS k FROM c, (VALUES (400), (250)) AS s(z), unnest(range(least(1000, length(part) // 2 - z + 1))) AS u(p)),
+t AS (SELECT r, z, p FROM w JOIN (SELECT z AS y, k AS j FROM w GROUP BY z, k HAVING count(*) > 1) ON z = y AND k = j),
+g AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY r, z ORDER BY p) <= z THEN 0 ELSE 1 END AS fresh FROM t),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY r, z ORDER BY p) AS n FROM g),
+spans AS (SELECT r, z, n, min(p) AS a, max(p) + z AS b FROM i GROUP BY r, z, n),
+o AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans WHERE z = 400),
+k AS (SELECT d.r, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept, sum(b - a) AS n_removed, count(*) AS n_spans FROM o JOIN d ON d.r = o.r GROUP BY d.r),
+e AS (SELECT r, sum(b - a) AS n_repeated FROM spans WHERE z = 250 GROUP BY r)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r LEFT JOIN e ON d.r = e.r
+"""
