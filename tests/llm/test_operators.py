@@ -435,6 +435,44 @@ def test_cross_parsing_counts_phrases():
     assert known.phrases(["abra", "abrq", "dabrac", ""])[:, 0].tolist() == [1, 2, 2, 0]
 
 
+def plain_phrases(text, sample):
+    """Longest matches from left to right, by search."""
+    n, i = 0, 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and text[i : i + k + 1] in sample and text[i] in sample:
+            k += 1
+        i, n = i + k, n + 1
+    return n
+
+
+@pytest.mark.parametrize(("common", "rows"), [(255, 8192), (6, 3)])
+def test_cross_parsing_of_whole_texts(monkeypatch, common, rows):
+    """Texts over many pieces, letters beyond the basic plane, and alphabets wider than the table."""
+    monkeypatch.setattr(language, "COMMON", common)
+    monkeypatch.setattr(language, "ROWS", rows)
+    r = random.Random(18)
+    samples = {"a": "".join(r.choice("abc \U00020000\u6771") for _ in range(900)), "b": "".join(r.choice("abcdefghij ") for _ in range(900)) + "z" * 300, "c": "ab" * 400}
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("abc ", "abcdq\U00020000\U00020001\u6771", "z", "ab") for n in (1, 255, 256, 257, 600, 3000)]
+    texts += [samples["a"] * 2, samples["b"][100:800], "", "z" * 5000, "ab" * 2000 + "q" + "ab" * 3000]
+    got = language.Languages(samples).phrases(texts)
+    assert got.tolist() == [[plain_phrases(t, samples[k]) for k in "abc"] for t in texts]
+
+
+def test_numerals_are_no_letters(spark):
+    odd = spark.createDataFrame([(i, t) for i, t in enumerate(["\u00bd", "\u00b2", "\u2460 \u2167", "\u4e00", "1\u00bd a"])], "doc_id long, text string")
+    assert [x.lang_pred for x in language.identify(odd, {"en": "a b"}).orderBy("doc_id").collect()] == ["und", "und", "und", "en", "en"]
+
+
+def test_language_sample_takes_whole_texts(spark):
+    rows = [(i, "word " * n + "end", "x") for i, n in enumerate((2000, 3, 1000, 5, 900))] + [(9, "alone", "y"), (10, "never", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.sample(docs, letters_per_lang=6000)
+    assert len(found["x"]) <= 6000 and found["x"].count("end") >= 3 and found["y"] == "alone"
+    for part in found["x"].split("end"):
+        assert part.count("word") in (0, 3, 5, 900, 1000)
+
+
 def test_language_of_held_out_rows(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     samples = language.sample(docs.where("doc_id % 4 <> 1"))

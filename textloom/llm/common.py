@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local runs and tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local master gets a temporary one, and a cluster an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='textloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -56,11 +59,29 @@ def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.withColumn("_h", F.xxhash64(key)).orderBy("_h", key).limit(n).drop("_h")
 
 
-def join_hot(big: DataFrame, small: DataFrame, on: list[str], total: int, n: str = "n", parts: int = 200) -> DataFrame:
-    """big joined with small, which has one row a key and in n how many of big's `total` rows have it. The keys of more than total / parts rows, fewer than `parts` of them, are broadcast, so that a hot key's rows stay where they are; the others are shuffled without these."""
+def join_hot(big: DataFrame, small: DataFrame, on: list[str], total: int, n: str = "n", parts: int = 200, how: str = "inner") -> DataFrame:
+    """big joined with small (inner or left), which has one row a key and in n how many of big's `total` rows have it. The keys of more than total / parts rows, fewer than `parts` of them, are broadcast, so that a hot key's rows stay where they are; the others are shuffled without these."""
     limit = total / parts
     hot, rest = F.broadcast(small.where(F.col(n) > limit)), small.where(F.col(n) <= limit)
-    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(rest, on))
+    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(rest, on, how))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    name = f"_{name}"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+_MADE: dict[str, tuple] = {}
+
+
+def once(kind: str, key, make):
+    """What make() gives, made once in a Python process, whatever number of tasks it runs; of a kind only what the last key gave is held."""
+    if kind not in _MADE or _MADE[kind][0] != key:
+        _MADE[kind] = (key, make())
+    return _MADE[kind][1]
 
 
 def with_columns(df: DataFrame, function, ddl: str, *, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -1,34 +1,42 @@
 """Language identification by cross-parsing against suffix automata.
 
-For each language a bounded sample of labelled text becomes one suffix automaton. A text is parsed
+For each language a bounded sample of labelled texts becomes one suffix automaton. A text is parsed
 greedily against it: from the current place the longest match that the automaton knows is one
 phrase (a letter that it doesn't know is a phrase by itself). The phrase count times log2 of the
 sample's length, per letter of text, estimates the cross-entropy; the lowest wins.
 
-Texts are folded to lower-case letters with single blanks between words, and parsed in pieces of
-`PIECE` letters, all pieces of a batch in step: one vectorised table lookup advances every piece by
-a letter. The cut costs each language at most one phrase a piece. Whole texts are parsed.
+Texts are folded to lower-case letters with single blanks between words. All pieces of `PIECE` letters
+of a batch are parsed in step, each from its start: one vectorised table lookup advances every piece by a
+letter. Then each piece is entered again in the state in which the piece before it ended, until a phrase
+begins where one began before: from there on the two parsings are the same. A piece that is left in
+another state passes it on in one more round. So the counts are those of whole texts without any cut.
 
-Only the training sample is bounded: `texts_per_lang` texts by hash of the id and `letters_per_lang`
-letters of them, taken in equal shares from those texts.
+Only the training sample is bounded: of the `texts_per_lang` texts of lowest hash of the id, as many
+whole texts as `letters_per_lang` letters hold, in that order; longer ones are passed over. The
+table of an automaton has columns for the `COMMON` most frequent letters of all samples; edges by rarer
+letters are looked up in a sorted list, so scripts of thousands of letters need no wider table.
 
-Defined cases: `und` with score 0 for null texts, for those without a letter, and where nothing
-could be learned; ties go to the smaller language code; a language with a shorter sample is
-normalised by its own length; columns with a result's name are replaced.
+Defined cases: `und` with score 0 for null texts, for those without a letter (digits, fractions and
+other numerals are none), and where nothing could be learned; ties go to the smaller language code; a
+language with a shorter sample is normalised by its own length; of texts alike in hash and id the
+smaller is sampled first; very long texts are parsed whole, `ROWS` pieces at a time; an empty table gives
+an empty result; columns with a result's name are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import with_columns
+from textloom.llm.common import once, with_columns
 
-PIECE, ROWS = 256, 8192
-_NOT_LETTER = re.compile(r"[\W\d_]+")
+PIECE, ROWS, COMMON = 256, 8192, 255
+_NUMERALS = "".join(c for c in map(chr, range(128, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTER = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _FLAG = 1 << 30
 
 
@@ -37,8 +45,8 @@ def folded(text: str | None) -> str:
     return _NOT_LETTER.sub(" ", text.lower()).strip() if text else ""
 
 
-def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Suffix automaton of a sequence of symbols as a table state x symbol of next states. Where there is no next state it holds the root's next state with _FLAG: a new phrase begins at that symbol."""
+def _factors(symbols: list[int]) -> list[dict[int, int]]:
+    """Suffix automaton of a sequence of symbols: for each state, symbol -> next state."""
     after, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         now = len(after)
@@ -63,13 +71,100 @@ def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
-    table = np.full((len(after), alphabet), -1, dtype=np.int32)
+    return after
+
+
+def _table(after: list[dict[int, int]], width: int) -> np.ndarray:
+    """State x symbol below width: the next state; where there is none, the root's next state with _FLAG."""
+    table = np.full((len(after), width), -1, dtype=np.int32)
     for s, edges in enumerate(after):
         for c, t in edges.items():
-            table[s, c] = t
+            if c < width:
+                table[s, c] = t
     root = np.where(table[0] < 0, 0, table[0]) | _FLAG
-    table = np.where(table < 0, root[None, :], table)
-    return table.astype(np.int32).ravel()
+    return np.where(table < 0, root[None, :], table).astype(np.int32)
+
+
+def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
+    return _table(_factors(symbols), alphabet).ravel()
+
+
+class Automaton:
+    """The automaton of a sequence of symbols. step() gives the next states; _FLAG marks that a phrase begins, from the root, at the symbol."""
+
+    def __init__(self, symbols: list[int], alphabet: int):
+        after = _factors(symbols)
+        self.alphabet, self.wide = alphabet, min(alphabet, COMMON)
+        table = _table(after, self.wide)
+        table[0] |= _FLAG  # at the root every symbol begins a phrase
+        self.table = table.ravel()
+        rare = {s * alphabet + c: t for s, edges in enumerate(after) for c, t in edges.items() if c >= self.wide}
+        self.keys = np.array(sorted(rare), dtype=np.int64)
+        self.targets = np.array([rare[k] for k in self.keys.tolist()], dtype=np.int64)
+
+    def _edge(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        key = state * self.alphabet + c
+        if not len(self.keys):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.targets[at], -1)
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        if self.wide == self.alphabet:
+            return self.table[state * self.wide + c].astype(np.int64)
+        out = self.table[state * self.wide + np.minimum(c, self.wide - 1)].astype(np.int64)
+        at = np.flatnonzero(c >= self.wide)
+        if len(at):
+            own, again = self._edge(state[at], c[at]), self._edge(np.zeros(len(at), np.int64), c[at])
+            out[at] = np.where((own >= 0) & (state[at] > 0), own, np.maximum(again, 0) | _FLAG)
+        return out
+
+    def count(self, rows: np.ndarray, size: np.ndarray, joined: np.ndarray, entry: int) -> tuple[np.ndarray, int]:
+        """Phrases that begin in each row of rows (pieces by letters), and the state at the last one's end. size: letters of each row; joined: whether it goes on where the row before it ends; entry: the state in which a joined first row is entered."""
+        n = len(rows)
+        columns = np.ascontiguousarray(rows.T)
+        begins = np.zeros(columns.shape, dtype=bool)
+        state = np.zeros(n, np.int64)
+        for t in range(int(size.max(initial=0))):
+            live = size > t
+            nxt = self.step(state, columns[t])
+            begins[t] = (nxt >= _FLAG) & live
+            state = np.where(live, nxt & (_FLAG - 1), state)
+        counts, ends = begins.sum(axis=0), state.copy()
+        entered = np.zeros(n, np.int64)
+        todo = np.flatnonzero(joined)
+        while len(todo):
+            came = np.where(todo > 0, ends[todo - 1], entry)
+            todo, came = todo[came != entered[todo]], came[came != entered[todo]]
+            entered[todo] = came
+            changed = self._enter(columns, size, begins, counts, ends, state, todo, came)
+            todo = changed[changed + 1 < n] + 1
+            todo = todo[joined[todo]]
+        return counts, int(ends[-1])
+
+    def _enter(self, columns, size, begins, counts, ends, plain, todo, came) -> np.ndarray:
+        """Parses the rows todo from their states came; the rows whose end changes."""
+        left = begins[:, todo].sum(axis=0)  # phrases of the plain parsing from t on
+        own, state, active, before = np.zeros(len(todo), np.int64), came, np.arange(len(todo)), ends[todo]
+        final, done = plain[todo].copy(), np.where(came == 0, left, 0)
+        active = np.flatnonzero(came != 0)
+        state = state[active]
+        for t in range(len(columns)):
+            if not len(active):
+                break
+            over = size[todo[active]] <= t
+            final[active[over]], done[active[over]] = state[over], own[active[over]]
+            active, state = active[~over], state[~over]
+            nxt = self.step(state, columns[t, todo[active]])
+            fresh, same = nxt >= _FLAG, begins[t, todo[active]]
+            met = fresh & same
+            done[active[met]] = own[active[met]] + left[active[met]]
+            own[active] += fresh
+            left[active] -= same
+            active, state = active[~met], nxt[~met] & (_FLAG - 1)
+        final[active], done[active] = state, own[active]
+        counts[todo], ends[todo] = done, final
+        return todo[ends[todo] != before]
 
 
 class Languages:
@@ -77,73 +172,77 @@ class Languages:
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        letters = sorted(set("".join(samples.values())))
-        self.size = len(letters) + 1  # the last symbol: any other letter
-        self.symbol = np.full(1 << 16, len(letters), dtype=np.int64)
-        for k, c in enumerate(letters):
-            if ord(c) < 1 << 16:
-                self.symbol[ord(c)] = k
-        self.tables = [automaton(self.symbol[self.code(samples[n])].tolist(), self.size) for n in self.names]
+        letters, times = np.unique(np.concatenate([self.code(samples[n]) for n in self.names] or [np.zeros(0, np.uint32)]), return_counts=True)
+        letters = letters[np.argsort(-times, kind="stable")]
+        # 0 is any letter that no sample has
+        self.symbol = np.zeros(0x110000, dtype=np.int32)
+        self.symbol[letters] = np.arange(1, len(letters) + 1)
+        self.automata = [Automaton(self.symbol[self.code(samples[n])].tolist(), len(letters) + 1) for n in self.names]
         self.bits = np.array([np.log2(len(samples[n]) + 1) for n in self.names])
 
     @staticmethod
     def code(text: str) -> np.ndarray:
-        return np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 0xFFFF)
+        return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """text x language: phrases of the cross-parsing."""
         out = np.zeros((len(texts), len(self.names)))
-        owner, rows = [], []
+        rows, owner, size = [], [], []
+        entry = [0] * len(self.names)
+
+        def parse(joined_first: bool) -> None:
+            part, own, length = np.concatenate(rows), np.concatenate(owner), np.concatenate(size)
+            joined = np.concatenate([[joined_first], own[1:] == own[:-1]])
+            for j, a in enumerate(self.automata):
+                counts, entry[j] = a.count(part, length, joined, entry[j])
+                out[:, j] += np.bincount(own, weights=counts, minlength=len(texts))
+            rows.clear(), owner.clear(), size.clear()
+
+        goes_on, held = False, 0
         for k, t in enumerate(texts):
-            codes = self.symbol[self.code(t)]
-            n = -(-len(codes) // PIECE)
-            block = np.full(n * PIECE, -1, dtype=np.int64)
-            block[: len(codes)] = codes
-            rows.append(block.reshape(n, PIECE))
-            owner.append(np.full(n, k))
-        if not rows or not self.names:
-            return out
-        rows, owner = np.concatenate(rows), np.concatenate(owner)
-        for a in range(0, len(rows), ROWS):
-            part, own = np.ascontiguousarray(rows[a : a + ROWS].T), owner[a : a + ROWS]
-            ends = np.flatnonzero((part >= 0).any(axis=1))
-            for j, table in enumerate(self.tables):
-                state, count = np.zeros(part.shape[1], np.int64), np.ones(part.shape[1], np.int64)
-                for t in range(int(ends[-1]) + 1 if len(ends) else 0):
-                    c = part[t]
-                    nxt = table[state * self.size + np.maximum(c, 0)].astype(np.int64)
-                    count += (nxt >> 30) * (c >= 0)
-                    state = nxt & (_FLAG - 1)
-                out[:, j] += np.bincount(own, weights=count, minlength=len(texts))
+            for s in range(0, len(t), PIECE * ROWS):
+                codes = self.symbol[self.code(t[s : s + PIECE * ROWS])]
+                n = -(-len(codes) // PIECE)
+                if held and held + n > ROWS:
+                    parse(goes_on)
+                    goes_on, held = s > 0, 0
+                block = np.zeros(n * PIECE, dtype=np.int32)
+                block[: len(codes)] = codes
+                rows.append(block.reshape(n, PIECE))
+                owner.append(np.full(n, k))
+                size.append(np.minimum(len(codes) - PIECE * np.arange(n), PIECE))
+                held += n
+        if rows:
+            parse(goes_on)
         return out
 
 
 def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 24_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
-    """A bounded sample of labelled text for each language of docs, on the driver: languages x texts_per_lang slices of at most letters_per_lang / 8 letters."""
-    share = letters_per_lang // 8
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id)
-    rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts_per_lang)
+    """A bounded sample of whole labelled texts for each language of docs, on the driver: languages x letters_per_lang letters."""
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id, text)
+    rows = docs.where(F.col(lang).isNotNull() & F.length(text).between(1, letters_per_lang)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts_per_lang)
     out: dict[str, list] = {}
-    for r in rows.select(F.col(lang).alias("l"), "n", F.substring(text, 1, 2 * share).alias("t")).toLocalIterator():
+    for r in rows.select(F.col(lang).alias("l"), "n", F.col(text).alias("t")).toLocalIterator():
         out.setdefault(r.l, []).append((r.n, folded(r.t)))
     found = {}
     for name, texts in out.items():
-        each = max(200, letters_per_lang // len(texts))
-        joined = " ".join(t[:each] for _, t in sorted(texts) if t)
-        if len(joined) < letters_per_lang:  # short texts left room
-            joined = " ".join(t[:share] for _, t in sorted(texts) if t)
-        if joined:
-            found[name] = joined[:letters_per_lang]
+        chosen, room = [], letters_per_lang
+        for _, t in sorted(texts):
+            if 0 < len(t) < room:
+                chosen.append(t)
+                room -= len(t) + 1
+        if chosen:
+            found[name] = " ".join(chosen)
     return found
 
 
 def identify(docs: DataFrame, samples: dict[str, str], *, text: str = "text") -> DataFrame:
     """docs with lang_pred, score (share of the best language in the likelihoods per letter), and phrases_per_letter of the best."""
 
-    def predict(batch, state={}):  # noqa: B006  built once a worker
-        if "l" not in state:
-            state["l"] = Languages(samples)
-        known = state["l"]
+    key = hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
+
+    def predict(batch):
+        known = once("languages", key, lambda: Languages(samples))
         texts = [folded(t) for t in batch.column(text).to_pylist()]
         at = [k for k, t in enumerate(texts) if t and known.names]
         pred, score, rate = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))

@@ -20,8 +20,7 @@ def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("block"))
-    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels)
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

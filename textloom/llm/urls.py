@@ -2,18 +2,25 @@
 
 A URL becomes a set of tokens (scheme, host suffixes, host words, path segments, query keys). Spark's
 FP-growth mines the labelled URLs' token sets, each with its label as one more item; rules whose
-consequent is `block` stay if their confidence and support reach the given bounds (allow is what a
-URL without a rule gets). The rules form an inverted index keyed by their rarest token: a URL looks
-up only the rules posted under its own tokens and then must hold the whole antecedent. The rule of
-highest confidence, then support, then smallest text decides.
+consequent is `block` stay if support, confidence and lift over the share of blocked URLs reach the
+given bounds (allow is what a URL without a rule gets). The rules form an inverted index keyed by their
+rarest token: a URL looks up only the rules posted under its own tokens and then must hold the whole
+antecedent. The rule of highest confidence, then support, then smallest text decides.
 
-DataFrame operations only. Distinct URLs are matched, so a URL or token that a third of the rows
-has is combined before the shuffle; the index is as large as the rules, and Spark broadcasts it only
-below its own threshold.
+Labels are what the explicit rules say of the URLs that they fit, so the mined rules carry over to
+other hosts what these URLs have in common; a table of labels by page can be given instead.
+A rule needs `min_count` labelled URLs, and `min_support` of them all, which bounds how many token sets
+FP-growth can find frequent.
+
+DataFrame operations only. Distinct URLs are matched. A URL that more than 1/200 of the looked-up rows
+have is one of fewer than 200, whose verdicts are broadcast; the rows of the others are dealt by URL.
+Rows without a URL, or with an explicit rule, are not dealt at all.
 
 Defined cases: a null URL or one without `://` has an empty host and path, no tokens, and gets
-`allow`; without labels no rule is mined; labels that are null are not used; repeated rows get the
-same verdict each; columns with a result's name are replaced.
+`allow`; so does an empty one; a URL of any length is one row; without labels no rule is mined; labels
+that are null are not used, of several for a page one `block` suffices; repeated rows get the same verdict
+each; of rules alike in confidence, support and text there is one; an empty table gives an empty result;
+columns with a result's name are replaced, others of any name pass through.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import written
+from textloom.llm.common import fresh, join_hot, written
 
 #: The rules of the contract, (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -61,45 +68,50 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, every).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, *, min_support: float = 0.02, min_count: int = 50, min_confidence: float = 0.6) -> DataFrame:
+def mine(labelled: DataFrame, *, min_support: float = 0.001, min_count: int = 10, min_confidence: float = 0.6, min_lift: float = 1.2) -> DataFrame:
     """labelled: tokens, block (boolean). Rules: antecedent, rarest, confidence, support (rows with antecedent and label)."""
-    n = labelled.count()
     schema = "antecedent array<string>, rarest string, confidence double, support double"
-    if not n:
-        return labelled.sparkSession.createDataFrame([], schema)
-    items = labelled.select(F.when(F.col("block"), F.array_append("tokens", F.lit("=block"))).otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
-    least = min(1.0, max(min_support, min_count / n))
+    n, blocked = labelled.agg(F.count("*"), F.count_if("block")).first()
     # where not even the label is frequent, no rule can be; that count costs less than mining
-    if labelled.where("block").count() < least * n:
+    if not n or blocked < max(min_support * n, min_count):
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(items)
+    items = labelled.select(F.when(F.col("block"), F.array_append("tokens", F.lit("=block"))).otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / n)), minConfidence=min_confidence).fit(items)
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    rules = model.associationRules.where(F.col("consequent")[0] == "=block").select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support")
+    rules = model.associationRules.where((F.col("consequent")[0] == "=block") & (F.col("lift") >= min_lift)).select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support")
     each = rules.select("*", F.explode("antecedent").alias("token")).join(single, "token")
     return each.groupBy("antecedent", "confidence", "support").agg(F.min(F.struct("freq", "token"))["token"].alias("rarest")).select("antecedent", "rarest", "confidence", "support")
 
 
 def match(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """Distinct urls that some rule matches, with the best rule: url, mined (antecedent as text), confidence."""
-    posted = urls.where(F.col(url).isNotNull()).select(F.col(url).alias("url")).distinct().withColumn("tokens", tokens_of(F.col("url")))
-    looked = posted.select("url", "tokens", F.explode("tokens").alias("rarest")).join(rules, "rarest")
+    """Distinct urls that some rule matches, with the best rule: url, n (rows that have it), mined (antecedent as text)."""
+    posted = urls.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("url")).agg(F.count("*").alias("n")).withColumn("tokens", tokens_of(F.col("url")))
+    looked = posted.select("url", "n", "tokens", F.explode("tokens").alias("rarest")).join(rules, "rarest")
     full = looked.where(F.size(F.array_except("antecedent", "tokens")) == 0)
-    best = full.groupBy("url").agg(F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.array_join("antecedent", " ").alias("mined")))["mined"].alias("mined"))
-    return best
+    best = F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.array_join("antecedent", " ").alias("mined")))["mined"]
+    return full.groupBy("url", "n").agg(best.alias("mined"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, *, rules=RULES, url: str = "url", page_id: str = "page_id", label_id: str = "doc_id", **options) -> DataFrame:
-    """pages with host, path, rule, verdict and mined (the antecedent that blocked, if any). labels: label_id, block."""
-    known = labels.where("block is not null").groupBy(F.col(label_id).alias("_id")).agg(F.bool_or("block").alias("block"))
-    labelled = pages.join(known, pages[page_id] == known["_id"]).select(tokens_of(F.col(url)).alias("tokens"), "block")
-    found = written(mine(written(labelled, "url-labelled"), **options), "url-rules")
-    host, path = host_of(F.col(url)), path_of(F.col(url))
+def judge(pages: DataFrame, labels: DataFrame | None = None, *, rules=RULES, url: str = "url", page_id: str = "page_id", label_id: str = "doc_id", **options) -> DataFrame:
+    """pages with host, path, rule, verdict and mined (the antecedent that blocked, if any). labels: label_id, block; if not given, the explicit rules' verdicts."""
+    result = ["host", "path", "rule", "verdict", "mined"]
+    rest = pages.drop(*result)
+    explicitly, key = fresh(rest, "explicitly"), fresh(rest, "key")
     rule, verdict = explicit(F.col("host"), F.col("path"), rules)
-    judged = pages.drop("host", "path", "rule", "verdict", "mined").withColumns({"host": host, "path": path}).withColumns({"rule": rule, "_verdict": verdict})
-    best = match(judged.where("rule is null"), found, url).withColumnRenamed("url", "_url")
-    joined = judged.join(best, (judged[url] == best["_url"]) & judged["rule"].isNull(), "left")
-    final = F.coalesce("_verdict", F.when(F.col("mined").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
-    return joined.withColumn("verdict", final).drop("_verdict", "_url")
+    judged = rest.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).withColumns({"rule": rule, explicitly: verdict})
+    if labels is None:
+        known = judged.where(F.col(explicitly).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), (F.col(explicitly) == "block").alias("block"))
+    else:
+        said = labels.where("block is not null").groupBy(F.col(label_id).alias("i")).agg(F.bool_or("block").alias("block"))
+        known = pages.select(F.col(page_id).alias("i"), tokens_of(F.col(url)).alias("tokens")).join(said, "i").select("tokens", "block")
+    found = written(mine(written(known, "url-labelled"), **options), "url-rules")
+    asked = judged["rule"].isNull() & (F.instr(url, "://") > 0)
+    open_ = judged.where(asked).withColumn(key, F.col(url))
+    best = written(match(open_, found, url).withColumnRenamed("url", key), "url-verdicts")
+    by_rule = join_hot(open_, best, [key], open_.count(), how="left").drop("n")
+    decided = judged.where(F.coalesce(~asked, F.lit(True))).withColumn("mined", F.lit(None).cast("string"))
+    both = decided.unionByName(by_rule.drop(key))
+    return both.withColumn("verdict", F.coalesce(F.col(explicitly), F.when(F.col("mined").isNotNull(), "block").otherwise("allow"))).drop(explicitly)
 
 
 #: The rules by counting every subset of the labelled URLs' tokens.
@@ -121,12 +133,12 @@ t AS (
       || list_transform(list_filter(string_split(array_to_string(l[1:greatest(len(l) - 2, 0)], '-'), '-'), lambda x: x <> ''), lambda x: 'word:' || x)
       || list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'path:' || regexp_replace(x, '[0-9]+', '#', 'g'))
       || list_transform(list_filter(string_split(regexp_extract(url, '(?s)\?([^#]*)', 1), '&'), lambda x: x <> ''), lambda x: 'key:' || string_split(x, '=')[1])) ELSE [] END AS tokens FROM e),
-y AS (SELECT doc_id, bool_or(quality = 0) AS block FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-g AS (SELECT list_sort(tokens) AS tokens, block FROM t JOIN y ON t.page_id = y.doc_id),
-n AS (SELECT count(*) AS n FROM g),
+g AS (SELECT list_sort(tokens) AS tokens, rule IN ('net/', 'example.com/de/') AS block FROM t WHERE rule IS NOT NULL),
+n AS (SELECT count(*) AS n, count(*) FILTER (block) AS blocked FROM g),
 m AS (SELECT list_filter(tokens, lambda x, i: (b >> (i - 1)) % 2 = 1) AS items, block FROM g, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS u(b)),
 r AS (SELECT items, count(*) FILTER (block) / count(*) AS confidence, count(*) FILTER (block) AS support FROM m GROUP BY items
-      HAVING count(*) FILTER (block) >= ceil((SELECT least(1.0, greatest(0.02, 50 / n)) * n FROM n)) AND count(*) FILTER (block) / count(*) >= 0.6)
+      HAVING count(*) FILTER (block) >= ceil((SELECT least(1.0, greatest(0.001, 10 / n)) * n FROM n)) AND count(*) FILTER (block) / count(*) >= 0.6
+      AND count(*) FILTER (block) / count(*) / (SELECT blocked / n FROM n) >= 1.2)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN EXISTS (SELECT 1 FROM r WHERE list_has_all(t.tokens, r.items)) THEN 'block' ELSE 'allow' END AS verdict
