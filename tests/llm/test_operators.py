@@ -131,7 +131,7 @@ def test_near_duplicates_odd_cases(spark):
     assert {(0, 0, True), (1, 1, True), (None, None, True), (5, 5, True), (6, 5, False)} <= got and out.count() == 12
     assert nearest.near_duplicates(odd_docs(spark).limit(0)).count() == 0
     kept = nearest.keep_one(odd_docs(spark))
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted([(False, i) for i in (0, 1, 2, 3, 4, 5, 7)] + [(True, 0)])
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted([(False, i) for i in (0, 1, 2, 2, 3, 4, 5, 7)] + [(True, 0)])  # id 2 has two texts
 
 
 def test_an_id_with_several_texts_is_one_node(spark):
@@ -141,6 +141,18 @@ def test_an_id_with_several_texts_is_one_node(spark):
     assert found == {9: 3, 3: 3, 7: 3, 8: 8}
 
 
+def test_keep_one_keeps_every_distinct_text(spark):
+    """Of texts that share an id one may go as a copy of another document's; the others stay."""
+    a, b, c, d = sentences(8, 4)
+    rows = [(9, a), (9, b), (9, b), (3, b + " x"), (7, a + " y"), (8, c), (9, d), (3, b + " x"), (None, a), (8, None)]
+    kept = nearest.keep_one(spark.createDataFrame(rows, "doc_id long, text string").withColumn("own", F.lit(1)), percent=50)
+    assert kept.columns == ["doc_id", "text", "own"]
+    left = [(i, t) for i, t, _ in rows_of(kept)]
+    assert len(left) == len(set(left)) == 6
+    assert {(8, c), (9, d), (None, a), (8, None)} <= set(left)
+    assert len({(9, a), (7, a + " y")} & set(left)) == 1 and len({(9, b), (3, b + " x")} & set(left)) == 1
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 101)], "a long, b long")
     assert dict(rows_of(graph.components(edges))) == {i: 0 for i in range(61)} | {i: 100 for i in (100, 101, 102)}
@@ -274,6 +286,22 @@ def test_repeats_to_the_byte(spark, most):
     assert [tuple(x) for x in out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").orderBy("doc_id").collect()] == [(i, *x) for i, x in enumerate(repeats.brute_force(texts, 80))]
 
 
+def test_shorter_repeats_are_counted(spark):
+    texts = repeat_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = repeats.remove_repeats(docs, width=80, short=50, gram=20)
+    assert [tuple(x) for x in out.select("n_removed", "n_repeated").orderBy("doc_id").collect()] == [(w[1], s[1]) for w, s in zip(repeats.brute_force(texts, 80), repeats.brute_force(texts, 50))]
+
+
+def test_texts_longer_than_a_part(monkeypatch):
+    monkeypatch.setattr(repeats, "_POS", 8)
+    data = np.frombuffer(("abcdefg hijk " * 90).encode() + bytes(range(200)), np.uint8)
+    _, at, first, last = repeats.anchors(data, 40, 10)
+    starts = np.concatenate([np.arange(f, e + 1) for f, e in zip(first, last)])
+    assert starts.tolist() == list(range(len(data) - 39))
+    assert ((at >= last) & (at <= first + 30)).all()
+
+
 def test_repeats_odd_cases(spark):
     docs = odd_docs(spark)
     out = sorted(map(tuple, repeats.remove_repeats(docs, width=20, gram=5).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))

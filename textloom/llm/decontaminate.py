@@ -6,13 +6,16 @@ every word of an item) is looked up by binary search, which gives the interval o
 suffixes that match it verbatim, so all locations, and from neighbouring matches on one diagonal
 the longest match. Documents with a match are contaminated.
 
-The benchmark is read on the driver in blocks of at most `block_bytes` of text, and each block's
-search runs over all documents; hits of the blocks are united, so a benchmark of any size gives
-the same result. Nothing is shuffled.
-
-Defined cases: a null or wordless text has no words and no hits; null or wordless items are
-ignored; repeated rows are judged one by one; items that share an id count once; with no items
-nothing is hit; columns of the documents that bear a result's name are replaced.
+The benchmark is read on the driver in blocks of at most `block_bytes` of text. Each block's search
+runs over all documents, and where there are several its hits are written before the next block is
+read, so neither the driver nor a task ever holds more than one block; hits of the blocks are united,
+so a benchmark of any size gives the same result. Nothing is shuffled.
+
+Defined cases: a null or wordless text has no words and no hits; null or wordless texts of items are
+ignored; an item without an id hits words but is not among the item ids; repeated rows are judged one
+by one, those of items count once for an id; matches that tie in length are all hits; very long texts
+are searched whole; with no items nothing is hit; an empty table gives an empty result; columns of the
+documents that bear a result's name are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import with_columns
+from textloom.llm.common import drop_written, once, with_columns, written
 
 #: A-Z become a-z; other ASCII bytes that are neither digits nor letters part words; bytes from 0x80 belong to words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -40,7 +43,7 @@ class Windows:
 
     def __init__(self, items: list[tuple], window: int):
         self.window, self.vocabulary = window, {}
-        self.ids: list[str] = sorted({str(i) for i, _ in items})
+        self.ids: list[str] = sorted({str(i) for i, _ in items if i is not None})
         at = {x: k for k, x in enumerate(self.ids)}
         rows, item, offset, length = [], [], [], []
         for i, text in items:
@@ -48,7 +51,7 @@ class Windows:
             m = min(window, len(ids))
             for p in range(len(ids) - m + 1 if ids else 0):
                 rows.append(ids[p : p + m] + [0] * (window - m))
-                item.append(at[str(i)])
+                item.append(-1 if i is None else at[str(i)])
                 offset.append(p)
                 length.append(m)
         self.rows = np.array(rows, dtype=np.int64).reshape(-1, window)
@@ -125,7 +128,8 @@ def _judge(windows: Windows, texts: list[str | None]):
             k = int(np.searchsorted(begin, s, side="right")) - 1
             spans[k].append({"start": int(s - begin[k]), "end": int(e - begin[k])})
         for k, i in np.unique(np.stack([doc, windows.item[which]], axis=1), axis=0):
-            items[k].append(windows.ids[i])
+            if i >= 0:
+                items[k].append(windows.ids[i])
         diagonal = position - windows.offset[which]
         order = np.lexsort((position, diagonal, windows.item[which]))
         p, d, i = position[order], diagonal[order], windows.item[which][order]
@@ -140,27 +144,31 @@ SCHEMA = "n_words long, hit_spans array<struct<start: long, end: long>>, item_id
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
     """docs with n_words, hit_spans (word offsets of hit runs), item_ids (of items with a match, sorted as strings) and longest_match (words)."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null and i is not null")
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / block_bytes))
     out = docs
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        held = [(r.i, r.t) for r in part.toLocalIterator()]
+        held = sorted(((r.i, r.t) for r in part.toLocalIterator()), key=repr)
+        key = hashlib.sha256(repr((window, held)).encode()).hexdigest()
 
-        def judge(batch, held=held, first=b == 0, state={}):  # noqa: B006  one search structure a worker
+        def judge(batch, held=held, key=key, first=b == 0):
             import pyarrow as pa
 
-            if "w" not in state:
-                state["w"] = Windows(held, window)
-            n, spans, ids, longest = _judge(state["w"], batch.column(text).to_pylist())
+            windows = once("windows", key, lambda: Windows(held, window))
+            n, spans, ids, longest = _judge(windows, batch.column(text).to_pylist())
             if not first:
                 for k, (s, i) in enumerate(zip(batch.column("hit_spans").to_pylist(), batch.column("item_ids").to_pylist())):
                     spans[k], ids[k] = _united(s, spans[k]), sorted({*i, *ids[k]})
                 longest = np.maximum(longest, batch.column("longest_match").to_numpy())
             return {"n_words": pa.array(n), "hit_spans": spans, "item_ids": ids, "longest_match": pa.array(longest)}
 
-        out = with_columns(out, judge, SCHEMA)
+        before, out = out, with_columns(out, judge, SCHEMA)
+        if b < blocks - 1:
+            out = written(out, "leaks-block")
+            if b:
+                drop_written(before)
     return out
 
 
@@ -180,7 +188,7 @@ def n_hit() -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without any verbatim match, with their own columns."""
-    return find_leaks(docs, benchmark, **options).where(F.size("item_ids") == 0).select(*docs.columns)
+    return find_leaks(docs, benchmark, **options).where(F.size("hit_spans") == 0).select(*docs.columns)
 
 
 def brute_force(docs: list[tuple], items: list[tuple], window: int = 10) -> list[tuple]:

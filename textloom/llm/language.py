@@ -130,23 +130,24 @@ class Automaton:
             nxt = self.step(state, columns[t])
             begins[t] = (nxt >= _FLAG) & live
             state = np.where(live, nxt & (_FLAG - 1), state)
-        counts, ends = begins.sum(axis=0), state.copy()
+        plain = begins.sum(axis=0)
+        counts, ends = plain.copy(), state.copy()
         entered = np.zeros(n, np.int64)
         todo = np.flatnonzero(joined)
         while len(todo):
             came = np.where(todo > 0, ends[todo - 1], entry)
             todo, came = todo[came != entered[todo]], came[came != entered[todo]]
             entered[todo] = came
-            changed = self._enter(columns, size, begins, counts, ends, state, todo, came)
+            changed = self._enter(columns, size, begins, plain, counts, ends, state, todo, came)
             todo = changed[changed + 1 < n] + 1
             todo = todo[joined[todo]]
         return counts, int(ends[-1])
 
-    def _enter(self, columns, size, begins, counts, ends, plain, todo, came) -> np.ndarray:
+    def _enter(self, columns, size, begins, plain, counts, ends, plain_ends, todo, came) -> np.ndarray:
         """Parses the rows todo from their states came; the rows whose end changes."""
-        left = begins[:, todo].sum(axis=0)  # phrases of the plain parsing from t on
+        left = plain[todo]  # phrases of the plain parsing from t on
         own, state, active, before = np.zeros(len(todo), np.int64), came, np.arange(len(todo)), ends[todo]
-        final, done = plain[todo].copy(), np.where(came == 0, left, 0)
+        final, done = plain_ends[todo], np.where(came == 0, left, 0)
         active = np.flatnonzero(came != 0)
         state = state[active]
         for t in range(len(columns)):
@@ -217,7 +218,7 @@ class Languages:
         return out
 
 
-def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 24_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
+def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 48_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
     """A bounded sample of whole labelled texts for each language of docs, on the driver: languages x letters_per_lang letters."""
     order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id, text)
     rows = docs.where(F.col(lang).isNotNull() & F.length(text).between(1, letters_per_lang)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts_per_lang)

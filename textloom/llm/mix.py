@@ -16,8 +16,10 @@ tables that the final filter joins have one row a source; Spark broadcasts them
 are below its threshold.
 
 Defined cases: null text has size 0; null source is a source of its own, last; rows that share
-an id share a hash and are taken or left together; a source of size 0 has target 0; an empty
-table gives an empty result; columns with a result's name are replaced.
+an id share a hash and are taken or left together, so a source whose words stand mostly in rows of one
+id, or in one very long document, misses its target by up to these; documents that tie in their first
+36 bits likewise; a source of size 0 has target 0; an empty table gives an empty result; columns with a
+result's name are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, written
+from textloom.llm.common import WORD, fresh, written
 
 LEVELS, BITS = 3, 12
 
@@ -65,8 +67,9 @@ def targets(sizes: DataFrame, *, weights: tuple[int, ...], share: float, cap: fl
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", source: str = "source", text: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (size * copies), for every document. With keep=True also the other columns of docs."""
-    base = docs.withColumns({"size": size_of(F.col(text)), "_key": _key(source), "_hash": _hash(doc_id)})
-    narrow = written(base.select(doc_id, source, "size", "_key", "_hash"), "mix-sizes")
+    key, hashed, whole_, threshold = (fresh(docs, x) for x in ("key", "hash", "whole", "threshold"))
+    base = docs.withColumns({"size": size_of(F.col(text)), key: _key(source), hashed: _hash(doc_id)})
+    narrow = written(base.select(doc_id, source, "size", F.col(key).alias("_key"), F.col(hashed).alias("_hash")), "mix-sizes")
     sizes = narrow.groupBy(F.col("_key").alias("key")).agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     plan = written(targets(sizes, weights=weights, share=share, cap=cap).withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
@@ -80,11 +83,11 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float =
         over = histogram.withColumn("upto", so_far).where("upto > rest")
         bound = written(over.groupBy("key").agg(F.min(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("size")).alias("rest"))).alias("b")).select("key", F.col("b.bucket").alias("prefix"), F.col("b.rest").alias("rest")), f"mix-level{level}")
 
-    chosen = plan.join(bound.select("key", F.col("prefix").alias("threshold")), "key", "left").withColumnRenamed("key", "_key").select("_key", "source_size", "target", "whole", "threshold")
-    rows = base if keep else narrow
-    below = F.coalesce((F.shiftright("_hash", 60 - BITS * LEVELS) < F.col("threshold")).cast("int"), F.lit(0))
-    done = rows.drop("source_size", "target", "copies", "taken", "whole", "threshold").join(chosen, "_key").withColumn("copies", F.col("whole") + below).withColumn("taken", F.col("size") * F.col("copies"))
-    return done.drop("_key", "_hash", "whole", "threshold")
+    chosen = plan.join(bound.select("key", F.col("prefix").alias(threshold)), "key", "left").select(F.col("key").alias(key), "source_size", "target", F.col("whole").alias(whole_), threshold)
+    rows = base if keep else narrow.withColumnsRenamed({"_key": key, "_hash": hashed})
+    below = F.coalesce((F.shiftright(hashed, 60 - BITS * LEVELS) < F.col(threshold)).cast("int"), F.lit(0))
+    done = rows.drop("source_size", "target", "copies", "taken").join(chosen, key).withColumn("copies", F.col(whole_) + below).withColumn("taken", F.col("size") * F.col("copies"))
+    return done.drop(key, hashed, whole_, threshold)
 
 
 #: The mix by a window over all documents of a source.

@@ -9,7 +9,8 @@
 2. Texts with the same set are one class, named by its smallest document id; copies never meet in
    pairs. Only classes go on.
 3. In every band's bucket each class is paired with the bucket's smallest (a star), and the distinct
-   pairs are confirmed on the full sets. Connected components of the confirmed pairs follow.
+   pairs are confirmed on the full sets; the set of a class that heads many pairs is repeated for every
+   500 of them, so its pairs are dealt to as many tasks. Connected components of the confirmed pairs follow.
 4. What a star can miss are links between two components that meet in a bucket. The larger of them
    is the hub: its members, and those of all smaller components that meet it, are compared once by
    an inverted index, in chunks of bounded size; a confirmed link joins two components. Buckets with
@@ -22,7 +23,9 @@ has a chance below 1e-6.
 Defined cases: null and wordless texts have an empty set, are linked with nothing and kept; a text
 with fewer words than a shingle is one shingle of all its words; rows that share an id are one node
 and keep alike; rows with a null id are linked with nothing, have a null component and are kept;
-ties do not occur, as the smallest id is unique; columns with a result's name are replaced.
+very long texts are read whole, one at a time; ties do not occur, as the smallest id is unique; an
+empty table gives an empty result. keep_one, which filters, keeps all columns of any name, and judges
+different texts of one id each by itself.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import drop_written, written
+from textloom.llm.common import drop_written, fresh, join_hot, written
 from textloom.llm.graph import components
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))  # fixed values: odd mixing constants
@@ -141,7 +144,7 @@ def _sets(size: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, deal: int = 500) -> DataFrame:
     """Of distinct pairs (a, b) those whose sets are similar enough."""
     left, right = sets.select(F.col("rep").alias("a"), F.col("sets").alias("x")), sets.select(F.col("rep").alias("b"), F.col("sets").alias("y"))
 
@@ -149,7 +152,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         both = F.size(F.array_intersect(p, q))
         return 100 * both >= percent * (F.size(p) + F.size(q) - both)
 
-    joined = pairs.join(right, "b").join(left, "a")
+    # a class that heads many pairs has its set repeated, so that its pairs part into tasks of `deal`
+    many = written(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-heads")
+    parts = F.ceil(F.col("n") / deal).cast("int")
+    dealt = join_hot(pairs, many, ["a"], pairs.count()).select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("s"))
+    heads = left.join(many, "a").select("a", "x", F.explode(F.sequence(F.lit(0), parts - 1)).alias("s"))
+    joined = dealt.join(right, "b").join(heads, ["a", "s"])
     return joined.where(F.exists("x", lambda p: F.exists("y", lambda q: similar(p, q)))).select("a", "b")
 
 
@@ -197,10 +205,10 @@ def _between(members: DataFrame, stars: DataFrame, known: DataFrame, sets: DataF
     """Links (a, b) between components that meet in a bucket and that no star has tested. members: band, rep; known: node, label of linked nodes."""
     labelled = members.join(known, members["rep"] == known["node"], "left").select("band", "rep", F.coalesce("label", "rep").alias("label"), F.col("node").isNull().alias("single"))
     labelled = written(labelled, "near-labelled")
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    met = written(labelled.join(mixed, "band"), "near-met")
-    counted = met.select("band", "label").distinct().groupBy("band").count().select("band", (F.col("count") > wide).alias("is_wide"))
-    open_ = written(met.join(counted, "band"), "near-open")
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high").select("band", "n")
+    met = written(join_hot(labelled, written(mixed, "near-mixed"), ["band"], labelled.count()).drop("n"), "near-met")
+    counted = met.groupBy("band", "label").count().groupBy("band").agg(F.sum("count").alias("n"), (F.count("*") > wide).alias("is_wide"))
+    open_ = written(join_hot(met, written(counted, "near-counted"), ["band"], met.count()).drop("n"), "near-open")
     parts = open_.where("not is_wide").select("band", "label", "single").distinct()
     left, right = parts.select("band", F.col("label").alias("p"), F.col("single").alias("p1")), parts.select("band", F.col("label").alias("q"), F.col("single").alias("q1"))
     pairs = left.join(right, "band").where("p < q").select("p", "q", (F.col("p1") & F.col("q1")).alias("tested")).distinct()
@@ -209,7 +217,7 @@ def _between(members: DataFrame, stars: DataFrame, known: DataFrame, sets: DataF
     within = open_.select("rep", "label").distinct()  # members that share a bucket with another component
     each = F.aggregate("sets", F.lit(0).cast("long"), lambda n, x: n + F.size(x))
     member = written(within.join(sets.select("rep", each.alias("n")), "rep"), "near-open-members")
-    size = member.groupBy("label").agg(F.sum("n").alias("n"))
+    size = written(member.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("rows")), "near-sizes")
     # the larger of two components is the hub: its members go once to a task, with those of all smaller ones that meet it
     both = pairs.join(size.select(F.col("label").alias("p"), F.col("n").alias("np")), "p").join(size.select(F.col("label").alias("q"), F.col("n").alias("nq")), "q")
     larger = F.col("np") >= F.col("nq")
@@ -217,14 +225,15 @@ def _between(members: DataFrame, stars: DataFrame, known: DataFrame, sets: DataF
     parts_of = lambda n: (F.floor(n / chunk) + 1).cast("int")
     hubs = spokes.groupBy("hub").agg(parts_of(F.max("n")).alias("lefts"), parts_of(F.sum("m")).alias("rights"))
     key = lambda *c: F.array(*[x.cast("long") if not isinstance(x, str) else F.col(x).cast("long") for x in c])
-    of_hub = member.join(hubs, member["label"] == hubs["hub"]).withColumn("l", F.pmod(F.xxhash64("rep"), F.col("lefts"))).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    sized = written(hubs.join(size.select(F.col("label").alias("hub"), F.col("rows")), "hub").withColumnRenamed("hub", "label"), "near-hubs")
+    of_hub = join_hot(member.drop("n"), sized, ["label"], member.count(), n="rows").withColumn("hub", F.col("label")).withColumn("l", F.pmod(F.xxhash64("rep"), F.col("lefts"))).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
     tasks = of_hub.select(key("hub", F.lit(-2), "l", "r").alias("task"), F.lit("L").alias("side"), "rep", "label")
     of_spoke = spokes.select("hub", "spoke").join(hubs, "hub").join(member, F.col("spoke") == member["label"]).withColumn("r", F.pmod(F.xxhash64("rep"), F.col("rights"))).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
     tasks = tasks.union(of_spoke.select(key("hub", F.lit(-2), "l", "r").alias("task"), F.lit("R").alias("side"), "rep", "label"))
     # wide buckets: blocks i <= j of the bucket's classes
-    broad = open_.where("is_wide").join(member.select("rep", "n"), "rep")
-    blocks = broad.groupBy("band").agg(parts_of(F.sum("n")).alias("blocks"))
-    cut = broad.join(blocks, "band").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    broad = written(open_.where("is_wide").join(member.select("rep", F.col("n").alias("size")), "rep"), "near-broad")
+    blocks = written(broad.groupBy("band").agg(parts_of(F.sum("size")).alias("blocks"), F.count("*").alias("n")), "near-blocks")
+    cut = join_hot(broad, blocks, ["band"], broad.count()).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.union(cut.select(key("band", F.lit(-1), F.least("i", "j"), F.greatest("i", "j")).alias("task"), F.when(F.col("i") == F.col("j"), "S").when(F.col("i") < F.col("j"), "L").otherwise("R").alias("side"), "rep", "label"))
     loaded = tasks.join(sets, "rep").select("task", "side", "rep", "label", F.explode("sets").alias("own"))
     return loaded.groupBy("task").applyInArrow(_linked(percent), "a long, b long")
@@ -263,9 +272,21 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, ban
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs with one row of each group; rows without words or without an id all stay."""
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
-    single = left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-    return single.union(left.where(F.col(doc_id).isNull()))
+    """docs with one row of each group; rows without words or without an id all stay, but repeats of a row in id and text go. Different texts of one id are documents of their own: each has its own group."""
+    node, which = fresh(docs, "node"), fresh(docs, "which")
+    rows = docs.withColumns({node: F.col(doc_id).cast("long"), which: F.xxhash64(text)})
+    per_id = rows.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("i")).agg(F.min(which).alias("a"), F.max(which).alias("z"), F.count("*").alias("n"))
+    several = written(per_id.where("a < z").select("i", "n"), "near-ids")
+    if several.limit(1).count():
+        # their texts get numbers below all ids; written, so that they stay what they are
+        low = rows.agg(F.least(F.min(node), F.lit(0).cast("long"))).first()[0]
+        texts = join_hot(rows.select(F.col(node).alias("i"), F.col(which).alias("w")), several, ["i"], rows.count()).groupBy("i", "w").agg(F.count("*").alias("n"))
+        texts = texts.repartition("i", "w").sortWithinPartitions("i", "w").withColumn("own", F.lit(low) - 1 - F.monotonically_increasing_id())
+        own, n = fresh(rows, "own"), fresh(rows, "n")
+        texts = written(texts.withColumnsRenamed({"i": node, "w": which, "own": own, "n": n}), "near-texts")
+        rows = join_hot(rows, texts, [node, which], rows.count(), n=n, how="left").withColumn(node, F.coalesce(own, node))
+    found = near_duplicates(rows.select(node, text), doc_id=node, text=text, **options)
+    gone = found.where("not kept").select(F.col("doc_id").alias(node)).distinct()
+    left = rows.join(gone, node, "left_anti")
+    single = left.where(F.col(node).isNotNull()).dropDuplicates([node])
+    return single.unionByName(left.where(F.col(node).isNull())).select(*docs.columns)

@@ -1,8 +1,9 @@
 """Quality classifier: document statistics, random Fourier features, ridge, isotonic calibration.
 
 1. Every whole text becomes `len(NAMES)` statistics (lengths, shares of character classes, word
-   and line repetition). They are written once, for all documents, in the shared folder.
-2. The fit takes at most `max_rows` labelled rows, those with the lowest hash of the id. Their
+   and line repetition), in the pass that scores it.
+2. The fit takes at most `max_rows` labelled rows, those with the lowest hash of the id (of an id's rows
+   the one with the smallest hash of its text); only their statistics are computed beforehand. Their
    standardised statistics go through random Fourier features cos(Wx + b), whose inner products
    approximate a Gaussian kernel. Each partition sums Z'Z and Z'y; the sums of the (at most
    `parts`) partitions meet on the driver, which solves the ridge equations.
@@ -13,8 +14,9 @@ Only the fit is bounded; statistics and scores cover all documents, each by itse
 
 Defined cases: null text has the statistics of an empty one and gets a score; without labelled
 rows, or with one class only, every score is the labelled share of 1 (0.5 without any label);
-labels that are null are not used, several labels of an id count as their mean rounded down;
-columns with a result's name are replaced.
+labels that are null are not used, several labels of an id count as their mean rounded down; scores
+that tie are calibrated alike; very long texts are read whole, one at a time; repeated rows score alike;
+an empty table gives an empty result; columns with a result's name are replaced.
 """
 
 from __future__ import annotations
@@ -170,24 +172,17 @@ def fit(rows: DataFrame, *, features: int = 256, ridge: float = 1e-3, width: flo
 
 def score_quality(docs: DataFrame, labels: DataFrame, *, learn=None, max_rows: int = 24_000, parts: int = 8, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", keep: bool = False, **options) -> DataFrame:
     """doc_id, score, predicted for every row of docs (with keep=True, docs' own columns too). labels: doc_id and label (0 or 1). learn: from an id's column to a condition for rows to learn from."""
-    stats = written(with_statistics(docs.select(doc_id, text), text), "quality-stats")
     y = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.floor(F.avg(label)).cast("int").alias("y"))
-    known = stats.where(learn(F.col(doc_id))) if learn is not None else stats
-    sampled = lowest(known.join(y, known[doc_id] == y["_id"]).select("_stats", "y", F.col("_id").alias("i")), F.col("i"), max_rows)
-    rows = written(sampled.withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "i"), F.lit(4)) == 0).cast("int")).repartition(parts, "i"), "quality-sample").select("_stats", "y", "part")
+    ids = docs.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct()
+    known = (ids.where(learn(F.col("_id"))) if learn is not None else ids).join(y, "_id")
+    picked = written(lowest(known, F.col("_id"), max_rows), "quality-ids")
+    read = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t"), F.xxhash64(text).alias("_w")).join(F.broadcast(picked), "_id")  # at most max_rows rows
+    one = with_statistics(read, "_t").groupBy("_id", "y").agg(F.min_by("_stats", "_w").alias("_stats"))
+    rows = written(one.withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "_id"), F.lit(4)) == 0).cast("int")).repartition(parts, "_id"), "quality-sample").select("_stats", "y", "part")
     model = fit(rows, **options)
 
-    def scored(x: np.ndarray) -> dict:
-        s = model.score(x)
+    def score(batch):
+        s = model.score(np.array([np.float32(statistics(t)) for t in batch.column(text).to_pylist()], dtype=np.float64).reshape(-1, len(NAMES)))
         return {"score": s, "predicted": (s >= threshold).astype(np.int32)}
 
-    if not keep:
-        def run(batch):
-            return scored(np.array(batch.column("_stats").to_pylist(), dtype=np.float64).reshape(-1, len(NAMES)))
-
-        return with_columns(stats, run, "score double, predicted int", drop=("_stats",))
-
-    def again(batch):  # cheaper than a shuffle of all texts to join the written statistics
-        return scored(np.array([np.float32(statistics(t)) for t in batch.column(text).to_pylist()], dtype=np.float64).reshape(-1, len(NAMES)))
-
-    return with_columns(docs, again, "score double, predicted int")
+    return with_columns(docs if keep else docs.select(doc_id, text), score, "score double, predicted int", drop=() if keep else (text,))

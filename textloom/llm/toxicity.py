@@ -14,9 +14,10 @@ Only the training sample is bounded (`max_positive`, `max_unlabelled` rows, lowe
 id); every whole text is scored. The prior is the toxic share of the labelled rows unless given.
 Scoring knows the chosen features as the sample writes them, so it takes set intersections only.
 
-Defined cases: null and empty texts score as texts without a feature; without any positive row
-every score is 0; without unlabelled rows the prior; repeated rows score alike; columns with a
-result's name are replaced.
+Defined cases: null and empty texts score as texts without a feature; very long ones are read whole;
+without any positive row every score is 0; without unlabelled rows the prior; repeated rows score alike,
+and of an id's rows the one with the smallest hash of its text is learned from; features that tie are
+taken by their number; an empty table gives an empty result; columns with a result's name are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import lowest, with_columns, written
+from textloom.llm.common import lowest, once, with_columns, written
 
 #: Lower-cased text is cut at ASCII bytes that are neither letters nor digits.
 _CUT = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -139,13 +140,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn=None, prior: flo
     share = both.where("_y >= 0").agg(F.avg("_y")).first()[0] or 0.0
     picked = lowest(both.where("_y = 1"), F.col("_id"), max_positive).union(lowest(both.where("_y < 1"), F.col("_id"), max_unlabelled))
     picked = written(picked, "toxicity-sample")
-    sample = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(picked), "_id")  # at most max_positive + max_unlabelled rows
+    sample = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t"), F.xxhash64(text).alias("_w")).join(F.broadcast(picked), "_id")  # at most max_positive + max_unlabelled rows
 
     def read(batch):
         return {"_f": [feature_ids(t) for t in batch.column("_t").to_pylist()]}
 
     groups: list[list[np.ndarray]] = [[], []]
-    rows = written(with_columns(sample, read, "_f array<int>"), "toxicity-features")
+    rows = with_columns(sample, read, "_f array<int>").groupBy("_id", "_y").agg(F.min_by(F.struct("_f", "_t"), "_w").alias("x"))
+    rows = written(rows.select("_id", "_y", "x._f", "x._t"), "toxicity-features")
     for r in sorted(rows.select("_id", "_y", "_f").toLocalIterator(), key=lambda r: r._id):
         groups[r._y != 1].append(np.sort(np.array(r._f, dtype=np.int32)))
     prior = share if prior is None else prior
@@ -161,10 +163,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn=None, prior: flo
     named = with_columns(rows.select("_t"), name, "_n array<binary>", drop=("_t",)).select(F.explode("_n").alias("n")).distinct()
     names = sorted(bytes(r.n) for r in named.toLocalIterator())  # a few for each chosen feature
 
-    def run(batch, state={}):  # noqa: B006  built once a worker
-        if "s" not in state:
-            state["s"] = Scorer(names, *model)
-        s = np.array([state["s"].score(t) for t in batch.column(text).to_pylist()], dtype=np.float64)
+    key = zlib.crc32(repr((names, [np.asarray(x).tobytes() for x in model])).encode())
+
+    def run(batch):
+        scorer = once("toxicity", key, lambda: Scorer(names, *model))
+        s = np.array([scorer.score(t) for t in batch.column(text).to_pylist()], dtype=np.float64)
         return {"score": s, "predicted": (s >= 0.5).astype(np.int32)}
 
     return with_columns(docs, run, "score double, predicted int")

@@ -2,8 +2,9 @@
 
 Each unit of a text is normalised (lower case, runs of ASCII whitespace as one blank, ends trimmed)
 and digested to 128 bits. Digests are grouped over all documents by their smallest document id, which
-is a partial aggregate of three numbers, so a line that stands in a third of the documents is one
-row a task. A unit stays if its document is the smallest that has it and it is the first in that
+is a partial aggregate of a few numbers, so a line that stands in a third of the documents is one
+row a task. A digest that more than 1/200 of all units have is one of fewer than 200; these are broadcast,
+so their rows stay where they are. A unit stays if its document is the smallest that has it and it is the first in that
 document; every other occurrence goes, and its place in the original text is kept as a span.
 
 With sentences=True a line's sentences are units too, so that a passage inside lines that differ
@@ -18,7 +19,8 @@ In scripts without blanks each character then counts as a word.
 
 Defined cases: null text stays null with no units; empty text has no units that count; rows that
 share an id rank alike and are treated as one document, so both keep what that id keeps; a null id
-ranks last; very long texts are handled row by row; columns with a result's name are replaced.
+ranks last; very long texts are handled row by row; an empty table gives an empty result; columns with a
+result's name are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import with_columns
+from textloom.llm.common import fresh, join_hot, with_columns, written
 
 _PARTS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
 _SENTENCE = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
@@ -138,6 +140,7 @@ def _left(text: str, parts: list[list[tuple[int, int]]], gone: set[int]) -> tupl
 
 def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False, min_words: int = 5, runs: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text reduced to what stays, n_units (sentences where these count, else lines), n_removed, removed_chars and spans (start and end, in characters of the original text, of each removed one)."""
+    rank_, which_, gone_ = (fresh(docs, x) for x in ("rank", "which", "gone"))
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     which = F.xxhash64(F.col(text))  # rows that share an id may differ in their texts
 
@@ -157,13 +160,14 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False,
             columns = [np.frombuffer(x, "q") for x in (ids, which, number)] + [np.ascontiguousarray(halves[:, k]) for k in (0, 1)] + [np.frombuffer(again, "?")]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["rank", "which", "unit", "high", "low", "again"])
 
-    found = docs.select(rank.alias("rank"), which.alias("which"), F.col(text).alias("t")).mapInArrow(digest, "rank long, which long, unit long, high long, low long, again boolean")
-    shared = found.groupBy("high", "low").agg(F.min("rank").alias("owner"), F.max("rank").alias("last"), F.bool_or("again").alias("repeats")).where("owner < last or repeats").select("high", "low", "owner")
-    gone = found.join(shared, ["high", "low"]).where("rank <> owner or again").groupBy(F.col("rank").alias("_rank"), F.col("which").alias("_which")).agg(F.collect_set("unit").alias("_gone"))
+    found = written(docs.select(rank.alias("rank"), which.alias("which"), F.col(text).alias("t")).mapInArrow(digest, "rank long, which long, unit long, high long, low long, again boolean"), "units-digests")
+    shared = found.groupBy("high", "low").agg(F.min("rank").alias("owner"), F.max("rank").alias("last"), F.bool_or("again").alias("repeats"), F.count("*").alias("n")).where("owner < last or repeats").select("high", "low", "owner", "n")
+    shared = written(shared, "units-shared")
+    gone = join_hot(found, shared, ["high", "low"], found.count()).where("rank <> owner or again").groupBy(F.col("rank").alias(rank_), F.col("which").alias(which_)).agg(F.collect_set("unit").alias(gone_))
 
     def rewrite(batch):
         out = {x: [] for x in ("text", "n_units", "n_removed", "removed_chars", "spans")}
-        for t, gone in zip(batch.column(text).to_pylist(), batch.column("_gone").to_pylist()):
+        for t, gone in zip(batch.column(text).to_pylist(), batch.column(gone_).to_pylist()):
             parts = pieces(t, unit, sentences)
             left, spans = _left(t, parts, _numbers(gone)) if gone else (t, [])
             out["text"].append(left)
@@ -173,8 +177,8 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False,
             out["spans"].append([{"start": s, "end": e} for s, e in spans])
         return {text: out.pop("text")} | out
 
-    joined = docs.withColumns({"_rank": rank, "_which": which}).join(gone, ["_rank", "_which"], "left")
-    return with_columns(joined, rewrite, f"`{text}` string, n_units long, n_removed long, removed_chars long, spans array<struct<start: long, end: long>>", drop=("_rank", "_which", "_gone"))
+    joined = docs.withColumns({rank_: rank, which_: F.coalesce(which, F.lit(0))}).join(gone, [rank_, which_], "left")
+    return with_columns(joined, rewrite, f"`{text}` string, n_units long, n_removed long, removed_chars long, spans array<struct<start: long, end: long>>", drop=(rank_, which_, gone_))
 
 
 #: Lines and sentences as units. U+E000 marks where a sentence's separator ends.

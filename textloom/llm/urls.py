@@ -7,9 +7,10 @@ given bounds (allow is what a URL without a rule gets). The rules form an invert
 rarest token: a URL looks up only the rules posted under its own tokens and then must hold the whole
 antecedent. The rule of highest confidence, then support, then smallest text decides.
 
-Labels are what the explicit rules say of the URLs that they fit, so the mined rules carry over to
-other hosts what these URLs have in common; a table of labels by page can be given instead.
-A rule needs `min_count` labelled URLs, and `min_support` of them all, which bounds how many token sets
+Labels are what the explicit rules say of the URLs that they fit; a table of labels by page can be given
+instead. Of tokens that only one explicit rule blocks no more is known than that rule says, so a mined
+rule may only name tokens which at least `min_rules` of them block: what blocked URLs of several rules
+have in common carries over to other hosts. A rule needs `min_count` labelled URLs, and `min_support` of them all, which bounds how many token sets
 FP-growth can find frequent.
 
 DataFrame operations only. Distinct URLs are matched. A URL that more than 1/200 of the looked-up rows
@@ -68,8 +69,8 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, every).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, *, min_support: float = 0.001, min_count: int = 10, min_confidence: float = 0.6, min_lift: float = 1.2) -> DataFrame:
-    """labelled: tokens, block (boolean). Rules: antecedent, rarest, confidence, support (rows with antecedent and label)."""
+def mine(labelled: DataFrame, *, min_support: float = 0.001, min_count: int = 10, min_confidence: float = 0.8, min_lift: float = 1.2, min_rules: int = 2) -> DataFrame:
+    """labelled: tokens, block (boolean) and, if known, by (the explicit rule that says so). Rules: antecedent, rarest, confidence, support (rows with antecedent and label)."""
     schema = "antecedent array<string>, rarest string, confidence double, support double"
     n, blocked = labelled.agg(F.count("*"), F.count_if("block")).first()
     # where not even the label is frequent, no rule can be; that count costs less than mining
@@ -80,6 +81,10 @@ def mine(labelled: DataFrame, *, min_support: float = 0.001, min_count: int = 10
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rules = model.associationRules.where((F.col("consequent")[0] == "=block") & (F.col("lift") >= min_lift)).select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support")
     each = rules.select("*", F.explode("antecedent").alias("token")).join(single, "token")
+    if "by" in labelled.columns:
+        general = labelled.where("block").select(F.explode("tokens").alias("token"), "by").distinct().groupBy("token").count().where(F.col("count") >= min_rules).select("token")
+        whole = each.join(general, "token").groupBy("antecedent").count().where(F.col("count") == F.size("antecedent")).select("antecedent")
+        each = each.join(whole, "antecedent")
     return each.groupBy("antecedent", "confidence", "support").agg(F.min(F.struct("freq", "token"))["token"].alias("rarest")).select("antecedent", "rarest", "confidence", "support")
 
 
@@ -100,7 +105,7 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, *, rules=RULES, url
     rule, verdict = explicit(F.col("host"), F.col("path"), rules)
     judged = rest.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).withColumns({"rule": rule, explicitly: verdict})
     if labels is None:
-        known = judged.where(F.col(explicitly).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), (F.col(explicitly) == "block").alias("block"))
+        known = judged.where(F.col(explicitly).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), (F.col(explicitly) == "block").alias("block"), F.col("rule").alias("by"))
     else:
         said = labels.where("block is not null").groupBy(F.col(label_id).alias("i")).agg(F.bool_or("block").alias("block"))
         known = pages.select(F.col(page_id).alias("i"), tokens_of(F.col(url)).alias("tokens")).join(said, "i").select("tokens", "block")
@@ -134,11 +139,13 @@ t AS (
       || list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'path:' || regexp_replace(x, '[0-9]+', '#', 'g'))
       || list_transform(list_filter(string_split(regexp_extract(url, '(?s)\?([^#]*)', 1), '&'), lambda x: x <> ''), lambda x: 'key:' || string_split(x, '=')[1])) ELSE [] END AS tokens FROM e),
 g AS (SELECT list_sort(tokens) AS tokens, rule IN ('net/', 'example.com/de/') AS block FROM t WHERE rule IS NOT NULL),
+o AS (SELECT token FROM (SELECT unnest(tokens) AS token, rule FROM t WHERE rule IN ('net/', 'example.com/de/')) GROUP BY token HAVING count(DISTINCT rule) >= 2),
 n AS (SELECT count(*) AS n, count(*) FILTER (block) AS blocked FROM g),
 m AS (SELECT list_filter(tokens, lambda x, i: (b >> (i - 1)) % 2 = 1) AS items, block FROM g, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS u(b)),
 r AS (SELECT items, count(*) FILTER (block) / count(*) AS confidence, count(*) FILTER (block) AS support FROM m GROUP BY items
-      HAVING count(*) FILTER (block) >= ceil((SELECT least(1.0, greatest(0.001, 10 / n)) * n FROM n)) AND count(*) FILTER (block) / count(*) >= 0.6
-      AND count(*) FILTER (block) / count(*) / (SELECT blocked / n FROM n) >= 1.2)
+      HAVING count(*) FILTER (block) >= ceil((SELECT least(1.0, greatest(0.001, 10 / n)) * n FROM n)) AND count(*) FILTER (block) / count(*) >= 0.8
+      AND count(*) FILTER (block) / count(*) / (SELECT blocked / n FROM n) >= 1.2
+      AND list_has_all((SELECT list(token) FROM o), items))
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN EXISTS (SELECT 1 FROM r WHERE list_has_all(t.tokens, r.items)) THEN 'block' ELSE 'allow' END AS verdict
