@@ -8,13 +8,13 @@ A byte goes if it lies in a window of `width` bytes that also starts elsewhere.
    document gives about 2 / (short - gram) anchors a byte; only hashes are shuffled. Anchors
    whose string occurs once are dropped.
 2. Anchors with the same string and the same surroundings (all the bytes of all their windows) are
-   copies and are sorted once, as two equal texts: digests of 64 bits for the string and 64 for the
+   copies and are sorted once, with their number: digests of 64 bits for the string and 64 for the
    surroundings name them. So a text that stands in a third of the documents is one row.
 3. One of each kind of surroundings goes, with those of the same anchor string, to one task. The text
    right of the anchors, and the reversed text left of them, are suffixes of one sequence of blocks;
    it is suffix-sorted by grouping (textloom.llm.suffixes). The common prefixes of neighbours in that
    order, in bytes, give for every depth classes of equal left and of equal right parts; a window at
-   offset o is repeated if another text shares its left part of o bytes and its right part of the
+   offset o is repeated if two texts or more share its left part of o bytes and its right part of the
    rest. Only that order decides what goes; the runs then return to every copy.
 4. An anchor string with more than `most` different surroundings is too much for one task. Their
    windows are counted by a 128-bit digest instead, as rows, which any number of tasks share.
@@ -43,7 +43,7 @@ from textloom.llm.suffixes import suffix_array
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POS = 28  # bits of a position in a text that is hashed at once
-BLOCK = 50
+BLOCK = 100
 
 
 class _Powers:
@@ -119,8 +119,8 @@ def _found(width: int, short: int, gram: int):
     return run
 
 
-def repeated_windows(rows: list[tuple[bytes, int, int]], widths: tuple[int, ...]) -> list[list[np.ndarray]]:
-    """rows: (bytes of all windows, anchor's offset in them, start of the last window in them). For each width and row the starts of windows that another row has too."""
+def repeated_windows(rows: list[tuple[bytes, int, int]], weight: np.ndarray, widths: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """rows: (bytes of all windows, anchor's offset in them, start of the last window in them); weight: how many texts a row stands for. For each width and row the starts of windows that are in two texts or more."""
     n = len(rows)
     back, last = np.array([b for _, b, _ in rows]), np.array([m for _, _, m in rows])
     size = np.array([len(raw) for raw, _, _ in rows])
@@ -151,18 +151,25 @@ def repeated_windows(rows: list[tuple[bytes, int, int]], widths: tuple[int, ...]
     (by_right, right_common), (by_left, left_common) = sorted_by(0, right), sorted_by(r + 1, left)
     out: list[list[list]] = [[[] for _ in rows] for _ in widths]
     right_class, left_class = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    # the longest common prefix with either neighbour: a shorter part is shared by some other row
+    right_most, left_most = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for by, common, best in ((by_right, right_common, right_most), (by_left, left_common, left_most)):
+        best[by[1:]] = common
+        best[by[:-1]] = np.maximum(best[by[:-1]], common)
+    several = weight > 1
     for o in range(int(back.max(initial=0)) + 1):
         left_class[by_left[1:]] = np.cumsum(left_common < o)
         left_class[by_left[0]] = 0
+        open_ = (back >= o) & (back - o <= last) & (several | (left_most >= o))
         for found, width in zip(out, widths):
             # the window starts at back - o and must be one of the anchor's and end within the bytes
-            valid = np.flatnonzero((back >= o) & (back - o <= last) & (back - o + width <= size))
-            if len(valid) < 2:
+            valid = np.flatnonzero(open_ & (back - o + width <= size) & (several | (right_most >= width - o)))
+            if not len(valid):
                 continue
             right_class[by_right[1:]] = np.cumsum(right_common < width - o)
             right_class[by_right[0]] = 0
-            _, inverse, count = np.unique(right_class[valid] * n + left_class[valid], return_inverse=True, return_counts=True)
-            for k in valid[count[inverse] > 1]:
+            _, inverse = np.unique(right_class[valid] * n + left_class[valid], return_inverse=True)
+            for k in valid[np.bincount(inverse, weights=weight[valid])[inverse] > 1].tolist():
                 found[k].append(back[k] - o)
     return [[np.sort(np.array(x, dtype=np.int64)) for x in found] for found in out]
 
@@ -187,14 +194,8 @@ def _sorted_runs(width: int, short: int, rows_at_once: int = 6000):
 
     def solve(held: list[tuple]) -> list[tuple]:
         held = list({x[:2]: x for x in held}.values())
-        entered = [x for x in held for _ in range(2 if x[4] else 1)]  # a text with copies stands there twice
-        found = repeated_windows([(x[5], x[2], x[3]) for x in entered], (width, short))
-        out, before = [], None
-        for k, x in enumerate(entered):
-            if x is not before:
-                out += [(x[0], x[1], wide, s, e) for wide, size, starts in ((True, width, found[0][k]), (False, short, found[1][k])) for s, e in _runs(starts, size)]
-            before = x
-        return out
+        found = repeated_windows([(x[5], x[2], x[3]) for x in held], np.array([1 + x[4] for x in held]), (width, short))
+        return [(x[0], x[1], wide, s, e) for k, x in enumerate(held) for wide, size, starts in ((True, width, found[0][k]), (False, short, found[1][k])) for s, e in _runs(starts, size)]
 
     def run(batches):
         import pyarrow as pa
