@@ -481,7 +481,7 @@ def test_cross_parsing_of_whole_texts(monkeypatch, common, rows):
     monkeypatch.setattr(language, "ROWS", rows)
     r = random.Random(18)
     samples = {"a": "".join(r.choice("abc \U00020000\u6771") for _ in range(900)), "b": "".join(r.choice("abcdefghij ") for _ in range(900)) + "z" * 300, "c": "ab" * 400}
-    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("abc ", "abcdq\U00020000\U00020001\u6771", "z", "ab") for n in (1, 255, 256, 257, 600, 3000)]
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("abc ", "abcdq\U00020000\U00020001\u6771", "z", "ab") for n in (1, 255, 256, 1024, 1025, 2600, 5000)]
     texts += [samples["a"] * 2, samples["b"][100:800], "", "z" * 5000, "ab" * 2000 + "q" + "ab" * 3000]
     got = language.Languages(samples).phrases(texts)
     assert got.tolist() == [[plain_phrases(t, samples[k]) for k in "abc"] for t in texts]

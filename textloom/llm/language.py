@@ -34,15 +34,19 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import once, with_columns
 
-PIECE, ROWS, COMMON = 256, 8192, 255
-_NUMERALS = "".join(c for c in map(chr, range(128, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTER = re.compile(rf"[\W\d_{_NUMERALS}]+")
+PIECE, ROWS, COMMON = 1024, 4096, 255
+_NOT_LETTER = re.compile(r"[\W\d_]+")
+#: Numerals that are no decimal digits, which the pattern takes for letters.
+_NUMERALS = {ord(c): " " for c in map(chr, range(128, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()}
 _FLAG = 1 << 30
 
 
 def folded(text: str | None) -> str:
     """Lower-case letters, words parted by one blank; empty if there is no letter."""
-    return _NOT_LETTER.sub(" ", text.lower()).strip() if text else ""
+    found = _NOT_LETTER.sub(" ", text.lower()).strip() if text else ""
+    if not found.isascii() and not _NUMERALS.keys().isdisjoint(map(ord, set(found))):
+        found = _NOT_LETTER.sub(" ", found.translate(_NUMERALS)).strip()
+    return found
 
 
 def _factors(symbols: list[int]) -> list[dict[int, int]]:
@@ -119,53 +123,54 @@ class Automaton:
             out[at] = np.where((own >= 0) & (state[at] > 0), own, np.maximum(again, 0) | _FLAG)
         return out
 
-    def count(self, rows: np.ndarray, size: np.ndarray, joined: np.ndarray, entry: int) -> tuple[np.ndarray, int]:
-        """Phrases that begin in each row of rows (pieces by letters), and the state at the last one's end. size: letters of each row; joined: whether it goes on where the row before it ends; entry: the state in which a joined first row is entered."""
-        n = len(rows)
-        columns = np.ascontiguousarray(rows.T)
+    def count(self, columns: np.ndarray, length: np.ndarray, at: np.ndarray, joined: np.ndarray, entry: int) -> tuple[np.ndarray, int]:
+        """Phrases that begin in each piece, and the state at the last one's end. columns: letters by pieces, the longest piece first; length: their letters; at: each piece's column; joined: whether a piece goes on where the one before it ends; entry: the state in which a joined first piece is entered."""
+        n = len(length)
+        alive = np.searchsorted(-length, -np.arange(len(columns)), side="left")  # pieces that are not over
         begins = np.zeros(columns.shape, dtype=bool)
-        state = np.zeros(n, np.int64)
-        for t in range(int(size.max(initial=0))):
-            live = size > t
-            nxt = self.step(state, columns[t])
-            begins[t] = (nxt >= _FLAG) & live
-            state = np.where(live, nxt & (_FLAG - 1), state)
-        plain = begins.sum(axis=0)
+        state, plain = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for t in range(int(length[0]) if n else 0):
+            m = alive[t]
+            nxt = self.step(state[:m], columns[t, :m])
+            begins[t, :m] = nxt >= _FLAG
+            plain[:m] += begins[t, :m]
+            state[:m] = nxt & (_FLAG - 1)
         counts, ends = plain.copy(), state.copy()
         entered = np.zeros(n, np.int64)
         todo = np.flatnonzero(joined)
         while len(todo):
-            came = np.where(todo > 0, ends[todo - 1], entry)
-            todo, came = todo[came != entered[todo]], came[came != entered[todo]]
+            came = np.where(todo > 0, ends[at[todo - 1]], entry)
+            new = came != entered[todo]
+            todo, came = todo[new], came[new]
             entered[todo] = came
-            changed = self._enter(columns, size, begins, plain, counts, ends, state, todo, came)
-            todo = changed[changed + 1 < n] + 1
+            own = at[todo]
+            before = ends[own]
+            self._enter(columns, length, begins, plain, counts, ends, state, own, came)
+            todo = todo[(ends[own] != before) & (todo + 1 < n)] + 1
             todo = todo[joined[todo]]
-        return counts, int(ends[-1])
-
-    def _enter(self, columns, size, begins, plain, counts, ends, plain_ends, todo, came) -> np.ndarray:
-        """Parses the rows todo from their states came; the rows whose end changes."""
-        left = plain[todo]  # phrases of the plain parsing from t on
-        own, state, active, before = np.zeros(len(todo), np.int64), came, np.arange(len(todo)), ends[todo]
-        final, done = plain_ends[todo], np.where(came == 0, left, 0)
-        active = np.flatnonzero(came != 0)
-        state = state[active]
-        for t in range(len(columns)):
-            if not len(active):
-                break
+        return counts[at], int(ends[at[-1]])
+
+    def _enter(self, columns, size, begins, plain, counts, ends, plain_ends, todo, came) -> None:
+        """Parses the rows todo again, from their states came."""
+        left, done, final = plain[todo], plain[todo], plain_ends[todo]  # left: phrases of the plain parsing from t on
+        own, active = np.zeros(len(todo), np.int64), np.flatnonzero(came != 0)
+        state, t = came[active], 0
+        while len(active):
             over = size[todo[active]] <= t
-            final[active[over]], done[active[over]] = state[over], own[active[over]]
-            active, state = active[~over], state[~over]
+            if over.any():
+                final[active[over]], done[active[over]] = state[over], own[active[over]]
+                active, state = active[~over], state[~over]
+                if not len(active):
+                    break
             nxt = self.step(state, columns[t, todo[active]])
             fresh, same = nxt >= _FLAG, begins[t, todo[active]]
             met = fresh & same
-            done[active[met]] = own[active[met]] + left[active[met]]
+            if met.any():
+                done[active[met]] = own[active[met]] + left[active[met]]
             own[active] += fresh
             left[active] -= same
-            active, state = active[~met], nxt[~met] & (_FLAG - 1)
-        final[active], done[active] = state, own[active]
+            active, state, t = active[~met], nxt[~met] & (_FLAG - 1), t + 1
         counts[todo], ends[todo] = done, final
-        return todo[ends[todo] != before]
 
 
 class Languages:
@@ -192,10 +197,14 @@ class Languages:
         entry = [0] * len(self.names)
 
         def parse(joined_first: bool) -> None:
-            part, own, length = np.concatenate(rows), np.concatenate(owner), np.concatenate(size)
+            own, length = np.concatenate(owner), np.concatenate(size)
             joined = np.concatenate([[joined_first], own[1:] == own[:-1]])
+            order = np.argsort(-length, kind="stable")
+            at = np.empty(len(order), np.int64)
+            at[order] = np.arange(len(order))
+            columns = np.ascontiguousarray(np.concatenate(rows)[order].T)
             for j, a in enumerate(self.automata):
-                counts, entry[j] = a.count(part, length, joined, entry[j])
+                counts, entry[j] = a.count(columns, length[order], at, joined, entry[j])
                 out[:, j] += np.bincount(own, weights=counts, minlength=len(texts))
             rows.clear(), owner.clear(), size.clear()
 
@@ -218,7 +227,7 @@ class Languages:
         return out
 
 
-def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 48_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
+def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 24_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
     """A bounded sample of whole labelled texts for each language of docs, on the driver: languages x letters_per_lang letters."""
     order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id, text)
     rows = docs.where(F.col(lang).isNotNull() & F.length(text).between(1, letters_per_lang)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts_per_lang)
