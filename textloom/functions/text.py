@@ -71,7 +71,16 @@ def snippet(c: Column, limit: int = 400) -> Column:
 
 
 def entities(c: Column) -> Column:
-    """The common HTML entities decoded; `&amp;` last, so nothing is decoded twice."""
+    """Numeric references and the common named HTML entities decoded; `&amp;` last, so nothing is decoded twice. Numbers that are no character become U+FFFD."""
+    seen = F.array_distinct(F.regexp_extract_all(c, F.lit("&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
+
+    def char(ref):
+        digits = F.regexp_extract(ref, "([0-9A-Fa-f]+);", 1)
+        code = F.when(F.lower(F.substring(ref, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+        fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+    c = F.when(F.size(seen) > 0, F.aggregate(seen, c, lambda s, ref: F.replace(s, ref, char(ref)))).otherwise(c)
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         c = F.replace(c, F.lit(name), F.lit(char))
     return c
@@ -132,17 +141,17 @@ def after_last(c: Column, mark: str = "####") -> Column:
 
 
 def boxed(c: Column) -> Column:
-    """What the last \\boxed{...} holds, braces balanced; empty if there is none or it doesn't close."""
+    """What the last \\boxed{...} holds, braces balanced; empty if there is none or it doesn't close. One step a brace, not one a character."""
     tail = F.when(F.instr(c, "\\boxed{") > 0, F.substring_index(c, "\\boxed{", -1)).otherwise(F.lit(""))
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("out"))
+    # each piece but the last ends with a brace; depth and length up to the brace that closes
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size"))
 
-    def step(a, ch):
-        depth = a["depth"] + F.when(ch == "{", 1).when(ch == "}", -1).otherwise(0)
-        done = a["depth"] == 0
-        return F.when(done, a).otherwise(F.struct(depth.alias("depth"), F.when(depth == 0, a["out"]).otherwise(F.concat(a["out"], ch)).alias("out")))
+    def step(a, piece):
+        depth = a["depth"] + F.when(F.endswith(piece, F.lit("{")), 1).when(F.endswith(piece, F.lit("}")), -1).otherwise(0)
+        return F.when(a["depth"] == 0, a).otherwise(F.struct(depth.alias("depth"), (a["size"] + F.length(piece)).alias("size")))
 
-    end = F.aggregate(F.split(tail, ""), start, step)
-    return F.when(end["depth"] == 0, strip(end["out"])).otherwise(F.lit(""))
+    end = F.aggregate(F.split(tail, "(?<=[{}])"), start, step)
+    return F.when(end["depth"] == 0, strip(F.left(tail, end["size"] - 1))).otherwise(F.lit(""))
 
 
 def json_object(c: Column) -> Column:
@@ -150,5 +159,57 @@ def json_object(c: Column) -> Column:
     return F.regexp_extract(c, r"(?s)\{.*\}", 0)
 
 
+def json_in_text(c: Column) -> Column:
+    """The outermost {...} of a free text as a variant; null if there is none or it is no JSON."""
+    return F.try_parse_json(F.nullif(json_object(c), F.lit("")))
+
+
+def unfenced(c: Column) -> Column:
+    """Without a fence of three backticks at either end."""
+    return strip(F.regexp_replace(strip(c), r"\A```|```\z", ""))
+
+
+def hub_id(path: Column) -> Column:
+    """owner/name out of a cache path that holds models--owner--name; other names stay."""
+    found = F.regexp_extract(path, r"models--([^/\\]+?)--([^/\\]+)", 1)
+    return F.when(found != "", F.concat(found, F.lit("/"), F.regexp_extract(path, r"models--([^/\\]+?)--([^/\\]+)", 2))).otherwise(path)
+
+
+def unquantised_name(c: Column) -> Column:
+    """A model's name without the suffix of a quantised copy, under its first owner."""
+    bare = F.regexp_replace(F.regexp_replace(hub_id(c), "(?i)-(unsloth-)?bnb-4bit$", ""), "(?i)-(4bit|awq|gptq)$", "")
+    moved = (F.lower(F.split_part(bare, F.lit("/"), F.lit(1))) == "unsloth") & F.startswith(F.lower(F.substring_index(bare, "/", -1)), F.lit("qwen"))
+    return F.when(moved, F.regexp_replace(bare, "^[^/]*/", "Qwen/")).otherwise(bare)
+
+
+def numbered(items: Column) -> Column:
+    """An array of texts as lines numbered from 1."""
+    return F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
+
+
+def first_given(*columns: Column) -> Column:
+    """The first text that is neither null nor empty, else the last."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns[:-1]], columns[-1])
+
+
+def placeholder(c: Column, name: str) -> tuple[Column, Column]:
+    """(whether the text holds {name}, the text without it and the blank after it)."""
+    return F.contains(c, F.lit(f"{{{name}}}")), F.replace(c, F.lit(f"{{{name}}} "), F.lit(""))
+
+
+def quoted(c: Column) -> Column:
+    """Escaped for a template's string in single quotes."""
+    return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("\n"), F.lit("\\n"))
+
+
+def unquoted(c: Column) -> Column:
+    return F.regexp_replace(strip(c), r'\A"+|"+\z', "")
+
+
+def subject(question: Column) -> Column:
+    """What a question is about: up to the first of two words that begin its clause."""
+    return F.substring_index(F.substring_index(question, " için", 1), " güncel", 1)
+
+
 def is_yes_search(query: Column) -> Column:
     return F.upper(strip(query)) != NO_SEARCH

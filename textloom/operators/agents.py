@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _CALL = re.compile(r"<tool_call>\s*(\{.*?\})\s*</tool_call>", re.S)
-_NUMBER = re.compile(r"-?\d+(?:[.,]\d+)?")
+_NUMBER = re.compile(r"-?[0-9]+(?:[.,][0-9]+)?(?:/[0-9]+)?")
 MARK = "Doğrulanan sonuç:"
 NOTHING = "YOK"
 _OUTPUT = re.compile(r"<output>(.*?)</output>", re.S)
@@ -33,7 +34,9 @@ class FakeModel:
         n = len(prompt.split("\n", 1)[0])
         if "<tool_response>" not in prompt:
             return f'<thought>\n<tool_call>{{"name": "s", "arguments": {{"query": "{n}"}}}}</tool_call>'
-        return f"{MARK} {n}\n</thought>\n\n{n if temperature == 0 or n % 2 else n + 1}"
+        if "</thought>" in prompt:
+            return str(n)
+        return f"{MARK} {n}\n</thought>\n\n{n if n % 2 else n + 1}"
 
 
 class FakeSearch:
@@ -79,42 +82,88 @@ def retried(call: Callable, times: int = 3, wait: float = 0.0, final: tuple = (V
             time.sleep(wait * 2**k)
 
 
+def numbers(text: str) -> set[str]:
+    """The distinct numbers of a text, written alike: as textloom.functions.text.normalise_number does."""
+    out = set()
+    for x in _NUMBER.findall(text.replace(" ", "")):
+        plain = x.replace(",", ".")
+        over, _, under = plain.partition("/")
+        if under and not float(under):
+            out.add(plain)
+            continue
+        value = float(over) / float(under or 1)
+        out.add(str(int(value)) if value.is_integer() and abs(value) < 1e15 else f"{value:.4f}".rstrip("0").rstrip("."))
+    return out
+
+
 def agrees(thought: str, answer: str) -> bool:
     at = thought.rfind(MARK)
-    need = {x.replace(",", ".") for x in _NUMBER.findall(thought[at + len(MARK) :].strip().split("\n")[0])} if at >= 0 else set()
-    return need <= {x.replace(",", ".") for x in _NUMBER.findall(answer)}
+    line = (thought[at + len(MARK) :].strip().splitlines() or [""])[0] if at >= 0 else ""
+    return numbers(line) <= numbers(answer)
+
+
+def _silent(kind: str, text: str) -> None:
+    """The default listener of a loop's events."""
+
 
+class Memo(OrderedDict):
+    """What was asked last, at most `most` answers; the one that was not used for longest goes first."""
 
-def answer_one(question: str, model: Model, search: Search, memo: dict, max_calls: int = 2) -> dict:
-    """Search at most max_calls times, then conclude; an answer that contradicts its own verified result is written once more at temperature 0."""
-    prompt, calls, text = f"{question}\n", 0, ""
+    def __init__(self, most: int = 256):
+        super().__init__()
+        self.most = most
+
+    def get_or(self, key, make):
+        if key in self:
+            self.move_to_end(key)
+        else:
+            self[key] = make()
+            if len(self) > self.most:
+                self.popitem(last=False)
+        return self[key]
+
+
+def answer_one(question: str, model: Model, search: Search, memo: Memo, max_calls: int = 2, on_event: Callable[[str, str], None] = _silent) -> dict:
+    """Search at most max_calls times, then conclude; sources are numbered on from call to call. An answer that is missing or contradicts its own verified result is written once more at temperature 0, after the same thought; if nothing comes the old one stays."""
+    memo = memo if isinstance(memo, Memo) else Memo()
+    prompt, calls, text, sources = f"{question}\n", 0, "", 0
     for _ in range(max_calls + 1):
         text = retried(lambda p=prompt: model.complete(p))
+        on_event("model", text)
         found = _CALL.findall(text)
         if not found or calls == max_calls or "</thought>" in text:
+            text = re.sub(r"(?s)<tool_call>.*?(</tool_call>|$)", "", text)
             break
         try:
-            query = json.loads(found[-1])["arguments"]["query"]
-        except (ValueError, KeyError, TypeError):
+            query = json.loads(found[-1])["arguments"]["query"].strip()
+        except (ValueError, KeyError, TypeError, AttributeError):
             break
-        if query not in memo:
+
+        def asked(q=query):
             try:
-                memo[query] = retried(lambda q=query: search.search(q))
+                return retried(lambda: search.search(q))
             except Exception as e:  # a failed search is an answer too
-                memo[query] = [{"error": str(e)}]
-        prompt += f"{text}\n<tool_response>\n{json.dumps(memo[query], ensure_ascii=False)}\n</tool_response>\n"
+                return [{"error": str(e)[:200]}]
+
+        on_event("search", query)
+        hits = [{"id": sources + i, **h} for i, h in enumerate(memo.get_or(query, asked), 1)]
+        sources += len(hits)
+        on_event("results", json.dumps(hits, ensure_ascii=False))
+        prompt += f"{text}\n<tool_response>\n{json.dumps(hits, ensure_ascii=False)}\n</tool_response>\n"
         calls += 1
     thought, _, answer = text.partition("</thought>")
     ok, repaired = bool(answer.strip()) and agrees(thought, answer), False
     if not ok:
-        again = model.complete(prompt, temperature=0).partition("</thought>")[2]
-        repaired, answer = True, again
-        ok = bool(answer.strip()) and agrees(thought, answer)
+        again = model.complete(f"{prompt}{thought.rstrip()}\n</thought>\n\n", temperature=0).strip()
+        on_event("repair", again)
+        if again:
+            repaired, answer, ok = True, again, agrees(thought, again)
     return {"answer": answer.strip(), "consistent": ok, "repaired": repaired, "n_calls": calls}
 
 
-def answer_tagged(question: str, model: Model, search: Search, memo: dict, max_calls: int = 2, max_tokens: int = 2048, k: int = 3) -> dict:
+def answer_tagged(question: str, model: Model, search: Search, memo: Memo, max_calls: int = 2, max_tokens: int = 2048, k: int = 3) -> dict:
     """The model speaks until it leaves no search tag open, at most max_calls are searched, or its budget (a token for three characters) is spent; a search that fails finds nothing."""
+    memo = memo if isinstance(memo, Memo) else Memo(128)
     said, left, calls = "", max_tokens, 0
     while left > 0:
         chunk = retried(lambda p=f"{question}\n{said}": model.complete(p))
@@ -126,12 +175,8 @@ def answer_tagged(question: str, model: Model, search: Search, memo: dict, max_c
             break
         said += "</search_query>\n"
         if query and query.upper() != NOTHING:
-            if query not in memo:
-                try:
-                    memo[query] = search.search(query)
-                except Exception:
-                    memo[query] = []
-            said += "\n".join(f"[{i}] {h['title']}\nURL: {h['url']}\n{h['content']}" for i, h in enumerate(memo[query][:k], 1)) + "\n"
+            found = memo.get_or(query, lambda q=query: Fallback(search).search(q))[:k]
+            said += "\n".join(f"[{i}] {h['title']}\nURL: {h['url']}\n{h['content']}" for i, h in enumerate(found, 1)) + "\n"
             calls += 1
     found = _OUTPUT.search(said)
     return {"answer": found[1].strip() if found else said.strip(), "n_calls": calls, "tokens_left": left}
@@ -143,12 +188,10 @@ def run_tagged(questions: DataFrame, model: Callable[[], Model], search: Callabl
     def run(batches: Iterator):
         import pandas as pd
 
-        m, s, memo = model(), search(), {}
+        m, s, memo = model(), search(), Memo(128)
         for b in batches:
             out = pd.DataFrame([answer_tagged(q, m, s, memo) for q in b["question"]], columns=["answer", "n_calls", "tokens_left"])
             yield pd.concat([b[["conv_id", "question"]].reset_index(drop=True), out], axis=1)
-            if len(memo) > 128:
-                memo.clear()
 
     return questions.select("conv_id", "question").mapInPandas(run, "conv_id long, question string, answer string, n_calls long, tokens_left long")
 
@@ -159,16 +202,30 @@ def run_agent(questions: DataFrame, model: Callable[[], Model], search: Callable
     def run(batches: Iterator):
         import pandas as pd
 
-        m, s, memo = model(), search(), {}
+        m, s, memo = model(), search(), Memo(256)
         for b in batches:
             out = pd.DataFrame([answer_one(q, m, s, memo) for q in b["question"]], columns=["answer", "consistent", "repaired", "n_calls"])
             yield pd.concat([b[["conv_id", "question"]].reset_index(drop=True), out], axis=1)
-            if len(memo) > 256:
-                memo.clear()
 
     return questions.select("conv_id", "question").mapInPandas(run, "conv_id long, question string, answer string, consistent boolean, repaired boolean, n_calls long")
 
 
+def enriched(items: DataFrame, key: str, ask: Callable, schema: str) -> DataFrame:
+    """items with what ask gives for their key's distinct values: each is asked once, dealt over all tasks. ask: makes, in each task, a function from a value to a tuple of schema."""
+
+    def run(batches: Iterator):
+        import pandas as pd
+
+        function = ask()
+        for b in batches:
+            made = [function(x) for x in b[key]]
+            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(made, columns=[c.split()[0] for c in schema.split(", ")])], axis=1)
+
+    distinct = items.select(key).where(F.col(key).isNotNull()).distinct()
+    kind = items.schema[key].dataType.simpleString()
+    return items.join(distinct.mapInPandas(run, f"{key} {kind}, {schema}"), key, "left")
+
+
 def distill(items: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
     """(conv_id, question, reference) enriched; ok where the answer agrees with itself and with a reference, if there is one."""
     from textloom.functions import text as T

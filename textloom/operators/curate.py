@@ -11,29 +11,83 @@ def first_occurrence(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that later filters and projections use as it is: the optimizer would otherwise write its expression out wherever it is used, and a filter's copies of copies grow without end."""
+    return df.select(*[c for c in df.columns if c != name], F.explode_outer(F.array(value)).alias(name))
+
+
 def first_n(df: DataFrame, key: str, n: int, *order) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rn") <= n)
 
 
 def merge_flags(df: DataFrame, *, valid: Column, key: Column, tokens: Column, order: str, max_tokens: int = 2048) -> DataFrame:
     """df with approx_tokens, dedupe_key and outcome: bad, dup, long or kept. A key counts as seen only once a row that fits had it."""
-    rows = df.withColumns({"dedupe_key": key, "approx_tokens": tokens, "_valid": valid})
-    fits = (F.col("_valid") & (F.col("approx_tokens") <= max_tokens)).cast("int")
-    # rows that aren't valid get keys of their own, so they neither block others nor meet in one task
-    group = F.when(F.col("_valid"), F.col("dedupe_key"))
-    before = Window.partitionBy(group, F.when(~F.col("_valid"), F.col(order))).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.coalesce(F.max(fits).over(before), F.lit(0)) == 1
+    rows = df.withColumns({"dedupe_key": key, "approx_tokens": tokens, "_valid": F.coalesce(valid, F.lit(False))})
+    fits = F.when(F.col("_valid") & (F.col("approx_tokens") <= max_tokens), F.col(order))
+    # the first row of a key that fits is a partial aggregate; a window would sort a hot key's rows in one task
+    first = rows.groupBy(F.col("dedupe_key").alias("_key")).agg(F.min(fits).alias("_first"))
+    joined = rows.join(first, F.col("dedupe_key").eqNullSafe(F.col("_key")), "left")
+    seen = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
     outcome = F.when(~F.col("_valid"), "bad").when(seen, "dup").when(F.col("approx_tokens") > max_tokens, "long").otherwise("kept")
-    return rows.withColumn("outcome", outcome).drop("_valid")
+    return joined.withColumn("outcome", outcome).drop("_valid", "_key", "_first")
 
 
 def split_ranked(df: DataFrame, key: Column, *, ratio: float = 0.02, seed: str = "42") -> DataFrame:
-    """df with split: exactly max(1, n * ratio) validation rows if n > 50, by the order of a seeded hash. The rank is taken by counting hash buckets, so no task holds all rows."""
-    hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")))
+    """df with split: exactly max(1, n * ratio) validation rows if n > 50, by the order of a seeded hash of key, then of the whole row. The last one's hash is found by counts of at most 4096 buckets at a time, three hex digits further in the bucket where the budget ends, so no task sorts rows; rows that are alike in all columns are numbered among themselves."""
+    row = F.lpad(F.hex(F.xxhash64(*df.columns)), 16, "0")
+    hashed = df.withColumn("_h", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary")), row))
     n = df.count()
-    n_val = max(1, int(n * ratio)) if n > 50 else 0
-    last = hashed.select("_h").orderBy("_h").limit(n_val).agg(F.max("_h")).first()[0] if n_val else ""
-    return hashed.withColumn("split", F.when(F.col("_h") <= F.lit(last), "val").otherwise("train")).drop("_h")
+    need, prefix = max(1, int(n * ratio)) if n > 50 else 0, ""
+    while need and len(prefix) < 48:
+        size = {r.b: r["count"] for r in hashed.where(F.startswith("_h", F.lit(prefix))).groupBy(F.substring("_h", len(prefix) + 1, 3).alias("b")).count().collect()}  # at most 4096 rows
+        for b in sorted(size):
+            if size[b] > need:
+                prefix += b
+                break
+            need -= size[b]
+    below = F.col("_h") < prefix
+    if not need:
+        return hashed.withColumn("split", F.when(below, "val").otherwise("train")).drop("_h")
+    alike = Window.partitionBy("_h", F.when(F.col("_h") != prefix, F.monotonically_increasing_id())).orderBy("_h")
+    return hashed.withColumn("_n", F.row_number().over(alike)).withColumn("split", F.when(below | ((F.col("_h") == prefix) & (F.col("_n") <= need)), "val").otherwise("train")).drop("_h", "_n")
+
+
+def shuffled(df: DataFrame, key: Column, *, seed: str = "42") -> DataFrame:
+    """df in the order of a seeded hash, the same on every run; range-partitioned, so no task sorts all rows."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")), key)
+
+
+def prefix(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first n rows, all of them for n = 0."""
+    return df.orderBy(*order).limit(n) if n else df
+
+
+def drawn(key: Column, m: int, *, seed: str = "42") -> Column:
+    """A number from 0 to m - 1 for each key, the same on every run: a choice among m."""
+    return F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")), 1, 12), 16, 10).cast("long"), F.lit(m)).cast("int")
+
+
+def coin(key: Column, share: float, *, seed: str = "42") -> Column:
+    """True for a share of the keys, in steps of a millionth."""
+    return drawn(key, 1_000_000, seed=seed) < int(share * 1_000_000)
+
+
+def first_success(tries: DataFrame, key: str, attempt: str, ok: Column) -> DataFrame:
+    """For each key its first attempt that succeeded, as struct `found` (null if none did), and how many were made."""
+    row = F.struct(*tries.columns)
+    return tries.groupBy(key).agg(F.min_by(F.when(ok, row), F.when(ok, F.col(attempt))).alias("found"), F.count("*").alias("tries"))
+
+
+def newest_match(names: DataFrame, files: DataFrame) -> DataFrame:
+    """names (name) with the newest of files (path, at) whose name holds it, case, `_` and `-` aside; names are few and broadcast below Spark's own threshold."""
+    bare = lambda c: F.translate(F.lower(c), "_-", "")
+    hits = names.join(files, F.contains(bare(F.substring_index("path", "/", -1)), bare(F.col("name"))), "left")
+    return hits.groupBy("name").agg(F.max_by("path", "at").alias("path"))
+
+
+def known_only(rows: DataFrame, allowed: list[str]) -> tuple[DataFrame, list[str]]:
+    """The columns that are allowed, and the names of the others."""
+    return rows.select(*[c for c in rows.columns if c in allowed]), [c for c in rows.columns if c not in allowed]
 
 
 def resume(items: DataFrame, done: DataFrame, key: str) -> DataFrame:

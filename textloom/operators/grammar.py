@@ -13,6 +13,8 @@ STEPS = ("Problem Sentezleme & Ayrıştırma", "İçsel Akıl Yürütme", "Web A
 OPEN, CLOSE = "<thought>", "</thought>"
 VERIFIED = "Doğrulanan sonuç:"
 DEFAULT_TOOL = "tavily_search"
+NEED_SEARCH, NO_SEARCH = "Dış kaynak: GEREKLİ", "Dış kaynak: GEREKSİZ"
+EMPTY_RESULTS = '{"results": []}'
 # -------------------------------------------------------------------------------------------------
 _STEP = r"\[STEP ([0-9]): [^\]]+\]"
 FIVE = r"(?s)\A" + T.WS + "*" + (T.WS + "*").join(f"<{t}>(.*?)</{t}>" + (f"(?:{T.WS}*<search_results>(.*?)</search_results>)?" if t == "search_query" else "") for t in TAGS) + T.WS + r"*\z"
@@ -79,7 +81,13 @@ def consistent(thought_: Column, answer_: Column) -> Column:
 
 
 def tool_call(c: Column) -> Column:
-    """name and query of the last tool call; null if it isn't a strict JSON object with a query. Arguments may be an object, or a string that is JSON or the query itself."""
+    """name and query of the last tool call; null if it has none."""
+    whole = full_call(c)
+    return F.when(whole.isNotNull(), F.struct(whole["name"].alias("name"), whole["query"].alias("query")))
+
+
+def full_call(c: Column) -> Column:
+    """name, query, topic and time_range of the last tool call; null if it isn't a strict JSON object with a query. Arguments may be an object, or a string that is JSON or the query itself."""
     raw = F.try_element_at(F.regexp_extract_all(c, F.lit(r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>"), F.lit(1)), F.lit(-1))
     listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
     whole = F.when(F.schema_of_variant(listed).startswith("ARRAY") & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
@@ -88,7 +96,8 @@ def tool_call(c: Column) -> Column:
     inner = F.try_parse_json(as_text)
     query = F.coalesce(F.try_variant_get(F.when(as_text.isNull(), arguments), "$.query", "string"), F.try_variant_get(inner, "$.query", "string"), F.when(inner.isNull(), as_text))
     name = F.coalesce(F.try_variant_get(whole, "$.name", "string"), F.lit(DEFAULT_TOOL))
-    return F.when(T.strip(query) != "", F.struct(name.alias("name"), query.alias("query")))
+    given = lambda key: F.coalesce(F.try_variant_get(F.when(as_text.isNull(), arguments), f"$.{key}", "string"), F.try_variant_get(inner, f"$.{key}", "string"))
+    return F.when(T.strip(query) != "", F.struct(name.alias("name"), query.alias("query"), given("topic").alias("topic"), given("time_range").alias("time_range")))
 
 
 def reason(c: Column) -> Column:
@@ -110,6 +119,17 @@ def reason(c: Column) -> Column:
     )
 
 
+def unfinished_removed(c: Column) -> Column:
+    """Without tool calls, a last one that doesn't end included."""
+    return F.regexp_replace(c, r"(?s)<tool_call>.*?(</tool_call>|\z)", "")
+
+
+def marked(step: Column, needs: Column) -> Column:
+    """The second step, closed by the mark of its search decision unless it holds it."""
+    mark = F.when(needs, NEED_SEARCH).otherwise(NO_SEARCH)
+    return F.when(F.contains(step, mark), step).otherwise(F.concat(F.regexp_replace(step, rf"{T.WS}+\z", ""), F.lit("\n"), mark))
+
+
 def six_steps(texts: list[Column], answer_: Column) -> Column:
     blocks = [F.concat(F.lit(header(k) + "\n"), T.strip(x), F.lit("\n")) for k, x in enumerate(texts, 1)]
     return F.concat(F.lit(OPEN + "\n"), *blocks, F.lit(CLOSE + "\n\n"), answer_)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +39,19 @@ def _sharegpt(df: DataFrame):
     return pair["a"]["value"], F.lit(""), pair["b"]["value"]
 
 
+# Name -> repository and category of the known corpora.
+CORPORA = {
+    "gsm8k": ("openai/gsm8k", "matematik"),
+    "math": ("EleutherAI/hendrycks_math", "matematik"),
+    "openr1": ("open-r1/OpenR1-Math-220k", "matematik"),
+    "ultrafeedback": ("HuggingFaceH4/ultrafeedback_binarized", "genel"),
+    "sharegpt": ("anon8231489123/ShareGPT_Vicuna_unfiltered", "genel"),
+}
 #: name -> function of a DataFrame giving (question, reference, hint).
 ADAPTERS = {
     "gsm8k": lambda df: (F.col("question"), T.after_last(F.col("answer")), F.col("answer")),
     "math": lambda df: (F.col("problem"), T.boxed(F.col("solution")), F.col("solution")),
-    "openr1": lambda df: (F.col("problem"), F.coalesce(F.col("answer"), F.lit("")), F.coalesce(F.get("generations", F.lit(0)), F.col("solution"))),
+    "openr1": lambda df: (F.col("problem"), F.coalesce(F.col("answer"), F.lit("")), F.coalesce(F.get("generations", F.lit(0)), F.col("solution"), F.lit(""))),
     "ultrafeedback": lambda df: (F.col("prompt"), F.lit(""), F.try_element_at("chosen", F.lit(-1))["content"]),
     "sharegpt": _sharegpt,
 }
@@ -54,9 +64,25 @@ def seeds(df: DataFrame, question, reference, hint, *, source: str, category: st
     )
 
 
-def from_source(df: DataFrame, spec: SourceSpec) -> DataFrame:
+def from_source(df: DataFrame, spec: SourceSpec, *, seed: str = "42") -> DataFrame:
+    """The seeds of a corpus: spec.limit of them by the order of a seeded hash of the id, the same on every run."""
     if spec.name in ADAPTERS:
-        columns = ADAPTERS[spec.name](df)
+        columns, (source, category) = ADAPTERS[spec.name](df), CORPORA[spec.name]
     else:
-        columns = F.col(spec.question or "question"), F.lit(""), F.col(spec.answer) if spec.answer else F.lit("")
-    return seeds(df, *columns, source=spec.name, category=spec.category).limit(spec.limit)
+        columns = F.col(spec.question or "question"), F.lit(""), F.coalesce(F.col(spec.answer), F.lit("")) if spec.answer else F.lit("")
+        source, category = spec.name, spec.category
+    found = seeds(df, *columns, source=source, category=category)
+    return found.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "id").cast("binary")), *found.columns).limit(spec.limit)
+
+
+def collect(spark, specs: list[str], where: dict[str, str]) -> DataFrame | None:
+    """Seeds of all sources. where: a source's name to its folder of Parquet files; one that can't be read is left out with a warning."""
+    out = None
+    for spec in map(parse_spec, specs):
+        try:
+            found = from_source(spark.read.parquet(where[spec.name]), spec)
+        except (KeyError, AnalysisException) as e:
+            warnings.warn(f"{spec.name} is left out: {str(e)[:200]}", stacklevel=2)
+            continue
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import agents, chat, curate, generate, grammar, rank, seeds
+from textloom.operators import agents, chat, curate, generate, grammar, rank, records, seeds, synthetic, teach
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -432,20 +432,223 @@ def gen_static(spark, d):
     return generate.cycled(_t(spark, d, "benchmark").select("item_id", "text"), 3000, "item_id")
 
 
+# records -----------------------------------------------------------------------------------------
+def _records(spark, d):
+    """First pairs as six-step records, with one defect by conv_id % 6."""
+    k, pairs = F.col("conv_id") % 6, chat.first_pairs(_t(spark, d, "conversations"))
+    call = F.when(k.isin(2, 3), F.struct(F.lit("s").alias("name"), F.struct(F.lit("q").alias("query"), F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("time_range")).alias("arguments")))
+    steps = [F.lit(f"step {i} of it") for i in range(1, 6)] + [F.concat(F.lit(f"{grammar.VERIFIED} "), F.length("question").cast("string"))]
+    answer = F.concat(F.lit("It is "), F.length("question").cast("string"), F.when(k == 4, F.repeat(F.lit(" word"), 2000)).when(k == 5, "1").otherwise(""), F.lit("."))
+    m = records.build_messages(F.col("question"), steps, answer, system=F.lit("another prompt"), call=call, response=F.lit(""))
+    m = F.when(k == 1, F.slice(m, 1, 2)).when(k == 2, F.filter(m, lambda x: x["role"] != "tool")).otherwise(m)
+    meta = records.record(m, category=F.lit("c"), source=F.lit("s"), needs_search=call.isNotNull())
+    return curate.held(pairs, "r", meta).select("conv_id", "question", "r.messages", "r.meta")
+
+
+_RECORDS = f"""{_PAIRS},
+r AS (SELECT conv_id, question, conv_id % 6 AS k, ['ok', 'bad_roles', 'call_without_answer', 'ok', 'ok', 'inconsistent'][1 + conv_id % 6] AS reason, {_KEY.replace("text", "question")} AS dedupe_key FROM pairs),
+f AS (SELECT *, k <> 4 AS fits FROM r),
+o AS (SELECT *, CASE WHEN reason <> 'ok' THEN 'bad' WHEN conv_id > min(conv_id) FILTER (reason = 'ok' AND fits) OVER (PARTITION BY dedupe_key) THEN 'dup' WHEN NOT fits THEN 'long' ELSE 'kept' END AS outcome FROM f)"""
+
+
+@_query(f"WITH {_RECORDS} SELECT conv_id, reason, dedupe_key, outcome FROM o")
+def merge_records(spark, d):
+    return records.merge_records(_records(spark, d), prompt=PROMPT, order="conv_id").select("conv_id", "reason", "dedupe_key", "outcome")
+
+
+@_query(f"WITH {_RECORDS} SELECT count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome = 'bad') AS bad, count(*) FILTER (outcome = 'long') AS too_long, count(*) FILTER (outcome = 'dup') AS dup, count(*) FILTER (outcome = 'kept' AND k = 3) AS search FROM o")
+def merge_record_counters(spark, d):
+    return records.counters(records.merge_records(_records(spark, d), prompt=PROMPT, order="conv_id"))
+
+
+@_query(f"WITH {_RECORDS}, n AS (SELECT count(*) AS n FROM o WHERE outcome = 'kept'), v AS (SELECT n, CASE WHEN n > 50 THEN greatest(1, CAST(floor(n * 0.02) AS BIGINT)) ELSE 0 END AS v FROM n) SELECT split, rows FROM (SELECT 'val' AS split, v AS rows FROM v UNION ALL SELECT 'train', n - v FROM v) WHERE rows > 0")
+def merge_record_split(spark, d):
+    kept = records.kept_records(records.merge_records(_records(spark, d), prompt=PROMPT, order="conv_id"))
+    return kept.groupBy("split").agg(F.count("*").alias("rows"))
+
+
+@_query("WITH n AS (SELECT count(*) AS n FROM documents), v AS (SELECT n, CASE WHEN n > 50 THEN greatest(1, CAST(floor(n * 0.02) AS BIGINT)) ELSE 0 END AS v FROM n) SELECT split, rows FROM (SELECT 'val' AS split, v AS rows FROM v UNION ALL SELECT 'train', n - v FROM v) WHERE rows > 0")
+def split_repeated_keys(spark, d):
+    return curate.split_ranked(_t(spark, d, "documents").select("lang", "source"), F.col("lang")).groupBy("split").agg(F.count("*").alias("rows"))
+
+
+@_query(f"""WITH {_PAIRS}, l AS (SELECT conv_id, conv_id % 4 AS k, length(question) AS q, length(regexp_replace(question, '^$WS+|$WS+$', '', 'g')) AS s FROM pairs)
+SELECT conv_id, CASE k WHEN 3 THEN NULL WHEN 1 THEN 5 ELSE 3 END AS n, CASE WHEN k <> 3 THEN s END AS user_len FROM l""")
+def build_messages(spark, d):
+    k = F.col("conv_id") % 4
+    call = F.when(k == 1, F.struct(F.lit("s").alias("name"), F.struct(F.lit("q").alias("query"), F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("time_range")).alias("arguments")))
+    steps = [F.lit("a step"), F.when(k == 3, " ").otherwise("two"), *[F.lit("more")] * 4]
+    m = records.build_messages(F.col("question"), steps, F.lit("done"), system=F.lit(PROMPT), call=call)
+    return chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", F.when(m.isNotNull(), F.size(m)).alias("n"), F.length(F.get(m, F.lit(1))["content"]).alias("user_len"))
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 3 = 2 OR t = '' THEN NULL ELSE doc_id % 3 = 1 END AS needs_search FROM (SELECT doc_id, regexp_replace(translate(text, '<>', ''), '^$WS+|$WS+$', '', 'g') AS t FROM documents)")
+def to_record(spark, d):
+    body, k = F.translate("text", "<>", ""), F.col("doc_id") % 3
+    response = grammar.five_tag_text(body, F.lit("1. plan"), F.when(k == 1, "find it"), F.lit("checked"), F.when(k == 2, " ").otherwise(body))
+    made = records.to_record(F.col("lang"), response, category=F.lit("c"), source=F.lit("s"), system=F.lit(PROMPT))
+    return _t(spark, d, "documents").select("doc_id", made["meta"]["needs_search"].alias("needs_search"))
+
+
+@_query("""SELECT * FROM (VALUES ('kodlama', 6, 0, 6), ('mantik', 600, 0, 600), ('matematik', 600, 0, 600), ('siber_guvenlik', 28, 24, 28)) AS t(category, n, n_search, n_ok)""")
+def synthetic_records(spark, d):
+    made = synthetic.six_step(synthetic.balanced(synthetic.problems(spark, 800)), system=PROMPT).select("category", "record")
+    made = records.with_reason(made.select("category", "record.meta", "record.messages"))
+    return made.groupBy("category").agg(F.count("*").cast("int").alias("n"), F.count_if("meta.needs_search").cast("int").alias("n_search"), F.count_if(F.col("reason") == "ok").cast("int").alias("n_ok"))
+
+
+# search results ----------------------------------------------------------------------------------
+_SOURCES = f"""{_RANK.replace("html AS content", "html")}, s AS (SELECT q, CAST(id AS INTEGER) AS id, {_clean("title", 120)} AS title, url, {_clean("html", 500)} AS content, round(score, 3) AS score
+FROM ranked JOIN (SELECT page_id AS p, html, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages) ON page_id = p)"""
+
+
+def _titled(spark, d):
+    return _hits(spark, d).withColumn("title", F.regexp_extract("content", "(?is)<title>(.*?)</title>", 1))
+
+
+@_query(f"WITH {_SOURCES} SELECT q, id, title, url, content, score FROM s")
+def search_sources(spark, d):
+    return rank.sources(_titled(spark, d), query="q", order="page_id").select("q", "id", "title", "url", "content", "score")
+
+
+def _json(c: str) -> str:
+    return f"CAST(to_json({c}) AS VARCHAR)"
+
+
+@_query(f"""WITH {_SOURCES}, one AS (SELECT q, id, '{{"id": ' || id || CASE WHEN title <> '' THEN ', "title": ' || {_json("title")} ELSE '' END || ', "url": ' || {_json("url")} || CASE WHEN content <> '' THEN ', "content": ' || {_json("content")} ELSE '' END || '}}' AS j FROM s)
+SELECT q, '{{"query": "' || q || '", "results": [' || string_agg(j, ', ' ORDER BY id) || ']}}' AS response FROM one GROUP BY q""")
+def tool_responses(spark, d):
+    return rank.responses(rank.sources(_titled(spark, d), query="q", order="page_id"), query="q")
+
+
+@_query(f"WITH {_SOURCES}, c AS (SELECT *, q // 5 AS conv FROM s), n AS (SELECT conv, q, count(*) AS n FROM c GROUP BY ALL), before AS (SELECT conv, q, coalesce(sum(n) OVER (PARTITION BY conv ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM n) SELECT c.conv, c.q, CAST(c.id + b.o AS INTEGER) AS id, url FROM c JOIN before b ON c.conv = b.conv AND c.q = b.q")
+def shifted_sources(spark, d):
+    found = rank.sources(_titled(spark, d), query="q", order="page_id").withColumn("conv", F.floor(F.col("q") / 5))
+    return rank.shifted(found, conversation="conv", call="q").select("conv", "q", "id", "url")
+
+
+@_query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN '{\"query\": \"q\", \"error\": \"down\", \"results\": []}' WHEN 1 THEN '{\"query\": \"q\", \"summary\": \"a b\", \"results\": []}' ELSE '{\"query\": \"q\", \"results\": []}' END AS p FROM pages")
+def empty_payload(spark, d):
+    k, none = F.col("page_id") % 3, F.array().cast("array<struct<id: int, title: string, url: string, date: string, content: string>>")
+    return _t(spark, d, "pages").select("page_id", rank.payload(F.lit("q"), none, summary=F.when(k == 1, "a <b>b"), error=F.when(k == 0, "down")).alias("p"))
+
+
+@_query(f"SELECT page_id, 's' AS name, url AS query, CASE WHEN page_id % 2 = 0 THEN 'news' END AS topic, 'week' AS time_range FROM pages")
+def call_arguments(spark, d):
+    arguments = F.concat(F.lit('{"query": '), chat.json_text(F.col("url")), F.when(F.col("page_id") % 2 == 0, ', "topic": "news"').otherwise(""), F.lit(', "time_range": "week"}'))
+    whole = F.concat(F.lit('<tool_call>{"name": "s", "arguments": '), arguments, F.lit("}</tool_call>"))
+    return _t(spark, d, "pages").select("page_id", grammar.full_call(whole).alias("c")).select("page_id", "c.*")
+
+
+# text functions ----------------------------------------------------------------------------------
+@_query("SELECT doc_id, 'é' || chr(CAST(200 + doc_id % 5000 AS INTEGER)) || '&#65;<' AS t FROM documents")
+def numeric_entities(spark, d):
+    code = 200 + F.col("doc_id") % 5000
+    return _t(spark, d, "documents").select("doc_id", T.entities(F.concat(F.lit("&#233;&#x"), F.hex(code), F.lit(";&amp;#65;&lt;"))).alias("t"))
+
+
+@_query("""SELECT doc_id, doc_id % 2 = 0 AS found, CASE WHEN doc_id % 2 = 0 THEN CAST(length(text) AS VARCHAR) END AS n FROM documents""")
+def json_in_text(spark, d):
+    rest = F.translate("text", "{}", "")
+    whole = F.when(F.col("doc_id") % 2 == 0, F.concat(rest, F.lit('{"n": {"m": '), F.length("text").cast("string"), F.lit("}} "), rest)).otherwise(rest)
+    return _t(spark, d, "documents").select("doc_id", T.json_in_text(whole).alias("j")).select("doc_id", F.col("j").isNotNull().alias("found"), F.try_variant_get("j", "$.n.m", "string").alias("n"))
+
+
+@_query("SELECT doc_id, '1. ' || lang || chr(10) || '2. ' || source AS listed, 'org/' || lang || CASE WHEN doc_id % 2 = 0 THEN '-4bit-x' ELSE '' END AS name, lang AS bare, chr(92) || chr(39) || source || chr(92) || chr(92) || chr(92) || 'n' AS escaped, lang || ' x' AS about, doc_id % 2 = 0 AS news FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
+def text_forms(spark, d):
+    even = F.col("doc_id") % 2 == 0
+    name = F.concat(F.lit("cache/models--org--"), "lang", F.when(even, "-4bit-x").otherwise("-bnb-4bit"), F.lit("/snapshots/1"))
+    news, plain = T.placeholder(F.concat(F.when(even, "{guncel} ").otherwise(""), "lang", F.lit(" x")), "guncel")
+    docs = _t(spark, d, "documents").where("lang IS NOT NULL AND source IS NOT NULL")
+    return docs.select("doc_id", T.numbered(F.array("lang", "source")).alias("listed"), T.unquantised_name(name).alias("name"), T.unquoted(T.unfenced(F.concat(F.lit('```""'), "lang", F.lit('"```')))).alias("bare"), T.quoted(F.concat(F.lit("'"), "source", F.lit("\\\n"))).alias("escaped"), T.subject(F.concat(plain, F.lit(" için güncel"))).alias("about"), news.alias("news"))
+
+
+@_query("SELECT lang, arg_min(doc_id, doc_id) FILTER (doc_id % 7 = 3) AS first_ok, count(*) AS tries FROM documents GROUP BY lang")
+def first_success(spark, d):
+    return curate.first_success(_t(spark, d, "documents").select("lang", "doc_id"), "lang", "doc_id", F.col("doc_id") % 7 == 3).select("lang", F.col("found.doc_id").alias("first_ok"), "tries")
+
+
+@_query("SELECT name, arg_max(page_id, page_id) AS newest FROM (VALUES ('E_N'), ('fr'), ('none')) AS n(name) LEFT JOIN pages ON contains(translate(lower(url), '_-', ''), translate(lower(name), '_-', '')) GROUP BY name")
+def newest_match(spark, d):
+    names = spark.createDataFrame([("E_N",), ("fr",), ("none",)], "name string")
+    files = _t(spark, d, "pages").select(F.concat(F.translate("url", "/", ":"), F.lit("\t"), F.col("page_id").cast("string")).alias("path"), F.col("page_id").alias("at"))
+    return curate.newest_match(names, files).select("name", F.substring_index("path", "\t", -1).cast("long").alias("newest"))
+
+
+@_query("SELECT doc_id, CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 12))::BIGINT % 6 AS INTEGER) AS drawn, ('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 12))::BIGINT % 1000000 < 300000 AS heads FROM documents")
+def drawn_choice(spark, d):
+    return _t(spark, d, "documents").select("doc_id", curate.drawn(F.col("doc_id"), 6).alias("drawn"), curate.coin(F.col("doc_id"), 0.3).alias("heads"))
+
+
+@_query("SELECT doc_id FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100")
+def shuffled_prefix(spark, d):
+    key = F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string")).cast("binary"))
+    return curate.prefix(_t(spark, d, "documents").select("doc_id"), 100, key, "doc_id")
+
+
 # loops with pluggable providers ------------------------------------------------------------------
-@_query()
+_LENGTH = f"WITH {_PAIRS}, l AS (SELECT conv_id, question, length(string_split(question, chr(10))[1]) AS n FROM pairs)"
+
+
+@_query(f"{_LENGTH} SELECT conv_id, true AS consistent, n % 2 = 0 AS repaired, 1 AS n_calls FROM l")
 def agent_fake(spark, d):
     pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question")
     return agents.run_agent(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "consistent", "repaired", "n_calls")
 
 
-@_query()
+@_query(f"{_LENGTH} SELECT conv_id, true AS ok, 1 AS n_calls FROM l")
 def distill_fake(spark, d):
     pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question", F.lit("").alias("reference"))
     return agents.distill(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "ok", "n_calls")
 
 
-@_query()
+@_query(f"""{_LENGTH}, c AS (SELECT *, length(CAST(n AS VARCHAR)) AS w FROM l)
+SELECT conv_id, CAST(n AS VARCHAR) AS answer, 1 AS n_calls, 2048 - (31 + w) // 3 - 17 // 3 - (17 + w) // 3 AS tokens_left FROM c""")
 def executor_fake(spark, d):
     pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question")
     return agents.run_tagged(pairs, agents.FakeTagModel, agents.FakeSearch).select("conv_id", "answer", "n_calls", "tokens_left")
+
+
+_TAUGHT = f"""{_LENGTH}, t AS (SELECT conv_id, question, n, length(question) AS whole, conv_id % 3 = 0 AS maths FROM l),
+r AS (SELECT *, n % 10 <> 0 AS ok, NOT maths AND n % 3 = 0 AS search FROM t)"""
+
+
+def _taught(spark, d):
+    pairs = chat.first_pairs(_t(spark, d, "conversations"))
+    n = F.length(F.split_part("question", F.lit("\n"), F.lit(1))).cast("string")
+    category = F.when(F.col("conv_id") % 3 == 0, "matematik").otherwise("genel")
+    items = pairs.select(F.col("conv_id").cast("string").alias("id"), "question", n.alias("reference"), category.alias("category"), F.lit("pairs").alias("source"), F.col("answer").alias("reasoning_hint"))
+    return teach.distill(items, teach.FakeTeacher, agents.FakeSearch, system=PROMPT)
+
+
+@_query(f"{_TAUGHT} SELECT conv_id, ok, CASE WHEN ok THEN search END AS needs_search, CASE WHEN ok THEN CASE WHEN search THEN 5 ELSE 3 END END AS n_messages FROM r")
+def teach_fake(spark, d):
+    m = F.col("record.messages")
+    return _taught(spark, d).select(F.col("id").cast("long").alias("conv_id"), m.isNotNull().alias("ok"), F.col("record.meta.needs_search").alias("needs_search"), F.when(m.isNotNull(), F.size(m)).alias("n_messages"))
+
+
+@_query(f"{_TAUGHT} SELECT count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS failed FROM r")
+def teach_outcome(spark, d):
+    return teach.outcome(_taught(spark, d))
+
+
+@_query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'fine' WHEN 1 THEN 'late' END AS said FROM documents")
+def formatted_fake(spark, d):
+    k, body = F.col("doc_id") % 3, lambda x: grammar.five_tag_text(F.lit("t"), F.lit("p"), F.lit(None).cast("string"), F.lit("v"), F.lit(x))
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), k.alias("k"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("attempt"))
+    said = F.when((F.col("k") == 0) & (F.col("attempt") < 2), F.concat(F.lit("```"), body("fine"), F.lit("```"))).when((F.col("k") == 1) & (F.col("attempt") == 2), body("late")).otherwise("no tags")
+    made = teach.formatted(docs.select("id", "attempt", F.lit("q").alias("question"), F.lit("c").alias("category"), said.alias("said")), system=PROMPT, source=F.lit("s"))
+    return made.select(F.col("id").alias("doc_id"), grammar.five_tags(F.try_element_at("record.messages", F.lit(-1))["content"])["output"].alias("said"))
+
+
+@_query("SELECT count(*) AS n, 1000 - count(*) + count(*) FILTER (ok) AS ok FROM (SELECT true AS ok FROM range(1000))")
+def topic_questions(spark, d):
+    asked = teach.topic_questions(teach.topic_plan(spark, 1000), teach.FakeTeacher)
+    fine = F.col("question").startswith("Soru: ") & ~F.contains("question", F.lit('"')) & ~F.contains("question", F.lit("{")) & F.col("category").isin(*teach.TOPICS)
+    return asked.agg(F.count("*").alias("n"), F.count_if(fine).alias("ok"))
+
+
+@_query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN length(text) END AS n FROM conversations")
+def enriched_once(spark, d):
+    turns = _t(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("text"))
+    return agents.enriched(turns, "text", lambda: lambda t: (len(t),), "n long").select("conv_id", "turn", "n")

@@ -6,6 +6,8 @@ or failing server (429, 5xx, no connection) is asked again after growing waits;
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import json
 import re
 import urllib.error
@@ -13,7 +15,7 @@ import urllib.parse
 import urllib.request
 from html import unescape
 
-from textloom.operators.agents import retried
+from textloom.operators.agents import Fallback, Memo, retried
 
 #: What a search may be narrowed to.
 TOPICS = ("general", "news")
@@ -60,9 +62,10 @@ def _hits(rows: list[dict]) -> list[dict]:
 class PostedSearch:
     """A search that takes a JSON request."""
 
-    def __init__(self, url: str, key: str | None = None, k: int = 5, topic: str = "general", time_range: str | None = None, **options):
+    def __init__(self, url: str, key: str | None = None, k: int = 5, topic: str = "general", time_range: str | None = None, depth: str | None = None, answer: bool | None = None, country: str | None = None, **options):
         self.url, self.key, self.options = url, key, options
         self.request = {"max_results": k, "topic": topic if topic in TOPICS else TOPICS[0]} | ({"time_range": time_range} if time_range in RANGES else {})
+        self.request |= {name: x for name, x in (("search_depth", depth), ("include_answer", answer), ("country", country)) if x is not None}
 
     def search(self, query: str) -> list[dict]:
         return _hits(json.loads(fetch(self.url, self.request | {"query": query[:LONGEST_QUERY]}, key=self.key, **self.options)).get("results") or [])
@@ -113,3 +116,46 @@ class Completions:
     def complete(self, prompt: str, temperature: float = 0.7) -> str:
         body = {"model": self.model, "prompt": prompt, "stop": self.stop, "max_tokens": self.max_tokens, "temperature": temperature}
         return json.loads(fetch(self.url, body, key=self.key, **self.options))["choices"][0]["text"]
+
+
+class LibrarySearch:
+    """A search by a library that is installed on the executors; both names it has had are tried."""
+
+    def __init__(self, k: int = 3, region: str = "tr-tr", modules: tuple[str, ...] = ("ddgs", "duckduckgo_search")):
+        self.k, self.region, self.modules = k, region, modules
+
+    def search(self, query: str) -> list[dict]:
+        found = next((m for m in self.modules if importlib.util.find_spec(m)), None)
+        if found is None:
+            raise Refused(f"none of {self.modules} is installed")
+        with importlib.import_module(found).DDGS() as client:
+            rows = list(client.text(query, region=self.region, max_results=self.k))
+        return [{"title": r.get("title") or "", "url": r.get("href") or "", "content": r.get("body") or ""} for r in rows[: self.k]]
+
+
+class LocalCompletions:
+    """A model in the executor's own process, by a library that is installed there."""
+
+    def __init__(self, path: str, stop: tuple[str, ...] = (), max_tokens: int = 2048, context: int = 4096, module: str = "llama_cpp"):
+        if importlib.util.find_spec(module) is None:
+            raise Refused(f"{module} is not installed")
+        self.model = importlib.import_module(module).Llama(model_path=path, n_ctx=context, verbose=False)
+        self.stop, self.max_tokens = list(stop), max_tokens
+
+    def complete(self, prompt: str, temperature: float = 0.7) -> str:
+        return self.model(prompt, stop=self.stop, max_tokens=self.max_tokens, temperature=temperature)["choices"][0]["text"]
+
+
+class Remembered:
+    """A search that asks for some more hits than wanted, which cleaning may drop, and remembers its last answers."""
+
+    def __init__(self, search, most: int = 256):
+        self.inner, self.memo = search, Memo(most)
+
+    def search(self, query: str) -> list[dict]:
+        return self.memo.get_or(query.strip(), lambda: self.inner.search(query.strip()))
+
+
+def chosen_search(key: str | None, primary, fallback):
+    """The primary search, remembered, where there is a key for it, else the fallback; both are functions that make one."""
+    return Remembered(primary(key)) if key else Fallback(fallback())

@@ -9,7 +9,7 @@ from textloom.functions import text as T
 
 
 def merge_stream(spark: SparkSession, folder: str, schema: str, *, text: str = "text", min_chars: int = 200, max_tokens: int = 2048) -> DataFrame:
-    """Rows that are valid and fit, with their key; of rows with one key the first that arrives."""
+    """Rows that are valid and fit, with their key; of rows with one key the first that arrives. Every key ever seen is kept as state, 32 characters each, as the merge asks for; there is no event time that could end it."""
     rows = spark.readStream.schema(schema).json(folder).where(F.length(text) >= min_chars)
     keyed = rows.withColumns({"dedupe_key": T.dedupe_key(F.col(text)), "approx_tokens": T.approx_tokens(F.col(text))})
     return keyed.where(F.col("approx_tokens") <= max_tokens).dropDuplicates(["dedupe_key"])
@@ -17,3 +17,15 @@ def merge_stream(spark: SparkSession, folder: str, schema: str, *, text: str = "
 
 def start(df: DataFrame, out: str, checkpoint: str):
     return df.writeStream.format("json").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(out)
+
+
+def rewritten(df: DataFrame, out: str, checkpoint: str):
+    """Every micro-batch is kept by its number, and out is written anew from all that have come; a batch that runs again replaces itself."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").json(f"{out}-parts/batch={number}")  # a batch that is run again replaces itself
+        spark.read.json(f"{out}-parts").drop("batch").write.mode("overwrite").json(out)
+
+    return df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
