@@ -85,7 +85,7 @@ def retried(call: Callable, times: int = 3, wait: float = 0.0, final: tuple = (V
 def numbers(text: str) -> set[str]:
     """The distinct numbers of a text, written alike: as textloom.functions.text.normalise_number does."""
     out = set()
-    for x in _NUMBER.findall(text.replace(" ", "")):
+    for x in _NUMBER.findall(text.replace("\u202f", "")):
         plain = x.replace(",", ".")
         over, _, under = plain.partition("/")
         if under and not float(under):
