@@ -47,3 +47,65 @@ def test_a_repeated_menu_goes(spark, sf_small):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     left = corpus_pipeline.without_repeated_lines(spark, docs, sf_small)
     assert {r.doc_id: (r.text, r.n_chars) for r in left.collect()} == {1: (rows[0][1], 50), 2: ("Second page\nMore", 16)}
+
+
+def plain_units(rows):
+    """Which lines and sentences of five words or more an earlier document or place has, for texts without short units."""
+    import re
+
+    seen, out = set(), []
+    for i, text in sorted(rows):
+        kept = []
+        for line in text.split("\n"):
+            pieces = re.split(r"(?<=[.!?])[\x20\x09-\x0D]+", line)
+            norm = [" ".join(p.lower().split()) for p in pieces]
+            whole = " ".join(norm)
+            gone_line = len(pieces) > 1 and whole in seen
+            gone = [gone_line or n in seen for n in norm]
+            seen.update(norm)
+            seen.add(whole)
+            if not all(gone):
+                kept.append(" ".join(p for p, g in zip(pieces, gone) if not g))
+        out.append((i, "\n".join(kept)))
+    return out
+
+
+def test_run_equals_plain_python(spark, tmp_path, monkeypatch):
+    """All rows and texts of run(), given the quality stage's decisions: near duplicates by all pairs, units by a set, windows by comparison, the mix by its targets."""
+    import random
+
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(900)]
+    sentence = lambda: " ".join(r.choice(words) for _ in range(r.randint(8, 14))) + "."
+    texts = ["\n".join(" ".join(sentence() for _ in range(3)) for _ in range(4)) for _ in range(40)]
+    shared, leak = sentence(), sentence()
+    texts += [texts[3], texts[4].replace(texts[4].split()[7], "changed", 1)]
+    texts += [f"{sentence()} {shared} {sentence()}" for _ in range(6)] + [f"{sentence()} {leak} {sentence()}" for _ in range(4)]
+    rows = [(i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rejected = {5, 11, 46}
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("quality", lambda s, docs, d: docs.where(~F.col("doc_id").isin(*rejected))), *corpus_pipeline.STAGES[1:]])
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    left = [(i, t) for i, t, *_ in rows if i not in rejected]
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in left}
+    left = [(i, t) for i, t in left if not any(100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j, _ in left if j < i)]
+    assert {i for i, _ in left}.isdisjoint({40, 41})
+    left = plain_units(left)
+    hits = decontaminate.brute_force(left, [(1, leak)])
+    left = [x for x, h in zip(left, hits) if not h[5]]
+    assert any(h[5] for h in hits) and len(left) < len(hits)
+    expected = {i: t for i, t in left if t.strip()}
+    size = {s: sum(len(t.split()) for i, t in expected.items() if "ab"[i % 2] == s) for s in "ab"}
+    target = {"a": min(2 * size["a"], 1.5 * sum(size.values()) * 5 / 7)}
+    target["b"] = min(2 * size["b"], 1.5 * sum(size.values()) - target["a"])
+    target["a"] = min(2 * size["a"], 1.5 * sum(size.values()) - target["b"])
+    assert {x.doc_id for x in got} <= set(expected) and all(x.text == expected[x.doc_id] for x in got)
+    for s in "ab":
+        own = [x for x in got if x.source == s]
+        assert {round(x.target, 6) for x in own} == {round(target[s], 6)} and all(x.source_size == size[s] and x.taken == x.size * x.copies and x.copies in (1, 2) for x in own)
+        assert target[s] - max(len(t.split()) for t in expected.values()) <= sum(x.taken for x in own) <= target[s]
+        if target[s] >= size[s]:
+            assert {x.doc_id for x in own} == {i for i in expected if "ab"[i % 2] == s}
