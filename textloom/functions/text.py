@@ -151,7 +151,7 @@ def boxed(c: Column) -> Column:
         return F.when(a["depth"] == 0, a).otherwise(F.struct(depth.alias("depth"), (a["size"] + F.length(piece)).alias("size")))
 
     end = F.aggregate(F.split(tail, "(?<=[{}])"), start, step)
-    return F.when(end["depth"] == 0, strip(F.left(tail, end["size"] - 1))).otherwise(F.lit(""))
+    return F.when(end["depth"] == 0, strip(tail.substr(F.lit(1), end["size"] - 1))).otherwise(F.lit(""))
 
 
 def json_object(c: Column) -> Column:
