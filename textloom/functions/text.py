@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Whitespace as Unicode has it; Java's \s and SQL's trim know less.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+BLANKS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))  # what WS matches
 NUMBER = r"-?[0-9]+(?:[.,][0-9]+)?(?:/[0-9]+)?"
 NUMBER_PLAIN = r"-?[0-9]+(?:[.,][0-9]+)?"
 NARROW_SPACE = " "
@@ -25,7 +28,12 @@ def collapse(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once for the row, however often body names it; as a plain column it would be written out at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def dedupe_key(c: Column) -> Column:

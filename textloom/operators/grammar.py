@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,11 +29,9 @@ def header(k: int) -> str:
 
 def five_tags(c: Column) -> Column:
     """struct of the five parts, null where the form or a part is missing."""
-    parts = {t: T.strip(F.regexp_extract(c, FIVE, k)) for t, k in zip(TAGS, (1, 2, 3, 5, 6))}
-    full = c.rlike(FIVE)
-    for p in parts.values():
-        full &= p != ""
-    return F.when(full, F.struct(*[p.alias(t) for t, p in parts.items()]))
+    parts = lambda c: F.struct(*[T.strip(F.regexp_extract(c, FIVE, k)).alias(t) for t, k in zip(TAGS, (1, 2, 3, 5, 6))])
+    full = lambda p: F.when(reduce(and_, [p[t] != "" for t in TAGS]), p)
+    return T.let(c, lambda c: T.let(parts(c), full))
 
 
 def five_tag_text(think, plan, query, verify, output) -> Column:
@@ -53,8 +54,7 @@ def step_numbers(c: Column) -> Column:
 
 def step_texts(c: Column) -> Column:
     """What follows each step header."""
-    parts = F.split(c, r"\[STEP [0-9]: [^\]]+\]")
-    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), T.strip)
+    return T.let(F.split(c, r"\[STEP [0-9]: [^\]]+\]"), lambda parts: F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), T.strip))
 
 
 def steps(c: Column) -> Column:
@@ -67,7 +67,7 @@ def steps(c: Column) -> Column:
 def verified_line(c: Column) -> Column:
     """The line after the last verified-result mark; null if there is none or nothing in it."""
     tail = T.strip(F.substring_index(c, VERIFIED, -1))
-    return F.when(F.instr(c, VERIFIED) > 0, F.nullif(T.strip(F.regexp_extract(tail, r"\A([^\n\r]*)", 1)), F.lit("")))
+    return T.let(F.when(F.instr(c, VERIFIED) > 0, T.strip(F.regexp_extract(tail, r"\A([^\n\r]*)", 1))), lambda line: F.when(line != "", line))
 
 
 def missing_numbers(line: Column, answer_: Column) -> Column:
@@ -102,21 +102,32 @@ def full_call(c: Column) -> Column:
 
 def reason(c: Column) -> Column:
     """Why a six-step text is not valid, `ok` if it is. The first failing rule names it."""
-    t, a = thought(c), answer(c)
-    call, three, four = F.instr(t, "<tool_call>"), F.instr(t, header(3)), F.instr(t, header(4))
-    six = F.try_element_at(step_texts(t), F.lit(6))
-    return (
-        F.when(~F.regexp_replace(c, rf"\A{T.WS}+", "").startswith(OPEN) | (F.regexp_count(c, F.lit(CLOSE)) != 1), "bad_thought_tags")
-        .when(F.length(a) < 2, "empty_answer")
-        .when(F.array_join(step_numbers(t), "") != "123456", "bad_step_order")
-        .when(F.exists(step_texts(t), lambda s: F.length(s) < 3), "empty_step")
-        .when((call > 0) & ~((three < call) & (call < four)), "call_misplaced")
-        .when((call > 0) & tool_call(t).isNull(), "call_bad_json")
-        .when(F.contains(a, F.lit("<tool_call>")), "call_in_answer")
-        .when(~F.contains(F.coalesce(six, F.lit("")), F.lit(VERIFIED)), "no_verified_line")
-        .when(~consistent(t, a), "inconsistent")
-        .otherwise("ok")
-    )
+
+    def judged(p: Column) -> Column:
+        t, a, texts, call = p["t"], p["a"], p["texts"], p["call"]
+        three, four = F.instr(t, header(3)), F.instr(t, header(4))
+        six = F.try_element_at(texts, F.lit(6))
+        return (
+            F.when(~p["tagged"], "bad_thought_tags")
+            .when(F.length(a) < 2, "empty_answer")
+            .when(F.array_join(step_numbers(t), "") != "123456", "bad_step_order")
+            .when(F.exists(texts, lambda s: F.length(s) < 3), "empty_step")
+            .when((call > 0) & ~((three < call) & (call < four)), "call_misplaced")
+            .when((call > 0) & tool_call(t).isNull(), "call_bad_json")
+            .when(F.contains(a, F.lit("<tool_call>")), "call_in_answer")
+            .when(~F.contains(F.coalesce(six, F.lit("")), F.lit(VERIFIED)), "no_verified_line")
+            .when(~consistent(t, a), "inconsistent")
+            .otherwise("ok")
+        )
+
+    def parts(c: Column) -> Column:
+        tagged = F.ltrim(c, F.lit(T.BLANKS)).startswith(OPEN) & (F.regexp_count(c, F.lit(CLOSE)) == 1)
+        return T.let(F.struct(tagged.alias("tagged"), thought(c).alias("t"), answer(c).alias("a")), steps_of)
+
+    def steps_of(p: Column) -> Column:
+        return T.let(F.struct(p["tagged"].alias("tagged"), p["t"].alias("t"), p["a"].alias("a"), step_texts(p["t"]).alias("texts"), F.instr(p["t"], "<tool_call>").alias("call")), judged)
+
+    return T.let(c, parts)
 
 
 def unfinished_removed(c: Column) -> Column:

@@ -295,14 +295,15 @@ def tag_grammar(spark, d):
 
 def _thoughts(spark, d):
     """Documents in the six-step form, with one defect by doc_id % 11."""
-    k, good = F.col("doc_id") % 11, F.concat(F.lit("a step about "), F.translate("text", "<>[]0123456789", ""))
+    k, good = F.col("doc_id") % 11, F.col("good")
     call = F.concat(F.lit('\n<tool_call>\n{"name": "s", "arguments": {"query": "'), F.col("doc_id").cast("string"), F.lit('"}}\n</tool_call>'))
     last = F.when(k == 6, good).otherwise(F.concat(good, F.lit(f"\n{grammar.VERIFIED} x = 42")))
     texts = [good, F.when(k == 4, "a").otherwise(good), F.when(k == 7, F.concat(good, call)).when(k == 8, F.concat(good, F.replace(call, F.lit("}}"), F.lit("}")))).otherwise(good), F.when(k == 9, F.concat(good, call)).otherwise(good), good, last]
     answer = F.when(k == 2, F.lit(" ")).when(k == 5, F.concat(F.lit("42"), call)).when(k == 10, F.lit("It is 41.")).otherwise(F.lit("It is **42**."))
     whole = grammar.six_steps(texts, answer)
     whole = F.when(k == 1, F.replace(whole, F.lit("<thought>"), F.lit(""))).when(k == 3, F.replace(whole, F.lit("[STEP 5"), F.lit("[STEP 7"))).otherwise(whole)
-    return _t(spark, d, "documents").select("doc_id", whole.alias("t"))
+    docs = curate.held(_t(spark, d, "documents").select("doc_id", "text"), "good", F.concat(F.lit("a step about "), F.translate("text", "<>[]0123456789", "")))
+    return docs.select("doc_id", whole.alias("t"))
 
 
 _REASON = "['ok','bad_thought_tags','empty_answer','bad_step_order','empty_step','call_in_answer','no_verified_line','ok','call_bad_json','call_misplaced','inconsistent'][1 + doc_id % 11]"
