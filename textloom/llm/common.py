@@ -85,11 +85,12 @@ def once(kind: str, key, make):
 
 
 def with_columns(df: DataFrame, function, ddl: str, *, drop: tuple[str, ...] = ()) -> DataFrame:
-    """df with the columns that function(record batch) -> {name: Arrow array} makes. A column of df that has a new one's name gives way to it; columns in drop go."""
+    """df with the columns that function(record batch) -> {name: Arrow array} makes. A column of df that has a new one's name, in whatever case, gives way to it; columns in drop go."""
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(ddl)
-    kept = [c for c in df.columns if c not in new.names and c not in drop]
+    taken = {c.lower() for c in new.names}
+    kept = [c for c in df.columns if c.lower() not in taken and c not in drop]
     schema = StructType([df.schema[c] for c in kept] + list(new.fields))
 
     def run(batches):
