@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontaminate, language, middle, mix, nearest, quality, repeats, secrets, topk, toxicity, units, urls
+from textloom.llm import decontaminate, language, lexical, middle, mix, nearest, quality, repeats, secrets, topk, toxicity, units, urls
 from textloom.llm.common import fold, table
 
 
@@ -64,6 +64,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [secrets.count(k).alias(f"n_{k}") for k in secrets.KINDS[: secrets.BASE]]
@@ -77,5 +81,5 @@ def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near, op3_urls, op4_mix, op5_topk, op6_repeats, op7_units, op8_language, op9_quality, op10_decontaminate, op12_secrets, op13_middle)}
-ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op6_repeats": repeats.SQL, "op7_units": units.SQL, "op12_secrets": secrets.SQL, "op13_middle": middle.SQL}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_near, op3_urls, op4_mix, op5_topk, op6_repeats, op7_units, op8_language, op9_quality, op10_decontaminate, op11_lexical, op12_secrets, op13_middle)}
+ORACLE_SQL = {"op3_urls": urls.SQL, "op5_topk": topk.SQL, "op4_mix": mix.SQL, "op6_repeats": repeats.SQL, "op7_units": units.SQL, "op11_lexical": lexical.SQL, "op12_secrets": secrets.SQL, "op13_middle": middle.SQL}
