@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 import time
 from collections import OrderedDict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -82,18 +84,20 @@ def retried(call: Callable, times: int = 3, wait: float = 0.0, final: tuple = (V
             time.sleep(wait * 2**k)
 
 
-def numbers(text: str) -> set[str]:
-    """The distinct numbers of a text, written alike: as textloom.functions.text.normalise_number does."""
-    out = set()
-    for x in _NUMBER.findall(text.replace("\u202f", "")):
-        plain = x.replace(",", ".")
-        over, _, under = plain.partition("/")
-        if under and not float(under):
-            out.add(plain)
-            continue
+def written_alike(x: str) -> str:
+    """A number as textloom.functions.text.normalise_number writes it; what is none as it is."""
+    plain = x.replace(",", ".")
+    over, _, under = plain.partition("/")
+    try:
         value = float(over) / float(under or 1)
-        out.add(str(int(value)) if value.is_integer() and abs(value) < 1e15 else f"{value:.4f}".rstrip("0").rstrip("."))
-    return out
+    except (ValueError, ZeroDivisionError):
+        return plain
+    return str(int(value)) if value.is_integer() and abs(value) < 1e15 else f"{value:.4f}".rstrip("0").rstrip(".")
+
+
+def numbers(text: str) -> set[str]:
+    """The distinct numbers of a text, written alike."""
+    return {written_alike(x) for x in _NUMBER.findall(text.replace("\u202f", ""))}
 
 
 def agrees(thought: str, answer: str) -> bool:
@@ -107,20 +111,70 @@ def _silent(kind: str, text: str) -> None:
 
 
 class Memo(OrderedDict):
-    """What was asked last, at most `most` answers; the one that was not used for longest goes first."""
+    """What was asked last, at most `most` answers; the one that was not used for longest goes first. Threads may share it; two that ask for the same thing at once both ask."""
 
     def __init__(self, most: int = 256):
         super().__init__()
         self.most = most
+        self.lock = threading.Lock()
 
     def get_or(self, key, make):
-        if key in self:
+        with self.lock:
+            if key in self:
+                self.move_to_end(key)
+                return self[key]
+        made = make()
+        with self.lock:
+            self[key] = made
             self.move_to_end(key)
-        else:
-            self[key] = make()
             if len(self) > self.most:
                 self.popitem(last=False)
-        return self[key]
+        return made
+
+
+def in_flight(items: Iterable, work: Callable, workers: int = 8) -> Iterator[tuple]:
+    """(item, work(item)) as results come, with at most `workers` under way; the next item is taken only when one of them is done, so a slow provider holds back what feeds it. An error is raised once the others are done."""
+    if workers <= 1:
+        yield from ((x, work(x)) for x in items)
+        return
+    with ThreadPoolExecutor(workers) as pool:
+        under_way: dict = {}
+        source, more = iter(items), True
+        while more or under_way:
+            while more and len(under_way) < workers:
+                try:
+                    x = next(source)
+                except StopIteration:
+                    more = False
+                    break
+                under_way[pool.submit(work, x)] = x
+            done, _ = wait(under_way, return_when=FIRST_COMPLETED)
+            for f in done:
+                yield under_way.pop(f), f.result()
+
+
+def fan_out(df: DataFrame, ask: Callable, schema: str, *, workers: int = 8, chunk: int = 64) -> DataFrame:
+    """df with the columns of schema that ask() gives for each row, none, one or several rows for it. ask: makes, once in each task, a function from a row (dict) to a list of tuples; up to `workers` calls of it are under way in a task, and rows go on as their answers come, `chunk` at a time."""
+    from pyspark.sql.types import StructType
+
+    whole, n_own = StructType([*df.schema.fields, *StructType.fromDDL(schema).fields]), len(df.columns)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target, function = to_arrow_schema(whole), ask()
+        rows = (row for b in batches for row in b.to_pylist())
+        names, out = target.names[n_own:], []
+        for row, answers in in_flight(rows, function, workers):
+            out += [row | dict(zip(names, x)) for x in answers]
+            if len(out) >= chunk:
+                yield pa.RecordBatch.from_pylist(out, schema=target)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=target)
+
+    return df.mapInArrow(run, whole)
 
 
 def answer_one(question: str, model: Model, search: Search, memo: Memo, max_calls: int = 2, on_event: Callable[[str, str], None] = _silent) -> dict:
@@ -182,32 +236,34 @@ def answer_tagged(question: str, model: Model, search: Search, memo: Memo, max_c
     return {"answer": found[1].strip() if found else said.strip(), "n_calls": calls, "tokens_left": left}
 
 
-def run_tagged(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
+def run_tagged(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search], *, workers: int = 8) -> DataFrame:
     """(conv_id, question) with answer, n_calls, tokens_left."""
 
-    def run(batches: Iterator):
-        import pandas as pd
-
+    def ask():
         m, s, memo = model(), search(), Memo(128)
-        for b in batches:
-            out = pd.DataFrame([answer_tagged(q, m, s, memo) for q in b["question"]], columns=["answer", "n_calls", "tokens_left"])
-            yield pd.concat([b[["conv_id", "question"]].reset_index(drop=True), out], axis=1)
 
-    return questions.select("conv_id", "question").mapInPandas(run, "conv_id long, question string, answer string, n_calls long, tokens_left long")
+        def one(row):
+            got = answer_tagged(row["question"], m, s, memo)
+            return [(got["answer"], got["n_calls"], got["tokens_left"])]
 
+        return one
 
-def run_agent(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
-    """(conv_id, question) with answer, consistent, repaired, n_calls."""
+    return fan_out(questions.select("conv_id", "question"), ask, "answer string, n_calls long, tokens_left long", workers=workers)
 
-    def run(batches: Iterator):
-        import pandas as pd
 
+def run_agent(questions: DataFrame, model: Callable[[], Model], search: Callable[[], Search], *, workers: int = 8) -> DataFrame:
+    """(conv_id, question) with answer, consistent, repaired, n_calls."""
+
+    def ask():
         m, s, memo = model(), search(), Memo(256)
-        for b in batches:
-            out = pd.DataFrame([answer_one(q, m, s, memo) for q in b["question"]], columns=["answer", "consistent", "repaired", "n_calls"])
-            yield pd.concat([b[["conv_id", "question"]].reset_index(drop=True), out], axis=1)
 
-    return questions.select("conv_id", "question").mapInPandas(run, "conv_id long, question string, answer string, consistent boolean, repaired boolean, n_calls long")
+        def one(row):
+            got = answer_one(row["question"], m, s, memo)
+            return [(got["answer"], got["consistent"], got["repaired"], got["n_calls"])]
+
+        return one
+
+    return fan_out(questions.select("conv_id", "question"), ask, "answer string, consistent boolean, repaired boolean, n_calls long", workers=workers)
 
 
 def enriched(items: DataFrame, key: str, ask: Callable, schema: str) -> DataFrame:

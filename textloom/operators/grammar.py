@@ -82,22 +82,29 @@ def consistent(thought_: Column, answer_: Column) -> Column:
 
 def tool_call(c: Column) -> Column:
     """name and query of the last tool call; null if it has none."""
-    whole = full_call(c)
-    return F.when(whole.isNotNull(), F.struct(whole["name"].alias("name"), whole["query"].alias("query")))
+    return T.let(full_call(c), lambda whole: F.when(whole.isNotNull(), F.struct(whole["name"].alias("name"), whole["query"].alias("query"))))
 
 
 def full_call(c: Column) -> Column:
     """name, query, topic and time_range of the last tool call; null if it isn't a strict JSON object with a query. Arguments may be an object, or a string that is JSON or the query itself."""
+    variant, text = lambda v, path: F.try_variant_get(v, path, "variant"), lambda v, path: F.try_variant_get(v, path, "string")
     raw = F.try_element_at(F.regexp_extract_all(c, F.lit(r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>"), F.lit(1)), F.lit(-1))
     listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    whole = F.when(F.schema_of_variant(listed).startswith("ARRAY") & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
-    arguments = F.try_variant_get(whole, "$.arguments", "variant")
-    as_text = F.when(F.schema_of_variant(arguments) == "STRING", F.try_variant_get(arguments, "$", "string"))
-    inner = F.try_parse_json(as_text)
-    query = F.coalesce(F.try_variant_get(F.when(as_text.isNull(), arguments), "$.query", "string"), F.try_variant_get(inner, "$.query", "string"), F.when(inner.isNull(), as_text))
-    name = F.coalesce(F.try_variant_get(whole, "$.name", "string"), F.lit(DEFAULT_TOOL))
-    given = lambda key: F.coalesce(F.try_variant_get(F.when(as_text.isNull(), arguments), f"$.{key}", "string"), F.try_variant_get(inner, f"$.{key}", "string"))
-    return F.when(T.strip(query) != "", F.struct(name.alias("name"), query.alias("query"), given("topic").alias("topic"), given("time_range").alias("time_range")))
+    whole = lambda v: F.when(F.schema_of_variant(v).startswith("ARRAY") & variant(v, "$[1]").isNull(), variant(v, "$[0]"))
+
+    def parts(w: Column) -> Column:
+        arguments = variant(w, "$.arguments")
+        said = lambda a: F.when(F.schema_of_variant(a) == "STRING", text(a, "$"))
+        split = lambda a: T.let(said(a), lambda s: F.struct(text(w, "$.name").alias("name"), F.when(s.isNull(), a).alias("given"), s.alias("said"), F.try_parse_json(s).alias("inner")))
+        return T.let(arguments, split)
+
+    def call(p: Column) -> Column:
+        given = lambda key: F.coalesce(text(p["given"], f"$.{key}"), text(p["inner"], f"$.{key}"))
+        query = F.coalesce(given("query"), F.when(p["inner"].isNull(), p["said"]))
+        return F.struct(F.coalesce(p["name"], F.lit(DEFAULT_TOOL)).alias("name"), query.alias("query"), given("topic").alias("topic"), given("time_range").alias("time_range"))
+
+    made = T.let(T.let(T.let(listed, whole), parts), call)
+    return T.let(made, lambda m: F.when(T.strip(m["query"]) != "", m))
 
 
 def reason(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -73,31 +73,39 @@ def first_user(messages: Column) -> Column:
     return F.get(F.filter(messages, lambda m: m["role"] == "user"), F.lit(0))["content"]
 
 
-def merge_records(records: DataFrame, *, prompt: str, order: str = "ord", max_tokens: int = 2048, ratio: float = 0.02, seed: str = "42", tokens=T.approx_tokens) -> DataFrame:
-    """records (messages, meta, order) with one system prompt, the reason of validity, dedupe_key, outcome (bad, dup, long or kept) and, for kept ones, split. tokens: from the rendered text to its length; any Column function, a pandas UDF around a tokenizer too."""
+def merge_records(records: DataFrame, *, prompt: str, order: str = "ord", max_tokens: int = 2048, tokens=T.approx_tokens) -> DataFrame:
+    """records (messages, meta, order) with one system prompt, the reason of validity, dedupe_key and outcome (bad, dup, long or kept); the records are read and judged once. tokens: from the rendered text to its length; any Column function, a pandas UDF around a tokenizer too."""
     rows = curate.held(records, "messages", chat.unify_system(F.col("messages"), F.lit(prompt)))
     rows = curate.held(with_reason(rows), "text", chat.render(F.col("messages")))
     user = F.coalesce(first_user(F.col("messages")), F.lit(""))
-    return curate.merge_flags(rows, valid=F.col("reason") == "ok", key=T.dedupe_key(user), tokens=tokens(F.col("text")), order=order, max_tokens=max_tokens)
+    return curate.merge_flags(rows, valid=F.col("reason") == "ok", key=T.dedupe_key(user), tokens=tokens(F.col("text")), order=order, max_tokens=max_tokens, keep=[c for c in rows.columns if c != "text"])
 
 
 def kept_records(flagged: DataFrame, *, ratio: float = 0.02, seed: str = "42") -> DataFrame:
-    """messages, meta (with approx_tokens) and split of the rows that the merge keeps."""
+    """messages, meta (with approx_tokens) and split of the rows that the merge keeps. The split is found from keys alone: no two kept rows share one."""
     kept = flagged.where("outcome = 'kept'").select("messages", F.col("meta").withField("approx_tokens", F.col("approx_tokens")).alias("meta"), "dedupe_key")
-    return curate.split_ranked(kept, F.col("dedupe_key"), ratio=ratio, seed=seed).drop("dedupe_key")
+    return curate.split_ranked(kept, F.col("dedupe_key"), ratio=ratio, seed=seed, row=["dedupe_key"]).drop("dedupe_key")
 
 
-def merge_files(spark: SparkSession, inputs: list[str], output: str, *, prompt: str, **options) -> DataFrame:
-    """The merge from JSON lines to a train and a validation folder below output; its counters, one row."""
+def merge_files(spark: SparkSession, inputs: list[str], output: str, *, prompt: str, ratio: float = 0.02, seed: str = "42", **options) -> DataFrame:
+    """The merge from JSON lines to a train and a validation folder below output; its counters, one row. The inputs are read once; the counters come from the run that writes the rows."""
     flagged = merge_records(jsonl.read(spark, *inputs, lines=True), prompt=prompt, **options)
-    jsonl.write_split(kept_records(flagged), output)
-    return counters(flagged)
+    bound = curate.split_bound(flagged.where("outcome = 'kept'").select("dedupe_key"), F.col("dedupe_key"), ratio=ratio, seed=seed, row=["dedupe_key"])
+    counted = Observation("merge")
+    rows = flagged.observe(counted, *_counters())
+    kept = rows.where("outcome = 'kept'").select("messages", F.col("meta").withField("approx_tokens", F.col("approx_tokens")).alias("meta"), "dedupe_key")
+    jsonl.write_split(curate.split_by(kept, F.col("dedupe_key"), bound, seed=seed, row=["dedupe_key"]).drop("dedupe_key"), output)
+    return spark.createDataFrame([Row(**counted.get)], "kept long, bad long, too_long long, dup long, search long")
 
 
-def counters(flagged: DataFrame) -> DataFrame:
+def _counters() -> list[Column]:
     is_ = lambda x: F.count_if(F.col("outcome") == x)
     search = F.count_if((F.col("outcome") == "kept") & F.col("meta.needs_search"))
-    return flagged.agg(is_("kept").alias("kept"), is_("bad").alias("bad"), is_("long").alias("too_long"), is_("dup").alias("dup"), search.alias("search"))
+    return [is_("kept").alias("kept"), is_("bad").alias("bad"), is_("long").alias("too_long"), is_("dup").alias("dup"), search.alias("search")]
+
+
+def counters(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(*_counters())
 
 
 def load_split(spark: SparkSession, path: str, *, prompt: str) -> DataFrame:

@@ -36,7 +36,7 @@ f AS (SELECT *, CASE WHEN NOT ok THEN 'bad' WHEN coalesce(max(CAST(ok AND approx
 
 def _flags(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    return curate.merge_flags(docs, valid=F.length("text") >= 200, key=T.dedupe_key(F.col("text")), tokens=T.approx_tokens(F.col("text")), order="doc_id").drop("text")
+    return curate.merge_flags(docs, valid=F.length("text") >= 200, key=T.dedupe_key(F.col("text")), tokens=T.approx_tokens(F.col("text")), order="doc_id", keep=["doc_id"])
 
 
 @_query(_MERGE + "SELECT doc_id, dedupe_key, approx_tokens FROM f WHERE outcome = 'kept'")
@@ -564,7 +564,7 @@ def text_forms(spark, d):
     name = F.concat(F.lit("cache/models--org--"), "lang", F.when(even, "-4bit-x").otherwise("-bnb-4bit"), F.lit("/snapshots/1"))
     news, plain = T.placeholder(F.concat(F.when(even, "{guncel} ").otherwise(""), "lang", F.lit(" x")), "guncel")
     docs = _t(spark, d, "documents").where("lang IS NOT NULL AND source IS NOT NULL")
-    return docs.select("doc_id", T.numbered(F.array("lang", "source")).alias("listed"), T.unquantised_name(name).alias("name"), T.unquoted(T.unfenced(F.concat(F.lit('```""'), "lang", F.lit('"```')))).alias("bare"), T.quoted(F.concat(F.lit("'"), "source", F.lit("\\\n"))).alias("escaped"), T.subject(F.concat(plain, F.lit(" için güncel"))).alias("about"), news.alias("news"))
+    return docs.select("doc_id", T.numbered(F.array("lang", "source")).alias("listed"), T.base_model(name).alias("name"), T.unquoted(T.unfenced(F.concat(F.lit('```""'), "lang", F.lit('"```')))).alias("bare"), T.quoted(F.concat(F.lit("'"), "source", F.lit("\\\n"))).alias("escaped"), T.subject(F.concat(plain, F.lit(" için güncel"))).alias("about"), news.alias("news"))
 
 
 @_query("SELECT lang, arg_min(doc_id, doc_id) FILTER (doc_id % 7 = 3) AS first_ok, count(*) AS tries FROM documents GROUP BY lang")
@@ -619,9 +619,9 @@ r AS (SELECT *, n % 10 <> 0 AS ok, NOT maths AND n % 3 = 0 AS search FROM t)"""
 
 def _taught(spark, d):
     pairs = chat.first_pairs(_t(spark, d, "conversations"))
-    n = F.length(F.split_part("question", F.lit("\n"), F.lit(1))).cast("string")
+    code = F.repeat(F.char(F.length(F.split_part("question", F.lit("\n"), F.lit(1))) % 26 + 65), 3)  # a reference without numbers
     category = F.when(F.col("conv_id") % 3 == 0, "matematik").otherwise("genel")
-    items = pairs.select(F.col("conv_id").cast("string").alias("id"), "question", n.alias("reference"), category.alias("category"), F.lit("pairs").alias("source"), F.col("answer").alias("reasoning_hint"))
+    items = pairs.select(F.col("conv_id").cast("string").alias("id"), "question", code.alias("reference"), category.alias("category"), F.lit("pairs").alias("source"), F.col("answer").alias("reasoning_hint"))
     return teach.distill(items, teach.FakeTeacher, agents.FakeSearch, system=PROMPT)
 
 
