@@ -147,17 +147,17 @@ def _grams(c: Column, n: int = 3) -> Column:
 def newest_match(names: DataFrame, files: DataFrame) -> DataFrame:
     """names (name) with the newest of files (path, at) whose name holds it, case, `_` and `-` aside; of equally new ones the last path. An index of three-letter parts gives a name's candidates: the files that hold the one of its parts which the fewest files hold. A name of one or two letters looks in an index of these; an empty one is in every file's name."""
     bare = lambda c: F.translate(F.lower(c), "_-", "")
+    newest = F.max(F.struct("at", "path"))
     held_by = files.select("path", "at", bare(F.substring_index("path", "/", -1)).alias("file"))
     parts = F.array_distinct(F.flatten(F.array(*[_grams(F.col("file"), n) for n in (1, 2, 3)])))
-    posted = held_by.select("path", "at", "file", F.explode(parts).alias("part"))
+    every = files.agg(newest.alias("x")).select("x.path", "x.at", F.lit("").alias("file"), F.lit("").alias("part"))
+    posted = held_by.select("path", "at", "file", F.explode(parts).alias("part")).where("part <> ''").unionByName(every)
     asked = names.select("name").distinct().withColumn("bare", bare(F.col("name")))
-    each = asked.where("bare <> ''").select("name", "bare", F.explode(_grams(F.col("bare"))).alias("part"))
+    each = asked.select("name", "bare", F.explode(_grams(F.col("bare"))).alias("part"))
     often = posted.groupBy("part").agg(F.count("*").alias("often"))
     rarest = each.join(often, "part", "left").groupBy("name", "bare").agg(F.min_by("part", F.coalesce("often", F.lit(0))).alias("part"))
-    newest = F.max(F.struct("at", "path"))["path"].alias("path")
-    found = rarest.join(posted, "part").where(F.contains("file", F.col("bare"))).groupBy("name").agg(newest)
-    any_ = files.agg(newest).withColumn("bare", F.lit("")).join(asked, "bare").select("name", "path")
-    return names.join(found.unionByName(any_), "name", "left").select("name", "path")
+    found = rarest.join(posted, "part").where(F.contains("file", F.col("bare"))).groupBy("name").agg(newest["path"].alias("path"))
+    return names.join(found, "name", "left").select("name", "path")
 
 
 def known_only(rows: DataFrame, allowed: list[str]) -> tuple[DataFrame, list[str]]:
