@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,20 +80,56 @@ def snippet(c: Column, limit: int = 400) -> Column:
     return F.when(F.length(s) > limit, F.concat(F.left(s, F.lit(limit)), F.lit("…"))).otherwise(s)
 
 
+_BUCKETS = 64
+
+
+def _bucket(name: str) -> int:
+    return (ord(name[0]) * 7 + ord(name[-1]) * 3 + len(name)) % _BUCKETS
+
+
+def _named(name: Column) -> Column:
+    """What a named reference, as HTML lists them (with or without the semicolon), stands for; null if there is no such name. The names come in small maps, by their ends and length."""
+    maps: list[list[str]] = [[] for _ in range(_BUCKETS)]
+    for x, value in html5.items():
+        maps[_bucket(x)].append(f"{x}\x01{value}")
+    table = F.array(*[F.str_to_map(F.lit("\x02".join(m)), F.lit("\x02"), F.lit("\x01")) for m in maps])
+    bucket = F.pmod(F.ascii(name) * 7 + F.ascii(F.right(name, F.lit(1))) * 3 + F.length(name), F.lit(_BUCKETS))
+    return F.try_element_at(F.get(table, bucket), name)
+
+
+#: Names that need no semicolon, the longest first: of what follows an ampersand the longest such beginning counts.
+_BARE = "^(" + "|".join(sorted((x for x in html5 if not x.endswith(";")), key=lambda x: (-len(x), x))) + ")"
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference: what is none is U+FFFD, a C1 control what it is in Windows-1252, other controls and noncharacters nothing."""
+    c1 = F.array(*[F.lit(bytes([k]).decode("cp1252", "ignore") or chr(k)) for k in range(0x80, 0xA0)])
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    control = ((code < 0x20) & ~code.isin(0x9, 0xA, 0xC, 0xD)) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE)
+    return F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), "\ufffd").when(code.between(0x80, 0x9F), F.get(c1, (code - 0x80).cast("int"))).when(control, "").otherwise(plain)
+
+
+def _reference(rest: Column) -> Column:
+    """What stands after an ampersand, with the reference that it begins with resolved."""
+    number = F.regexp_extract(rest, "^#([0-9]+|[xX][0-9A-Fa-f]+);?", 0)
+    hexed = F.lower(F.substring(number, 2, 1)) == "x"
+    digits = F.regexp_replace(F.regexp_extract(number, "([0-9A-Fa-f]+);?$", 1), "^0+", "")
+    code = F.when(digits == "", F.lit(0)).when(F.length(digits) > 8, F.lit(0x110000)).when(hexed, F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long")).cast("long")
+    name = F.regexp_extract(rest, r"^[^\t\n\f <&#;]{1,32};?", 0)
+
+    def whole(n: Column) -> Column:
+        known = F.when(n != "", _named(n))
+        bare = F.regexp_extract(n, _BARE, 1)
+        begins = let(bare, lambda b: F.when(b != "", F.concat(_named(b), F.substring(rest, F.length(b) + 1, F.length(rest)))))
+        return let(known, lambda k: F.when(k.isNotNull(), F.concat(k, F.substring(rest, F.length(n) + 1, F.length(rest)))).otherwise(F.coalesce(begins, F.concat(F.lit("&"), rest))))
+
+    return F.when(number != "", let(code, lambda c: F.concat(_character(c), F.substring(rest, F.length(number) + 1, F.length(rest))))).otherwise(let(name, whole))
+
+
 def entities(c: Column) -> Column:
-    """Numeric references and the common named HTML entities decoded; `&amp;` last, so nothing is decoded twice. Numbers that are no character become U+FFFD."""
-    seen = F.array_distinct(F.regexp_extract_all(c, F.lit("&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
-
-    def char(ref):
-        digits = F.regexp_extract(ref, "([0-9A-Fa-f]+);", 1)
-        code = F.when(F.lower(F.substring(ref, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("int")
-        fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-
-    c = F.when(F.size(seen) > 0, F.aggregate(seen, c, lambda s, ref: F.replace(s, ref, char(ref)))).otherwise(c)
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """HTML's character references resolved: numbers and all named ones, the longest name where the semicolon lacks. Each ampersand is looked at once, so nothing is resolved twice."""
+    pieces = F.transform(F.split(c, "&", -1), lambda rest, k: F.when(k == 0, rest).otherwise(_reference(rest)))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
 
 
 def authority(url: Column) -> Column:

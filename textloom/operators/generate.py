@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.tables import written
+
 # The people of the puzzles, and products with the search that asks for their news.
 PEOPLE = ("Ayşe", "Mehmet", "Zeynep", "Can", "Elif", "Burak", "Deniz", "Kaan", "Selin", "Emre")
 SEARCHES = (
@@ -75,6 +77,32 @@ def cycled(items: DataFrame, n: int, order: str) -> DataFrame:
     return rows.join(at, "_at").drop("_at")
 
 
+def until_exhausted(attempts: DataFrame, category: str, key: str, order: str, *, most: int = 300) -> DataFrame:
+    """The attempts (category, key, order, a distinct number within its category) that are the first of their key in their category, up to where more than `most` repeats follow one another: there the category ends.
+
+    A category's attempts are islands of repeats between first ones. They are dealt by ranges of (category, order), so that a large category is many tasks; the place of an attempt is its number in its task's range and the sizes of the ranges before, a small table, and the gap after a range's last first attempt reaches to the next range that has one."""
+    c, o = F.col(category), F.col(order)
+    rows = attempts.select(c.alias("c"), F.col(key).alias("k"), o.alias("o"))
+    n = int(attempts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, "c", "o").withColumn("p", F.spark_partition_id())
+    numbered = written(ranged.withColumn("i", F.row_number().over(Window.partitionBy("p", "c").orderBy("o"))), "attempts")
+    before = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = numbered.groupBy("p", "c").agg(F.count("*").alias("size")).withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    first = numbered.groupBy(F.col("c").alias("c1"), F.col("k").alias("k1")).agg(F.min("o").alias("o1"))
+    news = first.join(numbered, F.col("c").eqNullSafe(F.col("c1")) & (F.col("o") == F.col("o1"))).select("p", "c", "k", "o", "i")
+    news = written(news.join(F.broadcast(ranges.select(F.col("p").alias("p2"), F.col("c").alias("c2"), "offset")), (F.col("p") == F.col("p2")) & F.col("c").eqNullSafe(F.col("c2"))).select("p", "c", "k", "o", (F.col("offset") + F.col("i")).alias("at")), "attempts-new")
+    # where the next first attempt stands: in this range, else in the next one that has any, else after the last attempt
+    edge = news.groupBy("p", "c").agg(F.min("at").alias("lowest"))
+    edge = edge.withColumn("next", F.lead("lowest").over(Window.partitionBy("c").orderBy("p"))).select(F.col("p").alias("p3"), F.col("c").alias("c3"), "next")
+    ends = ranges.groupBy(F.col("c").alias("c4")).agg((F.sum("size") + 1).alias("end"))
+    inside = F.lead("at").over(Window.partitionBy("p", "c").orderBy("at"))
+    gaps = news.withColumn("inside", inside).join(F.broadcast(edge), (F.col("p") == F.col("p3")) & F.col("c").eqNullSafe(F.col("c3"))).join(F.broadcast(ends), F.col("c").eqNullSafe(F.col("c4")))
+    gap = F.coalesce("inside", "next", "end") - F.col("at") - 1
+    cut = gaps.where(gap > most).groupBy(F.col("c").alias("c5")).agg(F.min("at").alias("cut"))
+    kept = news.join(F.broadcast(cut), F.col("c").eqNullSafe(F.col("c5")), "left").where("cut is null or at <= cut")
+    return kept.select(F.col("c").alias(category), F.col("k").alias(key), F.col("o").alias(order))
+
+
 def balanced(df: DataFrame, category: str, *order: str, cap: int, limit: int | None = None) -> DataFrame:
     """Up to cap rows of each category, filled round by round."""
     rows = df.withColumn("rn", F.row_number().over(Window.partitionBy(category).orderBy(*order))).where(F.col("rn") <= cap)

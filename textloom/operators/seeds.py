@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators import curate
+from textloom.tables import written
 
 
 @dataclass(frozen=True)
@@ -58,29 +61,69 @@ ADAPTERS = {
 
 
 def seeds(df: DataFrame, question, reference, hint, *, source: str, category: str, max_q: int = 1500, max_hint: int = 4000) -> DataFrame:
-    q = df.select(question.alias("q"), F.coalesce(reference, F.lit("")).alias("r"), F.coalesce(hint, F.lit("")).alias("h"))
+    place = ["_place"] if "_place" in df.columns else []
+    q = df.select(question.alias("q"), F.coalesce(reference, F.lit("")).alias("r"), F.coalesce(hint, F.lit("")).alias("h"), *place)
     return q.where(F.length("q").between(15, max_q)).select(
-        T.short_id(F.col("q")).alias("id"), F.lit(source).alias("source"), F.lit(category).alias("category"), T.strip(F.col("q")).alias("question"), T.strip(F.col("r")).alias("reference"), F.left("h", F.lit(max_hint)).alias("reasoning_hint")
+        T.short_id(F.col("q")).alias("id"), F.lit(source).alias("source"), F.lit(category).alias("category"), T.strip(F.col("q")).alias("question"), T.strip(F.col("r")).alias("reference"), F.left("h", F.lit(max_hint)).alias("reasoning_hint"), *place
     )
 
 
-def from_source(df: DataFrame, spec: SourceSpec, *, seed: str = "42") -> DataFrame:
-    """The seeds of a corpus: spec.limit of them by the order of a seeded hash of the id, the same on every run."""
+def _columns(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The seeds of a corpus' rows, in their order."""
     if spec.name in ADAPTERS:
         columns, (source, category) = ADAPTERS[spec.name](df), CORPORA[spec.name]
     else:
         columns = F.col(spec.question or "question"), F.lit(""), F.coalesce(F.col(spec.answer), F.lit("")) if spec.answer else F.lit("")
         source, category = spec.name, spec.category
-    found = seeds(df, *columns, source=source, category=category)
+    return seeds(df, *columns, source=source, category=category)
+
+
+def from_source(df: DataFrame, spec: SourceSpec, *, seed: str = "42") -> DataFrame:
+    """The seeds of a corpus: spec.limit of them by the order of a seeded hash of the id, the same on every run."""
+    found = _columns(df, spec)
     return found.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "id").cast("binary")), *found.columns).limit(spec.limit)
 
 
-def collect(spark, specs: list[str], where: dict[str, str]) -> DataFrame | None:
-    """Seeds of all sources. where: a source's name to its folder of Parquet files; one that can't be read is left out with a warning."""
+def _first(n: int):
+    """A function over batches that ends after n rows, and what feeds it with it."""
+
+    def run(batches):
+        left = n
+        for batch in batches:
+            yield batch.slice(0, left)
+            left -= min(left, batch.num_rows)
+            if not left:
+                return
+
+    return run
+
+
+def first_passing(spark: SparkSession, path: str, n: int, passing: Callable[[DataFrame], DataFrame], *, shuffle: int | None = None, seed: int = 42, growth: int = 4) -> tuple[DataFrame, int]:
+    """The first n rows below path (Parquet) that passing(rows) gives, in the order of file and row, and how many files were read for them. Files are read in rounds, one at first, then `growth` times as many; the rounds end once there are enough rows, and a task of a round ends once it has so many. passing may filter and project rows, whose place it must let through (column `_place`).
+
+    shuffle: the rows of each partition come through a buffer of so many, see curate.buffered_shuffle; then those first n of a partition count, and of these n by a seeded hash of their place."""
+    files = sorted(spark.read.parquet(path).inputFiles())
+    at, step, have, out = 0, 1, 0, None
+    while at < len(files) and have < n:
+        rows = spark.read.parquet(*files[at : at + step])
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        rows = rows.select("*", place.alias("_place"))
+        found = passing(rows if shuffle is None else curate.buffered_shuffle(rows, size=shuffle, seed=seed))
+        found = written(found.mapInArrow(_first(n), found.schema), "seeds-first")
+        at, step, have = at + step, step * growth, have + found.count()
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return passing(spark.read.parquet(path).withColumn("_place", F.lit(None).cast("struct<file: string, row: long>"))).limit(0).drop("_place"), 0
+    order = ["_place"] if shuffle is None else [F.xxhash64(F.lit(seed), "_place"), F.col("_place")]
+    return out.orderBy(*order).limit(n).drop("_place"), min(at, len(files))
+
+
+def collect(spark, specs: list[str], where: dict[str, str], *, shuffle: int | None = 5000, seed: int = 42) -> DataFrame | None:
+    """Seeds of all sources, of each so many as its spec says; no more of a source is read than it takes to find these. where: a source's name to its folder of Parquet files; one that can't be read is left out with a warning."""
     out = None
     for spec in map(parse_spec, specs):
         try:
-            found = from_source(spark.read.parquet(where[spec.name]), spec)
+            found, _ = first_passing(spark, where[spec.name], spec.limit, lambda df, s=spec: _columns(df, s), shuffle=shuffle, seed=seed)
         except (KeyError, AnalysisException) as e:
             warnings.warn(f"{spec.name} is left out: {str(e)[:200]}", stacklevel=2)
             continue
