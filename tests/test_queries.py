@@ -112,10 +112,10 @@ def test_tagged_loop_stops():
 
 
 def test_puzzles(spark):
-    orders = [r.answer.split(" > ") for r in generate.ordering(spark, 5040).collect()]
+    orders = [r.answer.split(" > ") for r in generate.ordering(spark.range(5040)).collect()]
     assert len({tuple(x) for x in orders}) == 5040 and all(len(set(x)) == 4 for x in orders)
-    assert {(r.a_true, r.b_true, r.n_solutions, r.a == r.b) for r in generate.knights(spark, 90).collect()} == {(True, False, 1, False)}
-    assert generate.cycled(spark.createDataFrame([], "k long"), 5, "k").count() == 0
+    assert {(r.a_true, r.b_true, r.n_solutions, r.a == r.b) for r in generate.knights(spark.range(90)).collect()} == {(True, False, 1, False)}
+    assert generate.cycled(spark.range(5), spark.createDataFrame([], "k long"), "k").count() == 0
 
 
 def test_loops_run(spark, sf_small):

@@ -375,40 +375,44 @@ def balanced_sample(spark, d):
 
 
 # generators --------------------------------------------------------------------------------------
-@_query("SELECT i AS id, 2 + i % 11 AS a, -50 + (i // 561) % 101 AS b, (2 + i % 11) * (-20 + (i // 11) % 51) + (-50 + (i // 561) % 101) AS c, -20 + (i // 11) % 51 AS answer FROM range(3000) t(i)")
+def _ids(spark, d):
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("id"))
+
+
+@_query("SELECT i AS id, 2 + i % 11 AS a, -50 + (i // 561) % 101 AS b, (2 + i % 11) * (-20 + (i // 11) % 51) + (-50 + (i // 561) % 101) AS c, -20 + (i // 11) % 51 AS answer FROM (SELECT doc_id AS i FROM documents) t")
 def gen_linear(spark, d):
-    return generate.linear(spark, 3000)
+    return generate.linear(_ids(spark, d))
 
 
-@_query("""WITH p AS (SELECT i AS id, 100 + 50 * (i % 99) AS price, 10 + 5 * ((i // 99) % 5) AS up, 5 * CAST(pow(2, (i // 495) % 3) AS BIGINT) AS down FROM range(3000) t(i))
+@_query("""WITH p AS (SELECT i AS id, 100 + 50 * (i % 99) AS price, 10 + 5 * ((i // 99) % 5) AS up, 5 * CAST(pow(2, (i // 495) % 3) AS BIGINT) AS down FROM (SELECT doc_id AS i FROM documents) t)
 SELECT id, price, up, down, CAST(price * (100 + up) * (100 - down) AS DOUBLE) / 10000 AS answer, CAST((100 + up) * (100 - down) - 10000 AS DOUBLE) / 100 AS net FROM p""")
 def gen_percent(spark, d):
-    return generate.percent(spark, 3000)
+    return generate.percent(_ids(spark, d))
 
 
-@_query("""WITH p AS (SELECT i AS id, CAST(5 + i % 8 AS INTEGER) AS n, CAST(2 + (i // 8) % 3 AS INTEGER) AS k FROM range(3000) t(i))
+@_query("""WITH p AS (SELECT i AS id, CAST(5 + i % 8 AS INTEGER) AS n, CAST(2 + (i // 8) % 3 AS INTEGER) AS k FROM (SELECT doc_id AS i FROM documents) t)
 SELECT id, n, k, CAST(factorial(n) // (factorial(k) * factorial(n - k)) AS BIGINT) AS combinations, CAST(factorial(n) // factorial(n - k) AS BIGINT) AS permutations FROM p""")
 def gen_combinatorics(spark, d):
-    return generate.combinatorics(spark, 3000)
+    return generate.combinatorics(_ids(spark, d))
 
 
-@_query("""WITH p AS (SELECT i AS id, 40 + 10 * (i % 7) AS v1, 50 + 10 * ((i // 7) % 8) AS v2, [2, 3, 4, 5, 6, 8][1 + (i // 56) % 6] AS h FROM range(3000) t(i))
+@_query("""WITH p AS (SELECT i AS id, 40 + 10 * (i % 7) AS v1, 50 + 10 * ((i // 7) % 8) AS v2, [2, 3, 4, 5, 6, 8][1 + (i // 56) % 6] AS h FROM (SELECT doc_id AS i FROM documents) t)
 SELECT id, v1, v2, (v1 + v2) * h // 2 AS distance, CAST(h AS DOUBLE) / 2 AS answer FROM p""")
 def gen_motion(spark, d):
-    return generate.motion(spark, 3000)
+    return generate.motion(_ids(spark, d))
 
 
-@_query("""WITH p AS (SELECT i AS id, i % 3 AS kind, 1 + (i // 3) % 20 AS start, 2 + (i // 60) % 8 AS step FROM range(3000) t(i))
+@_query("""WITH p AS (SELECT i AS id, i % 3 AS kind, 1 + (i // 3) % 20 AS start, 2 + (i // 60) % 8 AS step FROM (SELECT doc_id AS i FROM documents) t)
 SELECT id, kind, start, step, CASE kind WHEN 0 THEN start + 5 * step WHEN 1 THEN start * CAST(pow(step, 5) AS BIGINT) ELSE (start + 5) * (start + 5) END AS answer FROM p""")
 def gen_sequence(spark, d):
-    return generate.sequence(spark, 3000)
+    return generate.sequence(_ids(spark, d))
 
 
 _PEOPLE = "[" + ", ".join(f"'{x}'" for x in generate.PEOPLE) + "]"
 _ITEMS = ["[" + ", ".join(f"'{x}'" for x in items) + "]" for _, items in generate.SEARCHES]
 
 
-@_query(f"""WITH a AS (SELECT i AS id, i % 10 AS a FROM range(6000) t(i)),
+@_query(f"""WITH a AS (SELECT i AS id, i % 10 AS a FROM (SELECT doc_id AS i FROM documents) t),
 b AS (SELECT *, list_filter(range(10), lambda x: x <> a)[1 + (id // 10) % 9] AS b FROM a),
 c AS (SELECT *, list_filter(range(10), lambda x: x <> a AND x <> b)[1 + (id // 90) % 8] AS c FROM b),
 e AS (SELECT *, list_filter(range(10), lambda x: x <> a AND x <> b AND x <> c)[1 + (id // 720) % 7] AS d FROM c),
@@ -416,24 +420,24 @@ n AS (SELECT id, {_PEOPLE}[1 + a] AS a, {_PEOPLE}[1 + b] AS b, {_PEOPLE}[1 + c]
 q AS (SELECT *, a || ' > ' || b AS x, c || ' < ' || b AS y, d || ' = min' AS z FROM n)
 SELECT id, CASE id % 3 WHEN 0 THEN x || '; ' || y || '; ' || z WHEN 1 THEN y || '; ' || z || '; ' || x ELSE z || '; ' || x || '; ' || y END AS clues, a || ' > ' || b || ' > ' || c || ' > ' || d AS answer FROM q""")
 def gen_ordering(spark, d):
-    return generate.ordering(spark, 6000)
+    return generate.ordering(_ids(spark, d))
 
 
-@_query(f"""SELECT i AS id, {_PEOPLE}[1 + i % 10] AS a, {_PEOPLE}[1 + (i % 10 + 1 + (i // 10) % 9) % 10] AS b, true AS a_true, false AS b_true, 1 AS n_solutions FROM range(3000) t(i)""")
+@_query(f"""SELECT i AS id, {_PEOPLE}[1 + i % 10] AS a, {_PEOPLE}[1 + (i % 10 + 1 + (i // 10) % 9) % 10] AS b, true AS a_true, false AS b_true, 1 AS n_solutions FROM (SELECT doc_id AS i FROM documents) t""")
 def gen_knights(spark, d):
-    return generate.knights(spark, 3000)
+    return generate.knights(_ids(spark, d))
 
 
-@_query(f"""WITH p AS (SELECT i AS id, i % 2 AS kind, 2025 + (i // 12) % 2 AS year, CASE i % 2 WHEN 0 THEN {_ITEMS[0]}[1 + (i // 2) % 6] ELSE {_ITEMS[1]}[1 + (i // 2) % 6] END AS product FROM range(3000) t(i))
+@_query(f"""WITH p AS (SELECT i AS id, i % 2 AS kind, 2025 + (i // 12) % 2 AS year, CASE i % 2 WHEN 0 THEN {_ITEMS[0]}[1 + (i // 2) % 6] ELSE {_ITEMS[1]}[1 + (i // 2) % 6] END AS product FROM (SELECT doc_id AS i FROM documents) t)
 SELECT id, product, year, CASE kind WHEN 0 THEN product || ' kritik CVE ' || CAST(year AS VARCHAR) || ' güvenlik güncellemesi' ELSE product || ' latest stable release' END AS query FROM p""")
 def gen_search(spark, d):
-    return generate.searches(spark, 3000)
+    return generate.searches(_ids(spark, d))
 
 
 @_query("""WITH b AS (SELECT item_id, text, row_number() OVER (ORDER BY item_id) - 1 AS at FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark)
-SELECT t.i AS id, b.item_id, b.text FROM range(3000) t(i) CROSS JOIN n JOIN b ON t.i % n.n = b.at""")
+SELECT t.i AS id, b.item_id, b.text FROM (SELECT doc_id AS i FROM documents) t CROSS JOIN n JOIN b ON t.i % n.n = b.at""")
 def gen_static(spark, d):
-    return generate.cycled(_t(spark, d, "benchmark").select("item_id", "text"), 3000, "item_id")
+    return generate.cycled(_ids(spark, d), _t(spark, d, "benchmark").select("item_id", "text"), "item_id")
 
 
 # records -----------------------------------------------------------------------------------------
@@ -494,9 +498,12 @@ def to_record(spark, d):
     return _t(spark, d, "documents").select("doc_id", made["meta"]["needs_search"].alias("needs_search"))
 
 
-@_query("""SELECT * FROM (VALUES ('kodlama', 6, 0, 6), ('mantik', 600, 0, 600), ('matematik', 600, 0, 600), ('siber_guvenlik', 28, 24, 28)) AS t(category, n, n_search, n_ok)""")
+@_query("""WITH n AS (SELECT count(*) AS n FROM documents),
+c AS (SELECT 'kodlama' AS category, 6 AS n, 0 AS n_search FROM n UNION ALL SELECT 'mantik', least(n, 5040) + least(n, 90) + least(n, 480), 0 FROM n
+  UNION ALL SELECT 'matematik', n + least(n, 1485) + least(n, 24) + least(n, 336), 0 FROM n UNION ALL SELECT 'siber_guvenlik', 4 + least(n, 24), least(n, 24) FROM n)
+SELECT category, CAST(least(600, n) AS BIGINT) AS n, CAST(n_search AS BIGINT) AS n_search, CAST(least(600, n) AS BIGINT) AS n_ok FROM c""")
 def synthetic_records(spark, d):
-    made = synthetic.six_step(synthetic.balanced(synthetic.problems(spark, 800)), system=PROMPT).select("category", "record")
+    made = synthetic.six_step(synthetic.balanced(synthetic.problems(_ids(spark, d))), system=PROMPT).select("category", "record")
     made = records.with_reason(made.select("category", "record.meta", "record.messages"))
     return made.groupBy("category").agg(F.count("*").cast("int").alias("n"), F.count_if("meta.needs_search").cast("int").alias("n_search"), F.count_if(F.col("reason") == "ok").cast("int").alias("n_ok"))
 
@@ -645,11 +652,15 @@ def formatted_fake(spark, d):
     return made.select(F.col("id").alias("doc_id"), grammar.five_tags(F.try_element_at("record.messages", F.lit(-1))["content"])["output"].alias("said"))
 
 
-@_query("SELECT count(*) AS n, 1000 - count(*) + count(*) FILTER (ok) AS ok FROM (SELECT true AS ok FROM range(1000))")
+_DRAW = "CAST('0x' || md5('42{}:' || CAST(doc_id AS VARCHAR))[1:12] AS BIGINT) % {}"
+_POOLS = "[" + ", ".join("[" + ", ".join(f"'{t}'" for t in x) + "]" for x in teach.TOPICS.values()) + "]"
+
+
+@_query(f"""WITH c AS (SELECT doc_id, {_DRAW.format("c", len(teach.TOPICS))} + 1 AS c FROM documents), p AS (SELECT *, {_POOLS}[c] AS pool FROM c),
+s AS (SELECT [{", ".join(f"'{c}'" for c in teach.TOPICS)}][c] AS category, 'Soru: ' || replace(pool[({_DRAW.format("t", 1 << 20)}) % len(pool) + 1], '{{guncel}} ', '') || '?' AS question FROM p)
+SELECT md5('"' || question || '"')[1:12] AS id, 'topic' AS source, category, question FROM s""")
 def topic_questions(spark, d):
-    asked = teach.topic_questions(teach.topic_plan(spark, 1000), teach.FakeTeacher)
-    fine = F.col("question").startswith("Soru: ") & ~F.contains("question", F.lit('"')) & ~F.contains("question", F.lit("{")) & F.col("category").isin(*teach.TOPICS)
-    return asked.agg(F.count("*").alias("n"), F.count_if(fine).alias("ok"))
+    return teach.topic_questions(teach.topic_plan(_ids(spark, d)), teach.FakeTeacher)
 
 
 @_query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN length(text) END AS n FROM conversations")
