@@ -11,9 +11,11 @@ from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.tables import written
+
 _CALL = re.compile(r"<tool_call>\s*(\{.*?\})\s*</tool_call>", re.S)
 _NUMBER = re.compile(r"-?[0-9]+(?:[.,][0-9]+)?(?:/[0-9]+)?")
 MARK = "Doğrulanan sonuç:"
@@ -282,6 +284,58 @@ def enriched(items: DataFrame, key: str, ask: Callable, schema: str) -> DataFram
     return items.join(distinct.mapInPandas(run, f"{key} {kind}, {schema}"), key, "left")
 
 
+class Answers:
+    """What was asked before, in a folder that all runs share: a table of answers by their question in versions, `v=1` and on, each what one run asked anew or used again. Only versions that were written whole count.
+
+    most: so many answers are kept, those that runs used last; of the last version that has room for some, the smallest questions by hash."""
+
+    def __init__(self, spark: SparkSession, folder: str, schema: str, *, key: str = "question", most: int | None = None):
+        self.spark, self.folder, self.key, self.most = spark, folder.rstrip("/"), key, most
+        self.columns = schema
+        self.schema = f"{key} string, {schema}, v int"
+
+    def versions(self) -> list[int]:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v=*/_SUCCESS")
+        found = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+        return sorted(int(str(x.getPath().getParent().getName()).removeprefix("v=")) for x in found)
+
+    def table(self) -> DataFrame:
+        """key, the answer's columns and v, the last run that used it."""
+        whole = self.versions()
+        if not whole:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).option("basePath", self.folder).parquet(*[f"{self.folder}/v={v}" for v in whole])
+        last = rows.groupBy(self.key).agg(F.max_by(F.struct(*rows.columns), "v").alias("x")).select("x.*")
+        if self.most is None:
+            return last
+        left, bound, sizes = self.most, 0, {r.v: r["count"] for r in last.groupBy("v").count().collect()}  # a row for each run
+        for v in sorted(sizes, reverse=True):
+            if sizes[v] > left:
+                bound = v
+                break
+            left -= sizes[v]
+        edge = last.where(F.col("v") == bound).orderBy(F.xxhash64(self.key), self.key).limit(left)
+        return last.where(F.col("v") > bound).unionByName(edge)
+
+    def ask(self, items: DataFrame, ask: Callable, *, workers: int = 8) -> DataFrame:
+        """items with the answer to their key, and fresh, whether this run asked for it. Distinct questions that have no answer yet are asked once; ask makes, in a task, a function from a question to a tuple."""
+        now = max(self.versions(), default=0) + 1
+        names = [c.split()[0] for c in self.columns.split(", ")]
+        wanted = written(items.select(self.key).where(F.col(self.key).isNotNull()).distinct(), "answers-wanted")
+        known = written(self.table().join(wanted, self.key, "left_semi").select(self.key, *names), "answers-known")
+        own = self.key
+
+        def one():
+            function = ask()
+            return lambda row: [function(row[own])]
+
+        asked = fan_out(wanted.join(known, own, "left_anti"), one, self.columns, workers=workers)
+        both = asked.withColumn("fresh", F.lit(True)).unionByName(known.withColumn("fresh", F.lit(False)))
+        both.write.mode("overwrite").parquet(f"{self.folder}/v={now}")
+        used = self.spark.read.schema(f"{own} string, {self.columns}, fresh boolean").parquet(f"{self.folder}/v={now}")
+        return items.join(used, own, "left")
+
+
 def distill(items: DataFrame, model: Callable[[], Model], search: Callable[[], Search]) -> DataFrame:
     """(conv_id, question, reference) enriched; ok where the answer agrees with itself and with a reference, if there is one."""
     from textloom.functions import text as T

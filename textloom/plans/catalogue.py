@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import agents, chat, curate, generate, grammar, rank, records, seeds, synthetic, teach
+from textloom.sources import corpus, jsonl
+from textloom.streaming import incremental
+from textloom.tables import shared_dir, written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -667,3 +673,142 @@ def topic_questions(spark, d):
 def enriched_once(spark, d):
     turns = _t(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("text"))
     return agents.enriched(turns, "text", lambda: lambda t: (len(t),), "n long").select("conv_id", "turn", "n")
+
+
+# whole runs --------------------------------------------------------------------------------------
+def _new_folder(spark, what):
+    return f"{shared_dir(spark)}/textloom/{what}-{uuid.uuid4().hex}"
+
+
+def _document_records(spark, d):
+    """Documents as six-step records in the order of their ids: the text asks for its length n. Copies ask alike. Where n leaves 0 by 11 nobody answers, by 7 the answer lacks the result, by 3 there is a search."""
+    docs = _t(spark, d, "documents").select("doc_id", T.strip(F.coalesce("text", F.lit(""))).alias("u"))
+    docs = docs.withColumn("n", F.length("u")).withColumn("t", F.col("n").cast("string"))
+    call = F.when(F.col("n") % 3 == 0, F.struct(F.lit("s").alias("name"), F.struct(F.lit("q").alias("query"), F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("time_range")).alias("arguments")))
+    steps = [F.lit(f"step {i} of it") for i in range(1, 6)] + [F.concat(F.lit(f"{grammar.VERIFIED} "), "t")]
+    answer = F.concat(F.lit("It is "), F.when(F.col("n") % 7 == 0, "this").otherwise(F.col("t")), F.lit("."))
+    m = records.build_messages(F.col("u"), steps, answer, system=F.lit("another prompt"), call=call, response=F.lit("{}"))
+    m = F.when(F.col("n") % 11 == 0, F.slice(m, 1, 2)).otherwise(m)
+    meta = records.record(m, category=F.lit("c"), source=F.lit("s"), needs_search=call.isNotNull())
+    return curate.held(docs, "r", meta).orderBy("doc_id").select("r.messages", "r.meta")
+
+
+def _said(call: bool) -> int:
+    """The length of a rendered record without its question and its two numbers."""
+    steps = [f"{grammar.header(k)}\nstep {k} of it\n" for k in range(1, 6)] + [f"{grammar.header(6)}\n{grammar.VERIFIED} \n"]
+    head, tail = grammar.OPEN + "\n" + "".join(steps[:3]), "".join(steps[3:]) + grammar.CLOSE + "\n\nIt is ."
+    turns = [("system", PROMPT), ("user", "")]
+    if call:
+        turns += [("assistant", head + '<tool_call>\n{"name": "s", "arguments": {"query": "q"}}\n</tool_call>'), ("user", "<tool_response>\n{}\n</tool_response>"), ("assistant", tail)]
+    else:
+        turns += [("assistant", head + tail)]
+    return sum(len(f"{chat.START}{role}\n{body}{chat.END}\n") for role, body in turns)
+
+
+_DOCUMENT_RECORDS = f"""u AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '^$WS+|$WS+$', '', 'g') AS text FROM documents),
+n AS (SELECT doc_id, text, length(text) AS n, {_KEY} AS k FROM u),
+r AS (SELECT *, n % 11 <> 0 AND n % 7 <> 0 AS ok, (CASE WHEN n % 3 = 0 THEN {_said(True)} ELSE {_said(False)} END + n + 2 * length(CAST(n AS VARCHAR))) // 3 AS tokens FROM n),
+o AS (SELECT *, CASE WHEN NOT ok THEN 'bad' WHEN doc_id > min(doc_id) FILTER (ok AND tokens <= 2048) OVER (PARTITION BY k) THEN 'dup' WHEN tokens > 2048 THEN 'long' ELSE 'kept' END AS outcome FROM r)"""
+
+
+def _merged_files(spark, d):
+    """The merge over JSON lines of the documents: its counters, and where it wrote."""
+    source, out = _new_folder(spark, "records"), _new_folder(spark, "merged")
+    jsonl.write(_document_records(spark, d), source)
+    return records.merge_files(spark, [source], out, prompt=PROMPT), out
+
+
+@_query(f"WITH {_DOCUMENT_RECORDS} SELECT count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome = 'bad') AS bad, count(*) FILTER (outcome = 'long') AS too_long, count(*) FILTER (outcome = 'dup') AS dup, count(*) FILTER (outcome = 'kept' AND n % 3 = 0) AS search FROM o")
+def merge_files_counters(spark, d):
+    return _merged_files(spark, d)[0]
+
+
+@_query(f"""WITH {_DOCUMENT_RECORDS}, h AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || k)) AS rn, count(*) OVER () AS whole FROM o WHERE outcome = 'kept')
+SELECT CASE WHEN whole > 50 AND rn <= greatest(1, CAST(floor(whole * 0.02) AS BIGINT)) THEN 'val' ELSE 'train' END AS split, md5(text) AS question, CAST(tokens AS INTEGER) AS tokens FROM h""")
+def merge_files_rows(spark, d):
+    rows = spark.read.schema("messages array<struct<role: string, content: string>>, meta struct<approx_tokens: int>, split string").json(_merged_files(spark, d)[1])
+    return rows.select("split", F.md5(F.col("messages")[1]["content"].cast("binary")).alias("question"), F.col("meta.approx_tokens").alias("tokens"))
+
+
+@_query("SELECT doc_id, lang FROM documents WHERE length(text) BETWEEN 200 AND 2000 ORDER BY doc_id LIMIT 60")
+def early_stop(spark, d):
+    passing = lambda df: df.where(F.length("text").between(200, 2000)).select("doc_id", "lang", "_place")
+    return seeds.first_passing(spark, f"{d}/documents.parquet", 60, passing)[0]
+
+
+@_query("""WITH t AS (SELECT conv_id, turn, string_split(text, ' ')[1:3] AS words FROM conversations WHERE role = 'user')
+SELECT conv_id, turn, unnest(words) AS word, CAST(generate_subscripts(words, 1) AS INTEGER) AS n FROM t""")
+def fanned_turns(spark, d):
+    """Each user's turn asked for by itself, several of a task at a time, with up to three answers."""
+    turns = _t(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    ask = lambda: lambda row: [(w, k) for k, w in enumerate((row["text"] or "").split(" ")[:3], 1)]
+    return agents.fan_out(turns, ask, "word string, n int").select("conv_id", "turn", "word", "n")
+
+
+@_query("""WITH u AS (SELECT text, bool_or(conv_id % 2 = 0) AS early FROM conversations WHERE role = 'user' GROUP BY text)
+SELECT conv_id, turn, length(text) AS n, NOT early AS fresh FROM conversations JOIN u USING (text) WHERE role = 'user'""")
+def remembered_answers(spark, d):
+    """Two runs over one table of answers: the second asks only for what the first has not."""
+    turns = _t(spark, d, "conversations").where("role = 'user' and text is not null").select("conv_id", "turn", "text")
+    kept, ask = agents.Answers(spark, _new_folder(spark, "answers"), "n int", key="text"), lambda: lambda text: (len(text),)
+    kept.ask(turns.where("conv_id % 2 = 0"), ask)
+    return kept.ask(turns, ask).select("conv_id", "turn", F.col("n").cast("long").alias("n"), "fresh")
+
+
+@_query("""WITH a AS (SELECT lang, doc_id, length(text) % 150 AS k, row_number() OVER (PARTITION BY lang, length(text) % 150 ORDER BY doc_id) = 1 AS new FROM documents),
+g AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY lang ORDER BY doc_id) AS g FROM a),
+e AS (SELECT lang, min(g) AS last FROM (SELECT lang, g, count(*) - 1 AS repeats FROM g GROUP BY lang, g) WHERE repeats > 2 GROUP BY lang),
+r AS (SELECT g.lang, doc_id, row_number() OVER (PARTITION BY g.lang ORDER BY doc_id) AS rn FROM g LEFT JOIN e ON g.lang IS NOT DISTINCT FROM e.lang WHERE new AND (last IS NULL OR g <= last))
+SELECT lang, doc_id, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 100""")
+def failure_runs(spark, d):
+    """Categories that end once more than two repeats follow one another, then filled round by round."""
+    attempts = _t(spark, d, "documents").select("lang", (F.length("text") % 150).alias("k"), "doc_id")
+    return generate.balanced(generate.until_exhausted(attempts, "lang", "k", "doc_id", most=2), "lang", "doc_id", cap=100).select("lang", "doc_id", "rn")
+
+
+_NAMES = ", ".join(f"('{x}', '{v.replace(chr(39), chr(39) * 2)}')" for x, v in html5.items() if "\x00" not in v)
+
+
+@_query(rf"""WITH names(name, value) AS (VALUES {_NAMES}),
+p AS (SELECT page_id, unnest(string_split(html, '&')) AS piece, generate_subscripts(string_split(html, '&'), 1) AS i FROM pages WHERE html IS NOT NULL),
+r AS (SELECT *, regexp_extract(piece, '^#([0-9]+);?', 1) AS number, regexp_extract(piece, '^#[0-9]+;?') AS numbered, regexp_extract(piece, '^[^	
+ <&#;]{{1,32}};?') AS whole, regexp_extract(piece, '{T._BARE}') AS bare FROM p),
+j AS (SELECT r.*, a.value AS named, b.value AS begun FROM r LEFT JOIN names a ON whole = a.name LEFT JOIN names b ON bare = b.name),
+d AS (SELECT page_id, i, CASE WHEN i = 1 THEN piece WHEN number <> '' THEN chr(CAST(number AS INTEGER)) || substr(piece, length(numbered) + 1) WHEN named IS NOT NULL THEN named || substr(piece, length(whole) + 1)
+             WHEN begun IS NOT NULL THEN begun || substr(piece, length(bare) + 1) ELSE '&' || piece END AS text FROM j)
+SELECT page_id, md5(string_agg(text, '' ORDER BY i)) AS digest FROM d GROUP BY page_id""")
+def named_entities(spark, d):
+    return _t(spark, d, "pages").where("html is not null").select("page_id", F.md5(T.entities(F.col("html")).cast("binary")).alias("digest"))
+
+
+@_query("SELECT doc_id, n_chars, lang FROM documents WHERE lang IN ('en', 'fr')")
+def corpus_rows(spark, d):
+    """Documents laid out as a corpus of configurations, read by the data source with a filter that leaves files out."""
+    root = _new_folder(spark, "corpora")
+    docs = _t(spark, d, "documents").select("doc_id", "n_chars", F.coalesce("lang", F.lit("none")).alias("config"), F.lit("train").alias("split"))
+    docs.write.partitionBy("config", "split").parquet(f"{root}/own/documents")
+    spark.dataSource.register(corpus.CorpusSource)
+    spark.conf.set(*corpus.PUSHDOWN)
+    rows = spark.read.format("corpus").option("root", root).option("repository", "own/documents").load()
+    return rows.where(F.col("config").isin("en", "fr")).select("doc_id", "n_chars", F.col("config").alias("lang"))
+
+
+@_query(_MERGE + "SELECT doc_id, dedupe_key, outcome FROM f")
+def merge_as_stream(spark, d):
+    """The merge's outcomes as a stream over shards of the documents, one after the other."""
+    docs = _t(spark, d, "documents").select("doc_id", T.dedupe_key(F.col("text")).alias("dedupe_key"), (F.length("text") >= 200).alias("ok"), T.approx_tokens(F.col("text")).alias("n"))
+    rows = written(docs, "stream-rows")
+    source, out = _new_folder(spark, "shards"), _new_folder(spark, "outcomes")
+    ends = rows.select(F.percentile_approx("doc_id", [0.25, 0.5, 0.75, 1.0]).alias("x")).first().x or []
+    for low, high in zip([None, *ends], ends):
+        rows.where((F.col("doc_id") <= high) & (F.lit(True) if low is None else F.col("doc_id") > low)).coalesce(1).write.mode("append").parquet(source)
+    before = spark.conf.get(incremental.STATE_STORE[0])
+    spark.conf.set(*incremental.STATE_STORE)
+    try:
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        judged = incremental.outcomes(stream, place="doc_id", valid=F.col("ok"), key=F.col("dedupe_key"), tokens=F.col("n"))
+        query = incremental.start(incremental.counted(judged), out, _new_folder(spark, "stream"), form="parquet")
+        query.awaitTermination()
+    finally:
+        spark.conf.set(incremental.STATE_STORE[0], before)
+    return spark.read.schema(judged.schema).parquet(out).select(F.col("place").alias("doc_id"), "dedupe_key", "outcome")
