@@ -1,48 +1,16 @@
-"""What the operators share: written intermediate tables, held-out rows, word patterns."""
+"""What the operators share: held-out rows, word patterns, columns that keep out of each other's way."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Runs of anything but ASCII whitespace.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local master gets a temporary one, and a cluster an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='textloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it again: lineage ends there, and a lost executor costs nothing. The files go when the driver's JVM ends, or by drop_written()."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._textloom_path = path
-    return out
+from textloom.tables import drop_written, join_hot, shared_dir, written
 
+__all__ = ["WORD", "aside", "drop_written", "fold", "fresh", "join_hot", "lowest", "once", "shared_dir", "table", "with_columns", "written"]
 
-def drop_written(*tables: DataFrame) -> None:
-    """Deletes tables made by written() that no later plan reads."""
-    for df in tables:
-        jvm = df.sparkSession.sparkContext._jvm
-        hadoop = jvm.org.apache.hadoop.fs.Path(df._textloom_path)
-        hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+#: Runs of anything but ASCII whitespace.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def fold(doc_id: Column, mod: int) -> Column:
@@ -59,13 +27,6 @@ def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.withColumn("_h", F.xxhash64(key)).orderBy("_h", key).limit(n).drop("_h")
 
 
-def join_hot(big: DataFrame, small: DataFrame, on: list[str], total: int, n: str = "n", parts: int = 200, how: str = "inner") -> DataFrame:
-    """big joined with small (inner or left), which has one row a key and in n how many of big's `total` rows have it. The keys of more than total / parts rows, fewer than `parts` of them, are broadcast, so that a hot key's rows stay where they are; the others are shuffled without these."""
-    limit = total / parts
-    hot, rest = F.broadcast(small.where(F.col(n) > limit)), small.where(F.col(n) <= limit)
-    return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(rest, on, how))
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have."""
     name = f"_{name}"
@@ -74,6 +35,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """df with its columns of these names, in whatever case, under names of their own; and the names that all its columns now have, in order: df.select(those).toDF(the old ones) is df again."""
+    taken = {x.lower() for x in names}
+    now = [f"{fresh(df, 'own')}{k}" if c.lower() in taken else c for k, c in enumerate(df.columns)]
+    return df.toDF(*now), now
+
+
 _MADE: dict[str, tuple] = {}
 
 
