@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms, in DataFrame operations only.
 
-Every document has a 60-bit hash of its id. Sizes are summed by source and by the hash's leading
+Every document has a 60-bit hash of its id and text. Sizes are summed by source and by the hash's leading
 12 bits; a running sum over those at most 4096 buckets a source finds the bucket in which the
 source's budget ends. Only that bucket is opened again by its next 12 bits, and once more, which
 gives a threshold of 36 bits for each source. Documents below it are taken: no document is
@@ -15,10 +15,10 @@ A source of hot size is one of a few keys of a partial sum, so no task holds its
 tables that the final filter joins have one row a source; Spark broadcasts them only while they
 are below its threshold.
 
-Defined cases: null text has size 0; null source is a source of its own, last; rows that share
-an id share a hash and are taken or left together, so a source whose words stand mostly in rows of one
-id, or in one very long document, misses its target by up to these; documents that tie in their first
-36 bits likewise; a source of size 0 has target 0; an empty table gives an empty result; columns with a
+Defined cases: null text has size 0; null source is a source of its own, last; rows that are alike in
+id and text share a hash and are taken or left together, so a source whose words stand mostly in such rows,
+or in one very long document, misses its target by up to these; documents that tie in their first
+36 bits likewise; rows that share an id, or have none, but differ in their texts are dealt apart; a source of size 0 has target 0; an empty table gives an empty result; columns with a
 result's name are replaced.
 """
 
@@ -42,8 +42,9 @@ def _key(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("a"), F.col(source).cast("string")), F.lit("z"))
 
 
-def _hash(doc_id: str) -> Column:
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+def _hash(doc_id: str, text: str) -> Column:
+    both = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
+    return F.conv(F.substring(F.md5(both.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, *, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
@@ -67,8 +68,10 @@ def targets(sizes: DataFrame, *, weights: tuple[int, ...], share: float, cap: fl
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", source: str = "source", text: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (size * copies), for every document. With keep=True also the other columns of docs."""
+    made = {"size", "source_size", "target", "copies", "taken"}
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in made])
     key, hashed, whole_, threshold = (fresh(docs, x) for x in ("key", "hash", "whole", "threshold"))
-    base = docs.withColumns({"size": size_of(F.col(text)), key: _key(source), hashed: _hash(doc_id)})
+    base = docs.withColumns({"size": size_of(F.col(text)), key: _key(source), hashed: _hash(doc_id, text)})
     narrow = written(base.select(doc_id, source, "size", F.col(key).alias("_key"), F.col(hashed).alias("_hash")), "mix-sizes")
     sizes = narrow.groupBy(F.col("_key").alias("key")).agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
@@ -95,7 +98,7 @@ SQL = r"""
 WITH base AS (
   SELECT doc_id, coalesce('a' || source, 'z') AS k,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 9) AS BIGINT) AS h
   FROM documents),
 s AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM base GROUP BY k),
 w AS (SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY k) - 1) % 3] AS BIGINT) AS weight FROM s),
