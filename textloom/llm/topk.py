@@ -11,9 +11,10 @@ Numbers are exact: sums of products below 2**53 are exact in double precision; b
 exceed that are computed in Python integers, and a score outside a long's range is held at its end.
 
 Defined cases: rows with a null id, null or non-finite components, or a null vector take no part;
-vectors meet only those of their own length; rows with the query's own id are not its candidates;
-a query id that repeats is one query, of its smallest vector; ties go to the smaller id; fewer than
-k candidates give as many rows.
+vectors meet only those of their own length; each row of the queries asks by itself, also where an id repeats, and
+only that row is not its candidate: rows alike in id and vector are searched for once, find one another, and
+each gets the result; ties go to the smaller id; fewer than k candidates give as many rows; a vector of any length
+is taken whole; an empty table gives an empty result; only the two named columns are read, so others can't clash.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import written
 
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "q long, vec_id long, score long"
 _LONG = (1 << 63) - 1
 
 
@@ -62,7 +63,10 @@ def _rest_norms(vertical: np.ndarray, step: int) -> np.ndarray:
 
 
 def _scan(query: np.ndarray, query_rest: np.ndarray, own: int, best: _Best, ids: np.ndarray, vertical: np.ndarray, rest: np.ndarray, step: int) -> None:
-    alive = np.flatnonzero(ids != own)
+    other = ids != own
+    same = np.flatnonzero(~other)
+    other[same] = (vertical[:, same] != query[:, None]).any(axis=0)
+    alive = np.flatnonzero(other)
     sums = np.zeros(len(alive))
     for b, at in enumerate(range(0, len(vertical), step)):
         block = vertical[at : at + step]
@@ -78,12 +82,12 @@ def _scan(query: np.ndarray, query_rest: np.ndarray, own: int, best: _Best, ids:
 
 
 def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, step: int):
-    """A function over batches (vec_id, v); queries: dimension -> ids, rows."""
+    """A function over batches (vec_id, v); queries: dimension -> numbers, ids, rows."""
 
     def run(batches):
         import pyarrow as pa
 
-        held = {(d, j): _Best(k) for d, (own, _) in queries.items() for j in range(len(own))}
+        held = {(d, j): _Best(k) for d, (_, own, _) in queries.items() for j in range(len(own))}
         exact: dict[tuple, list] = {}
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -91,7 +95,7 @@ def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, step: int
             size = column.value_lengths().to_numpy() if len(ids) else np.zeros(0, int)
             flat = column.flatten().to_numpy()
             start = np.cumsum(size) - size
-            for d, (own, rows) in queries.items():
+            for d, (_, own, rows) in queries.items():
                 at = np.flatnonzero(size == d)
                 if not len(at):
                     continue
@@ -101,7 +105,7 @@ def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, step: int
                 if most >= 2**52 or d == 0:
                     for j, o in enumerate(own):
                         found = exact.setdefault((d, j), [])
-                        found += [(-max(-_LONG - 1, min(_LONG, sum(int(a) * int(b) for a, b in zip(rows[j], c)))), int(i)) for i, c in zip(here, whole) if i != o]
+                        found += [(-max(-_LONG - 1, min(_LONG, sum(int(a) * int(b) for a, b in zip(rows[j], c)))), int(i)) for i, c in zip(here, whole) if i != o or not np.array_equal(rows[j], c)]
                         found.sort()
                         del found[k:]
                     continue
@@ -123,7 +127,7 @@ def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, step: int
             out += [(int(queries[d][0][j]), i, -s) for s, i in found]
         for a in range(0, len(out), 50_000):
             part = list(zip(*out[a : a + 50_000]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["q", "vec_id", "score"])
 
     return run
 
@@ -131,30 +135,38 @@ def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, step: int
 def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: float = 256.0, vec_id: str = "vec_id", vector: str = "embedding", step: int = 8, query_bytes: int = 16 << 20) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of queries its k rows of vectors of highest inner product."""
     whole = lambda df: df.where(F.col(vec_id).isNotNull() & finite(F.col(vector))).select(F.col(vec_id).cast("long").alias("i"), scaled(F.col(vector), scale).alias("v"))
-    asked = whole(queries).groupBy("i").agg(F.min("v").alias("v"))
-    size = asked.agg(F.coalesce(F.sum(F.size("v") * 8 + 16), F.lit(0))).first()[0]
+    spark = vectors.sparkSession
+    asked = whole(queries).groupBy("i", "v").agg(F.count("*").alias("n"))
+    size = asked.agg(F.coalesce(F.sum(F.size("v") * 8 + 32), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / query_bytes))
     candidates, found = whole(vectors), None
     for b in range(blocks):
-        by_size: dict[int, tuple[list, list]] = {}
-        for r in (asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)).toLocalIterator():
-            own, rows = by_size.setdefault(len(r.v), ([], []))
+        by_size: dict[int, tuple[list, list, list]] = {}
+        askers, twins = [], []
+        for q, r in enumerate((asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("i", "v"), F.lit(blocks)) == b)).toLocalIterator()):
+            numbers, own, rows = by_size.setdefault(len(r.v), ([], [], []))
+            numbers.append(q)
             own.append(r.i)
             rows.append(r.v)
-        held = {d: (np.array(o, dtype=np.int64), np.array(v, dtype=np.int64).reshape(len(o), d)) for d, (o, v) in by_size.items()}
+            askers.append((q, r.i, r.n))
+            twins += [(q, r.i, max(-_LONG - 1, min(_LONG, sum(x * x for x in r.v))))] * min(r.n - 1, k)  # rows alike find one another
+        held = {d: (np.array(n, dtype=np.int64), np.array(o, dtype=np.int64), np.array(v, dtype=np.int64).reshape(len(o), d)) for d, (n, o, v) in by_size.items()}
         part = candidates.mapInArrow(_search(held, k, step), SCHEMA)
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        part = part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        part = part.unionByName(spark.createDataFrame(twins, SCHEMA)) if twins else part
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        part = part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        by = spark.createDataFrame(askers, "q long, query_id long, n long")  # the block's queries
+        part = part.join(F.broadcast(by), "q").withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("query_id", "rank", "vec_id", "score")
         part = part if blocks == 1 else written(part, "topk-block")  # so one block's queries at a time are in memory
         found = part if found is None else found.union(part)
     return found
 
 
 SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM o WHERE rank <= 5
 """
