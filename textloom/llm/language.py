@@ -228,17 +228,19 @@ class Languages:
 
 
 def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 24_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
-    """A bounded sample of whole labelled texts for each language of docs, on the driver: languages x letters_per_lang letters."""
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id, text)
-    rows = docs.where(F.col(lang).isNotNull() & F.length(text).between(1, letters_per_lang)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts_per_lang)
+    """A bounded sample of whole labelled texts for each language of docs, on the driver: of those of at most letters_per_lang characters as many as hold so many letters, in the order of a hash; where a language has none of these, its first longer one, however long, so that no label that has a text with a letter is lost."""
+    fits = F.length(text) <= letters_per_lang
+    order = Window.partitionBy(lang).orderBy(~fits, F.xxhash64(doc_id, text), doc_id, text)
+    with_letters = F.col(lang).isNotNull() & F.regexp_like(F.col(text), F.lit(r"\p{L}"))
+    rows = docs.where(with_letters).withColumn("n", F.row_number().over(order)).where((F.col("n") == 1) | (fits & (F.col("n") <= texts_per_lang)))
     out: dict[str, list] = {}
     for r in rows.select(F.col(lang).alias("l"), "n", F.col(text).alias("t")).toLocalIterator():
         out.setdefault(r.l, []).append((r.n, folded(r.t)))
     found = {}
     for name, texts in out.items():
         chosen, room = [], letters_per_lang
-        for _, t in sorted(texts):
-            if 0 < len(t) < room:
+        for n, t in sorted(texts):
+            if t and (n == 1 or len(t) < room):
                 chosen.append(t)
                 room -= len(t) + 1
         if chosen:
@@ -247,7 +249,7 @@ def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int
 
 
 def identify(docs: DataFrame, samples: dict[str, str], *, text: str = "text") -> DataFrame:
-    """docs with lang_pred, score (share of the best language in the likelihoods per letter), and phrases_per_letter of the best."""
+    """docs with lang_pred, score (share of the best language in the likelihoods, where a text counts as at most 64 letters of its kind, as neighbouring phrases are no independent evidence), and phrases_per_letter of the best. All letters are parsed."""
 
     key = hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
 
