@@ -7,9 +7,9 @@ suffixes that match it verbatim, so all locations, and from neighbouring matches
 the longest match. Documents with a match are contaminated.
 
 The benchmark is read on the driver in blocks of at most `block_bytes` of text. Each block's search
-runs over all documents, and where there are several its hits are written before the next block is
-read, so neither the driver nor a task ever holds more than one block; hits of the blocks are united,
-so a benchmark of any size gives the same result. Nothing is shuffled.
+runs over all documents, and where there are several only its hits are written before the next block is
+read, so neither the driver nor a task ever holds more than one block (or one longer item); the blocks' hits
+are united by text and joined to the documents once, so a benchmark of any size gives the same result. With one block nothing is shuffled.
 
 Defined cases: a null or wordless text has no words and no hits; null or wordless texts of items are
 ignored; an item without an id hits words but is not among the item ids; repeated rows are judged one
@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import drop_written, once, with_columns, written
+from textloom.llm.common import fresh, once, with_columns, written
 
 #: A-Z become a-z; other ASCII bytes that are neither digits nor letters part words; bytes from 0x80 belong to words.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -142,34 +142,68 @@ def _judge(windows: Windows, texts: list[str | None]):
 SCHEMA = "n_words long, hit_spans array<struct<start: long, end: long>>, item_ids array<string>, longest_match long"
 
 
+def _held(part: DataFrame, window: int) -> tuple[list, str]:
+    held = sorted(((r.i, r.t) for r in part.toLocalIterator()), key=repr)
+    return held, hashlib.sha256(repr((window, held)).encode()).hexdigest()
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
     """docs with n_words, hit_spans (word offsets of hit runs), item_ids (of items with a match, sorted as strings) and longest_match (words)."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / block_bytes))
-    out = docs
-    for b in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        held = sorted(((r.i, r.t) for r in part.toLocalIterator()), key=repr)
-        key = hashlib.sha256(repr((window, held)).encode()).hexdigest()
+    if blocks > 1:
+        return _in_blocks(docs, [items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) for b in range(blocks)], window, text)
+    held, key = _held(items, window)
+
+    def judge(batch):
+        import pyarrow as pa
+
+        n, spans, ids, longest = _judge(once("windows", key, lambda: Windows(held, window)), batch.column(text).to_pylist())
+        return {"n_words": pa.array(n), "hit_spans": spans, "item_ids": ids, "longest_match": pa.array(longest)}
+
+    return with_columns(docs, judge, SCHEMA)
+
+
+def _in_blocks(docs: DataFrame, parts: list[DataFrame], window: int, text: str) -> DataFrame:
+    """The same for a benchmark of several blocks. A block's pass over the texts gives the digests of those with hits, and the hits; these narrow rows are united by digest and joined to the documents once, so documents are neither written nor moved block by block."""
+    found = None
+    for b, part in enumerate(parts):
+        held, key = _held(part, window)
 
-        def judge(batch, held=held, key=key, first=b == 0):
+        def hits(batches, held=held, key=key):
             import pyarrow as pa
 
-            windows = once("windows", key, lambda: Windows(held, window))
-            n, spans, ids, longest = _judge(windows, batch.column(text).to_pylist())
-            if not first:
-                for k, (s, i) in enumerate(zip(batch.column("hit_spans").to_pylist(), batch.column("item_ids").to_pylist())):
-                    spans[k], ids[k] = _united(s, spans[k]), sorted({*i, *ids[k]})
-                longest = np.maximum(longest, batch.column("longest_match").to_numpy())
-            return {"n_words": pa.array(n), "hit_spans": spans, "item_ids": ids, "longest_match": pa.array(longest)}
-
-        before, out = out, with_columns(out, judge, SCHEMA)
-        if b < blocks - 1:
-            out = written(out, "leaks-block")
-            if b:
-                drop_written(before)
-    return out
+            for batch in batches:
+                windows = once("windows", key, lambda: Windows(held, window))
+                _, spans, ids, longest = _judge(windows, batch.column("t").to_pylist())
+                some = [k for k, s in enumerate(spans) if s]
+                columns = [batch.column(c).take(pa.array(some, pa.int64())) for c in ("h1", "h2")]
+                spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([spans[k] for k in some], spans_type), pa.array([ids[k] for k in some], pa.list_(pa.string())), pa.array(longest[some], pa.int64())], names=["h1", "h2", "spans", "ids", "longest"])
+
+        texts = docs.select(*_digest(text), F.col(text).alias("t")).where("t is not null")
+        here = texts.mapInArrow(hits, "h1 long, h2 long, spans array<struct<start: long, end: long>>, ids array<string>, longest long")
+        here = written(here.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("spans", "ids", "longest")]), f"leaks-block{b}")  # equal texts have equal hits
+        found = here if found is None else found.unionByName(here)
+    parts_, ids_, longest_, h1_, h2_ = (fresh(docs, x) for x in ("spans", "ids", "longest", "h1", "h2"))
+    united = found.groupBy(F.col("h1").alias(h1_), F.col("h2").alias(h2_)).agg(F.flatten(F.collect_list("spans")).alias(parts_), F.array_distinct(F.flatten(F.collect_list("ids"))).alias(ids_), F.max("longest").alias(longest_))
+    one, two = _digest(text)
+    joined = docs.withColumns({h1_: one, h2_: two}).join(united, [h1_, h2_], "left")
+
+    def finish(batch):
+        import pyarrow as pa
+
+        n = [len(words(t)) for t in batch.column(text).to_pylist()]
+        spans = [_united([], s or []) for s in batch.column(parts_).to_pylist()]
+        return {"n_words": pa.array(n, pa.int64()), "hit_spans": spans, "item_ids": [sorted(x or []) for x in batch.column(ids_).to_pylist()], "longest_match": pa.array([x or 0 for x in batch.column(longest_).to_pylist()], pa.int64())}
+
+    return with_columns(joined, finish, SCHEMA, drop=(parts_, ids_, longest_, h1_, h2_))
+
+
+def _digest(text: str) -> tuple[Column, Column]:
+    """128 bits that name a text."""
+    return F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text), F.length(text)).alias("h2")
 
 
 def _united(a: list[dict], b: list[dict]) -> list[dict]:
