@@ -1,11 +1,11 @@
 """Removal of byte strings that occur more than once, exact to the byte.
 
-A byte goes if it lies in a window of `width` bytes that also starts elsewhere. Bytes in windows of
-`short` bytes that also start elsewhere are counted besides and stay.
+A byte goes if it lies in a window of `width` bytes that also starts elsewhere. Where `short` is given, bytes in
+windows of `short` bytes that also start elsewhere are counted besides; they stay.
 
-1. A window's anchor is that `gram`-byte string in its first `short` bytes whose hash is smallest.
+1. A window's anchor is that `gram`-byte string in it (in its first `short` bytes, if these are counted) whose hash is smallest.
    Equal windows have equal anchors, and the windows of one anchor start one after another, so each
-   document gives about 2 / (short - gram) anchors a byte; only hashes are shuffled. Anchors
+   document gives about 2 / (width - gram) anchors a byte; only hashes are shuffled. Anchors
    whose string occurs once are dropped.
 2. Anchors with the same string and the same surroundings (all the bytes of all their windows) are
    copies and are sorted once, with their number: digests of 64 bits for the string and 64 for the
@@ -22,7 +22,7 @@ A byte goes if it lies in a window of `width` bytes that also starts elsewhere.
 An anchor string or copy that holds more than 1/200 of all anchors is one of fewer than 200, which
 are broadcast, so the rows of a hot one stay where they are.
 
-Defined cases: null text has no bytes; texts below `short` bytes lose none; texts of any size are
+Defined cases: null text has no bytes; texts below `width` bytes lose none; texts of any size are
 cut for hashing into overlapping parts of 2**28 bytes; rows that are the same in id and text are
 documents of their own, so they lose what they share; of equally small hashes the first in the window
 is its anchor; overlapping and adjacent windows make one run; an empty table gives an empty result.
@@ -194,8 +194,9 @@ def _sorted_runs(width: int, short: int, rows_at_once: int = 6000):
 
     def solve(held: list[tuple]) -> list[tuple]:
         held = list({x[:2]: x for x in held}.values())
-        found = repeated_windows([(x[5], x[2], x[3]) for x in held], np.array([1 + x[4] for x in held]), (width, short))
-        return [(x[0], x[1], wide, s, e) for k, x in enumerate(held) for wide, size, starts in ((True, width, found[0][k]), (False, short, found[1][k])) for s, e in _runs(starts, size)]
+        sizes = (width,) if short == width else (width, short)
+        found = repeated_windows([(x[5], x[2], x[3]) for x in held], np.array([1 + x[4] for x in held]), sizes)
+        return [(x[0], x[1], size == width, s, e) for k, x in enumerate(held) for size, starts in zip(sizes, found) for s, e in _runs(starts[k], size)]
 
     def run(batches):
         import pyarrow as pa
@@ -223,7 +224,7 @@ def _digests(width: int, short: int):
 
         for batch in batches:
             for h, w, more, many, raw in zip(*(batch.column(c).to_pylist() for c in ("h", "w", "more", "many", "raw"))):
-                for wide, size in ((True, width), (False, short)):
+                for wide, size in ((True, width), (False, short))[: 1 + (short < width)]:
                     m = min(more, len(raw) - size) + 1
                     if m > 0:
                         d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[s : s + size]) for s in range(m)), np.int64).reshape(-1, 2)
@@ -234,8 +235,8 @@ def _digests(width: int, short: int):
 
 
 def repeated_spans(docs: DataFrame, *, width: int = 400, short: int | None = None, gram: int = 60, most: int = 20_000, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents as id, th, z: the compressed bytes; runs as id, th, wide, start, end, which may overlap: of windows of `width` bytes, and where wide is false of `short` bytes, five eighths of width if not given)."""
-    short = short or width * 5 // 8
+    """(documents as id, th, z: the compressed bytes; runs as id, th, wide, start, end, which may overlap: of windows of `width` bytes, and where wide is false of `short` bytes, if that is given)."""
+    short = short or width
     read = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
 
     def packed(batch):
@@ -340,14 +341,13 @@ def brute_force(texts: list[str | None], width: int) -> list[tuple[int, int, int
 SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
 c AS (SELECT r, u.a, substr(x, 2 * u.a + 1, 2 * (1000 + 400)) AS part FROM d, unnest(range(0, length(x) // 2, 1000)) AS u(a)),
-w AS (SELECT r, a + p AS p, z, md5(substr(part, 2 * p + 1, 2 * z)) AS k FROM c, (VALUES (400), (250)) AS s(z), unnest(range(least(1000, length(part) // 2 - z + 1))) AS u(p)),
-t AS (SELECT r, z, p FROM w JOIN (SELECT z AS y, k AS j FROM w GROUP BY z, k HAVING count(*) > 1) ON z = y AND k = j),
-g AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY r, z ORDER BY p) <= z THEN 0 ELSE 1 END AS fresh FROM t),
-i AS (SELECT *, sum(fresh) OVER (PARTITION BY r, z ORDER BY p) AS n FROM g),
-spans AS (SELECT r, z, n, min(p) AS a, max(p) + z AS b FROM i GROUP BY r, z, n),
-o AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans WHERE z = 400),
-k AS (SELECT d.r, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept, sum(b - a) AS n_removed, count(*) AS n_spans FROM o JOIN d ON d.r = o.r GROUP BY d.r),
-e AS (SELECT r, sum(b - a) AS n_repeated FROM spans WHERE z = 250 GROUP BY r)
-SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated, sha256(unhex(coalesce(kept, x))) AS kept_sha256
-FROM d LEFT JOIN k ON d.r = k.r LEFT JOIN e ON d.r = e.r
+w AS (SELECT r, a + p AS p, md5(substr(part, 2 * p + 1, 800)) AS k FROM c, unnest(range(least(1000, length(part) // 2 - 399))) AS u(p)),
+t AS (SELECT r, p FROM w JOIN (SELECT k AS j FROM w GROUP BY k HAVING count(*) > 1) ON k = j),
+g AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 400 THEN 0 ELSE 1 END AS fresh FROM t),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS n FROM g),
+spans AS (SELECT r, n, min(p) AS a, max(p) + 400 AS b FROM i GROUP BY r, n),
+o AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+k AS (SELECT d.r, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept, sum(b - a) AS n_removed, count(*) AS n_spans FROM o JOIN d ON d.r = o.r GROUP BY d.r)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r
 """
