@@ -5,9 +5,10 @@ the shared folder and reads it as the next one's documents. All stages but the l
 columns of documents; the last adds size, source_size, target, copies and taken.
 
 Defined cases: a row without an id passes the near-duplicate stage; a text that loses all its lines
-goes; rows whose share of the mix is nothing go; empty tables give empty results. Columns of the
-documents beyond the usual ones pass through; one that bears a result's name is kept as it was by
-the filtering stages and replaced by the mix.
+goes; rows whose share of the mix is nothing go; of rows that are alike in id and text the near-duplicate
+stage keeps one, and rows that tie otherwise the smallest id; very long texts are rows like others, read whole by every stage;
+empty tables give empty results. Columns of the documents beyond the usual ones pass through; one that bears a
+result's name, in whatever case, is kept as it was by the filtering stages and replaced by the mix.
 """
 
 from __future__ import annotations
@@ -16,18 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import decontaminate, mix, nearest, quality, units
-from textloom.llm.common import fold, table, written
+from textloom.llm.common import aside, fold, table, written
 
 ORACLE_SQL = None  # a trained classifier and min-hashing are beyond SQL; the tests hold run() against plain Python
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches 0.7."""
-    clash = {c: f"_own_{c}" for c in docs.columns if c in ("score", "predicted")}
-    renamed = docs.withColumnsRenamed(clash)
-    scored = quality.score_quality(renamed, table(spark, sf_dir, "labels"), learn=lambda i: fold(i, 4) != 2, keep=True)
-    kept = scored.where("predicted = 1").drop("score", "predicted").withColumnsRenamed({v: k for k, v in clash.items()})
-    return kept.select(*docs.columns)
+    own, names = aside(docs, "score", "predicted")
+    scored = quality.score_quality(own, table(spark, sf_dir, "labels"), learn=lambda i: fold(i, 4) != 2, keep=True)
+    return scored.where("predicted = 1").select(*names).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,19 +36,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines, sentences and runs of short ones that an earlier one has."""
-    clash = {c: f"_own_{c}" for c in docs.columns if c in ("n_units", "n_removed", "removed_chars", "spans")}
-    left = units.dedup_units(docs.withColumnsRenamed(clash), sentences=True, runs=True)
-    left = left.where("n_removed = 0 or length(trim(text)) > 0")
+    own, names = aside(docs, "n_units", "n_removed", "removed_chars", "spans")
+    left = units.dedup_units(own, sentences=True, runs=True).where("n_removed = 0 or length(trim(text)) > 0")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return left.drop("n_units", "n_removed", "removed_chars", "spans").withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)
+    return left.select(*names).toDF(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window of ten words."""
-    clash = {c: f"_own_{c}" for c in docs.columns if c in ("n_words", "hit_spans", "item_ids", "longest_match")}
-    clean = decontaminate.decontaminate(docs.withColumnsRenamed(clash), table(spark, sf_dir, "benchmark"))
-    return clean.withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)
+    own, names = aside(docs, "n_words", "hit_spans", "item_ids", "longest_match")
+    return decontaminate.decontaminate(own, table(spark, sf_dir, "benchmark")).select(*names).toDF(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
