@@ -176,3 +176,22 @@ def by_priority(frames: list[DataFrame], key: str) -> DataFrame:
         f = f.withColumn("_p", F.lit(k))
         all_rows = f if all_rows is None else all_rows.unionByName(f, allowMissingColumns=True)
     return all_rows.withColumn("_m", F.min("_p").over(Window.partitionBy(key))).where("_p = _m").drop("_p", "_m")
+
+
+def has_key(document: Column, key: str) -> Column:
+    """Whether a JSON object has a key, also one whose value is null; null for what is no object."""
+    return F.array_contains(F.json_object_keys(document), F.lit(key))
+
+
+def whole_artefact(document: Column, *, arch: str, tensors: int) -> Column:
+    """Whether the description of an artefact (JSON) names the architecture, enough tensors and a chat template, and isn't of a quantised copy."""
+    read = lambda key: F.get_json_object(document, f"$.{key}")
+    enough = F.coalesce(read("tensors").try_cast("long"), F.lit(0)) >= tensors
+    return F.coalesce((read("arch") == arch) & enough & (read("has_template") == "true") & ~has_key(document, "quantization_config"), F.lit(False))
+
+
+def shares(df: DataFrame, group: str, size: Column) -> DataFrame:
+    """(group, total, share of the whole, filled: the part of its rows whose size isn't 0)."""
+    each = df.groupBy(group).agg(F.sum(size).alias("total"), F.avg((size != 0).cast("int")).alias("filled"))
+    whole = each.agg(F.sum("total").alias("whole"))
+    return each.join(F.broadcast(whole)).select(group, "total", (F.col("total") / F.col("whole")).alias("share"), "filled")

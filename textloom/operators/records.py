@@ -125,3 +125,20 @@ def token_counter(encode):
             yield pd.Series([len(function(t or "")) for t in texts], dtype="int32")
 
     return F.pandas_udf(count, "int", F.PandasUDFType.SCALAR_ITER)
+
+
+def pass_counts(loaded: DataFrame) -> DataFrame:
+    """Of loaded records how many there are, and how many are valid."""
+    return loaded.agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
+
+
+def done_ids(spark: SparkSession, path: str) -> DataFrame:
+    """id of all that records below path were made of: the short id of their question, which is what the second message says, and the seed's id that they name. None where nothing was written."""
+    rows = jsonl.read_if_there(spark, path)
+    ids = F.array(T.short_id(F.get("messages", F.lit(1))["content"]), F.col("meta.seed_id"))
+    return rows.select(F.explode(ids).alias("id")).where("id is not null").distinct()
+
+
+def resumed(items: DataFrame, path: str) -> DataFrame:
+    """The items (id) that no record below path was made of."""
+    return curate.resume(items, done_ids(items.sparkSession, path), "id")

@@ -8,7 +8,8 @@ from html.entities import html5
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import agents, chat, curate, generate, grammar, rank, records, seeds, synthetic, teach
+from textloom.operators import agents, chat, curate, generate, grammar, rank, records, searches, seeds, synthetic, teach
+from textloom.schema import CALL
 from textloom.sources import corpus, jsonl
 from textloom.streaming import incremental
 from textloom.tables import shared_dir, written
@@ -812,3 +813,96 @@ def merge_as_stream(spark, d):
     finally:
         spark.conf.set(incremental.STATE_STORE[0], before)
     return spark.read.schema(judged.schema).parquet(out).select(F.col("place").alias("doc_id"), "dedupe_key", "outcome")
+
+
+@_query(f"""WITH {_DOCUMENT_RECORDS} SELECT count(*) AS n, count(*) AS n_ok FROM o WHERE outcome = 'kept'""")
+def loaded_counts(spark, d):
+    """The merge's files read again, and how many of their records are valid."""
+    return records.pass_counts(records.load_split(spark, _merged_files(spark, d)[1], prompt=PROMPT))
+
+
+@_query("""WITH i AS (SELECT doc_id, substr(md5(text), 1, 12) AS id, lang FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, id FROM i WHERE id NOT IN (SELECT id FROM i WHERE lang IN ('en', 'de'))""")
+def resume_written(spark, d):
+    """Documents that no written record was made of: those of one language are told by their question, of another by the seed's id."""
+    docs = _t(spark, d, "documents").where("text is not null").select("doc_id", "lang", "text", T.short_id(F.col("text")).alias("id"))
+    turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"), F.lit(None).cast(CALL).alias("tool_call"))
+    m = F.array(turn("system", F.lit(PROMPT)), turn("user", F.when(F.col("lang") == "en", F.col("text")).otherwise("translated")))
+    made = records.record(m, category=F.lit("c"), source=F.lit("s"), needs_search=F.lit(False), seed_id=F.when(F.col("lang") == "de", F.col("id")))
+    path = _new_folder(spark, "done")
+    jsonl.write(docs.where(F.col("lang").isin("en", "de")).select(made.alias("r")).select("r.*"), path)
+    return records.resumed(docs, path).select("doc_id", "id")
+
+
+class _Hits:
+    """Hits by the query's length n: of two hosts in turn, scores rising by 0.1; where n leaves 0 by 5 it fails."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def search(self, query: str) -> list[dict]:
+        if len(query) % 5 == 0:
+            raise ValueError(f"no answer to {len(query)} characters")
+        return [{"title": f"hit {j}", "url": f"https://h{j % 2}.example/{len(query)}", "content": query, "score": j / 10} for j in range(1, self.k + 1)]
+
+
+@_query(f"""WITH q AS (SELECT conv_id, turn, regexp_replace(text, '^$WS+|$WS+$', '', 'g') AS q FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+n AS (SELECT *, length(q) AS n, {_clean("q", 500)} AS said FROM q),
+p AS (SELECT *, '"url": "https://h' AS u, '.example/' || n || '", "content": ' || CAST(to_json(said) AS VARCHAR) || '}}' AS rest FROM n)
+SELECT conv_id, turn, '{{"query": ' || CAST(to_json(q) AS VARCHAR) || CASE WHEN n % 5 = 0 THEN ', "error": "no answer to ' || n || ' characters"' ELSE '' END || ', "results": [' ||
+  CASE WHEN n % 5 <> 0 AND n >= 40 THEN '{{"id": 1, "title": "hit 4", ' || u || '0' || rest || ', {{"id": 2, "title": "hit 3", ' || u || '1' || rest ELSE '' END || ']}}' AS response,
+  CASE WHEN n % 5 <> 0 AND n >= 40 THEN 2 ELSE 0 END AS n_sources FROM p""")
+def provided_responses(spark, d):
+    """The users' turns as searches: six hits asked for, of each host the first good enough, the best in front; errors as answers."""
+    turns = _t(spark, d, "conversations").where("role = 'user' and text is not null")
+    calls = turns.select("conv_id", "turn", F.concat(F.lit(" "), "text").alias("query"), F.lit("").alias("topic"), F.lit(None).cast("string").alias("time_range"))
+    return searches.provided(calls, _Hits).select("conv_id", "turn", "response", "n_sources")
+
+
+@_query("""SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE text END AS thought, CASE WHEN lang IS NULL THEN text ELSE chr(10) || lang END AS rest FROM
+(SELECT doc_id, lang, replace(replace(text, '<think>', ''), '</think>', '') AS text FROM documents WHERE text IS NOT NULL)""")
+def thought_split(spark, d):
+    """A reasoning model's thought and what follows it; documents without a language think nothing."""
+    bare = F.replace(F.replace("text", F.lit("<think>"), F.lit("")), F.lit("</think>"), F.lit(""))
+    said = F.when(F.col("lang").isNull(), bare).otherwise(F.concat(F.lit("<think>"), bare, F.lit("</think>\n"), "lang"))
+    thought, rest = teach.thought_and_answer(F.col("said"))
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", said.alias("said")).select("doc_id", thought.alias("thought"), rest.alias("rest"))
+
+
+@_query(r"""SELECT page_id, regexp_replace(regexp_replace(html, '<(/?)(title|p|li)>', '<\1tool_call>', 'g'), '(?s)<tool_call>.*?(</tool_call>|\z)', '', 'g') AS rest FROM pages""")
+def unfinished_calls(spark, d):
+    """Pages with some of their tags as those of calls, which go, a last one that doesn't end included."""
+    called = F.regexp_replace("html", "<(/?)(title|p|li)>", "<$1tool_call>")
+    return _t(spark, d, "pages").select("page_id", grammar.unfinished_removed(called).alias("rest"))
+
+
+@_query(f"""WITH h AS (SELECT regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') AS host, page_id, url, html, row_number() OVER (PARTITION BY regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') ORDER BY page_id) AS id FROM pages WHERE url IS NOT NULL)
+SELECT host, CAST(id AS INTEGER) AS id, url, {_clean('html', 500)} AS content FROM h WHERE id <= 3""")
+def adapted_hits(spark, d):
+    """Hits without scores, in their order, as sources."""
+    hits = _t(spark, d, "pages").where("url is not null").select(T.domain(F.col("url")).alias("host"), "page_id", "url", F.lit("t").alias("title"), F.col("html").alias("content"))
+    return rank.adapted(hits, query="host", order="page_id").select("host", "id", "url", "content")
+
+
+@_query("SELECT source, CAST(sum(n_chars) AS BIGINT) AS total, sum(n_chars) / (SELECT sum(n_chars) FROM documents) AS share, avg(CASE WHEN n_chars <> 0 THEN 1.0 ELSE 0.0 END) AS filled FROM documents GROUP BY source")
+def size_shares(spark, d):
+    return curate.shares(_t(spark, d, "documents"), "source", F.col("n_chars"))
+
+
+@_query("""WITH j AS (SELECT p_partkey, CASE WHEN p_size % 4 = 1 THEN '{"arch": "qwen2", "tensors": ' || p_size * 10 || ', "has_template": true, "quantization_config": null}' WHEN p_size % 4 = 2 THEN '{"arch": "other", "tensors": 400, "has_template": true}'
+  ELSE '{"arch": "qwen2", "tensors": ' || p_size * 10 || ', "has_template": ' || CASE WHEN p_size % 4 = 3 THEN 'true' ELSE 'false' END || '}' END AS j FROM part)
+SELECT p_partkey, list_contains(json_keys(j), 'quantization_config') AS quantised, j ->> 'arch' = 'qwen2' AND CAST(j ->> 'tensors' AS BIGINT) >= 300 AND j ->> 'has_template' = 'true' AND NOT list_contains(json_keys(j), 'quantization_config') AS whole FROM j""")
+def artefact_checks(spark, d):
+    """Descriptions made of the parts' sizes: quantised copies, another architecture, too few tensors, no template."""
+    k, tensors = F.col("p_size") % 4, (F.col("p_size") * 10).cast("string")
+    own = lambda more: F.concat(F.lit('{"arch": "qwen2", "tensors": '), tensors, F.lit(', "has_template": '), more, F.lit("}"))
+    j = F.when(k == 1, own(F.lit('true, "quantization_config": null'))).when(k == 2, '{"arch": "other", "tensors": 400, "has_template": true}').otherwise(own(F.when(k == 3, "true").otherwise("false")))
+    return _t(spark, d, "part").select("p_partkey", j.alias("j")).select("p_partkey", curate.has_key(F.col("j"), "quantization_config").alias("quantised"), curate.whole_artefact(F.col("j"), arch="qwen2", tensors=300).alias("whole"))
+
+
+@_query("""WITH f AS (SELECT * FROM documents WHERE length(text) BETWEEN 15 AND 1500 ORDER BY doc_id LIMIT 40)
+SELECT substr(md5(text), 1, 12) AS id, 'own' AS source, 'genel' AS category, regexp_replace(text, '^$WS+|$WS+$', '', 'g') AS question, coalesce(source, '') AS reasoning_hint FROM f""")
+def custom_seeds(spark, d):
+    """A source that a spec describes: which columns are question and answer, and how many rows."""
+    found = seeds.collect(spark, ["own|||text|source|genel:40"], {"own": f"{d}/documents.parquet"}, shuffle=None)
+    return found.select("id", "source", "category", "question", "reasoning_hint")

@@ -147,7 +147,7 @@ class LocalCompletions:
 
 
 class Remembered:
-    """A search that asks for some more hits than wanted, which cleaning may drop, and remembers its last answers."""
+    """A search that remembers its last answers. textloom.operators.searches asks such a one for more hits than are wanted, and makes an error an answer."""
 
     def __init__(self, search, most: int = 256):
         self.inner, self.memo = search, Memo(most)
