@@ -38,3 +38,15 @@ def test_random_references(spark):
 @pytest.mark.parametrize(("path", "name"), [("/c/models--org--name-4bit/snapshots/1", "org/name"), ("org/Name-BNB-4bit", "org/Name"), ("org/name-awq", "org/name"), ("name", "name"), ("a/b-4bit-c", "a/b-4bit-c")])
 def test_model_names(spark, path, name):
     assert spark.range(1).select(T.base_model(F.lit(path)).alias("x")).first().x == name
+
+
+def test_small_helpers(spark):
+    from textloom.operators import curate, grammar
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert [one(T.first_given(F.lit(a), F.lit(b))) for a, b in (("a", "b"), ("", "b"), (None, ""))] == ["a", "b", ""]
+    assert [one(curate.has_key(F.lit(j), "k")) for j in ('{"k": null}', '{"j": 1}', "[1]", None)] == [True, False, None, None]
+    assert one(grammar.unfinished_removed(F.lit("a<tool_call>x</tool_call>b<tool_call>c\nd"))) == "ab"
+    rows, dropped = curate.known_only(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), ["c", "a", "z"])
+    assert rows.columns == ["a", "c"] and dropped == ["b"]
+    assert not one(curate.whole_artefact(F.lit("no json"), arch="x", tensors=1))
