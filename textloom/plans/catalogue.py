@@ -12,7 +12,7 @@ from textloom.operators import agents, chat, curate, generate, grammar, rank, re
 from textloom.schema import CALL
 from textloom.sources import corpus, jsonl
 from textloom.streaming import incremental
-from textloom.tables import shared_dir, written
+from textloom.tables import shared_dir, spread, written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,7 +31,8 @@ def _query(sql: str | None = None):
 
 
 def _t(spark, d, name):
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(rows) if name in ("documents", "events") else rows
 
 
 # merge -------------------------------------------------------------------------------------------
@@ -620,6 +621,14 @@ def distill_fake(spark, d):
     return agents.distill(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "ok", "n_calls")
 
 
+@_query(f"{_LENGTH} SELECT conv_id, conv_id % 2 = 0 AS ok, 1 AS n_calls FROM l")
+def distill_references(spark, d):
+    """The model answers with the length of the question's first line; odd ones have a reference that is one more."""
+    n = F.length(F.split_part("question", F.lit("\n"), F.lit(1))) + F.col("conv_id") % 2
+    pairs = chat.first_pairs(_t(spark, d, "conversations")).select("conv_id", "question", n.cast("string").alias("reference"))
+    return agents.distill(pairs, agents.FakeModel, agents.FakeSearch).select("conv_id", "ok", "n_calls")
+
+
 @_query(f"""{_LENGTH}, c AS (SELECT *, length(CAST(n AS VARCHAR)) AS w FROM l)
 SELECT conv_id, CAST(n AS VARCHAR) AS answer, 1 AS n_calls, 2048 - (31 + w) // 3 - 17 // 3 - (17 + w) // 3 AS tokens_left FROM c""")
 def executor_fake(spark, d):

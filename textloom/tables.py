@@ -47,3 +47,9 @@ def join_hot(big: DataFrame, small: DataFrame, on: list[str], total: int, n: str
     limit = total / parts
     hot, rest = F.broadcast(small.where(F.col(n) > limit)), small.where(F.col(n) <= limit)
     return big.join(hot, on).unionByName(big.join(hot.select(*on), on, "left_anti").join(rest, on, how))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions at least as the session has cores: else a small input in one file would be one task. An input that comes in enough partitions stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
