@@ -915,3 +915,13 @@ def custom_seeds(spark, d):
     """A source that a spec describes: which columns are question and answer, and how many rows."""
     found = seeds.collect(spark, ["own|||text|source|genel:40"], {"own": f"{d}/documents.parquet"}, shuffle=None)
     return found.select("id", "source", "category", "question", "reasoning_hint")
+
+
+@_query(f"""WITH {_PAIRS}, n AS (SELECT conv_id, question, length(question) AS n, conv_id = min(conv_id) OVER (PARTITION BY question) AS first FROM pairs)
+SELECT conv_id, CASE WHEN first AND n % 7 <> 0 THEN CASE WHEN n % 2 = 1 THEN 'it has ' || n ELSE 'none' END END AS thought, CASE WHEN first AND n % 7 <> 0 THEN CAST(n AS VARCHAR) END AS output, CASE WHEN first AND n % 7 <> 0 THEN 'zor' END AS difficulty FROM n""")
+def reasoned_fake(spark, d):
+    """One model thinks, another writes it in five tags; texts that are not of the form are asked for again."""
+    pairs = chat.first_pairs(_t(spark, d, "conversations")).select(F.col("conv_id").alias("id"), "question", F.lit("c").alias("category"), F.lit("zor").alias("difficulty"))
+    made = teach.reasoned(pairs, teach.FakeReasoner, teach.FakeWriter, system=PROMPT).select("id", F.col("record.meta.difficulty").alias("d"), F.try_element_at("record.messages", F.lit(-1))["content"].alias("c"))
+    parts = grammar.five_tags(F.col("c"))
+    return made.select(F.col("id").alias("conv_id"), parts["think"].alias("thought"), parts["output"].alias("output"), F.col("d").alias("difficulty"))
