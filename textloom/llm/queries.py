@@ -41,7 +41,7 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return units.dedup_units(docs, sentences=True).select("doc_id", "n_units", "n_removed", "removed_chars", "text")
+    return units.dedup_units(docs, sentences=True, runs=True).select("doc_id", "n_units", "n_removed", "removed_chars", "text")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

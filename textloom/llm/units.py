@@ -181,18 +181,28 @@ def dedup_units(docs: DataFrame, *, unit: str = "line", sentences: bool = False,
     return with_columns(joined, rewrite, f"`{text}` string, n_units long, n_removed long, removed_chars long, spans array<struct<start: long, end: long>>", drop=(rank_, which_, gone_))
 
 
-#: Lines and sentences as units. U+E000 marks where a sentence's separator ends.
-SQL = r"""
+#: Lines, sentences and runs of short ones as units. U+E000 marks where a sentence's separator ends; a character of a script without blanks counts as a word in short units.
+_WIDE = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{2FA1F}]"
+SQL = rf"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM d),
 c AS (SELECT doc_id, k, string_split(regexp_replace(part, '([.!?][\x20\x09-\x0D]+)', '\1' || chr(57344), 'g'), chr(57344)) AS cut FROM u),
 p AS (SELECT doc_id, k, len(cut) AS n, unnest(cut) AS own, generate_subscripts(cut, 1) AS j FROM c),
 n AS (SELECT *, CASE WHEN j < n THEN regexp_replace(own, '[\x20\x09-\x0D]+$', '') ELSE own END AS piece,
              trim(regexp_replace(lower(own), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM p),
+w AS (SELECT *, length(norm) - length(replace(norm, ' ', '')) + 1 AS words FROM n),
+z AS (SELECT doc_id, k, j, norm, CASE WHEN words < 5 THEN words + len(regexp_extract_all(norm, '{_WIDE}')) - len(list_filter(string_split(norm, ' '), lambda x: regexp_matches(x, '{_WIDE}'))) ELSE words END AS size,
+             row_number() OVER (PARTITION BY doc_id ORDER BY k, j) AS i FROM w WHERE norm <> ''),
+t AS (SELECT *, sum(size) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM z),
+q AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 4 AND b.upto - a.upto + a.size >= 5 WHERE a.size < 5 GROUP BY a.doc_id, a.i
+      UNION SELECT a.doc_id, max(b.i), a.i FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i - 4 AND a.i AND a.upto - b.upto + b.size >= 5 WHERE a.size < 5 GROUP BY a.doc_id, a.i),
+x AS (SELECT q.doc_id, s, e, string_agg(norm, chr(31) ORDER BY i) AS run FROM q JOIN t ON q.doc_id = t.doc_id AND i BETWEEN s AND e GROUP BY q.doc_id, s, e),
+y AS (SELECT *, doc_id <> min(doc_id) OVER (PARTITION BY run) OR s > first_value(e) OVER (PARTITION BY doc_id, run ORDER BY s, e) AS gone FROM x),
+v AS (SELECT DISTINCT t.doc_id, k, j FROM y JOIN t ON y.doc_id = t.doc_id AND i BETWEEN s AND e WHERE gone),
 l AS (SELECT doc_id, k, string_agg(norm, ' ' ORDER BY j) FILTER (norm <> '') AS norm, count(*) FILTER (norm <> '') AS worded FROM n GROUP BY doc_id, k),
 lines AS (SELECT doc_id, k, norm, row_number() OVER (PARTITION BY norm ORDER BY doc_id, k) > 1 AND length(norm) - length(replace(norm, ' ', '')) + 1 >= 5 AS gone FROM l WHERE worded > 1),
 r AS (SELECT *, norm <> '' AND length(norm) - length(replace(norm, ' ', '')) + 1 >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, k, j) > 1 AS own_gone FROM n),
-o AS (SELECT r.*, own_gone OR (r.norm <> '' AND coalesce(lines.gone, false)) AS gone FROM r LEFT JOIN lines ON r.doc_id = lines.doc_id AND r.k = lines.k),
+o AS (SELECT r.*, own_gone OR (r.norm <> '' AND (coalesce(lines.gone, false) OR v.j IS NOT NULL)) AS gone FROM r LEFT JOIN lines ON r.doc_id = lines.doc_id AND r.k = lines.k LEFT JOIN v ON r.doc_id = v.doc_id AND r.k = v.k AND r.j = v.j),
 a AS (SELECT doc_id, k, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(sum(length(piece)) FILTER (gone), 0) AS removed_chars,
              string_agg(own, '' ORDER BY j) FILTER (NOT gone) AS kept, max(j) FILTER (NOT gone) AS last, max(n) AS n,
              count(*) FILTER (gone) > 0 AND count(*) FILTER (NOT gone AND norm <> '') = 0 AS lost FROM o GROUP BY doc_id, k),
