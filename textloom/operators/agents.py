@@ -1,4 +1,4 @@
-"""Bounded loops over external providers, one partition at a time; providers are built on the executors."""
+"""Bounded loops over external providers, several calls under way in each task; providers are built on the executors."""
 
 from __future__ import annotations
 
@@ -268,20 +268,15 @@ def run_agent(questions: DataFrame, model: Callable[[], Model], search: Callable
     return fan_out(questions.select("conv_id", "question"), ask, "answer string, consistent boolean, repaired boolean, n_calls long", workers=workers)
 
 
-def enriched(items: DataFrame, key: str, ask: Callable, schema: str) -> DataFrame:
+def enriched(items: DataFrame, key: str, ask: Callable, schema: str, *, workers: int = 8) -> DataFrame:
     """items with what ask gives for their key's distinct values: each is asked once, dealt over all tasks. ask: makes, in each task, a function from a value to a tuple of schema."""
 
-    def run(batches: Iterator):
-        import pandas as pd
-
+    def one():
         function = ask()
-        for b in batches:
-            made = [function(x) for x in b[key]]
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(made, columns=[c.split()[0] for c in schema.split(", ")])], axis=1)
+        return lambda row: [function(row[key])]
 
     distinct = items.select(key).where(F.col(key).isNotNull()).distinct()
-    kind = items.schema[key].dataType.simpleString()
-    return items.join(distinct.mapInPandas(run, f"{key} {kind}, {schema}"), key, "left")
+    return items.join(fan_out(distinct, one, schema, workers=workers), key, "left")
 
 
 class Answers:
