@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_operators import odd_docs, plain_phrases, rows_of, sentences
 
 import corpus_pipeline
-from textloom.llm import common, decontaminate, language, mix, quality, topk, toxicity
+from textloom.llm import common, decontaminate, language, mix, nearest, quality, repeats, topk, toxicity, urls
 
 
 # toxicity ---------------------------------------------------------------------------------------
@@ -137,3 +137,33 @@ def test_stages_keep_columns_that_clash_in_any_case(spark, tmp_path):
         assert all(tuple(x[c] for c in clash) == tuple(range(len(clash))) for x in rows), name
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs.withColumns({"Size": F.lit("x"), "TAKEN": F.lit("y")}), str(tmp_path))
     assert mixed.where("taken >= 0 and size >= 0").count() == mixed.count()
+
+
+# very long texts, and ties ----------------------------------------------------------------------
+def test_very_long_texts_are_taken_whole(spark):
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghijklm") for _ in range(r.randint(3, 9))) for _ in range(3000)]
+    long = " ".join(r.choice(words) for _ in range(250_000))
+    item = "the very last words of a very long text hold this benchmark item"
+    rows = [(1, f"{long} {item}"), (2, f"{long} {item} more"), (3, "short text of a few words"), (4, long[:700])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    hits = {x.doc_id: (x.n_words, x.item_ids) for x in decontaminate.find_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert hits[1] == (250_013, ["7"]) and hits[2] == (250_014, ["7"]) and hits[3][1] == hits[4][1] == []
+    near = {x.doc_id: (x.n_shingles, x.component_id) for x in nearest.near_duplicates(docs).collect()}
+    own = lambda t: len(set(zip(t.split(), t.split()[1:])))
+    assert near == {1: (own(rows[0][1]), 1), 2: (own(rows[1][1]), 1), 3: (5, 3), 4: (own(rows[3][1]), 4)}
+    kept = {x.doc_id: x.n_bytes - x.n_removed for x in repeats.remove_repeats(docs.where("doc_id <> 4")).collect()}
+    assert kept == {1: 0, 2: len(" more"), 3: len(rows[2][1])}
+    for scored in (toxicity.score_toxicity(docs, labels), quality.score_quality(docs, labels), language.identify(docs, {"a": long[:5000], "b": "z x y"})):
+        assert all(0 <= s <= 1 for (s,) in rows_of(scored, "score")) and scored.count() == 4
+
+
+def test_ties_between_languages_and_between_rules(spark):
+    docs = spark.createDataFrame([(1, "same words"), (2, "more and same")], "doc_id long, text string")
+    assert {x.lang_pred for x in language.identify(docs, {"zz": "same words and more", "aa": "same words and more", "qq": "unlike"}).collect()} == {"aa"}
+    pages = spark.createDataFrame([(i, f"http://h{i}.com/{'bad/worse' if i % 2 else 'good'}/{i}") for i in range(80)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(80)], "doc_id long, block boolean")
+    found = urls.judge(pages, labels, rules=(), min_count=5)
+    mined = {x.mined for x in found.where("verdict = 'block'").collect()}
+    assert mined == {"path:bad"} and found.where("verdict = 'block'").count() == 40
