@@ -885,7 +885,7 @@ def unfinished_calls(spark, d):
     return _t(spark, d, "pages").select("page_id", grammar.unfinished_removed(called).alias("rest"))
 
 
-@_query(f"""WITH h AS (SELECT regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') AS host, page_id, url, html, row_number() OVER (PARTITION BY regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') ORDER BY page_id) AS id FROM pages WHERE url IS NOT NULL)
+@_query(rf"""WITH h AS (SELECT regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') AS host, page_id, url, html, row_number() OVER (PARTITION BY regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\.', '') ORDER BY page_id) AS id FROM pages WHERE url IS NOT NULL)
 SELECT host, CAST(id AS INTEGER) AS id, url, {_clean('html', 500)} AS content FROM h WHERE id <= 3""")
 def adapted_hits(spark, d):
     """Hits without scores, in their order, as sources."""
@@ -925,3 +925,38 @@ def reasoned_fake(spark, d):
     made = teach.reasoned(pairs, teach.FakeReasoner, teach.FakeWriter, system=PROMPT).select("id", F.col("record.meta.difficulty").alias("d"), F.try_element_at("record.messages", F.lit(-1))["content"].alias("c"))
     parts = grammar.five_tags(F.col("c"))
     return made.select(F.col("id").alias("conv_id"), parts["think"].alias("thought"), parts["output"].alias("output"), F.col("d").alias("difficulty"))
+
+
+# rules in SQL over the texts themselves -----------------------------------------------------------
+_STRIPPED = "regexp_replace({}, '^$WS+|$WS+$', '', 'g')"
+
+
+@_query(rf"""WITH c AS (SELECT doc_id, regexp_replace(translate(replace(text, chr(92), ''), 'hf', '{{}}'), ' (la|on|er|un) ', ' \\boxed{{', 'g') AS c FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, CASE WHEN contains(c, '\boxed{{') THEN string_split(c, '\boxed{{')[-1] ELSE '' END AS tail FROM c),
+s AS (SELECT doc_id, unnest(string_split(tail, '')) AS ch, generate_subscripts(string_split(tail, ''), 1) AS i FROM t),
+b AS (SELECT doc_id, i, 1 + sum(CASE ch WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS depth FROM s),
+e AS (SELECT doc_id, min(i) AS stop FROM b WHERE depth = 0 GROUP BY doc_id)
+SELECT doc_id, CASE WHEN stop IS NULL THEN '' ELSE {_STRIPPED.format("left(tail, CAST(stop - 1 AS BIGINT))")} END AS held FROM t LEFT JOIN e USING (doc_id)""")
+def boxed_in_text(spark, d):
+    """Two letters of the texts as braces, and short words as the marks of results: what the last one holds."""
+    c = F.regexp_replace(F.translate(F.replace("text", F.lit("\\"), F.lit("")), "hf", "{}"), " (la|on|er|un) ", r" \\boxed{")
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", T.boxed(c).alias("held"))
+
+
+@_query(rf"""WITH c AS (SELECT doc_id, replace(replace(regexp_replace(translate(text, '*`#', ''), '([A-Z][a-z]+[,.]?)', '**\1**', 'g'), ',**', ':**'), chr(10), chr(10) || '```') AS c FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, regexp_replace(c, '(?s)```.*?```', ' ', 'g') AS u FROM c),
+s AS (SELECT doc_id, u, list_filter(list_transform(regexp_extract_all(u, '\*\*(.+?)\*\*', 1), lambda x: {_STRIPPED.format("x")}), lambda x: NOT x LIKE '%:') AS spans, {_STRIPPED.format("regexp_replace(u, '[*`#]', '', 'g')")} AS p FROM u)
+SELECT doc_id, CASE WHEN len(spans) > 0 THEN array_to_string(spans[1:3], '; ') ELSE left(CASE WHEN regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) = '' THEN p ELSE regexp_extract(p, '(?s)^(.*?[.!?])$WS', 1) END, 200) END AS line FROM s""")
+def bold_in_text(spark, d):
+    """Capitalised words of the texts in bold, commas as the colons of headings, every other line between fences."""
+    c = F.regexp_replace(F.translate("text", "*`#", ""), "([A-Z][a-z]+[,.]?)", r"**$1**")
+    c = F.replace(F.replace(c, F.lit(",**"), F.lit(":**")), F.lit("\n"), F.lit("\n```"))
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", T.bold_line(c).alias("line"))
+
+
+@_query(f"""WITH c AS (SELECT doc_id, replace(translate(text, '#', ''), ' en ', ' #### ') AS c FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, replace({_STRIPPED.format("string_split(c, '####')[-1]")}, ',', '') AS ref FROM c""")
+def last_in_text(spark, d):
+    """A word of the texts as the mark before a reference answer."""
+    c = F.replace(F.translate("text", "#", ""), F.lit(" en "), F.lit(" #### "))
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", T.after_last(c).alias("ref"))
