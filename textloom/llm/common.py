@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.tables import drop_written, join_hot, shared_dir, written
+from textloom.tables import drop_written, join_hot, shared_dir, spread, written
 
 __all__ = ["WORD", "aside", "drop_written", "fold", "fresh", "join_hot", "lowest", "once", "shared_dir", "table", "with_columns", "written"]
 
@@ -19,7 +19,8 @@ def fold(doc_id: Column, mod: int) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "embeddings", "pages") else rows
 
 
 def lowest(df: DataFrame, key: Column, n: int) -> DataFrame:
