@@ -54,6 +54,16 @@ def length_factor(n: int, docs: int, words: int) -> int:
     return 25 + (75 * n * docs) // words
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as few bytes each as the largest needs."""
+    return x.astype(next(k for k in ("<u1", "<u2", "<u4", "<i8") if int(x.max(initial=0)) <= np.iinfo(k).max)).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    """The n numbers again."""
+    return np.frombuffer(raw, {1: "<u1", 2: "<u2", 4: "<u4", 8: "<i8"}[len(raw) // n]).astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 class _Block:
     """Documents until they are a row of the index."""
 
@@ -82,8 +92,7 @@ class _Block:
         m, starts = np.array(self.m, np.int64), np.array(self.starts, np.int64)
         peaks = np.zeros(len(self.numbers), np.int64)
         np.maximum.at(peaks, posted, impact(tf, np.repeat(m, np.diff(starts))))
-        small = lambda x: x.astype("<u4").tobytes()
-        return self.ids, len(self.ids), b" ".join(self.numbers), small(np.bincount(posted, minlength=len(peaks))), small(peaks), small(starts), small(posted), small(tf), m.astype("<i8").tobytes()
+        return self.ids, len(self.ids), b" ".join(self.numbers), *map(_narrow, (np.bincount(posted, minlength=len(peaks)), peaks, starts, posted, tf, m))
 
 
 def statistics(docs: DataFrame, *, text: str = "text") -> tuple[int, int]:
@@ -145,7 +154,8 @@ def document_frequencies(blocks: DataFrame, vocabulary: dict[bytes, int]) -> np.
         total = np.zeros(len(vocabulary) + 1, np.int64)  # the last is of other terms
         for batch in batches:
             for terms, df in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                np.add.at(total, [vocabulary.get(t, -1) for t in terms.split(b" ")], np.frombuffer(df, "<u4"))
+                number = [vocabulary.get(t, -1) for t in terms.split(b" ")]
+                np.add.at(total, number, _wide(df, len(number)))
         some = np.flatnonzero(total[:-1])
         yield pa.RecordBatch.from_pydict({"term": pa.array(some, pa.int64()), "df": pa.array(total[some], pa.int64())})
 
@@ -176,16 +186,16 @@ class _Open:
     """A block as the queries see it: postings and peaks of their terms alone."""
 
     def __init__(self, row: dict, vocabulary: dict[bytes, int]):
-        read = lambda name, kind="<u4": np.frombuffer(row[name], kind).astype(np.int64)
         self.null = np.array([i is None for i in row["ids"]])
         self.ids = np.array([_LAST if i is None else i for i in row["ids"]], np.int64)
         number = np.array([vocabulary.get(t, -1) for t in row["terms"].split(b" ")], np.int64)
         known = number >= 0
-        self.number, self.peaks = number[known], read("peaks")[known]
-        posted, starts = read("posted"), read("starts")
+        self.number, self.peaks = number[known], _wide(row["peaks"], len(number))[known]
+        starts = _wide(row["starts"], len(self.ids) + 1)
+        posted, tf = (_wide(row[x], int(starts[-1])) for x in ("posted", "tf"))
         asked = known[posted]
         self.term = number[posted[asked]]
-        self.impact = impact(read("tf")[asked], np.repeat(read("m", "<i8"), np.diff(starts))[asked])
+        self.impact = impact(tf[asked], np.repeat(_wide(row["m"], len(self.ids)), np.diff(starts))[asked])
         self.starts = np.concatenate([[0], np.cumsum(asked)])[starts]
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
