@@ -193,5 +193,5 @@ def whole_artefact(document: Column, *, arch: str, tensors: int) -> Column:
 def shares(df: DataFrame, group: str, size: Column) -> DataFrame:
     """(group, total, share of the whole, filled: the part of its rows whose size isn't 0)."""
     each = df.groupBy(group).agg(F.sum(size).alias("total"), F.avg((size != 0).cast("int")).alias("filled"))
-    whole = each.agg(F.sum("total").alias("whole"))
-    return each.join(F.broadcast(whole)).select(group, "total", (F.col("total") / F.col("whole")).alias("share"), "filled")
+    whole = df.agg(F.sum(size)).first()[0]
+    return each.select(group, "total", (F.col("total") / F.lit(whole)).alias("share"), "filled")

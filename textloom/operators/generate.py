@@ -96,16 +96,16 @@ def until_exhausted(attempts: DataFrame, category: str, key: str, order: str, *,
     ranges = numbered.groupBy("p", "c").agg(F.count("*").alias("size")).withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
     first = numbered.groupBy(F.col("c").alias("c1"), F.col("k").alias("k1")).agg(F.min("o").alias("o1"))
     news = first.join(numbered, F.col("c").eqNullSafe(F.col("c1")) & (F.col("o") == F.col("o1"))).select("p", "c", "k", "o", "i")
-    news = written(news.join(F.broadcast(ranges.select(F.col("p").alias("p2"), F.col("c").alias("c2"), "offset")), (F.col("p") == F.col("p2")) & F.col("c").eqNullSafe(F.col("c2"))).select("p", "c", "k", "o", (F.col("offset") + F.col("i")).alias("at")), "attempts-new")
+    news = written(news.join(ranges.select(F.col("p").alias("p2"), F.col("c").alias("c2"), "offset"), (F.col("p") == F.col("p2")) & F.col("c").eqNullSafe(F.col("c2"))).select("p", "c", "k", "o", (F.col("offset") + F.col("i")).alias("at")), "attempts-new")
     # where the next first attempt stands: in this range, else in the next one that has any, else after the last attempt
     edge = news.groupBy("p", "c").agg(F.min("at").alias("lowest"))
     edge = edge.withColumn("next", F.lead("lowest").over(Window.partitionBy("c").orderBy("p"))).select(F.col("p").alias("p3"), F.col("c").alias("c3"), "next")
     ends = ranges.groupBy(F.col("c").alias("c4")).agg((F.sum("size") + 1).alias("end"))
     inside = F.lead("at").over(Window.partitionBy("p", "c").orderBy("at"))
-    gaps = news.withColumn("inside", inside).join(F.broadcast(edge), (F.col("p") == F.col("p3")) & F.col("c").eqNullSafe(F.col("c3"))).join(F.broadcast(ends), F.col("c").eqNullSafe(F.col("c4")))
+    gaps = news.withColumn("inside", inside).join(edge, (F.col("p") == F.col("p3")) & F.col("c").eqNullSafe(F.col("c3"))).join(ends, F.col("c").eqNullSafe(F.col("c4")))
     gap = F.coalesce("inside", "next", "end") - F.col("at") - 1
     cut = gaps.where(gap > most).groupBy(F.col("c").alias("c5")).agg(F.min("at").alias("cut"))
-    kept = news.join(F.broadcast(cut), F.col("c").eqNullSafe(F.col("c5")), "left").where("cut is null or at <= cut")
+    kept = news.join(cut, F.col("c").eqNullSafe(F.col("c5")), "left").where("cut is null or at <= cut")
     return kept.select(F.col("c").alias(category), F.col("k").alias(key), F.col("o").alias(order))
 
 
