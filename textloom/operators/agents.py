@@ -280,7 +280,7 @@ def enriched(items: DataFrame, key: str, ask: Callable, schema: str, *, workers:
 
 
 class Answers:
-    """What was asked before, in a folder that all runs share: a table of answers by their question in versions, `v=1` and on, each what one run asked anew or used again. Only versions that were written whole count.
+    """What was asked before, in a folder that all runs share: a table of answers by their question in versions, `v=1` and on, each what one run asked anew or used again. Only versions that were written whole count; one run writes at a time.
 
     most: so many answers are kept, those that runs used last; of the last version that has room for some, the smallest questions by hash."""
 
