@@ -229,10 +229,14 @@ class Languages:
 
 def sample(docs: DataFrame, *, texts_per_lang: int = 200, letters_per_lang: int = 24_000, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, str]:
     """A bounded sample of whole labelled texts for each language of docs, on the driver: of those of at most letters_per_lang characters as many as hold so many letters, in the order of a hash; where a language has none of these, its first longer one, however long, so that no label that has a text with a letter is lost."""
+    labelled = docs.where(F.col(lang).isNotNull() & F.regexp_like(F.col(text), F.lit(r"\p{L}")))
     fits = F.length(text) <= letters_per_lang
-    order = Window.partitionBy(lang).orderBy(~fits, F.xxhash64(doc_id, text), doc_id, text)
-    with_letters = F.col(lang).isNotNull() & F.regexp_like(F.col(text), F.lit(r"\p{L}"))
-    rows = docs.where(with_letters).withColumn("n", F.row_number().over(order)).where((F.col("n") == 1) | (fits & (F.col("n") <= texts_per_lang)))
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id, text), doc_id, text)
+    first = lambda df, n: df.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n)  # noqa: E731  a task sends on n texts of a language at most
+    rows = first(labelled.where(fits), texts_per_lang)
+    long_only = [r.l for r in labelled.groupBy(F.col(lang).alias("l")).agg(F.bool_or(fits).alias("some")).where("not some").collect()]  # languages
+    if long_only:
+        rows = rows.unionByName(first(labelled.where(F.col(lang).isin(long_only)), 1))
     out: dict[str, list] = {}
     for r in rows.select(F.col(lang).alias("l"), "n", F.col(text).alias("t")).toLocalIterator():
         out.setdefault(r.l, []).append((r.n, folded(r.t)))
