@@ -6,7 +6,9 @@ import duckdb
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.llm import repeats
 from textloom.plans import catalogue
+from textloom.tables import small_batches
 
 
 def both(spark, folder, name, **tables):
@@ -47,3 +49,39 @@ def test_long_numbers_to_the_last_digit(spark):
     numbers = [str(r.randrange(10 ** (k - 1), 10**k)) for k in range(16, 309)] + [str(2**k - d) for k in range(50, 1023, 3) for d in (0, 1)]
     found = spark.createDataFrame([(n,) for n in numbers], "n string").select(T.normalise_number(F.col("n")).alias("v")).collect()
     assert [x.v for x in found] == [str(int(float(n))) for n in numbers]
+
+
+def test_repeats_reach_python_in_small_batches(spark, monkeypatch):
+    """20 MB in one task; its executor once held such a batch several times."""
+    plain = repeats._found
+
+    def checked(*options):
+        run = plain(*options)
+
+        def small(batches):
+            def each():
+                for batch in batches:
+                    assert batch.nbytes < 8 << 20, batch.nbytes
+                    yield batch
+
+            return run(each())
+
+        return small
+
+    monkeypatch.setattr(repeats, "_found", checked)
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(159)), lambda i: F.md5((F.col("id") % 3999 * 1000 + i).cast("string"))), "")
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = repeats.remove_repeats(docs)
+    assert sorted(x.doc_id for x in found.where("n_removed = n_bytes").collect()) == [0, 3999] and found.where("n_removed = 0").count() == 3998
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
+def test_a_session_keeps_the_batches_it_asked_for(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "2m")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(key) == "2m"
+        assert spark.conf.get(key) == "2m"
+    finally:
+        spark.conf.unset(key)
