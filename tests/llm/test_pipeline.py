@@ -2,8 +2,8 @@
 
 import corpus_pipeline
 from pyspark.sql import functions as F
-from textloom.llm import decontaminate
-from textloom.llm.common import written
+from textloom.llm import decontaminate, nearest, quality, units
+from textloom.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -109,3 +109,41 @@ def test_run_equals_plain_python(spark, tmp_path, monkeypatch):
         assert target[s] - max(len(t.split()) for t in expected.values()) <= sum(x.taken for x in own) <= target[s]
         if target[s] >= size[s]:
             assert {x.doc_id for x in own} == {i for i in expected if "ab"[i % 2] == s}
+
+
+def test_stages_reach_python_in_small_batches(spark, sf_small, monkeypatch):
+    """20 MB in one task; its executor once held such a batch several times, in the JVM and in Python."""
+
+    def checked(plain):
+        def with_columns(df, function, ddl, **options):
+            def small(batch):
+                assert batch.nbytes < 8 << 20, batch.nbytes
+                return function(batch)
+
+            return plain(df, small, ddl, **options)
+
+        return with_columns
+
+    def sketched(*options, plain=nearest._sketch):
+        run = plain(*options)
+
+        def small(batches):
+            def each():
+                for batch in batches:
+                    assert batch.nbytes < 8 << 20, batch.nbytes
+                    yield batch
+
+            return run(each())
+
+        return small
+
+    for module in (quality, units, decontaminate):
+        monkeypatch.setattr(module, "with_columns", checked(module.with_columns))
+    monkeypatch.setattr(nearest, "_sketch", sketched)
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(159)), lambda i: F.md5((F.col("id") % 3999 * 1000 + i).cast("string"))), " ")
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"), F.length(text).cast("long").alias("n_chars"))
+    tables = {"documents": docs, "labels": docs.select("doc_id", F.lit(1).alias("quality"))}  # one class: all are good
+    monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, name: tables[name] if name in tables else table(s, d, name))
+    assert corpus_pipeline.run(spark, sf_small).count() == 3999
+    assert [stage(spark, docs, sf_small).count() for _, stage in (corpus_pipeline.STAGES[k] for k in (0, 1, 3))] == [4000, 3999, 4000]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
